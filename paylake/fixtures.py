@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from paylake import schemas as S
 from paylake.session import configure
+from paylake.sources.spread import spread
 
 FIRST_DAY = "2025-10-01"
 SECOND_DAY = "2025-10-02"
@@ -71,7 +72,7 @@ def stage_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _payments(spark, sf_dir).select(
+    return spread(_payments(spark, sf_dir), "id", "_part").select(
         F.col("id").cast("string").alias("id"),
         F.col("merchant_id").cast("string").alias("merchant_id"),
         F.col("acquirer_id").cast("string").alias("acquirer_id"),
@@ -126,7 +127,7 @@ def stage_link_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_link_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _link_transactions(spark, sf_dir).select(
+    return spread(_link_transactions(spark, sf_dir), "id").select(
         F.col("id").cast("string").alias("id"),
         _time_text("created_at"),
         _time_text("updated_at"),

@@ -5,6 +5,10 @@ load time wins.  Load time has second resolution and is the same for all rows of
 a file, so ties are settled by the update time, the creation time and a hash of
 the row; the result does not depend on partitioning.
 
+The partial results that cross the shuffle hold the order once per merged
+column.  Times are therefore parsed before the aggregate: the order is four
+8-byte numbers, not texts.
+
 Rows without a usable id are left out here; ``operators.quality.rejected_ids``
 gives them back.
 """
@@ -43,13 +47,26 @@ def of_days(frame: DataFrame, first: Day | None, last: Day | None = None) -> Dat
     return frame.where(F.col(S.SNAPSHOT).between(first_day, F.lit(str(last)).cast("date")))
 
 
-def _row_order(business_columns: list[str], tiebreak: list[str] | None) -> Column:
-    last = [F.col(name) for name in tiebreak] if tiebreak else [F.xxhash64(*business_columns)]
-    return F.struct(S.INGESTED, "updated_at", "created_at", *last).alias(ORDER)
+def _timed(rows: DataFrame, business_columns: list[str], tiebreak: list[str] | None) -> DataFrame:
+    """``rows`` with parsed times and the order of the rows within a key."""
+    last = [F.col(name) for name in tiebreak] if tiebreak else [F.col("_hash")]
+    order = F.struct(S.INGESTED, "_updated", "_created", *last)
+    hashed = rows if tiebreak else rows.withColumn("_hash", F.xxhash64(*business_columns))
+    return hashed.withColumns({
+        "_created": parse_timestamp(F.col("created_at")),
+        "_updated": parse_timestamp(F.col("updated_at")),
+    }).withColumn(ORDER, order)
 
 
 def _latest(name: str) -> Column:
-    return latest(F.col(name), F.col(S.INGESTED), F.col(ORDER))
+    return latest(F.col(name), F.col(S.INGESTED), F.col(ORDER)).alias(name)
+
+
+def _latest_time(name: str, parsed: str) -> Column:
+    """The latest time text, parsed: NULL if that text is unreadable, even if an
+    earlier one is not."""
+    given = F.col(name).isNotNull() & F.col(S.INGESTED).isNotNull()
+    return F.max_by(F.col(parsed), F.when(given, F.col(ORDER))).alias(name)
 
 
 def link_transactions(
@@ -59,23 +76,25 @@ def link_transactions(
     tiebreak: list[str] | None = None,
 ) -> DataFrame:
     """Initiated payments."""
-    rows = of_days(bronze, first, last).select(
+    rows = _timed(of_days(bronze, first, last), S.LINK_TX_COLUMNS, tiebreak).select(
         parse_uint(F.col("id")).alias("transaction_id"),
         "state",
         F.col("linkpay_reference").alias("reference"),
         F.col("payment_details").alias("details"),
         "created_at",
         "updated_at",
+        "_created",
+        "_updated",
         S.INGESTED,
         S.SNAPSHOT,
-        _row_order(S.LINK_TX_COLUMNS, tiebreak),
+        ORDER,
     ).where(F.col("transaction_id").isNotNull())
     merged = rows.groupBy(*LINK_TX_KEY).agg(
-        _latest("state").alias("state"),
-        _latest("reference").alias("reference"),
-        _latest("details").alias("details"),
-        parse_timestamp(_latest("created_at")).alias("created_at"),
-        parse_timestamp(_latest("updated_at")).alias("updated_at"),
+        _latest("state"),
+        _latest("reference"),
+        _latest("details"),
+        _latest_time("created_at", "_created"),
+        _latest_time("updated_at", "_updated"),
     )
     return merged.select(S.SILVER_LINK_TX.fieldNames())
 
@@ -87,7 +106,7 @@ def payments(
     tiebreak: list[str] | None = None,
 ) -> DataFrame:
     """Real payments; merchant and acquirer are the dominant values of the merged rows."""
-    rows = of_days(bronze, first, last).select(
+    rows = _timed(of_days(bronze, first, last), S.PAYMENT_COLUMNS, tiebreak).select(
         parse_uint(F.col("id")).alias("transaction_id"),
         parse_uint(F.col("merchant_id")).alias("merchant_id"),
         parse_uint(F.col("acquirer_id")).alias("acquirer_id"),
@@ -98,18 +117,20 @@ def payments(
         "details",
         "created_at",
         "updated_at",
+        "_created",
+        "_updated",
         S.INGESTED,
         S.SNAPSHOT,
-        _row_order(S.PAYMENT_COLUMNS, tiebreak),
+        ORDER,
     ).where(F.col("transaction_id").isNotNull())
     merged = rows.groupBy(*PAYMENT_KEY).agg(
-        _latest("payment_state").alias("payment_state"),
-        _latest("card_type").alias("card_type"),
-        _latest("reference").alias("reference"),
-        _latest("order_reference").alias("order_reference"),
-        _latest("details").alias("details"),
-        parse_timestamp(_latest("created_at")).alias("created_at"),
-        parse_timestamp(_latest("updated_at")).alias("updated_at"),
+        _latest("payment_state"),
+        _latest("card_type"),
+        _latest("reference"),
+        _latest("order_reference"),
+        _latest("details"),
+        _latest_time("created_at", "_created"),
+        _latest_time("updated_at", "_updated"),
     )
     # Both sides are already partitioned by the key: the join adds no shuffle.
     dominant = dominant_values(rows, PAYMENT_KEY, ["merchant_id", "acquirer_id"])
@@ -132,23 +153,25 @@ def merchants(
         return align(bronze.where(F.lit(False)).select(), S.SILVER_MERCHANTS)
     if "acquirer_id" not in bronze.columns:
         bronze = bronze.withColumn("acquirer_id", F.lit(None).cast("string"))
-    rows = of_days(bronze, first, last).select(
+    rows = _timed(of_days(bronze, first, last), S.MERCHANT_COLUMNS, tiebreak).select(
         parse_uint(F.col("id")).alias("merchant_id"),
         parse_uint(F.col("acquirer_id")).alias("acquirer_id"),
         blank_to_null(F.col("name")).alias("merchant_name"),
         "state",
         "created_at",
         "updated_at",
+        "_created",
+        "_updated",
         S.INGESTED,
         S.SNAPSHOT,
-        _row_order(S.MERCHANT_COLUMNS, tiebreak),
+        ORDER,
     ).where(F.col("merchant_id").isNotNull())
     merged = rows.groupBy(*MERCHANT_KEY).agg(
-        _latest("acquirer_id").alias("acquirer_id"),
-        _latest("merchant_name").alias("merchant_name"),
-        _latest("state").alias("state"),
-        parse_timestamp(_latest("created_at")).alias("created_at"),
-        parse_timestamp(_latest("updated_at")).alias("updated_at"),
+        _latest("acquirer_id"),
+        _latest("merchant_name"),
+        _latest("state"),
+        _latest_time("created_at", "_created"),
+        _latest_time("updated_at", "_updated"),
     )
     return merged.withColumn(
         "dim_fingerprint",

@@ -1,0 +1,86 @@
+"""CSV files whose quoted fields contain line breaks, read in parallel.
+
+The built-in reader handles such a file only as a whole, in one task.  Here the
+file is read as lines in the usual splits.  Whether a line starts inside a quoted
+field follows from the number of quotes before it, so it is enough to count
+quotes per split, add up the counts over the splits of a file, and number the
+records.  Lines of one record are then put together; almost all records are one
+line and need no grouping.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
+
+CSV_OPTIONS = {"escape": '"', "multiLine": "true"}
+
+
+def _quotes(text: Column) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))
+
+
+def with_open_quotes(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Those of ``paths`` that have a line with an odd number of quotes."""
+    if not paths:
+        return []
+    files = (
+        spark.read.text(paths)
+        .where(_quotes(F.col("value")) % 2 == 1)
+        .select(F.col("_metadata.file_path").alias("path"))
+        .distinct().collect()  # one row per file
+    )
+    open_files = [row.path for row in files]
+    return [path for path in paths if any(path in found for found in open_files)]
+
+
+def read_stitched(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+    """Columns of ``schema`` and ``_path``; the first record of a file is its header."""
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("_path"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        # Grows with the position inside a split; splits are ordered by their start.
+        F.monotonically_increasing_id().alias("_line"),
+        "value",
+        _quotes(F.col("value")).cast("bigint").alias("_quotes"),
+    )
+    # A window over one split: never more rows than one scan task reads.
+    in_block = Window.partitionBy("_path", "_block").orderBy("_line")
+    before = in_block.rowsBetween(Window.unboundedPreceding, -1)
+    counted = lines.withColumn("_inner", F.coalesce(F.sum("_quotes").over(before), F.lit(0)))
+
+    # One row per split: quotes before it, and records begun for either parity.
+    blocks = counted.groupBy("_path", "_block").agg(
+        F.sum("_quotes").alias("_total"),
+        F.count_if(F.col("_inner") % 2 == 0).alias("_even"),
+        F.count_if(F.col("_inner") % 2 == 1).alias("_odd"),
+    )
+    earlier = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        blocks.withColumn("_quotes_before", F.coalesce(F.sum("_total").over(earlier), F.lit(0)))
+        .withColumn("_begun", F.when(F.col("_quotes_before") % 2 == 0, F.col("_even")).otherwise(F.col("_odd")))
+        .withColumn("_records_before", F.coalesce(F.sum("_begun").over(earlier), F.lit(0)))
+        .select("_path", "_block", "_quotes_before", "_records_before")
+    )
+
+    begins = ((F.col("_quotes_before") + F.col("_inner")) % 2 == 0).cast("bigint")
+    closes = (F.col("_quotes_before") + F.col("_inner") + F.col("_quotes")) % 2 == 0
+    upto = in_block.rowsBetween(Window.unboundedPreceding, 0)
+    numbered = (
+        counted.join(offsets, ["_path", "_block"])
+        .withColumn("_begins", begins)
+        .withColumn("_record", F.col("_records_before") + F.sum("_begins").over(upto))
+        .withColumn("_whole", (F.col("_begins") == 1) & closes)
+    )
+    whole = numbered.where("_whole").select("_path", "_record", F.col("value").alias("_text"))
+    pieces = (
+        numbered.where("NOT _whole")
+        .groupBy("_path", "_record")
+        .agg(F.array_sort(F.collect_list(F.struct("_block", "_line", "value"))).alias("_lines"))
+        .select("_path", "_record", F.array_join("_lines.value", "\n").alias("_text"))
+    )
+    records = whole.unionByName(pieces).where((F.col("_record") > 1) & (F.trim("_text") != ""))
+    parsed = F.from_csv("_text", schema.simpleString()[len("struct<"):-1].replace(":", " "), CSV_OPTIONS)
+    return records.select(parsed.alias("_row"), "_path").select("_row.*", "_path")

@@ -1,0 +1,21 @@
+"""Using all cores on a small input."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+# Inputs up to this many splits (8 GB at the default split size) may be spread.
+SMALL_INPUT_SPLITS = 64
+
+
+def spread(frame: DataFrame, *keys: str) -> DataFrame:
+    """Redistribute a small input that has fewer splits than there are cores.
+
+    A file of one row group is read by one task, and so would be everything up
+    to the first shuffle.  Larger inputs have splits enough and are left alone.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    splits = frame.rdd.getNumPartitions()
+    if splits >= min(cores, SMALL_INPUT_SPLITS):
+        return frame
+    return frame.repartition(cores, *keys)
