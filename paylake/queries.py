@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from paylake import fixtures as X
 from paylake import schemas as S
 from paylake.operators import quality
-from paylake.operators.merge import align, upserted
+from paylake.operators.merge import align
 from paylake.plans import bronze, extracts, gold, silver, views
 from paylake.session import fresh_path
 from paylake.sinks import tables as sink
@@ -284,7 +284,10 @@ def _parts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame
 
 
 def fact_increment(spark: SparkSession, d: str) -> DataFrame:
-    """A fact of the first days, brought up to date with the following days."""
+    """A fact of the first days, brought up to date with the following days.
+
+    The test orders spread over seven years, hence the coarser partitions.
+    """
     transactions, payments, merchants = _parts(spark, d)
     path = fresh_path(spark, "fact")
     sink.write_fact(
@@ -293,12 +296,12 @@ def fact_increment(spark: SparkSession, d: str) -> DataFrame:
             silver.of_days(payments, X.FIRST_DAY, SPLIT_DAY),
             merchants,
         ),
-        path,
+        path, "month",
     )
     changes = gold.fact_changes(
         sink.read_fact(spark, path), transactions, payments, merchants, NEXT_DAY, X.LAST_DAY
     )
-    sink.upsert_fact(changes, path)
+    sink.upsert_fact(changes, path, "month")
     return sink.read_fact(spark, path).select(S.FACT_COLUMNS)
 
 

@@ -82,7 +82,7 @@ DIM_MERCHANTS = T.StructType([
 # can find the newest transaction it already holds; START_DAY is derived from it
 # and partitions the stored table.
 GATING_TS = "_gating_ts"
-START_DAY = "_start_day"
+START_PERIOD = "_start_period"
 FACT_COLUMNS = [
     "sk", "transaction_id", "payment_reference", "hasPayment", "payment_state",
     "merchant_sk", "payment_method_sk", "TimeFromStartToEndSeconds",

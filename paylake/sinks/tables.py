@@ -13,7 +13,7 @@ min/max statistics selective.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -105,17 +105,22 @@ def create_or_replace(frame: DataFrame, target: str) -> None:
 
 # ---- fact -------------------------------------------------------------------
 
+FACT_STORED = T.StructType([*S.FACT_TRANSACTIONS.fields, T.StructField(S.START_PERIOD, T.DateType())])
 
-def _with_start_day(fact: DataFrame) -> DataFrame:
-    return fact.withColumn(S.START_DAY, F.to_date(S.GATING_TS))
 
+def _with_period(fact: DataFrame, grain: str) -> DataFrame:
+    """The fact's partition column: the day, or the first day of the month or week,
+    a payment was started."""
+    day = F.to_date(S.GATING_TS)
+    return fact.withColumn(S.START_PERIOD, day if grain == "day" else F.trunc(day, grain))
 
-def write_fact(fact: DataFrame, path: str) -> None:
-    """The whole fact, partitioned by the day a payment was started."""
+
+def write_fact(fact: DataFrame, path: str, grain: str = "day") -> None:
+    """The whole fact, partitioned by the period a payment was started in."""
     (
-        _with_start_day(fact).hint("rebalance", F.col(S.START_DAY))
-        .sortWithinPartitions(S.START_DAY, "sk")
-        .write.mode("overwrite").partitionBy(S.START_DAY).parquet(path)
+        _with_period(fact, grain).hint("rebalance", F.col(S.START_PERIOD))
+        .sortWithinPartitions(S.START_PERIOD, "sk")
+        .write.mode("overwrite").partitionBy(S.START_PERIOD).parquet(path)
     )
 
 
@@ -123,43 +128,51 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, path, S.FACT_TRANSACTIONS)
 
 
-def upsert_fact(changes: DataFrame, path: str) -> None:
+def upsert_fact(changes: DataFrame, path: str, grain: str = "day") -> None:
     """Insert or replace the rows of ``changes`` by transaction.
 
-    Only start days that lose or gain a row are rewritten.  ``changes`` usually
+    Only periods that lose or gain a row are rewritten.  ``changes`` usually
     derives from the table itself and is used several times, so it is first
     written to the shared folder.
     """
     spark = changes.sparkSession
-    with_day = T.StructType([*S.FACT_TRANSACTIONS.fields, T.StructField(S.START_DAY, T.DateType())])
     staged_path = fresh_path(spark, "fact-changes")
-    _with_start_day(changes).write.parquet(staged_path)
-    staged = spark.read.schema(with_day).parquet(staged_path)
-
-    stored = read_table(spark, path, with_day)
-    before = stored.join(staged.select("transaction_id"), "transaction_id", "left_semi")
-    touched = _partition_values(staged.select(S.START_DAY).union(before.select(S.START_DAY)), S.START_DAY)
-    in_touched = F.col(S.START_DAY).isin([day for day in touched if day is not None])
-    if None in touched:
-        in_touched = F.coalesce(in_touched, F.lit(False)) | F.col(S.START_DAY).isNull()
+    _with_period(changes, grain).write.parquet(staged_path)
+    staged = spark.read.schema(FACT_STORED).parquet(staged_path)
+
+    stored = read_table(spark, path, FACT_STORED)
+    # Where a transaction was until now, if that is not where it is going.
+    moved = (
+        stored.select("transaction_id", F.col(S.START_PERIOD).alias("_from"))
+        .join(staged.select("transaction_id", F.col(S.START_PERIOD).alias("_to")), "transaction_id")
+        .where(~F.col("_from").eqNullSafe(F.col("_to")))
+    )
+    left = _partition_values(moved, "_from")
+    touched = set(left) | set(_partition_values(staged, S.START_PERIOD))
+    in_touched = _is_one_of(S.START_PERIOD, touched)
     result = upserted(stored.where(in_touched), staged, ["transaction_id"])
-
-    # A day all rows have moved away from gets no new files, so the overwrite
-    # below would leave it as it is: it is emptied first.
-    remaining = _partition_values(result.select(S.START_DAY), S.START_DAY)
-    result_path = fresh_path(spark, "fact-days")
-    emptied = [day for day in touched if day not in remaining]
-    if emptied:
+    if left:
+        # A period all rows have moved away from gets no new files, so the
+        # overwrite below would leave it as it is: it is emptied here.  The result
+        # is written aside first, as it still reads that period.
+        result_path = fresh_path(spark, "fact-periods")
         result.write.parquet(result_path)
-        result = spark.read.schema(with_day).parquet(result_path)
-        for day in emptied:
+        result = spark.read.schema(FACT_STORED).parquet(result_path)
+        remaining = _partition_values(result.where(_is_one_of(S.START_PERIOD, left)), S.START_PERIOD)
+        for period in set(left) - set(remaining):
             empty = spark.createDataFrame([], S.FACT_TRANSACTIONS)
-            empty.write.mode("overwrite").parquet(f"{path}/{S.START_DAY}={_partition_text(day)}")
-    replace_partitions(result, path, ["sk"], S.START_DAY)
+            empty.write.mode("overwrite").parquet(f"{path}/{S.START_PERIOD}={_partition_text(period)}")
+    replace_partitions(result, path, ["sk"], S.START_PERIOD)
+
+
+def _is_one_of(column: str, values) -> Column:
+    """Also true for a NULL in the column if NULL is among ``values``."""
+    known = F.coalesce(F.col(column).isin([v for v in values if v is not None]), F.lit(False))
+    return known | F.col(column).isNull() if None in values else known
 
 
-def _partition_text(day) -> str:
-    return "__HIVE_DEFAULT_PARTITION__" if day is None else str(day)
+def _partition_text(period) -> str:
+    return "__HIVE_DEFAULT_PARTITION__" if period is None else str(period)
 
 
 def _partition_values(frame: DataFrame, column: str) -> list:
