@@ -7,8 +7,7 @@ field a row gets (card type, JSON shape, missing merchant, ...).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from paylake import schemas as S
 from paylake.session import configure
@@ -23,17 +22,31 @@ PAYMENT_TIEBREAK = ["_part", "_price"]
 # The extracts' time cutoff that suits the dates of the test tables.
 EXTRACT_SINCE = "1998-01-01 00:00:00"
 
+# The columns used of each table; with a schema Spark opens no file
+# to find one.
+TABLES = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_extendedprice double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_orderstatus string, o_orderdate timestamp_ntz",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "events": "event_id bigint, ts timestamp_ntz, event_type string",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return configure(spark).read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+
 
+def _time_text(name: str) -> str:
+    return f"date_format({name}, 'yyyy-MM-dd HH:mm:ss') AS {name}"
 
-def _time_text(name: str) -> Column:
-    return F.date_format(name, "yyyy-MM-dd HH:mm:ss").alias(name)
 
+def _text(name: str) -> str:
+    return f"cast({name} AS string) AS {name}"
 
-def _snapshot(key: str) -> Column:
-    return F.expr(f"date_add(date '{FIRST_DAY}', cast({key} % {DAYS} as int))")
+
+def _snapshot(key: str) -> str:
+    return f"date_add(date '{FIRST_DAY}', cast({key} % {DAYS} AS int)) AS {S.SNAPSHOT}"
 
 
 # ---- payments <- lineitem ---------------------------------------------------
@@ -41,28 +54,22 @@ def _snapshot(key: str) -> Column:
 
 def _payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw payment per line item.  (order, line number) repeats, so ids do too."""
-    line = F.col("l_linenumber")
-    order = F.col("l_orderkey").cast("string")
-    flags = F.concat("l_returnflag", "l_linestatus")
-    state = (
-        F.when(flags == "AF", "settled").when(flags == "AO", "initial")
-        .when(flags == "RF", "refunded").when(flags == "RO", "failed")
-        .when(flags == "NF", "voided").when(flags == "NO", "WAITING_FOR_SCA")
-    )
-    return table(spark, sf_dir, "lineitem").select(
-        (F.col("l_orderkey") * 10 + line).alias("id"),
-        F.col("l_suppkey").alias("merchant_id"),
-        (F.col("l_suppkey") % 5).alias("acquirer_id"),
-        state.alias("state"),
-        F.when(line % 3 == 1, "1").when(line % 3 == 2, "2").alias("card_type"),
-        F.concat(F.lit("PAY-"), order).alias("reference"),
-        F.concat(F.lit("ORD-"), order).alias("order_reference"),
-        F.concat(F.lit('{"part": '), F.col("l_partkey").cast("string"), F.lit("}")).alias("details"),
-        F.col("l_shipdate").alias("created_at"),
-        F.when(line % 2 == 0, F.col("l_shipdate") + F.expr("interval 1 day")).alias("updated_at"),
-        _snapshot("l_orderkey").alias(S.SNAPSHOT),
-        F.col("l_partkey").alias("_part"),
-        F.col("l_extendedprice").alias("_price"),
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey * 10 + l_linenumber AS id",
+        "l_suppkey AS merchant_id",
+        "l_suppkey % 5 AS acquirer_id",
+        "CASE concat(l_returnflag, l_linestatus) WHEN 'AF' THEN 'settled' WHEN 'AO' THEN 'initial' "
+        "WHEN 'RF' THEN 'refunded' WHEN 'RO' THEN 'failed' WHEN 'NF' THEN 'voided' "
+        "WHEN 'NO' THEN 'WAITING_FOR_SCA' END AS state",
+        "CASE l_linenumber % 3 WHEN 1 THEN '1' WHEN 2 THEN '2' END AS card_type",
+        "concat('PAY-', l_orderkey) AS reference",
+        "concat('ORD-', l_orderkey) AS order_reference",
+        "concat('{\"part\": ', l_partkey, '}') AS details",
+        "l_shipdate AS created_at",
+        "CASE WHEN l_linenumber % 2 = 0 THEN l_shipdate + interval 1 day END AS updated_at",
+        _snapshot("l_orderkey"),
+        "l_partkey AS _part",
+        "l_extendedprice AS _price",
     )
 
 
@@ -72,15 +79,12 @@ def stage_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(_payments(spark, sf_dir), "id", "_part").select(
-        F.col("id").cast("string").alias("id"),
-        F.col("merchant_id").cast("string").alias("merchant_id"),
-        F.col("acquirer_id").cast("string").alias("acquirer_id"),
+    return spread(_payments(spark, sf_dir), "id", "_part").selectExpr(
+        _text("id"), _text("merchant_id"), _text("acquirer_id"),
         "state", "card_type", "reference", "order_reference", "details",
-        _time_text("created_at"),
-        _time_text("updated_at"),
-        F.col("created_at").cast("timestamp").alias(S.INGESTED),
-        F.lit("lineitem").alias(S.SOURCE_FILE),
+        _time_text("created_at"), _time_text("updated_at"),
+        f"cast(created_at AS timestamp) AS {S.INGESTED}",
+        f"'lineitem' AS {S.SOURCE_FILE}",
         S.SNAPSHOT,
         *PAYMENT_TIEBREAK,
     )
@@ -91,34 +95,20 @@ def bronze_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _link_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One initiated payment per order, with six shapes of the JSON details."""
-    key = F.col("o_orderkey")
-    text = key.cast("string")
-    reference = F.concat(F.lit("PAY-"), text)
-    ordered = F.col("o_orderdate")
-
-    def document(name: str, value: Column) -> Column:
-        return F.concat(F.lit('{"' + name + '": '), value, F.lit("}"))
-
-    quoted = F.concat(F.lit('"'), reference, F.lit('"'))
-    details = (
-        F.when(key % 6 == 0, document("payment_reference", quoted))
-        .when(key % 6 == 1, document("paymentReference", quoted))
-        .when(key % 6 == 2, document("reference", quoted))
-        .when(key % 6 == 3, document("payment_reference", text))
-        .when(key % 6 == 4, "not json")
-    )
-    updated = (
-        F.when(key % 50 == 1, ordered - F.expr("interval 1 day"))
-        .when(key % 4 != 0, ordered + F.expr("interval 1 day"))
-    )
-    return table(spark, sf_dir, "orders").select(
-        key.alias("id"),
-        ordered.alias("created_at"),
-        updated.alias("updated_at"),
-        F.col("o_orderstatus").alias("state"),
-        F.when(key % 10 != 0, reference).alias("linkpay_reference"),
-        details.alias("payment_details"),
-        _snapshot("o_orderkey").alias(S.SNAPSHOT),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS id",
+        "o_orderdate AS created_at",
+        "CASE WHEN o_orderkey % 50 = 1 THEN o_orderdate - interval 1 day "
+        "WHEN o_orderkey % 4 != 0 THEN o_orderdate + interval 1 day END AS updated_at",
+        "o_orderstatus AS state",
+        "CASE WHEN o_orderkey % 10 != 0 THEN concat('PAY-', o_orderkey) END AS linkpay_reference",
+        "CASE o_orderkey % 6 "
+        "WHEN 0 THEN concat('{\"payment_reference\": \"PAY-', o_orderkey, '\"}') "
+        "WHEN 1 THEN concat('{\"paymentReference\": \"PAY-', o_orderkey, '\"}') "
+        "WHEN 2 THEN concat('{\"reference\": \"PAY-', o_orderkey, '\"}') "
+        "WHEN 3 THEN concat('{\"payment_reference\": ', o_orderkey, '}') "
+        "WHEN 4 THEN 'not json' END AS payment_details",
+        _snapshot("o_orderkey"),
     )
 
 
@@ -127,13 +117,11 @@ def stage_link_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_link_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(_link_transactions(spark, sf_dir), "id").select(
-        F.col("id").cast("string").alias("id"),
-        _time_text("created_at"),
-        _time_text("updated_at"),
+    return spread(_link_transactions(spark, sf_dir), "id").selectExpr(
+        _text("id"), _time_text("created_at"), _time_text("updated_at"),
         "state", "linkpay_reference", "payment_details",
-        F.col("created_at").cast("timestamp").alias(S.INGESTED),
-        F.lit("orders").alias(S.SOURCE_FILE),
+        f"cast(created_at AS timestamp) AS {S.INGESTED}",
+        f"'orders' AS {S.SOURCE_FILE}",
         S.SNAPSHOT,
     )
 
@@ -147,46 +135,40 @@ def stage_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
     Keys divisible by 23 are never delivered, so that some payments point to an
     unknown merchant.
     """
-    key = F.col("s_suppkey")
-    return table(spark, sf_dir, "supplier").where(key % 23 != 0).select(
-        key.alias("id"),
-        F.col("s_nationkey").cast("bigint").alias("acquirer_id"),
-        F.when(key % 17 == 0, "").otherwise(F.col("s_name")).alias("name"),
-        F.when(F.col("s_acctbal") < 0, "blocked").otherwise("active").alias("state"),
-        F.expr("timestamp_ntz '2025-09-01 00:00:00'").alias("created_at"),
-        F.when(key % 5 != 0, F.expr("timestamp_ntz '2025-10-01 00:00:00'")).alias("updated_at"),
+    return table(spark, sf_dir, "supplier").where("s_suppkey % 23 != 0").selectExpr(
+        "s_suppkey AS id",
+        "cast(s_nationkey AS bigint) AS acquirer_id",
+        "CASE WHEN s_suppkey % 17 = 0 THEN '' ELSE s_name END AS name",
+        "CASE WHEN s_acctbal < 0 THEN 'blocked' ELSE 'active' END AS state",
+        "timestamp_ntz '2025-09-01 00:00:00' AS created_at",
+        "CASE WHEN s_suppkey % 5 != 0 THEN timestamp_ntz '2025-10-01 00:00:00' END AS updated_at",
     )
 
 
 def bronze_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two snapshots; the second renews the even keys one day later."""
-    first = stage_merchants(spark, sf_dir).withColumn(S.SNAPSHOT, F.expr(f"date '{FIRST_DAY}'"))
-    second = stage_merchants(spark, sf_dir).where(F.col("id") % 2 == 0).withColumns({
-        "state": F.lit("renewed"),
-        "updated_at": F.col("updated_at") + F.expr("interval 1 day"),
-        S.SNAPSHOT: F.expr(f"date '{SECOND_DAY}'"),
-    })
-    return first.unionByName(second).select(
-        F.col("id").cast("string").alias("id"),
-        F.col("acquirer_id").cast("string").alias("acquirer_id"),
-        "name", "state",
-        _time_text("created_at"),
-        _time_text("updated_at"),
-        F.lit(FIRST_DAY).cast("timestamp").alias(S.INGESTED),
-        F.lit("supplier").alias(S.SOURCE_FILE),
-        S.SNAPSHOT,
+    """Two snapshots in one scan; the second renews the even keys one day later."""
+    return (
+        stage_merchants(spark, sf_dir)
+        .selectExpr("*", "explode(array(0, 1)) AS _later")
+        .where("_later = 0 OR id % 2 = 0")
+        .selectExpr(
+            _text("id"), _text("acquirer_id"), "name",
+            "CASE _later WHEN 1 THEN 'renewed' ELSE state END AS state",
+            _time_text("created_at"),
+            "date_format(updated_at + make_dt_interval(_later), 'yyyy-MM-dd HH:mm:ss') AS updated_at",
+            f"timestamp '{FIRST_DAY}' AS {S.INGESTED}",
+            f"'supplier' AS {S.SOURCE_FILE}",
+            f"date_add(date '{FIRST_DAY}', _later) AS {S.SNAPSHOT}",
+        )
     )
 
 
 def with_unusable_ids(bronze: DataFrame) -> DataFrame:
     """The same rows, some with an id that must not reach silver."""
-    number = F.col("id").cast("bigint")
-    return bronze.withColumn(
-        "id",
-        F.when(number % 11 == 0, F.concat(F.lit(" "), "id"))
-        .when(number % 11 == 1, F.concat(F.lit("-"), "id"))
-        .when(number % 11 == 2, F.concat("id", F.lit(".5")))
-        .when(number % 11 == 3, F.lit("18446744073709551615"))
-        .when(number % 11 == 4, F.lit(None))
-        .otherwise(F.col("id")),
+    spoiled = (
+        "CASE cast(id AS bigint) % 11 WHEN 0 THEN concat(' ', id) WHEN 1 THEN concat('-', id) "
+        "WHEN 2 THEN concat(id, '.5') WHEN 3 THEN '18446744073709551615' WHEN 4 THEN NULL "
+        "ELSE id END AS id"
     )
+    others = [name for name in bronze.columns if name != "id"]
+    return bronze.selectExpr(spoiled, *others)

@@ -1,4 +1,9 @@
-"""Column expressions.  All of them are built from Spark's own functions."""
+"""Column expressions as SQL text, built from Spark's own functions.
+
+Each function takes SQL expressions (usually column names) and gives one back, to
+be used in ``selectExpr``, ``F.expr`` or inside another.  A plan is then put
+together with few calls from Python to the JVM, however long its expressions are.
+"""
 
 from paylake.functions.documents import document_text, json_string
 from paylake.functions.keys import merchant_fingerprint, surrogate_key

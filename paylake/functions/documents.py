@@ -2,32 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def json_string(document: Column, key: str) -> Column:
+def json_string(document: str, key: str) -> str:
     """The value of ``key`` if it is a JSON string, else NULL.
 
     ``document`` is a variant, so a text is parsed once however many keys are
     read.  Numbers, booleans, objects and JSON null all give NULL.
     """
-    path = f"$.{key}"
-    kind = F.schema_of_variant(F.try_variant_get(document, path, "variant"))
-    return F.when(kind == "STRING", F.try_variant_get(document, path, "string"))
+    return (
+        f"CASE WHEN schema_of_variant(try_variant_get({document}, '$.{key}', 'variant')) = 'STRING' "
+        f"THEN try_variant_get({document}, '$.{key}', 'string') END"
+    )
 
 
-def document_text(text: Column) -> Column:
-    """Lenient JSON text as a document store hands it back.
+def document_text(document: str) -> str:
+    """A parsed document as the text a document store hands back.
 
-    Unreadable or blank text gives NULL, objects and arrays come back as JSON
-    with non-ASCII characters kept, scalars as plain text.
+    Unreadable text (a NULL document) and JSON null give NULL, objects and arrays
+    come back as JSON with non-ASCII characters kept, scalars as plain text.
     """
-    document = F.try_parse_json(F.trim(text))
-    kind = F.schema_of_variant(document)
     return (
-        F.when(document.isNull() | (kind == "VOID"), F.lit(None).cast("string"))
-        .when(kind == "STRING", F.try_variant_get(document, "$", "string"))
-        .when(kind == "BOOLEAN", F.initcap(F.to_json(document)))
-        .otherwise(F.to_json(document))
+        f"CASE schema_of_variant({document}) "
+        "WHEN 'VOID' THEN NULL "
+        f"WHEN 'STRING' THEN try_variant_get({document}, '$', 'string') "
+        f"WHEN 'BOOLEAN' THEN initcap(to_json({document})) "
+        f"ELSE to_json({document}) END"
     )

@@ -7,28 +7,19 @@ are merged on their natural keys and never on a surrogate key alone.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 SEPARATOR = "|"
 DIGEST_DIGITS = 15
 
 
-def surrogate_key(*parts: Column) -> Column:
+def surrogate_key(*parts: str) -> str:
     """NULL parts count as empty text, parts are kept apart by a separator."""
-    texts = [F.coalesce(part.cast("string"), F.lit("")) for part in parts]
-    text = texts[0] if len(texts) == 1 else F.concat_ws(SEPARATOR, *texts)
-    digits = F.substring(F.md5(text), 1, DIGEST_DIGITS)
-    return F.conv(digits, 16, 10).cast("bigint")
+    texts = ", ".join(f"coalesce(cast({part} AS string), '')" for part in parts)
+    digits = f"substring(md5(concat_ws('{SEPARATOR}', {texts})), 1, {DIGEST_DIGITS})"
+    return f"cast(conv({digits}, 16, 10) AS bigint)"
 
 
-def merchant_fingerprint(
-    merchant_id: Column,
-    acquirer_id: Column,
-    name: Column,
-    state: Column,
-    created_at: Column,
-    updated_at: Column,
-) -> Column:
-    """Changes whenever any described attribute of a merchant changes."""
-    return surrogate_key(merchant_id, acquirer_id, name, state, created_at, updated_at)
+def merchant_fingerprint() -> str:
+    """Changes whenever any described attribute of a silver merchant changes."""
+    return surrogate_key(
+        "merchant_id", "acquirer_id", "merchant_name", "state", "created_at", "updated_at"
+    )

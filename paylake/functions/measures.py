@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def percentage(part: Column, whole: Column) -> Column:
+def percentage(part: str, whole: str) -> str:
     """``part`` of ``whole`` in percent with two digits, half to even; NULL for nothing."""
-    return F.bround(part * F.lit(100.0) / F.nullif(whole, F.lit(0)), 2)
+    return f"bround({part} * 100.0D / nullif({whole}, 0), 2)"
 
 
-def seconds_between(start: Column, end: Column) -> Column:
+def seconds_between(start: str, end: str) -> str:
     """Whole seconds from ``start`` to ``end``; NULL if either is missing."""
-    return F.unix_seconds(end) - F.unix_seconds(start)
+    return f"unix_seconds({end}) - unix_seconds({start})"

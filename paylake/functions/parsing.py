@@ -2,54 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-# Accepted shapes of a time text and the pattern that reads each.
-ISO_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"
-EPOCH_SECONDS_SHAPE = r"^\d{9,10}$"
-EPOCH_MILLIS_SHAPE = r"^\d{13}$"
-PATTERN_SHAPES = [
-    (r"^\d{8}$", "yyyyMMdd"),
-    (r"^\d{14}$", "yyyyMMddHHmmss"),
-    (r"^\d{2}/\d{2}/\d{4}$", "dd/MM/yyyy"),
-    (r"^\d{2}/\d{2}/\d{4} \d{2}:\d{2}$", "dd/MM/yyyy HH:mm"),
-    (r"^\d{2}/\d{2}/\d{4} \d{2}:\d{2}:\d{2}$", "dd/MM/yyyy HH:mm:ss"),
-    (r"^\d{2}\.\d{2}\.\d{4}$", "dd.MM.yyyy"),
-    (r"^\d{2}\.\d{2}\.\d{4} \d{2}:\d{2}:\d{2}$", "dd.MM.yyyy HH:mm:ss"),
-    (r"^\d{4}/\d{2}/\d{2}$", "yyyy/MM/dd"),
-    (r"^\d{4}/\d{2}/\d{2} \d{2}:\d{2}:\d{2}$", "yyyy/MM/dd HH:mm:ss"),
+# Accepted shapes of a time text and how each is read.
+TIME_SHAPES = [
+    (r"^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$", "try_cast({text} AS timestamp)"),
+    (r"^\d{9,10}$", "timestamp_seconds(try_cast({text} AS bigint))"),
+    (r"^\d{13}$", "timestamp_millis(try_cast({text} AS bigint))"),
+    (r"^\d{8}$", "try_to_timestamp({text}, 'yyyyMMdd')"),
+    (r"^\d{14}$", "try_to_timestamp({text}, 'yyyyMMddHHmmss')"),
+    (r"^\d{2}/\d{2}/\d{4}$", "try_to_timestamp({text}, 'dd/MM/yyyy')"),
+    (r"^\d{2}/\d{2}/\d{4} \d{2}:\d{2}$", "try_to_timestamp({text}, 'dd/MM/yyyy HH:mm')"),
+    (r"^\d{2}/\d{2}/\d{4} \d{2}:\d{2}:\d{2}$", "try_to_timestamp({text}, 'dd/MM/yyyy HH:mm:ss')"),
+    (r"^\d{2}\.\d{2}\.\d{4}$", "try_to_timestamp({text}, 'dd.MM.yyyy')"),
+    (r"^\d{2}\.\d{2}\.\d{4} \d{2}:\d{2}:\d{2}$", "try_to_timestamp({text}, 'dd.MM.yyyy HH:mm:ss')"),
+    (r"^\d{4}/\d{2}/\d{2}$", "try_to_timestamp({text}, 'yyyy/MM/dd')"),
+    (r"^\d{4}/\d{2}/\d{2} \d{2}:\d{2}:\d{2}$", "try_to_timestamp({text}, 'yyyy/MM/dd HH:mm:ss')"),
 ]
-UINT_SHAPE = r"^[0-9]{1,20}$"
+UINT_SHAPE = "^[0-9]{1,20}$"
 
 
-def blank_to_null(text: Column) -> Column:
-    return F.nullif(text, F.lit(""))
+def blank_to_null(text: str) -> str:
+    return f"nullif({text}, '')"
 
 
-def parse_uint(text: Column) -> Column:
+def parse_uint(text: str) -> str:
     """Digits only, as a long; anything else, also above 2**63-1, gives NULL.
 
     A bare cast would take signs and surrounding blanks, hence the guard.
     """
-    return F.when(text.rlike(UINT_SHAPE), text.try_cast("bigint"))
+    return f"CASE WHEN {text} RLIKE '{UINT_SHAPE}' THEN try_cast({text} AS bigint) END"
 
 
-def parse_timestamp(text: Column) -> Column:
+def parse_timestamp(text: str) -> str:
     """Lenient time parser with second resolution; unreadable text gives NULL.
 
     The shape is tested before a pattern is tried: the ISO form, by far the most
     common, costs one test and one cast, and the default cast never sees forms
     such as ``12:00`` that it would complete with the current date.
     """
-    parsed = F.when(text.rlike(ISO_SHAPE), text.try_cast("timestamp")).when(
-        text.rlike(EPOCH_SECONDS_SHAPE), F.timestamp_seconds(text.try_cast("bigint"))
-    ).when(text.rlike(EPOCH_MILLIS_SHAPE), F.timestamp_millis(text.try_cast("bigint")))
-    for shape, pattern in PATTERN_SHAPES:
-        parsed = parsed.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(pattern)))
-    return F.date_trunc("second", parsed)
+    cases = " ".join(
+        f"WHEN {text} RLIKE r'{shape}' THEN {reading.format(text=text)}"
+        for shape, reading in TIME_SHAPES
+    )
+    return f"date_trunc('second', CASE {cases} END)"
 
 
-def iso_seconds(text: Column) -> Column:
+def iso_seconds(text: str) -> str:
     """A time text brought to ``yyyy-MM-ddTHH:mm:ss`` in UTC, or NULL."""
-    return F.date_format(parse_timestamp(F.trim(text)), "yyyy-MM-dd'T'HH:mm:ss")
+    return f"date_format({parse_timestamp(f'trim({text})')}, \"yyyy-MM-dd'T'HH:mm:ss\")"

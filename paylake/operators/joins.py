@@ -14,9 +14,9 @@ shuffled on (key, salt):
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 SALT = "_salt"
+PART = "_part_of_key"
 NULL_KEY_PARTS = 4096
 
 
@@ -25,24 +25,17 @@ def lookup_join(
     right: DataFrame,
     left_key: str,
     right_key: str,
-    spread_by: list[str],
+    spread_by: str,
     copies: int = 1,
     how: str = "left",
 ) -> DataFrame:
     """Equi join that keeps all columns of both sides.
 
-    ``spread_by`` names columns of the left side that differ between rows with
+    ``spread_by`` names a column of the left side that differs between rows with
     the same key.  Column names of the two sides must not overlap.
     """
-    parts = F.when(F.col(left_key).isNull(), F.lit(NULL_KEY_PARTS)).otherwise(F.lit(copies))
-    salted = left.withColumn(SALT, F.pmod(F.xxhash64(*spread_by), parts))
-    repeated = right.withColumn(
-        "_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(copies - 1).cast("bigint")))
-    )
-    matches = (salted[left_key] == repeated[right_key]) & (salted[SALT] == repeated["_part"])
-    return salted.join(repeated, matches, how).drop(SALT, "_part")
-
-
-def fits(frame: DataFrame, rows: int) -> bool:
-    """Whether ``frame`` has at most ``rows`` rows; reads no more than it must."""
-    return frame.limit(rows + 1).count() <= rows
+    parts = f"CASE WHEN {left_key} IS NULL THEN {NULL_KEY_PARTS} ELSE {copies} END"
+    salted = left.selectExpr("*", f"pmod(xxhash64({spread_by}), {parts}) AS {SALT}")
+    repeated = right.selectExpr("*", f"explode(sequence(0L, {copies - 1}L)) AS {PART}")
+    matches = (salted[left_key] == repeated[right_key]) & (salted[SALT] == repeated[PART])
+    return salted.join(repeated, matches, how).drop(SALT, PART)

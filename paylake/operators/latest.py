@@ -8,18 +8,18 @@ used.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def latest(value: Column, time: Column, order: Column) -> Column:
-    """The latest non-NULL ``value``.
+def latest(value: str, time: str, order: str) -> str:
+    """The latest non-NULL ``value``, as a SQL aggregate.
 
     Rows with a NULL ``value`` or ``time`` do not take part, so columns of one
     key may come from different rows.  ``order`` is a struct that starts with
     ``time`` and goes on with tie-breakers; it has to order all rows of a key.
     """
-    return F.max_by(value, F.when(value.isNotNull() & time.isNotNull(), order))
+    return f"max_by({value}, CASE WHEN {value} IS NOT NULL AND {time} IS NOT NULL THEN {order} END)"
 
 
 def dominant_values(rows: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
@@ -29,18 +29,14 @@ def dominant_values(rows: DataFrame, keys: list[str], columns: list[str]) -> Dat
     (key, value) and then per key: a single ``mode`` would hold all distinct
     values of a key in one task.
     """
-    slots = F.array(*[
-        F.struct(F.lit(slot).alias("_slot"), F.col(name).alias("_value"))
-        for slot, name in enumerate(columns)
-    ])
+    slots = ", ".join(f"{slot}, {name}" for slot, name in enumerate(columns))
     counted = (
-        rows.select(*keys, F.inline(slots))
-        .where(F.col("_value").isNotNull())
+        rows.selectExpr(*keys, f"stack({len(columns)}, {slots}) AS (_slot, _value)")
+        .where("_value IS NOT NULL")
         .groupBy(*keys, "_slot", "_value")
-        .agg(F.count("*").alias("_n"))
+        .agg(F.expr("count(*) AS _n"))
     )
-    rank = F.struct(F.col("_n"), -F.col("_value"))
     return counted.groupBy(*keys).agg(*[
-        F.max_by("_value", F.when(F.col("_slot") == slot, rank)).alias(name)
+        F.expr(f"max_by(_value, CASE WHEN _slot = {slot} THEN struct(_n, -_value) END) AS {name}")
         for slot, name in enumerate(columns)
     ])

@@ -5,18 +5,16 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def align(frame: DataFrame, schema: T.StructType) -> DataFrame:
-    """Exactly the columns of ``schema``, by name: absent ones NULL, others dropped."""
+def align(frame: DataFrame, contract: T.StructType) -> DataFrame:
+    """Exactly the columns of ``contract``, by name: absent ones NULL, others dropped."""
     present = set(frame.columns)
-    return frame.select([
-        (F.col(f"`{field.name}`") if field.name in present else F.lit(None))
-        .cast(field.dataType)
-        .alias(field.name)
-        for field in schema.fields
+    return frame.selectExpr(*[
+        f"cast({f'`{field.name}`' if field.name in present else 'NULL'} "
+        f"AS {field.dataType.simpleString()}) AS `{field.name}`"
+        for field in contract.fields
     ])
 
 

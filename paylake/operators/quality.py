@@ -2,56 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylake.functions import parse_uint
 
 
 def _tall(counts: DataFrame, check: str) -> DataFrame:
-    entries = F.array(*[
-        F.struct(F.lit(check).alias("check"), F.lit(name).alias("subject"),
-                 F.col(f"`{name}`").alias("violations"))
-        for name in counts.columns
-    ])
-    return counts.select(F.inline(entries))
+    entries = ", ".join(f"'{name}', `{name}`" for name in counts.columns)
+    return counts.selectExpr(
+        f"'{check}' AS check", f"stack({len(counts.columns)}, {entries}) AS (subject, violations)"
+    )
 
 
 def not_null(frame: DataFrame, table: str, columns: list[str]) -> DataFrame:
     """NULLs per column, all columns in one pass."""
     counts = frame.agg(*[
-        F.count_if(F.col(name).isNull()).alias(f"{table}.{name}") for name in columns
+        F.expr(f"count_if({name} IS NULL) AS `{table}.{name}`") for name in columns
     ])
     return _tall(counts, "not_null")
 
 
 def unique(frame: DataFrame, table: str, keys: list[str]) -> DataFrame:
     """Number of non-NULL keys that occur more than once."""
-    present = [F.col(key).isNotNull() for key in keys]
-    condition: Column = present[0]
-    for further in present[1:]:
-        condition = condition & further
-    repeated = frame.where(condition).groupBy(*keys).count().where(F.col("count") > 1)
-    counts = repeated.agg(F.count("*").alias(f"{table}.{'+'.join(keys)}"))
-    return _tall(counts, "unique")
+    repeated = (
+        frame.where(" AND ".join(f"{key} IS NOT NULL" for key in keys))
+        .groupBy(*keys).agg(F.expr("count(*) AS _n")).where("_n > 1")
+    )
+    return _tall(repeated.agg(F.expr(f"count(*) AS `{table}.{'+'.join(keys)}`")), "unique")
 
 
 def timestamp_order(frame: DataFrame, table: str, earlier: str, later: str) -> DataFrame:
     """Rows where ``earlier`` is not before ``later``; rows lacking either pass."""
     counts = frame.agg(
-        F.count_if(~(F.col(earlier) < F.col(later))).alias(f"{table}.{earlier}<{later}")
+        F.expr(f"count_if(NOT ({earlier} < {later})) AS `{table}.{earlier}<{later}`")
     )
     return _tall(counts, "timestamp_order")
 
 
 def rejected_ids(bronze: DataFrame, id_column: str = "id") -> DataFrame:
     """Rows kept out of silver because their id is not a usable number."""
-    return (
-        bronze.where(parse_uint(F.col(id_column)).isNull())
-        .withColumn(
-            "_reason",
-            F.when(F.col(id_column).isNull(), F.lit("missing id"))
-            .when(F.col(id_column).rlike(r"^[0-9]+$"), F.lit("id out of range"))
-            .otherwise(F.lit("id is not a number")),
-        )
+    reason = (
+        f"CASE WHEN {id_column} IS NULL THEN 'missing id' "
+        f"WHEN {id_column} RLIKE '^[0-9]+$' THEN 'id out of range' "
+        "ELSE 'id is not a number' END AS _reason"
     )
+    return bronze.where(f"{parse_uint(id_column)} IS NULL").selectExpr("*", reason)

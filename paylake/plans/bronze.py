@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from paylake import schemas as S
 from paylake.functions import document_text, iso_seconds
@@ -27,11 +26,18 @@ def merchants(spark: SparkSession, files: DailyFiles, first: Day, last: Day | No
 
 def landed_link_transactions(rows: DataFrame) -> DataFrame:
     """Raw link transactions as documents: six fixed columns, readable JSON, ISO times."""
-    return align(rows, S.BRONZE_LINK_TX).withColumns({
-        "created_at": iso_seconds(F.col("created_at")),
-        "updated_at": iso_seconds(F.col("updated_at")),
-        "payment_details": document_text(F.col("payment_details")),
-    })
+    parsed = align(rows, S.BRONZE_LINK_TX).selectExpr(
+        "*", "try_parse_json(trim(payment_details)) AS _document"
+    )
+    return parsed.selectExpr(
+        "id",
+        f"{iso_seconds('created_at')} AS created_at",
+        f"{iso_seconds('updated_at')} AS updated_at",
+        "state",
+        "linkpay_reference",
+        f"{document_text('_document')} AS payment_details",
+        *S.LINEAGE_COLUMNS,
+    )
 
 
 def land_link_transactions(
@@ -40,11 +46,11 @@ def land_link_transactions(
     return landed_link_transactions(read_days(spark, files, first, last, S.BRONZE_LINK_TX))
 
 
-def _bronze(landed: DataFrame, label) -> DataFrame:
-    return landed.select(
+def _bronze(landed: DataFrame, label: str) -> DataFrame:
+    return landed.selectExpr(
         *S.LINK_TX_COLUMNS,
-        F.current_timestamp().alias(S.INGESTED),
-        label.alias(S.SOURCE_FILE),
+        f"current_timestamp() AS {S.INGESTED}",
+        f"{label} AS {S.SOURCE_FILE}",
         S.SNAPSHOT,
     )
 
@@ -52,20 +58,18 @@ def _bronze(landed: DataFrame, label) -> DataFrame:
 def link_transactions_day(spark: SparkSession, landing: str, day: Day) -> DataFrame:
     """One landed day."""
     landed = read_landing(spark, landing, S.BRONZE_LINK_TX, day)
-    return _bronze(landed, F.lit(f"landing:{COLLECTION}:{day}"))
+    return _bronze(landed, f"'landing:{COLLECTION}:{day}'")
 
 
 def link_transactions_days(spark: SparkSession, landing: str, first: Day, last: Day) -> DataFrame:
     """A range of landed days in one scan, each row labelled with its day."""
-    landed = read_landing(spark, landing, S.BRONZE_LINK_TX).where(
-        F.col(S.SNAPSHOT).between(F.lit(str(first)).cast("date"), F.lit(str(last)).cast("date"))
-    )
-    return _bronze(landed, F.concat(F.lit(f"landing:{COLLECTION}:"), F.col(S.SNAPSHOT).cast("string")))
+    landed = read_landing(spark, landing, S.BRONZE_LINK_TX, first, last)
+    return _bronze(landed, f"concat('landing:{COLLECTION}:', {S.SNAPSHOT})")
 
 
 def link_transactions_full(spark: SparkSession, landing: str, run_day: Day) -> DataFrame:
     """Everything ever landed, as one snapshot of ``run_day``."""
-    landed = read_landing(spark, landing, S.BRONZE_LINK_TX).withColumn(
-        S.SNAPSHOT, F.lit(str(run_day)).cast("date")
+    landed = read_landing(spark, landing, S.BRONZE_LINK_TX).drop(S.SNAPSHOT)
+    return _bronze(
+        landed.selectExpr("*", f"date '{run_day}' AS {S.SNAPSHOT}"), f"'landing:{COLLECTION}:ALL'"
     )
-    return _bronze(landed, F.lit(f"landing:{COLLECTION}:ALL"))

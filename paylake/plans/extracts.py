@@ -28,11 +28,11 @@ def merchants(stage: DataFrame) -> DataFrame:
 
 def payments(stage_payments: DataFrame, stage_merchants: DataFrame, since: str = SINCE) -> DataFrame:
     """Payments of known merchants, with the merchant's acquirer in place of their own."""
-    acquirers = stage_merchants.select(F.col("id").alias("_merchant"), "acquirer_id")
+    acquirers = stage_merchants.selectExpr("id AS _merchant", "acquirer_id")
     chosen = _since(stage_payments, since).drop("acquirer_id")
     joined = lookup_join(
         chosen, acquirers, "merchant_id", "_merchant",
-        spread_by=["id"], copies=MERCHANT_COPIES, how="inner",
+        spread_by="id", copies=MERCHANT_COPIES, how="inner",
     )
     return joined.select(
         "id", "created_at", "updated_at", "merchant_id", "acquirer_id",

@@ -17,6 +17,7 @@ from paylake.functions import blank_to_null, json_string, seconds_between, surro
 from paylake.operators.joins import lookup_join
 from paylake.operators.latest import latest
 from paylake.operators.merge import upserted
+from paylake.sources.tables import of_days
 
 # Calendar range, dimension rows, spellings of the JSON reference.
 CALENDAR_START = "2000-01-01"
@@ -39,19 +40,16 @@ MERCHANT_COPIES = 16
 
 def dim_date(spark: SparkSession, start: str = CALENDAR_START, end: str = CALENDAR_END) -> DataFrame:
     """One row per calendar day, Monday = 1; no holiday calendar is known."""
-    days = spark.range(1).select(
-        F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("full_date")
-    )
-    weekday = F.weekday("full_date") + 1
-    return days.select(
-        F.date_format("full_date", "yyyyMMdd").cast("int").alias("date_key"),
+    days = spark.range(1).selectExpr(f"explode(sequence(date '{start}', date '{end}')) AS full_date")
+    return days.selectExpr(
+        "cast(date_format(full_date, 'yyyyMMdd') AS int) AS date_key",
         "full_date",
-        F.year("full_date").alias("year"),
-        F.month("full_date").alias("month"),
-        F.day("full_date").alias("day"),
-        weekday.alias("day_of_week"),
-        weekday.isin(6, 7).cast("int").alias("is_weekend"),
-        F.lit(0).alias("is_holiday"),
+        "year(full_date) AS year",
+        "month(full_date) AS month",
+        "day(full_date) AS day",
+        "weekday(full_date) + 1 AS day_of_week",
+        "cast(weekday(full_date) >= 5 AS int) AS is_weekend",
+        "0 AS is_holiday",
     ).sortWithinPartitions("date_key")
 
 
@@ -74,31 +72,31 @@ def dim_payment_state(spark: SparkSession) -> DataFrame:
     )
 
 
+def _latest(time: str, order: str, **columns: str) -> list[Column]:
+    return [F.expr(f"{latest(value, time, order)} AS {name}") for name, value in columns.items()]
+
+
 def dim_merchants(silver_merchants: DataFrame) -> DataFrame:
     """Current attributes per merchant: the latest non-NULL value of each, over all days."""
-    staged = silver_merchants.where(F.col("merchant_id").isNotNull()).withColumn(
-        "_ts", F.coalesce("updated_at", F.col(S.SNAPSHOT).cast("timestamp"))
+    staged = silver_merchants.where("merchant_id IS NOT NULL").selectExpr(
+        "*", f"coalesce(updated_at, cast({S.SNAPSHOT} AS timestamp)) AS _ts"
     )
-    order = F.struct("_ts", S.SNAPSHOT)
-
-    def current(name: str) -> Column:
-        return latest(F.col(name), F.col("_ts"), order)
-
     merged = staged.groupBy("merchant_id").agg(
-        current("merchant_name").alias("merchant_name"),
-        current("state").alias("merchant_state"),
-        current("acquirer_id").alias("acquirer_id"),
-        F.max("_ts").alias("_start"),
-        current("updated_at").alias("updated_at_raw"),
-    )
-    return merged.select(
-        surrogate_key(F.col("merchant_id")).alias("merchant_sk"),
+        *_latest(
+            "_ts", f"struct(_ts, {S.SNAPSHOT})",
+            merchant_name="merchant_name", merchant_state="state",
+            acquirer_id="acquirer_id", updated_at_raw="updated_at",
+        ),
+        F.expr("max(_ts) AS _start"),
+    )
+    return merged.selectExpr(
+        f"{surrogate_key('merchant_id')} AS merchant_sk",
         "merchant_id",
         "merchant_name",
         "merchant_state",
         "acquirer_id",
-        F.to_date("_start").alias("scd_start_date"),
-        F.lit(OPEN_END).cast("date").alias("scd_end_date"),
+        "to_date(_start) AS scd_start_date",
+        f"date '{OPEN_END}' AS scd_end_date",
         "updated_at_raw",
     )
 
@@ -112,20 +110,18 @@ def payment_references(silver_link_tx: DataFrame) -> DataFrame:
     The reference is read before the rows are shuffled, so the JSON text stays
     on the map side.
     """
-    parsed = silver_link_tx.select(
+    candidates = [blank_to_null(json_string("_document", key)) for key in REFERENCE_KEYS]
+    candidates.append(blank_to_null("reference"))
+    parsed = silver_link_tx.selectExpr(
         "transaction_id", "reference", "created_at", S.SNAPSHOT,
-        F.try_parse_json("details").alias("_document"),
+        "try_parse_json(details) AS _document",
     )
-    candidates = [blank_to_null(json_string(F.col("_document"), key)) for key in REFERENCE_KEYS]
-    shaped = parsed.select(
+    shaped = parsed.selectExpr(
         "transaction_id",
-        F.struct(
-            F.coalesce(*candidates, blank_to_null(F.col("reference"))).alias("payment_reference"),
-            F.col("created_at").alias("tx_started_at"),
-        ).alias("_row"),
+        f"struct(coalesce({', '.join(candidates)}) AS payment_reference, created_at AS tx_started_at) AS _row",
         S.SNAPSHOT,
     )
-    newest = shaped.groupBy("transaction_id").agg(F.max_by("_row", S.SNAPSHOT).alias("_row"))
+    newest = shaped.groupBy("transaction_id").agg(F.expr(f"max_by(_row, {S.SNAPSHOT}) AS _row"))
     return newest.select("transaction_id", "_row.*")
 
 
@@ -135,19 +131,15 @@ def payment_final(silver_payments: DataFrame) -> DataFrame:
     Payments without a reference match nothing and are left out before the
     shuffle, where they would form one large group.
     """
-    dated = silver_payments.where(F.col("reference").isNotNull()).withColumn(
-        "_ts", F.coalesce("updated_at", "created_at")
+    dated = silver_payments.where("reference IS NOT NULL").selectExpr(
+        "*", "coalesce(updated_at, created_at) AS _ts"
     )
-    order = F.struct("_ts", "transaction_id", S.SNAPSHOT)
-
-    def last(name: str) -> Column:
-        return latest(F.col(name), F.col("_ts"), order)
-
-    return dated.groupBy(F.col("reference").alias("pay_reference")).agg(
-        last("payment_state").alias("final_state"),
-        last("card_type").alias("final_method"),
-        last("merchant_id").alias("final_merchant_id"),
-        F.max("_ts").alias("final_state_ts"),
+    return dated.groupBy(F.expr("reference AS pay_reference")).agg(
+        *_latest(
+            "_ts", f"struct(_ts, transaction_id, {S.SNAPSHOT})",
+            final_state="payment_state", final_method="card_type", final_merchant_id="merchant_id",
+        ),
+        F.expr("max(_ts) AS final_state_ts"),
     )
 
 
@@ -158,18 +150,17 @@ def _with_keys(final: DataFrame, merchants: DataFrame) -> DataFrame:
     views name such payments themselves.
     """
     spark = final.sparkSession
-    states = dim_payment_state(spark).select(
-        F.lower("payment_state_name").alias("_state_name"), F.col("payment_state_sk").alias("payment_state")
+    states = dim_payment_state(spark).selectExpr(
+        "lower(payment_state_name) AS _state_name", "payment_state_sk AS payment_state"
     )
     methods = dim_payment_method(spark).select("original_value", "payment_method_sk")
-    keys = merchants.select(F.col("merchant_id").alias("_merchant_id"), "merchant_sk")
+    keys = merchants.selectExpr("merchant_id AS _merchant_id", "merchant_sk")
     known = (
-        final.join(states, F.lower(F.coalesce("final_state", F.lit(""))) == F.col("_state_name"), "left")
-        .join(methods, F.col("final_method") == F.col("original_value"), "left")
+        final.join(states, F.expr("lower(coalesce(final_state, '')) = _state_name"), "left")
+        .join(methods, F.expr("final_method = original_value"), "left")
     )
     known = lookup_join(
-        known, keys, "final_merchant_id", "_merchant_id",
-        spread_by=["pay_reference"], copies=MERCHANT_COPIES,
+        known, keys, "final_merchant_id", "_merchant_id", spread_by="pay_reference", copies=MERCHANT_COPIES
     )
     return known.select(
         "pay_reference", "payment_state", "payment_method_sk", "merchant_sk", "final_state_ts"
@@ -179,18 +170,18 @@ def _with_keys(final: DataFrame, merchants: DataFrame) -> DataFrame:
 def _shape(transactions: DataFrame, final: DataFrame, merchants: DataFrame) -> DataFrame:
     matched = lookup_join(
         transactions, _with_keys(final, merchants), "payment_reference", "pay_reference",
-        spread_by=["transaction_id"],
+        spread_by="transaction_id",
     )
-    return matched.select(
-        surrogate_key(F.col("transaction_id"), F.col("payment_reference")).alias("sk"),
+    return matched.selectExpr(
+        f"{surrogate_key('transaction_id', 'payment_reference')} AS sk",
         "transaction_id",
         "payment_reference",
-        F.col("pay_reference").isNotNull().cast("int").alias("hasPayment"),
+        "cast(pay_reference IS NOT NULL AS int) AS hasPayment",
         "payment_state",
         "merchant_sk",
         "payment_method_sk",
-        seconds_between(F.col("tx_started_at"), F.col("final_state_ts")).alias("TimeFromStartToEndSeconds"),
-        F.col("tx_started_at").alias(S.GATING_TS),
+        f"{seconds_between('tx_started_at', 'final_state_ts')} AS TimeFromStartToEndSeconds",
+        f"tx_started_at AS {S.GATING_TS}",
     )
 
 
@@ -207,9 +198,7 @@ def fact_newer_than_target(fact: DataFrame, target: DataFrame) -> DataFrame:
     The plain high-water mark: late rows and rows without a start time are not
     seen, see :func:`fact_changes` for the load that misses nothing.
     """
-    mark = target.agg(
-        F.coalesce(F.max(S.GATING_TS), F.lit("1970-01-01").cast("timestamp")).alias("mark")
-    )
+    mark = target.agg(F.expr(f"coalesce(max({S.GATING_TS}), timestamp '1970-01-01') AS mark"))
     return fact.where(F.col(S.GATING_TS) > mark.scalar())
 
 
@@ -227,21 +216,19 @@ def fact_changes(
     ``target`` whose reference got a payment on those days.  The latter are taken
     from ``target``, which holds all that is needed of them.
     """
-    from paylake.plans.silver import of_days
-
     changed_ids = of_days(silver_link_tx, first, last).select("transaction_id")
     changed = payment_references(silver_link_tx.join(changed_ids, "transaction_id", "left_semi"))
-    paid = of_days(silver_payments, first, last).where(F.col("reference").isNotNull()).select(
-        F.col("reference").alias("payment_reference")
+    paid = of_days(silver_payments, first, last).where("reference IS NOT NULL").selectExpr(
+        "reference AS payment_reference"
     )
     late = (
         target.join(paid, "payment_reference", "left_semi")
         .join(changed_ids, "transaction_id", "left_anti")
-        .select("transaction_id", "payment_reference", F.col(S.GATING_TS).alias("tx_started_at"))
+        .selectExpr("transaction_id", "payment_reference", f"{S.GATING_TS} AS tx_started_at")
     )
     affected = changed.unionByName(late)
-    references = affected.where(F.col("payment_reference").isNotNull()).select(
-        F.col("payment_reference").alias("reference")
+    references = affected.where("payment_reference IS NOT NULL").selectExpr(
+        "payment_reference AS reference"
     )
     final = payment_final(silver_payments.join(references, "reference", "left_semi"))
     return _shape(affected, final, merchants)

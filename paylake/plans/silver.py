@@ -21,52 +21,56 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paylake import schemas as S
-from paylake.functions import (
-    blank_to_null,
-    merchant_fingerprint,
-    parse_timestamp,
-    parse_uint,
-)
+from paylake.functions import blank_to_null, merchant_fingerprint, parse_timestamp, parse_uint
 from paylake.operators.latest import dominant_values, latest
 from paylake.operators.merge import align
+from paylake.sources.tables import of_days
 
 Day = str | dt.date
 PAYMENT_KEY = ["transaction_id", S.SNAPSHOT]
 LINK_TX_KEY = ["transaction_id", S.SNAPSHOT]
 MERCHANT_KEY = ["merchant_id", S.SNAPSHOT]
-ORDER = "_order"
 
 
-def of_days(frame: DataFrame, first: Day | None, last: Day | None = None) -> DataFrame:
-    """Rows of the snapshot days from ``first`` to ``last``; a partition filter on stored tables."""
-    if first is None:
-        return frame
-    first_day = F.lit(str(first)).cast("date")
-    if last is None or str(last) == str(first):
-        return frame.where(F.col(S.SNAPSHOT) == first_day)
-    return frame.where(F.col(S.SNAPSHOT).between(first_day, F.lit(str(last)).cast("date")))
-
-
-def _timed(rows: DataFrame, business_columns: list[str], tiebreak: list[str] | None) -> DataFrame:
-    """``rows`` with parsed times and the order of the rows within a key."""
-    last = [F.col(name) for name in tiebreak] if tiebreak else [F.col("_hash")]
-    order = F.struct(S.INGESTED, "_updated", "_created", *last)
-    hashed = rows if tiebreak else rows.withColumn("_hash", F.xxhash64(*business_columns))
-    return hashed.withColumns({
-        "_created": parse_timestamp(F.col("created_at")),
-        "_updated": parse_timestamp(F.col("updated_at")),
-    }).withColumn(ORDER, order)
+def _typed(
+    bronze: DataFrame,
+    key: str,
+    columns: list[str],
+    hashed: list[str],
+    tiebreak: list[str] | None,
+) -> DataFrame:
+    """Rows with a usable id, their typed columns, parsed times and order."""
+    last = ", ".join(tiebreak) if tiebreak else f"xxhash64({', '.join(hashed)})"
+    parsed = bronze.selectExpr(
+        f"{parse_uint('id')} AS {key}",
+        *columns,
+        "created_at IS NOT NULL AS _has_created",
+        "updated_at IS NOT NULL AS _has_updated",
+        f"{parse_timestamp('created_at')} AS _created",
+        f"{parse_timestamp('updated_at')} AS _updated",
+        S.INGESTED,
+        S.SNAPSHOT,
+        f"{last} AS _last" if not tiebreak else f"struct({last}) AS _last",
+    )
+    return parsed.where(f"{key} IS NOT NULL").selectExpr(
+        "*", f"struct({S.INGESTED}, _updated, _created, _last) AS _order"
+    )
 
 
-def _latest(name: str) -> Column:
-    return latest(F.col(name), F.col(S.INGESTED), F.col(ORDER)).alias(name)
+def _latest(*names: str) -> list[Column]:
+    return [F.expr(f"{latest(name, S.INGESTED, '_order')} AS {name}") for name in names]
 
 
-def _latest_time(name: str, parsed: str) -> Column:
-    """The latest time text, parsed: NULL if that text is unreadable, even if an
-    earlier one is not."""
-    given = F.col(name).isNotNull() & F.col(S.INGESTED).isNotNull()
-    return F.max_by(F.col(parsed), F.when(given, F.col(ORDER))).alias(name)
+def _latest_times() -> list[Column]:
+    """The parsed form of the latest time texts: NULL if such a text is unreadable,
+    even if an earlier one is not."""
+    return [
+        F.expr(
+            f"max_by(_{name}, CASE WHEN _has_{name} AND {S.INGESTED} IS NOT NULL THEN _order END) "
+            f"AS {name}_at"
+        )
+        for name in ("created", "updated")
+    ]
 
 
 def link_transactions(
@@ -76,25 +80,13 @@ def link_transactions(
     tiebreak: list[str] | None = None,
 ) -> DataFrame:
     """Initiated payments."""
-    rows = _timed(of_days(bronze, first, last), S.LINK_TX_COLUMNS, tiebreak).select(
-        parse_uint(F.col("id")).alias("transaction_id"),
-        "state",
-        F.col("linkpay_reference").alias("reference"),
-        F.col("payment_details").alias("details"),
-        "created_at",
-        "updated_at",
-        "_created",
-        "_updated",
-        S.INGESTED,
-        S.SNAPSHOT,
-        ORDER,
-    ).where(F.col("transaction_id").isNotNull())
+    rows = _typed(
+        of_days(bronze, first, last), "transaction_id",
+        ["state", "linkpay_reference AS reference", "payment_details AS details"],
+        S.LINK_TX_COLUMNS, tiebreak,
+    )
     merged = rows.groupBy(*LINK_TX_KEY).agg(
-        _latest("state"),
-        _latest("reference"),
-        _latest("details"),
-        _latest_time("created_at", "_created"),
-        _latest_time("updated_at", "_updated"),
+        *_latest("state", "reference", "details"), *_latest_times()
     )
     return merged.select(S.SILVER_LINK_TX.fieldNames())
 
@@ -106,31 +98,18 @@ def payments(
     tiebreak: list[str] | None = None,
 ) -> DataFrame:
     """Real payments; merchant and acquirer are the dominant values of the merged rows."""
-    rows = _timed(of_days(bronze, first, last), S.PAYMENT_COLUMNS, tiebreak).select(
-        parse_uint(F.col("id")).alias("transaction_id"),
-        parse_uint(F.col("merchant_id")).alias("merchant_id"),
-        parse_uint(F.col("acquirer_id")).alias("acquirer_id"),
-        F.col("state").alias("payment_state"),
-        "card_type",
-        "reference",
-        "order_reference",
-        "details",
-        "created_at",
-        "updated_at",
-        "_created",
-        "_updated",
-        S.INGESTED,
-        S.SNAPSHOT,
-        ORDER,
-    ).where(F.col("transaction_id").isNotNull())
+    rows = _typed(
+        of_days(bronze, first, last), "transaction_id",
+        [
+            f"{parse_uint('merchant_id')} AS merchant_id",
+            f"{parse_uint('acquirer_id')} AS acquirer_id",
+            "state AS payment_state", "card_type", "reference", "order_reference", "details",
+        ],
+        S.PAYMENT_COLUMNS, tiebreak,
+    )
     merged = rows.groupBy(*PAYMENT_KEY).agg(
-        _latest("payment_state"),
-        _latest("card_type"),
-        _latest("reference"),
-        _latest("order_reference"),
-        _latest("details"),
-        _latest_time("created_at", "_created"),
-        _latest_time("updated_at", "_updated"),
+        *_latest("payment_state", "card_type", "reference", "order_reference", "details"),
+        *_latest_times(),
     )
     # Both sides are already partitioned by the key: the join adds no shuffle.
     dominant = dominant_values(rows, PAYMENT_KEY, ["merchant_id", "acquirer_id"])
@@ -150,33 +129,20 @@ def merchants(
     """
     needed = {"id", "name", "state", "created_at", "updated_at", S.INGESTED, S.SNAPSHOT}
     if not needed <= set(bronze.columns):
-        return align(bronze.where(F.lit(False)).select(), S.SILVER_MERCHANTS)
+        return align(bronze.where("false").select(), S.SILVER_MERCHANTS)
     if "acquirer_id" not in bronze.columns:
-        bronze = bronze.withColumn("acquirer_id", F.lit(None).cast("string"))
-    rows = _timed(of_days(bronze, first, last), S.MERCHANT_COLUMNS, tiebreak).select(
-        parse_uint(F.col("id")).alias("merchant_id"),
-        parse_uint(F.col("acquirer_id")).alias("acquirer_id"),
-        blank_to_null(F.col("name")).alias("merchant_name"),
-        "state",
-        "created_at",
-        "updated_at",
-        "_created",
-        "_updated",
-        S.INGESTED,
-        S.SNAPSHOT,
-        ORDER,
-    ).where(F.col("merchant_id").isNotNull())
+        bronze = bronze.selectExpr("*", "cast(NULL AS string) AS acquirer_id")
+    rows = _typed(
+        of_days(bronze, first, last), "merchant_id",
+        [
+            f"{parse_uint('acquirer_id')} AS acquirer_id",
+            f"{blank_to_null('name')} AS merchant_name",
+            "state",
+        ],
+        S.MERCHANT_COLUMNS, tiebreak,
+    )
     merged = rows.groupBy(*MERCHANT_KEY).agg(
-        _latest("acquirer_id"),
-        _latest("merchant_name"),
-        _latest("state"),
-        _latest_time("created_at", "_created"),
-        _latest_time("updated_at", "_updated"),
+        *_latest("acquirer_id", "merchant_name", "state"), *_latest_times()
     )
-    return merged.withColumn(
-        "dim_fingerprint",
-        merchant_fingerprint(
-            F.col("merchant_id"), F.col("acquirer_id"), F.col("merchant_name"),
-            F.col("state"), F.col("created_at"), F.col("updated_at"),
-        ),
-    ).select(S.SILVER_MERCHANTS.fieldNames())
+    fingerprint = f"{merchant_fingerprint()} AS dim_fingerprint"
+    return merged.selectExpr("*", fingerprint).select(S.SILVER_MERCHANTS.fieldNames())

@@ -22,63 +22,54 @@ from paylake.plans.gold import dim_date, dim_payment_method, dim_payment_state
 
 # State keys the views refer to, and the name of payments without a card.
 SETTLED, FAILED, ABANDONED = 1, 3, 6
-NEVER_COMPLETED = [FAILED, ABANDONED]
+NEVER_COMPLETED = (FAILED, ABANDONED)
 NO_CARD = "ACH transfer"
 TALLY_KEYS = ["merchant_sk", "payment_method_sk", "hasPayment", "payment_state"]
 
 
 def tally(fact: DataFrame) -> DataFrame:
     """The fact counted by everything the views look at; a drop-in for the fact."""
-    return fact.groupBy(*TALLY_KEYS).agg(F.count("*").alias("_n"))
+    return fact.groupBy(*TALLY_KEYS).agg(F.expr("count(*) AS _n"))
 
 
-def _sum_where(rows: DataFrame, condition: Column) -> Column:
-    weight = F.col("_n") if "_n" in rows.columns else F.lit(1)
-    return F.sum(F.when(condition, weight).otherwise(0).cast("bigint"))
+REACHED = "hasPayment = 1"
+NOT_COMPLETED = f"hasPayment = 1 AND payment_state IN {NEVER_COMPLETED}"
+METHOD_NAME = (
+    "CASE WHEN payment_method_name IS NULL OR payment_method_name = '' "
+    f"THEN '{NO_CARD}' ELSE payment_method_name END"
+)
+MERCHANT_LABEL = "coalesce(merchant_name, cast(merchant_sk AS string))"
 
 
-def _reached() -> Column:
-    return F.col("hasPayment") == 1
-
-
-def _not_completed() -> Column:
-    return _reached() & F.col("payment_state").isin(NEVER_COMPLETED)
+def _sum_where(rows: DataFrame, condition: str, name: str) -> Column:
+    weight = "_n" if "_n" in rows.columns else "1L"
+    return F.expr(f"sum(CASE WHEN {condition} THEN {weight} ELSE 0L END) AS {name}")
 
 
 def _counts(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(
-        _sum_where(rows, _reached()).alias("_reached"),
-        _sum_where(rows, _not_completed()).alias("_failed"),
+        _sum_where(rows, REACHED, "_reached"), _sum_where(rows, NOT_COMPLETED, "_failed")
     )
 
 
 def _with_method(counts: DataFrame) -> DataFrame:
-    methods = dim_payment_method(counts.sparkSession).select(
-        F.col("payment_method_sk").alias("_method_sk"), "payment_method_name"
+    methods = dim_payment_method(counts.sparkSession).selectExpr(
+        "payment_method_sk AS _method_sk", "payment_method_name"
     )
-    return counts.join(methods, F.col("payment_method_sk") == F.col("_method_sk"), "left")
+    return counts.join(methods, F.expr("payment_method_sk = _method_sk"), "left")
 
 
 def _with_merchant(counts: DataFrame, merchants: DataFrame) -> DataFrame:
-    names = merchants.select(F.col("merchant_sk").alias("_merchant_sk"), "merchant_name")
-    return counts.join(names, F.col("merchant_sk") == F.col("_merchant_sk"), "left")
-
-
-def _method_name() -> Column:
-    name = F.col("payment_method_name")
-    return F.when(name.isNull() | (name == ""), NO_CARD).otherwise(name)
-
+    names = merchants.selectExpr("merchant_sk AS _merchant_sk", "merchant_name")
+    return counts.join(names, F.expr("merchant_sk = _merchant_sk"), "left")
 
-def _merchant_label() -> Column:
-    return F.coalesce("merchant_name", F.col("merchant_sk").cast("string"))
 
+def _method(masked: bool) -> str:
+    return masked_method("payment_method_name") if masked else METHOD_NAME
 
-def _method(masked: bool) -> Column:
-    return masked_method(F.col("payment_method_name")) if masked else _method_name()
 
-
-def _provider(masked: bool) -> Column:
-    return masked_provider(F.col("merchant_name")) if masked else _merchant_label()
+def _provider(masked: bool) -> str:
+    return masked_provider("merchant_name") if masked else MERCHANT_LABEL
 
 
 # ---- never reached ----------------------------------------------------------
@@ -86,16 +77,14 @@ def _provider(masked: bool) -> Column:
 
 def never_reached_psp_overall(fact: DataFrame) -> DataFrame:
     """Initiated payments without a payment, or whose state counts as not reached."""
-    counts = fact.groupBy("hasPayment", "payment_state").agg(
-        _sum_where(fact, F.lit(True)).alias("_n")
-    )
+    counts = fact.groupBy("hasPayment", "payment_state").agg(_sum_where(fact, "true", "_n"))
     states = dim_payment_state(fact.sparkSession).select("payment_state_sk", "is_payment_reached_provider")
-    labelled = counts.join(states, F.col("payment_state") == F.col("payment_state_sk"), "left")
-    unreached = (F.col("hasPayment") == 0) | (
-        F.coalesce("is_payment_reached_provider", F.lit(0)) == 0
-    )
-    total = F.coalesce(F.sum(F.when(unreached, F.col("_n"))), F.lit(0).cast("bigint"))
-    return labelled.agg(total.alias("total_initiated_payments_never_reached_psp"))
+    labelled = counts.join(states, F.expr("payment_state = payment_state_sk"), "left")
+    unreached = "hasPayment = 0 OR coalesce(is_payment_reached_provider, 0) = 0"
+    return labelled.agg(F.expr(
+        f"coalesce(sum(CASE WHEN {unreached} THEN _n END), 0L) "
+        "AS total_initiated_payments_never_reached_psp"
+    ))
 
 
 # ---- failure rates ----------------------------------------------------------
@@ -103,20 +92,19 @@ def never_reached_psp_overall(fact: DataFrame) -> DataFrame:
 
 def payment_failure_rates(fact: DataFrame, merchants: DataFrame, masked: bool = False) -> DataFrame:
     """Per method and provider, only where something was not completed."""
-    counts = _counts(fact.where(_reached()), "merchant_sk", "payment_method_sk")
+    counts = _counts(fact.where(REACHED), "merchant_sk", "payment_method_sk")
     grouped = (
         _with_merchant(_with_method(counts), merchants)
-        .groupBy(_method(masked).alias("payment_method"), _provider(masked).alias("provider"))
-        .agg(F.sum("_reached").alias("_reached"), F.sum("_failed").alias("never_completed"))
-        .where(F.col("never_completed") > 0)
+        .groupBy(F.expr(f"{_method(masked)} AS payment_method"), F.expr(f"{_provider(masked)} AS provider"))
+        .agg(F.expr("sum(_reached) AS _reached"), F.expr("sum(_failed) AS never_completed"))
+        .where("never_completed > 0")
     )
-    reached = volume_class(F.col("_reached")) if masked else F.col("_reached")
-    return grouped.select(
+    return grouped.selectExpr(
         "payment_method",
         "provider",
-        reached.alias("reached_provider"),
+        f"{volume_class('_reached') if masked else '_reached'} AS reached_provider",
         "never_completed",
-        percentage(F.col("never_completed"), F.col("_reached")).alias("never_complete_rate_pct"),
+        f"{percentage('never_completed', '_reached')} AS never_complete_rate_pct",
     )
 
 
@@ -124,21 +112,17 @@ def payment_failure_rates_limited(fact: DataFrame, merchants: DataFrame) -> Data
     return payment_failure_rates(fact, merchants, masked=True)
 
 
-def _rates(labelled: DataFrame, label: Column, name: str) -> DataFrame:
-    grouped = labelled.groupBy(label.alias(name)).agg(
-        F.sum("_reached").alias("total_reached_provider"),
-        F.sum("_failed").alias("total_never_completed"),
-    )
-    return grouped.withColumn(
-        "never_complete_rate_pct",
-        percentage(F.col("total_never_completed"), F.col("total_reached_provider")),
+def _rates(labelled: DataFrame, label: str, name: str) -> DataFrame:
+    grouped = labelled.groupBy(F.expr(f"{label} AS {name}")).agg(
+        F.expr("sum(_reached) AS total_reached_provider"),
+        F.expr("sum(_failed) AS total_never_completed"),
     )
+    rate = percentage("total_never_completed", "total_reached_provider")
+    return grouped.selectExpr("*", f"{rate} AS never_complete_rate_pct")
 
 
 def _worst_first(rates: DataFrame) -> DataFrame:
-    return rates.orderBy(
-        F.desc_nulls_last("never_complete_rate_pct"), F.desc("total_reached_provider")
-    )
+    return rates.orderBy(F.expr("never_complete_rate_pct").desc_nulls_last(), F.desc("total_reached_provider"))
 
 
 def failure_rate_by_payment_method(fact: DataFrame, masked: bool = False) -> DataFrame:
@@ -153,14 +137,14 @@ def failure_rate_by_payment_method_limited(fact: DataFrame) -> DataFrame:
 
 def failure_rate_by_payment_method_filtered(fact: DataFrame) -> DataFrame:
     """The dashboard's selection: methods with at least one payment that reached a provider."""
-    return failure_rate_by_payment_method(fact).where(F.col("total_reached_provider") > 0)
+    return failure_rate_by_payment_method(fact).where("total_reached_provider > 0")
 
 
 def failure_rate_by_provider(fact: DataFrame, merchants: DataFrame, masked: bool = False) -> DataFrame:
     """Per provider, only those something reached."""
     labelled = _with_merchant(_counts(fact, "merchant_sk"), merchants)
     rates = _rates(labelled, _provider(masked), "provider")
-    return _worst_first(rates.where(F.col("total_reached_provider") > 0))
+    return _worst_first(rates.where("total_reached_provider > 0"))
 
 
 def failure_rate_by_provider_limited(fact: DataFrame, merchants: DataFrame) -> DataFrame:
@@ -172,14 +156,12 @@ def failure_rate_by_provider_limited(fact: DataFrame, merchants: DataFrame) -> D
 
 def abandoned_by_merchant(fact: DataFrame, merchants: DataFrame, masked: bool = False) -> DataFrame:
     """Payments that got as far as strong customer authentication and no further."""
-    stuck = fact.where(
-        (F.coalesce("hasPayment", F.lit(0)) == 1) & (F.col("payment_state") == ABANDONED)
-    )
-    counts = stuck.groupBy("merchant_sk").agg(_sum_where(stuck, F.lit(True)).alias("_n"))
+    stuck = fact.where(f"coalesce(hasPayment, 0) = 1 AND payment_state = {ABANDONED}")
+    counts = stuck.groupBy("merchant_sk").agg(_sum_where(stuck, "true", "_n"))
     return (
         _with_merchant(counts, merchants)
-        .groupBy(_provider(masked).alias("merchant"))
-        .agg(F.sum("_n").alias("reached_then_abandoned"))
+        .groupBy(F.expr(f"{_provider(masked)} AS merchant"))
+        .agg(F.expr("sum(_n) AS reached_then_abandoned"))
         .orderBy(F.desc("reached_then_abandoned"))
     )
 
@@ -193,86 +175,67 @@ def abandoned_by_merchant_limited(fact: DataFrame, merchants: DataFrame) -> Data
 
 def match_rate_kpi(fact: DataFrame) -> DataFrame:
     """Share of initiated payments with a payment record; the goal is 90 percent."""
-    totals = fact.agg(
-        _sum_where(fact, F.lit(True)).alias("initiated"),
-        _sum_where(fact, _reached()).alias("matched"),
-    )
-    rate = percentage(F.col("matched"), F.col("initiated"))
-    return totals.select("initiated", "matched", rate.alias("match_rate_pct"))
-
-
-def _outcome() -> Column:
-    state = F.col("payment_state")
-    return (
-        F.when(F.col("hasPayment") == 0, "no_payment")
-        .when(state == SETTLED, "completed")
-        .when(state == ABANDONED, "abandoned")
-        .otherwise("other")
-    )
+    totals = fact.agg(_sum_where(fact, "true", "initiated"), _sum_where(fact, REACHED, "matched"))
+    return totals.selectExpr("*", f"{percentage('matched', 'initiated')} AS match_rate_pct")
 
 
 def outcome_by_method(fact: DataFrame) -> DataFrame:
     """Initiated payments by method and outcome."""
-    counts = fact.groupBy("payment_method_sk", _outcome().alias("outcome")).agg(
-        _sum_where(fact, F.lit(True)).alias("_n")
+    outcome = (
+        f"CASE WHEN hasPayment = 0 THEN 'no_payment' WHEN payment_state = {SETTLED} THEN 'completed' "
+        f"WHEN payment_state = {ABANDONED} THEN 'abandoned' ELSE 'other' END AS outcome"
     )
+    counts = fact.groupBy("payment_method_sk", F.expr(outcome)).agg(_sum_where(fact, "true", "_n"))
     return (
         _with_method(counts)
-        .groupBy(_method_name().alias("payment_method"), "outcome")
-        .agg(F.sum("_n").alias("payments"))
+        .groupBy(F.expr(f"{METHOD_NAME} AS payment_method"), "outcome")
+        .agg(F.expr("sum(_n) AS payments"))
     )
 
 
 def method_switches(silver_payments: DataFrame) -> DataFrame:
     """References paid with more than one method: how many, the first and the last.
 
-    Counting distinct methods is a two-step aggregate; the state per reference
-    stays as small as the number of methods.
+    Methods are merged first, references second, so the state per reference is as
+    small as the number of methods.
     """
-    dated = (
-        silver_payments.where(F.col("reference").isNotNull() & F.col("card_type").isNotNull())
-        .withColumn("_ts", F.coalesce("updated_at", "created_at"))
-        .where(F.col("_ts").isNotNull())
-    )
-    order = F.struct("_ts", "transaction_id", S.SNAPSHOT)
-    per_method = dated.groupBy("reference", "card_type").agg(
-        F.min(order).alias("_first"), F.max(order).alias("_last")
+    dated = silver_payments.where("reference IS NOT NULL AND card_type IS NOT NULL").selectExpr(
+        "reference AS payment_reference", "card_type",
+        f"struct(coalesce(updated_at, created_at) AS ts, transaction_id, {S.SNAPSHOT}) AS _at",
+    ).where("_at.ts IS NOT NULL")
+    per_method = dated.groupBy("payment_reference", "card_type").agg(
+        F.expr("min(_at) AS _first"), F.expr("max(_at) AS _last")
     )
-    per_reference = per_method.groupBy(F.col("reference").alias("payment_reference")).agg(
-        F.count("*").alias("methods"),
-        F.min_by("card_type", "_first").alias("first_method"),
-        F.max_by("card_type", "_last").alias("final_method"),
+    per_reference = per_method.groupBy("payment_reference").agg(
+        F.expr("count(*) AS methods"),
+        F.expr("min_by(card_type, _first) AS first_method"),
+        F.expr("max_by(card_type, _last) AS final_method"),
     )
-    return per_reference.where(F.col("methods") > 1).withColumn(
-        "finalised_differently", (F.col("first_method") != F.col("final_method")).cast("int")
+    return per_reference.where("methods > 1").selectExpr(
+        "*", "cast(first_method != final_method AS int) AS finalised_differently"
     )
 
 
 def _completion(rows: DataFrame, *keys: str) -> DataFrame:
     totals = rows.groupBy(*keys).agg(
-        F.sum("_n").alias("initiated"), F.sum("_done").alias("completed")
-    )
-    return totals.withColumn(
-        "completion_rate_pct", percentage(F.col("completed"), F.col("initiated"))
+        F.expr("sum(_n) AS initiated"), F.expr("sum(_done) AS completed")
     )
+    return totals.selectExpr("*", f"{percentage('completed', 'initiated')} AS completion_rate_pct")
 
 
 def completion_by_weekday(fact: DataFrame) -> DataFrame:
     """Completed share by the weekday a payment was started on."""
-    daily = fact.groupBy(F.to_date(S.GATING_TS).alias("_day")).agg(
-        F.count("*").alias("_n"),
-        F.count_if(F.col("payment_state") == SETTLED).alias("_done"),
+    daily = fact.groupBy(F.expr(f"to_date({S.GATING_TS}) AS _day")).agg(
+        F.expr("count(*) AS _n"), F.expr(f"count_if(payment_state = {SETTLED}) AS _done")
     )
     calendar = dim_date(fact.sparkSession).select("full_date", "day_of_week", "is_weekend")
-    return _completion(
-        daily.join(calendar, F.col("_day") == F.col("full_date")), "day_of_week", "is_weekend"
-    )
+    return _completion(daily.join(calendar, F.expr("_day = full_date")), "day_of_week", "is_weekend")
 
 
-def completion_by_hour(journeys: DataFrame, started_at: str, completed: Column) -> DataFrame:
-    """Completed share by the hour of day of ``started_at``."""
-    hourly = journeys.groupBy(F.hour(started_at).alias("hour_of_day")).agg(
-        F.count("*").alias("_n"), F.count_if(completed).alias("_done")
+def completion_by_hour(journeys: DataFrame, started_at: str, completed: str) -> DataFrame:
+    """Completed share by the hour of day of ``started_at``; ``completed`` is a condition."""
+    hourly = journeys.groupBy(F.expr(f"hour({started_at}) AS hour_of_day")).agg(
+        F.expr("count(*) AS _n"), F.expr(f"count_if({completed}) AS _done")
     )
     return _completion(hourly, "hour_of_day")
 

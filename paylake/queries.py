@@ -18,10 +18,10 @@ from paylake import schemas as S
 from paylake.operators import quality
 from paylake.operators.merge import align
 from paylake.plans import bronze, extracts, gold, silver, views
-from paylake.session import fresh_path
+from paylake.session import configure, fresh_path
 from paylake.sinks import tables as sink
 from paylake.sources.daily_files import DailyFiles, read_days
-from paylake.sources.tables import read_drifted, read_table
+from paylake.sources.tables import of_days, read_drifted, read_table
 from paylake.streaming.arrivals import ingest_available
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,9 +51,9 @@ def _merchants(spark: SparkSession, d: str) -> DataFrame:
     return gold.dim_merchants(_silver_merchants(spark, d))
 
 
-def _fact(spark: SparkSession, d: str) -> DataFrame:
+def _fact(spark: SparkSession, d: str, merchants: DataFrame | None = None) -> DataFrame:
     return gold.fact_transactions(
-        _silver_link_tx(spark, d), _silver_payments(spark, d), _merchants(spark, d)
+        _silver_link_tx(spark, d), _silver_payments(spark, d), merchants or _merchants(spark, d)
     )
 
 
@@ -292,8 +292,8 @@ def fact_increment(spark: SparkSession, d: str) -> DataFrame:
     path = fresh_path(spark, "fact")
     sink.write_fact(
         gold.fact_transactions(
-            silver.of_days(transactions, X.FIRST_DAY, SPLIT_DAY),
-            silver.of_days(payments, X.FIRST_DAY, SPLIT_DAY),
+            of_days(transactions, X.FIRST_DAY, SPLIT_DAY),
+            of_days(payments, X.FIRST_DAY, SPLIT_DAY),
             merchants,
         ),
         path, "month",
@@ -308,9 +308,9 @@ def fact_increment(spark: SparkSession, d: str) -> DataFrame:
 def fact_high_water_mark(spark: SparkSession, d: str) -> DataFrame:
     """The first days' fact and, appended, what starts later than all of it."""
     transactions, payments, merchants = _parts(spark, d)
-    first = silver.of_days(transactions, X.FIRST_DAY, SPLIT_DAY)
+    first = of_days(transactions, X.FIRST_DAY, SPLIT_DAY)
     target = gold.fact_transactions(first, payments, merchants)
-    following = silver.of_days(transactions, NEXT_DAY, X.LAST_DAY)
+    following = of_days(transactions, NEXT_DAY, X.LAST_DAY)
     newer = gold.fact_newer_than_target(
         gold.fact_transactions(following, payments, merchants), target
     )
@@ -321,7 +321,11 @@ def fact_high_water_mark(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _view(name: str) -> Query:
-    return lambda spark, d: views.VIEWS[name](_fact(spark, d), _merchants(spark, d))
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        merchants = _merchants(spark, d)
+        return views.VIEWS[name](_fact(spark, d, merchants), merchants)
+
+    return query
 
 
 def views_for_role(spark: SparkSession, d: str) -> DataFrame:
@@ -341,7 +345,7 @@ def views_for_role(spark: SparkSession, d: str) -> DataFrame:
 def completion_by_hour(spark: SparkSession, d: str) -> DataFrame:
     """Hours need a time of day, which only the events table has."""
     events = X.table(spark, d, "events")
-    return views.completion_by_hour(events, "ts", F.col("event_type") == "purchase")
+    return views.completion_by_hour(events, "ts", "event_type = 'purchase'")
 
 
 # ---- checks -----------------------------------------------------------------
@@ -367,7 +371,7 @@ def dq_not_null(spark: SparkSession, d: str) -> DataFrame:
 def dq_unique(spark: SparkSession, d: str) -> DataFrame:
     """Declared keys, and some columns known to repeat."""
     merchants = _merchants(spark, d)
-    fact = _fact(spark, d)
+    fact = _fact(spark, d, merchants)
     return reduce(DataFrame.unionByName, [
         quality.unique(X.bronze_link_transactions(spark, d), "raw_link_transactions", ["id"]),
         quality.unique(X.bronze_payments(spark, d), "raw_payments", ["id"]),
@@ -441,4 +445,10 @@ def registered() -> dict[str, Query]:
         "dq_unique": dq_unique,
         "dq_timestamp_order": dq_timestamp_order,
     }
-    return entries | {name: _view(name) for name in views.VIEWS}
+    entries |= {name: _view(name) for name in views.VIEWS}
+    return {name: _configured(query) for name, query in entries.items()}
+
+
+def _configured(query: Query) -> Query:
+    """The session is set up before the first expression of the query is built."""
+    return lambda spark, d: query(configure(spark), d)

@@ -19,6 +19,13 @@ RUNTIME_SETTINGS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
+# Settings a session gets only when it is built.
+STARTUP_SETTINGS = {
+    "spark.ui.enabled": "false",
+    # Do not look up the Python call site for every column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to ``spark`` and return it."""
@@ -31,10 +38,10 @@ def build_session(
     app: str = "paylake", master: str | None = None, extra: dict[str, str] | None = None
 ) -> SparkSession:
     """A configured session.  Without ``master`` the launcher decides where it runs."""
-    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in (extra or {}).items():
+    for key, value in {**RUNTIME_SETTINGS, **STARTUP_SETTINGS, **(extra or {})}.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
 

@@ -75,12 +75,13 @@ def days_present(spark: SparkSession, files: DailyFiles, days: list[dt.date]) ->
 
 
 def _lineage(rows: DataFrame) -> DataFrame:
-    path = F.col("_path")
-    return rows.withColumns({
-        S.INGESTED: F.current_timestamp(),
-        S.SOURCE_FILE: F.regexp_extract(path, FILE_IN_PATH, 1),
-        S.SNAPSHOT: F.to_date(F.regexp_extract(path, DAY_IN_PATH, 1), "yyyyMMdd"),
-    }).drop("_path")
+    columns = [f"`{name}`" for name in rows.columns if name != "_path"]
+    return rows.selectExpr(
+        *columns,
+        f"current_timestamp() AS {S.INGESTED}",
+        f"regexp_extract(_path, r'{FILE_IN_PATH}', 1) AS {S.SOURCE_FILE}",
+        f"to_date(regexp_extract(_path, r'{DAY_IN_PATH}', 1), 'yyyyMMdd') AS {S.SNAPSHOT}",
+    )
 
 
 def read_text_columns(spark: SparkSession, paths: list[str], columns: list[str]) -> DataFrame:
@@ -103,7 +104,7 @@ def read_text_columns(spark: SparkSession, paths: list[str], columns: list[str])
     if broken:
         parts.append(read_stitched(spark, broken, schema))
     rows = union_drifting(parts)
-    return rows.select(*[blank_to_null(F.col(f"`{c}`")).alias(c) for c in columns], "_path")
+    return rows.selectExpr(*[f"{blank_to_null(f'`{c}`')} AS `{c}`" for c in columns], "_path")
 
 
 def read_days(

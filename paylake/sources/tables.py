@@ -6,13 +6,21 @@ import datetime as dt
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paylake import schemas as S
 from paylake.operators.merge import align
 
 
+def of_days(
+    frame: DataFrame, first: str | dt.date | None, last: str | dt.date | None = None
+) -> DataFrame:
+    """Rows of the snapshot days from ``first`` to ``last``; a partition filter on stored tables."""
+    if first is None:
+        return frame
+    return frame.where(f"{S.SNAPSHOT} BETWEEN date '{first}' AND date '{last or first}'")
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.schema(T.StructType([])).parquet(path)
@@ -45,10 +53,11 @@ def read_drifted(spark: SparkSession, path: str, contract: T.StructType) -> Data
 
 
 def read_landing(
-    spark: SparkSession, path: str, contract: T.StructType, day: str | dt.date | None = None
+    spark: SparkSession,
+    path: str,
+    contract: T.StructType,
+    first: str | dt.date | None = None,
+    last: str | dt.date | None = None,
 ) -> DataFrame:
-    """Landed documents of one day, or all of them; the day is a partition filter."""
-    landed = read_table(spark, path, contract)
-    if day is None:
-        return landed
-    return landed.where(F.col(S.SNAPSHOT) == F.lit(str(day)).cast("date"))
+    """Landed documents of a range of days, or all of them; days are a partition filter."""
+    return of_days(read_table(spark, path, contract), first, last)
