@@ -37,10 +37,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _time_text(name: str) -> str:
-    return f"date_format({name}, 'yyyy-MM-dd HH:mm:ss') AS {name}"
-
-
 def _text(name: str) -> str:
     return f"cast({name} AS string) AS {name}"
 
@@ -82,7 +78,7 @@ def bronze_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(_payments(spark, sf_dir), "id", "_part").selectExpr(
         _text("id"), _text("merchant_id"), _text("acquirer_id"),
         "state", "card_type", "reference", "order_reference", "details",
-        _time_text("created_at"), _time_text("updated_at"),
+        _text("created_at"), _text("updated_at"),
         f"cast(created_at AS timestamp) AS {S.INGESTED}",
         f"'lineitem' AS {S.SOURCE_FILE}",
         S.SNAPSHOT,
@@ -118,7 +114,7 @@ def stage_link_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_link_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(_link_transactions(spark, sf_dir), "id").selectExpr(
-        _text("id"), _time_text("created_at"), _time_text("updated_at"),
+        _text("id"), _text("created_at"), _text("updated_at"),
         "state", "linkpay_reference", "payment_details",
         f"cast(created_at AS timestamp) AS {S.INGESTED}",
         f"'orders' AS {S.SOURCE_FILE}",
@@ -154,8 +150,8 @@ def bronze_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
         .selectExpr(
             _text("id"), _text("acquirer_id"), "name",
             "CASE _later WHEN 1 THEN 'renewed' ELSE state END AS state",
-            _time_text("created_at"),
-            "date_format(updated_at + make_dt_interval(_later), 'yyyy-MM-dd HH:mm:ss') AS updated_at",
+            _text("created_at"),
+            "cast(updated_at + make_dt_interval(_later) AS string) AS updated_at",
             f"timestamp '{FIRST_DAY}' AS {S.INGESTED}",
             f"'supplier' AS {S.SOURCE_FILE}",
             f"date_add(date '{FIRST_DAY}', _later) AS {S.SNAPSHOT}",

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-# Accepted shapes of a time text and how each is read.
+# Accepted shapes of a time text and how each is read, the ISO form
+# first.  "-" in fifth place tells the ISO form from all others.
+ISO_SHAPE = "substring({text}, 5, 1) = '-' AND length({text}) >= 8"
+ISO_READING = "try_cast({text} AS timestamp)"
 TIME_SHAPES = [
-    (r"^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$", "try_cast({text} AS timestamp)"),
     (r"^\d{9,10}$", "timestamp_seconds(try_cast({text} AS bigint))"),
     (r"^\d{13}$", "timestamp_millis(try_cast({text} AS bigint))"),
     (r"^\d{8}$", "try_to_timestamp({text}, 'yyyyMMdd')"),
@@ -17,7 +19,7 @@ TIME_SHAPES = [
     (r"^\d{4}/\d{2}/\d{2}$", "try_to_timestamp({text}, 'yyyy/MM/dd')"),
     (r"^\d{4}/\d{2}/\d{2} \d{2}:\d{2}:\d{2}$", "try_to_timestamp({text}, 'yyyy/MM/dd HH:mm:ss')"),
 ]
-UINT_SHAPE = "^[0-9]{1,20}$"
+ZERO, NINE = 48, 57  # ASCII
 
 
 def blank_to_null(text: str) -> str:
@@ -27,9 +29,13 @@ def blank_to_null(text: str) -> str:
 def parse_uint(text: str) -> str:
     """Digits only, as a long; anything else, also above 2**63-1, gives NULL.
 
-    A bare cast would take signs and surrounding blanks, hence the guard.
+    The cast alone would also take a sign and surrounding blanks.  If it succeeds,
+    looking at the first and the last character tells such texts from digits.
     """
-    return f"CASE WHEN {text} RLIKE '{UINT_SHAPE}' THEN try_cast({text} AS bigint) END"
+    digits_at_ends = (
+        f"ascii({text}) BETWEEN {ZERO} AND {NINE} AND ascii(right({text}, 1)) BETWEEN {ZERO} AND {NINE}"
+    )
+    return f"CASE WHEN {digits_at_ends} THEN try_cast({text} AS bigint) END"
 
 
 def parse_timestamp(text: str) -> str:
@@ -39,7 +45,7 @@ def parse_timestamp(text: str) -> str:
     common, costs one test and one cast, and the default cast never sees forms
     such as ``12:00`` that it would complete with the current date.
     """
-    cases = " ".join(
+    cases = f"WHEN {ISO_SHAPE} THEN {ISO_READING} ".format(text=text) + " ".join(
         f"WHEN {text} RLIKE r'{shape}' THEN {reading.format(text=text)}"
         for shape, reading in TIME_SHAPES
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
@@ -18,6 +18,11 @@ def align(frame: DataFrame, contract: T.StructType) -> DataFrame:
     ])
 
 
+def empty(spark: SparkSession, contract: T.StructType) -> DataFrame:
+    """No rows, fully typed; the optimizer drops it from any union."""
+    return align(spark.sql("SELECT 1 WHERE false"), contract)
+
+
 def union_drifting(frames: list[DataFrame]) -> DataFrame:
     """Union by name; a column some frames lack is NULL in their rows."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -25,7 +30,7 @@ def union_drifting(frames: list[DataFrame]) -> DataFrame:
 
 def only_missing(load: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``load`` whose key ``target`` does not hold yet."""
-    return load.join(target.select(*keys), keys, "left_anti")
+    return load.join(target.select(*keys), keys, "left_anti").select(load.columns)
 
 
 def upserted(target: DataFrame, load: DataFrame, keys: list[str]) -> DataFrame:

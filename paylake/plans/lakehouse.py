@@ -45,18 +45,18 @@ class Lakehouse:
         ):
             sink.ensure_table(spark, self.path(name), contract)
         sink.replace_partitions(
-            bronze.payments(spark, files("payments"), first, last), self.path("bronze/payments"), ["id"]
+            bronze.payments(spark, files("payments"), first, last), self.path("bronze/payments")
         )
         sink.replace_partitions(
-            bronze.merchants(spark, files("merchants"), first, last), self.path("bronze/merchants"), ["id"]
+            bronze.merchants(spark, files("merchants"), first, last), self.path("bronze/merchants")
         )
         landing = self.path("landing/link_transactions")
         sink.replace_partitions(
-            bronze.land_link_transactions(spark, files("link_transactions"), first, last), landing, ["id"]
+            bronze.land_link_transactions(spark, files("link_transactions"), first, last), landing
         )
         sink.replace_partitions(
             bronze.link_transactions_days(spark, landing, first, last),
-            self.path("bronze/link_transactions"), ["id"],
+            self.path("bronze/link_transactions"),
         )
 
     # ---- silver ----

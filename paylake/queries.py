@@ -105,7 +105,7 @@ def scan_missing_day(spark: SparkSession, d: str) -> DataFrame:
 
 def _landing(spark: SparkSession, d: str) -> str:
     path = fresh_path(spark, "landing")
-    sink.replace_partitions(bronze.landed_link_transactions(X.bronze_link_transactions(spark, d)), path, ["id"])
+    sink.replace_partitions(bronze.landed_link_transactions(X.bronze_link_transactions(spark, d)), path)
     return path
 
 
@@ -136,7 +136,7 @@ def extract_payments(spark: SparkSession, d: str) -> DataFrame:
 def ingest_available_now(spark: SparkSession, d: str) -> DataFrame:
     files = _daily_files(X.bronze_merchants(spark, d), "merchants", S.MERCHANT_COLUMNS)
     table = fresh_path(spark, "bronze")
-    ingest_available(spark, files, table, S.BRONZE_MERCHANTS, fresh_path(spark, "progress"), ["id"])
+    ingest_available(spark, files, table, S.BRONZE_MERCHANTS, fresh_path(spark, "progress"))
     return read_table(spark, table, S.BRONZE_MERCHANTS).drop(S.INGESTED)
 
 
@@ -185,9 +185,9 @@ def sink_replace_by_file(spark: SparkSession, d: str) -> DataFrame:
     name = F.concat(F.lit("part-"), part, F.lit("-"), F.date_format(S.SNAPSHOT, "yyyyMMdd"))
     rows = X.bronze_link_transactions(spark, d).withColumn(S.SOURCE_FILE, name)
     path = fresh_path(spark, "bronze")
-    sink.replace_partitions(_outdated(rows), path, ["id"])
+    sink.replace_partitions(_outdated(rows), path)
     again = rows.where(F.col(S.SOURCE_FILE).startswith("part-0-"))
-    sink.replace_source_files(again, path, S.BRONZE_LINK_TX, ["id"])
+    sink.replace_source_files(again, path, S.BRONZE_LINK_TX)
     return read_table(spark, path, S.BRONZE_LINK_TX).select(
         "id", "state", "linkpay_reference", S.SOURCE_FILE, S.SNAPSHOT
     )
@@ -198,8 +198,8 @@ def schema_drift_union(spark: SparkSession, d: str) -> DataFrame:
     rows, path = X.bronze_link_transactions(spark, d), fresh_path(spark, "bronze")
     early = rows.where(~_from_day(SPLIT_DAY)).drop("linkpay_reference")
     late = rows.where(_from_day(SPLIT_DAY)).withColumn("channel", F.concat(F.lit("channel-"), "state"))
-    sink.replace_partitions(align(early, S.BRONZE_LINK_TX), path, ["id"])
-    sink.replace_partitions(late, path, ["id"])
+    sink.replace_partitions(align(early, S.BRONZE_LINK_TX), path)
+    sink.replace_partitions(late, path)
     return read_drifted(spark, path, S.BRONZE_LINK_TX).drop(S.INGESTED, S.SOURCE_FILE)
 
 

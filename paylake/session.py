@@ -15,6 +15,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Hot join keys are split at run time; see operators.joins.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # ... even where the grouping that follows then needs a shuffle of its own.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # A JSON document that repeats a key keeps the last value.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }

@@ -5,10 +5,10 @@ place when all tasks have succeeded, so lost executors and retried tasks leave
 no trace, and loading the same day twice gives the same table.  Other days are
 not touched.
 
-Rows are arranged by ``rebalance``: one partition column value per output file
-where days are small, several files where a day is large, without a single task
-ever writing a whole day.  Files are sorted by key, which makes Parquet's
-min/max statistics selective.
+Typed rows are arranged by ``rebalance`` before they are written: files of one
+size, few for small days and many for large ones, and no task ever writes a whole
+day.  Files are sorted by key, which makes Parquet's min/max statistics selective.
+Raw rows come from files of one day each and are written as they were split.
 """
 
 from __future__ import annotations
@@ -18,29 +18,38 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paylake import schemas as S
-from paylake.operators.merge import only_missing, upserted
+from paylake.operators.merge import empty, only_missing, upserted
 from paylake.session import fresh_path
 from paylake.sources.tables import read_drifted, read_table, table_exists
 
+# The one partition of a table that is always written as a whole.
+VERSION = "_version"
+
 # More partition values than a load of several years; a guard against a wrong column.
 MOST_PARTITIONS = 100_000
 
 
+def _arranged(frame: DataFrame, partition: str, sort_by: list[str]) -> DataFrame:
+    return frame.hint("rebalance", F.col(partition)).sortWithinPartitions(partition, *sort_by)
+
+
 def replace_partitions(
-    frame: DataFrame, path: str, sort_by: list[str], partition: str = S.SNAPSHOT
+    frame: DataFrame, path: str, sort_by: list[str] | None = None, partition: str = S.SNAPSHOT
 ) -> None:
-    """Replace the partitions ``frame`` has rows for, keep all others."""
+    """Replace the partitions ``frame`` has rows for, keep all others.
+
+    Without ``sort_by`` the rows are written as they are partitioned: no shuffle.
+    """
+    rows = _arranged(frame, partition, sort_by) if sort_by else frame
     (
-        frame.hint("rebalance", F.col(partition))
-        .sortWithinPartitions(partition, *sort_by)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )
 
 
-def replace_source_files(frame: DataFrame, path: str, contract: T.StructType, sort_by: list[str]) -> None:
+def replace_source_files(frame: DataFrame, path: str, contract: T.StructType) -> None:
     """Replace the rows of the source files ``frame`` has rows of.
 
     Rows of other files in the same days are written back with them.
@@ -50,13 +59,13 @@ def replace_source_files(frame: DataFrame, path: str, contract: T.StructType, so
     names = frame.select(S.SOURCE_FILE).distinct()
     stored = read_drifted(spark, path, contract).where(F.col(S.SNAPSHOT).isin(days))
     kept = stored.join(names, S.SOURCE_FILE, "left_anti")
-    replace_partitions(kept.unionByName(frame, allowMissingColumns=True), path, sort_by)
+    replace_partitions(kept.unionByName(frame, allowMissingColumns=True), path)
 
 
 def ensure_table(spark: SparkSession, path: str, contract: T.StructType, partition: str = S.SNAPSHOT) -> None:
     """Create an empty table unless there is one."""
     if not table_exists(spark, path):
-        spark.createDataFrame([], contract).write.partitionBy(partition).parquet(path)
+        empty(spark, contract).write.partitionBy(partition).parquet(path)
 
 
 def append_missing(frame: DataFrame, path: str, contract: T.StructType, keys: list[str]) -> None:
@@ -67,12 +76,8 @@ def append_missing(frame: DataFrame, path: str, contract: T.StructType, keys: li
     spark = frame.sparkSession
     days = _partition_values(frame, S.SNAPSHOT)
     stored = read_table(spark, path, contract).where(F.col(S.SNAPSHOT).isin(days))
-    (
-        only_missing(frame, stored, keys).select(contract.fieldNames())
-        .hint("rebalance", F.col(S.SNAPSHOT))
-        .sortWithinPartitions(S.SNAPSHOT, *keys)
-        .write.mode("append").partitionBy(S.SNAPSHOT).parquet(path)
-    )
+    missing = only_missing(frame, stored, keys).select(contract.fieldNames())
+    _arranged(missing, S.SNAPSHOT, keys).write.mode("append").partitionBy(S.SNAPSHOT).parquet(path)
 
 
 def upsert_days(frame: DataFrame, path: str, contract: T.StructType, keys: list[str]) -> None:
@@ -84,8 +89,12 @@ def upsert_days(frame: DataFrame, path: str, contract: T.StructType, keys: list[
 
 
 def rebuild(frame: DataFrame, path: str) -> None:
-    """Write a small table anew, e.g. a dimension."""
-    frame.write.mode("overwrite").parquet(path)
+    """Write a small table anew, e.g. a dimension.
+
+    The table is a single partition: like any partition it is built aside and
+    swapped in when complete, so a failed build leaves the old table in place.
+    """
+    replace_partitions(frame.selectExpr("*", f"'current' AS {VERSION}"), path, partition=VERSION)
 
 
 def create_or_replace(frame: DataFrame, target: str) -> None:
@@ -117,11 +126,8 @@ def _with_period(fact: DataFrame, grain: str) -> DataFrame:
 
 def write_fact(fact: DataFrame, path: str, grain: str = "day") -> None:
     """The whole fact, partitioned by the period a payment was started in."""
-    (
-        _with_period(fact, grain).hint("rebalance", F.col(S.START_PERIOD))
-        .sortWithinPartitions(S.START_PERIOD, "sk")
-        .write.mode("overwrite").partitionBy(S.START_PERIOD).parquet(path)
-    )
+    rows = _arranged(_with_period(fact, grain), S.START_PERIOD, ["sk"])
+    rows.write.mode("overwrite").partitionBy(S.START_PERIOD).parquet(path)
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
@@ -160,8 +166,8 @@ def upsert_fact(changes: DataFrame, path: str, grain: str = "day") -> None:
         result = spark.read.schema(FACT_STORED).parquet(result_path)
         remaining = _partition_values(result.where(_is_one_of(S.START_PERIOD, left)), S.START_PERIOD)
         for period in set(left) - set(remaining):
-            empty = spark.createDataFrame([], S.FACT_TRANSACTIONS)
-            empty.write.mode("overwrite").parquet(f"{path}/{S.START_PERIOD}={_partition_text(period)}")
+            folder = f"{path}/{S.START_PERIOD}={_partition_text(period)}"
+            empty(spark, S.FACT_TRANSACTIONS).write.mode("overwrite").parquet(folder)
     replace_partitions(result, path, ["sk"], S.START_PERIOD)
 
 

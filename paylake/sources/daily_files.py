@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from paylake import schemas as S
 from paylake.functions import blank_to_null
-from paylake.operators.merge import align, union_drifting
+from paylake.operators.merge import empty, union_drifting
 from paylake.sources.quoted_lines import read_stitched, with_open_quotes
 
 DAY_FORMAT = "%Y%m%d"
@@ -130,14 +130,9 @@ def read_days(
     ]
     if contract is None:
         if not parts:
-            return spark.createDataFrame([], T.StructType(S.LINEAGE))
+            return empty(spark, T.StructType(S.LINEAGE))
         return union_drifting(parts)
-    parts.insert(0, spark.createDataFrame([], contract))
+    parts.insert(0, empty(spark, contract))
     rows = union_drifting(parts)
     extra = [name for name in rows.columns if name not in contract.fieldNames()]
     return rows.select(*contract.fieldNames(), *[f"`{name}`" for name in extra])
-
-
-def fixed_columns(rows: DataFrame, contract: T.StructType) -> DataFrame:
-    """Exactly the contract: absent columns NULL, unknown ones dropped."""
-    return align(rows, contract)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from paylake import schemas as S
-from paylake.operators.merge import align
+from paylake.operators.merge import align, empty
 
 
 def of_days(
@@ -36,18 +36,18 @@ def read_table(spark: SparkSession, path: str, contract: T.StructType) -> DataFr
     an old file lacks are NULL.
     """
     if not table_exists(spark, path):
-        return spark.createDataFrame([], contract)
-    return spark.read.schema(contract).parquet(path)
+        return empty(spark, contract)
+    return spark.read.schema(contract).parquet(path).select(contract.fieldNames())
 
 
 def read_drifted(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
     """The table with all columns any of its files has, the contract's first."""
     if not table_exists(spark, path):
-        return spark.createDataFrame([], contract)
+        return empty(spark, contract)
     try:
         stored = spark.read.option("mergeSchema", True).parquet(path)
     except AnalysisException:  # the table exists but holds no file yet
-        return spark.createDataFrame([], contract)
+        return empty(spark, contract)
     extra = [field for field in stored.schema.fields if field.name not in contract.fieldNames()]
     return align(stored, T.StructType(contract.fields + extra))
 

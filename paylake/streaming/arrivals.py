@@ -31,7 +31,6 @@ def ingest_available(
     table: str,
     contract: T.StructType,
     checkpoint: str,
-    sort_by: list[str],
     max_files: int = 1000,
 ) -> None:
     """Load every file not yet seen by ``checkpoint``, then stop."""
@@ -45,7 +44,7 @@ def ingest_available(
     def load(batch: DataFrame, batch_id: int) -> None:
         names = batch.distinct().collect()  # one row per day
         for first, last in _runs([dt.datetime.strptime(row.day, DAY_FORMAT).date() for row in names]):
-            replace_partitions(read_days(spark, files, first, last, contract), table, sort_by)
+            replace_partitions(read_days(spark, files, first, last, contract), table)
 
     query = (
         arrivals.writeStream.foreachBatch(load)
