@@ -48,9 +48,9 @@ def _snapshot(key: str) -> str:
 # ---- payments <- lineitem ---------------------------------------------------
 
 
-def _payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _payments(items: DataFrame) -> DataFrame:
     """One raw payment per line item.  (order, line number) repeats, so ids do too."""
-    return table(spark, sf_dir, "lineitem").selectExpr(
+    return items.selectExpr(
         "l_orderkey * 10 + l_linenumber AS id",
         "l_suppkey AS merchant_id",
         "l_suppkey % 5 AS acquirer_id",
@@ -71,11 +71,12 @@ def _payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payments as the staging lake holds them, with types."""
-    return _payments(spark, sf_dir).select(*S.PAYMENT_COLUMNS)
+    return _payments(table(spark, sf_dir, "lineitem")).select(*S.PAYMENT_COLUMNS)
 
 
 def bronze_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(_payments(spark, sf_dir), "id", "_part").selectExpr(
+    items = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
+    return _payments(items).selectExpr(
         _text("id"), _text("merchant_id"), _text("acquirer_id"),
         "state", "card_type", "reference", "order_reference", "details",
         _text("created_at"), _text("updated_at"),
@@ -89,9 +90,9 @@ def bronze_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- link transactions <- orders --------------------------------------------
 
 
-def _link_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _link_transactions(orders: DataFrame) -> DataFrame:
     """One initiated payment per order, with six shapes of the JSON details."""
-    return table(spark, sf_dir, "orders").selectExpr(
+    return orders.selectExpr(
         "o_orderkey AS id",
         "o_orderdate AS created_at",
         "CASE WHEN o_orderkey % 50 = 1 THEN o_orderdate - interval 1 day "
@@ -109,11 +110,12 @@ def _link_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_link_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _link_transactions(spark, sf_dir).select(*S.LINK_TX_COLUMNS)
+    return _link_transactions(table(spark, sf_dir, "orders")).select(*S.LINK_TX_COLUMNS)
 
 
 def bronze_link_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(_link_transactions(spark, sf_dir), "id").selectExpr(
+    orders = spread(table(spark, sf_dir, "orders"), "o_orderkey")
+    return _link_transactions(orders).selectExpr(
         _text("id"), _text("created_at"), _text("updated_at"),
         "state", "linkpay_reference", "payment_details",
         f"cast(created_at AS timestamp) AS {S.INGESTED}",

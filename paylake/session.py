@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
+from weakref import WeakSet
 
 from pyspark.sql import SparkSession
 
@@ -29,10 +31,15 @@ STARTUP_SETTINGS = {
 }
 
 
+_configured: WeakSet[SparkSession] = WeakSet()
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to ``spark`` and return it."""
-    for key, value in RUNTIME_SETTINGS.items():
-        spark.conf.set(key, value)
+    """Apply the runtime settings to ``spark``, once, and return it."""
+    if spark not in _configured:
+        for key, value in RUNTIME_SETTINGS.items():
+            spark.conf.set(key, value)
+        _configured.add(spark)
     return spark
 
 
@@ -58,12 +65,15 @@ def shared_folder(spark: SparkSession) -> str:
     if folder:
         return folder.rstrip("/")
     if spark.conf.get("spark.master", "").startswith("local"):
-        folder = tempfile.mkdtemp(prefix="paylake-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
+        return _local_folder()
     raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="paylake-")
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other run uses."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

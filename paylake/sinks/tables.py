@@ -157,18 +157,15 @@ def upsert_fact(changes: DataFrame, path: str, grain: str = "day") -> None:
     touched = set(left) | set(_partition_values(staged, S.START_PERIOD))
     in_touched = _is_one_of(S.START_PERIOD, touched)
     result = upserted(stored.where(in_touched), staged, ["transaction_id"])
+    remaining = left
     if left:
-        # A period all rows have moved away from gets no new files, so the
-        # overwrite below would leave it as it is: it is emptied here.  The result
-        # is written aside first, as it still reads that period.
-        result_path = fresh_path(spark, "fact-periods")
-        result.write.parquet(result_path)
-        result = spark.read.schema(FACT_STORED).parquet(result_path)
-        remaining = _partition_values(result.where(_is_one_of(S.START_PERIOD, left)), S.START_PERIOD)
-        for period in set(left) - set(remaining):
-            folder = f"{path}/{S.START_PERIOD}={_partition_text(period)}"
-            empty(spark, S.FACT_TRANSACTIONS).write.mode("overwrite").parquet(folder)
+        kept = result.where(_is_one_of(S.START_PERIOD, left))
+        remaining = _partition_values(kept, S.START_PERIOD)
     replace_partitions(result, path, ["sk"], S.START_PERIOD)
+    # A period all rows have moved away from got no new files and is as it was.
+    for period in set(left) - set(remaining):
+        folder = f"{path}/{S.START_PERIOD}={_partition_text(period)}"
+        empty(spark, S.FACT_TRANSACTIONS).write.mode("overwrite").parquet(folder)
 
 
 def _is_one_of(column: str, values) -> Column:

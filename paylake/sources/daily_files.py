@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -21,7 +22,10 @@ from paylake import schemas as S
 from paylake.functions import blank_to_null
 from paylake.operators.merge import empty, union_drifting
 from paylake.sources.quoted_lines import read_stitched, with_open_quotes
+from paylake.sources.tables import is_missing_path
 
+# A header is one small read of the start of a file; several are read at a time.
+HEADERS_AT_ONCE = 8
 DAY_FORMAT = "%Y%m%d"
 FILE_IN_PATH = r"([^/=]+-\d{8}\.csv)(?:/[^/]*)?$"
 DAY_IN_PATH = r"-(\d{8})\.csv(?:/[^/]*)?$"
@@ -68,7 +72,9 @@ def days_present(spark: SparkSession, files: DailyFiles, days: list[dt.date]) ->
             .select(F.regexp_extract("path", DAY_IN_PATH, 1).alias("day"))
             .distinct().collect()  # one row per day
         )
-    except AnalysisException:
+    except AnalysisException as error:
+        if not is_missing_path(error):
+            raise
         return []
     texts = {row.day for row in found}
     return [day for day in days if day.strftime(DAY_FORMAT) in texts]
@@ -120,10 +126,12 @@ def read_days(
     """
     days = days_present(spark, files, day_range(first, last or first))
     by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for day in days:
-        header = spark.read.option("header", True).csv(files.path(day)).columns
+    paths = [files.path(day) for day in days]
+    with ThreadPoolExecutor(HEADERS_AT_ONCE) as pool:
+        headers = pool.map(lambda path: spark.read.option("header", True).csv(path).columns, paths)
+    for path, header in zip(paths, headers):
         if header:
-            by_header[tuple(header)].append(files.path(day))
+            by_header[tuple(header)].append(path)
     parts = [
         _lineage(read_text_columns(spark, paths, list(header)))
         for header, paths in by_header.items()

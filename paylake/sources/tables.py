@@ -21,11 +21,17 @@ def of_days(
     return frame.where(f"{S.SNAPSHOT} BETWEEN date '{first}' AND date '{last or first}'")
 
 
+def is_missing_path(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.schema(T.StructType([])).parquet(path)
         return True
-    except AnalysisException:
+    except AnalysisException as error:
+        if not is_missing_path(error):
+            raise
         return False
 
 
@@ -46,8 +52,10 @@ def read_drifted(spark: SparkSession, path: str, contract: T.StructType) -> Data
         return empty(spark, contract)
     try:
         stored = spark.read.option("mergeSchema", True).parquet(path)
-    except AnalysisException:  # the table exists but holds no file yet
-        return empty(spark, contract)
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return empty(spark, contract)  # the table exists but holds no file yet
     extra = [field for field in stored.schema.fields if field.name not in contract.fieldNames()]
     return align(stored, T.StructType(contract.fields + extra))
 

@@ -68,6 +68,33 @@ def test_result_does_not_depend_on_partitioning(spark):
     assert results[0] == results[1] == results[2]
 
 
+def test_latest_against_brute_force(spark):
+    generator = random.Random(11)
+    columns = ["state", "card_type", "reference", "details"]
+    data = [
+        {
+            "id": str(generator.randrange(40)),
+            S.INGESTED: generator.choice([None, *map(R.at, range(30))]),
+            "updated_at": generator.choice([None, "2025-10-01", "2025-10-02", "x"]),
+            "created_at": f"2025-09-{n % 28 + 1:02d} 00:00:{n % 60:02d}",
+            **{name: generator.choice([None, f"{name}{n}"]) for name in columns},
+        }
+        for n in range(1500)
+    ]
+    got = by_id(silver.payments(R.payments(spark, *data).repartition(5)))
+
+    def order(row):
+        updated = {None: "", "x": ""}.get(row["updated_at"], row["updated_at"])
+        return row[S.INGESTED], updated, row["created_at"]
+
+    for key in range(40):
+        rows = [row for row in data if row["id"] == str(key) and row[S.INGESTED]]
+        for name, column in zip(columns, ["payment_state", *columns[1:]]):
+            given = sorted((row for row in rows if row[name]), key=order)
+            tied = {row[name] for row in given if order(row) == order(given[-1])} or {None}
+            assert got[key][column] in tied
+
+
 def test_dominant_values_against_brute_force(spark):
     generator = random.Random(3)
     data = [(generator.randrange(30), generator.choice([None, 1, 2, 3, 4]), generator.randrange(3))
