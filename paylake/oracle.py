@@ -178,10 +178,7 @@ FACT_COLUMNS = (
 
 # ---- views ------------------------------------------------------------------
 
-_METHOD = (
-    "CASE WHEN k.payment_method_name IS NULL OR k.payment_method_name = '' THEN 'ACH transfer' "
-    "ELSE k.payment_method_name END"
-)
+_METHOD = "coalesce(nullif(k.payment_method_name, ''), 'ACH transfer')"
 _METHOD_MASKED = (
     "CASE k.payment_method_name WHEN 'Visa' THEN 'Payment_Method_A' "
     "WHEN 'Mastercard' THEN 'Payment_Method_B' ELSE 'Other_Method' END"

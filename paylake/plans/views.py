@@ -34,10 +34,7 @@ def tally(fact: DataFrame) -> DataFrame:
 
 REACHED = "hasPayment = 1"
 NOT_COMPLETED = f"hasPayment = 1 AND payment_state IN {NEVER_COMPLETED}"
-METHOD_NAME = (
-    "CASE WHEN payment_method_name IS NULL OR payment_method_name = '' "
-    f"THEN '{NO_CARD}' ELSE payment_method_name END"
-)
+METHOD_NAME = f"coalesce(nullif(payment_method_name, ''), '{NO_CARD}')"
 MERCHANT_LABEL = "coalesce(merchant_name, cast(merchant_sk AS string))"
 
 

@@ -20,7 +20,7 @@ from paylake.operators.merge import align
 from paylake.plans import bronze, extracts, gold, silver, views
 from paylake.session import configure, fresh_path
 from paylake.sinks import tables as sink
-from paylake.sources.daily_files import DailyFiles, read_days
+from paylake.sources.daily_files import DailyFiles, day_range, read_days
 from paylake.sources.tables import of_days, read_drifted, read_table
 from paylake.streaming.arrivals import ingest_available
 
@@ -207,7 +207,8 @@ def silver_insert_missing(spark: SparkSession, d: str) -> DataFrame:
     """All days are offered; days the table holds keep their rows."""
     rows, path = _silver_link_tx(spark, d), fresh_path(spark, "silver")
     sink.replace_partitions(_outdated(rows.where(~_from_day(SPLIT_DAY))), path, silver.LINK_TX_KEY)
-    sink.append_missing(rows, path, S.SILVER_LINK_TX, silver.LINK_TX_KEY)
+    days = day_range(X.FIRST_DAY, X.LAST_DAY)
+    sink.append_missing(rows, path, S.SILVER_LINK_TX, silver.LINK_TX_KEY, days)
     return read_table(spark, path, S.SILVER_LINK_TX)
 
 

@@ -13,6 +13,9 @@ Raw rows come from files of one day each and are written as they were split.
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,13 +55,13 @@ def replace_partitions(
 def replace_source_files(frame: DataFrame, path: str, contract: T.StructType) -> None:
     """Replace the rows of the source files ``frame`` has rows of.
 
-    Rows of other files in the same days are written back with them.
+    Rows of other files in the same days are written back with them.  A load has
+    far fewer files than rows, so their names become a filter and not a join.
     """
-    spark = frame.sparkSession
     days = _partition_values(frame, S.SNAPSHOT)
-    names = frame.select(S.SOURCE_FILE).distinct()
-    stored = read_drifted(spark, path, contract).where(F.col(S.SNAPSHOT).isin(days))
-    kept = stored.join(names, S.SOURCE_FILE, "left_anti")
+    names = _partition_values(frame, S.SOURCE_FILE)
+    stored = read_drifted(frame.sparkSession, path, contract)
+    kept = stored.where(_is_one_of(S.SNAPSHOT, days) & ~_is_one_of(S.SOURCE_FILE, names))
     replace_partitions(kept.unionByName(frame, allowMissingColumns=True), path)
 
 
@@ -68,23 +71,45 @@ def ensure_table(spark: SparkSession, path: str, contract: T.StructType, partiti
         empty(spark, contract).write.partitionBy(partition).parquet(path)
 
 
-def append_missing(frame: DataFrame, path: str, contract: T.StructType, keys: list[str]) -> None:
+def _stored_days(
+    frame: DataFrame, path: str, contract: T.StructType, days: Iterable[dt.date] | None
+) -> DataFrame:
+    """The table's rows on ``days``, or on the days of ``frame`` if they are not given."""
+    known = _partition_values(frame, S.SNAPSHOT) if days is None else list(days)
+    return read_table(frame.sparkSession, path, contract).where(_is_one_of(S.SNAPSHOT, known))
+
+
+def append_missing(
+    frame: DataFrame,
+    path: str,
+    contract: T.StructType,
+    keys: list[str],
+    days: Iterable[dt.date] | None = None,
+) -> None:
     """Append the rows whose key the table does not hold yet.
 
     ``keys`` contain the snapshot day, so only the days of ``frame`` are read.
+    Give them as ``days`` if they are known: finding them computes ``frame`` once
+    more.
     """
-    spark = frame.sparkSession
-    days = _partition_values(frame, S.SNAPSHOT)
-    stored = read_table(spark, path, contract).where(F.col(S.SNAPSHOT).isin(days))
+    stored = _stored_days(frame, path, contract, days)
     missing = only_missing(frame, stored, keys).select(contract.fieldNames())
     _arranged(missing, S.SNAPSHOT, keys).write.mode("append").partitionBy(S.SNAPSHOT).parquet(path)
 
 
-def upsert_days(frame: DataFrame, path: str, contract: T.StructType, keys: list[str]) -> None:
-    """Put ``frame`` in, the last write per key wins; rewrites only its days."""
-    spark = frame.sparkSession
-    days = _partition_values(frame, S.SNAPSHOT)
-    stored = read_table(spark, path, contract).where(F.col(S.SNAPSHOT).isin(days))
+def upsert_days(
+    frame: DataFrame,
+    path: str,
+    contract: T.StructType,
+    keys: list[str],
+    days: Iterable[dt.date] | None = None,
+) -> None:
+    """Put ``frame`` in, the last write per key wins; rewrites only its days.
+
+    All of ``days`` must have rows in ``frame`` or in the table, see
+    :func:`append_missing`.
+    """
+    stored = _stored_days(frame, path, contract, days)
     replace_partitions(upserted(stored, frame.select(contract.fieldNames()), keys), path, keys)
 
 
@@ -179,8 +204,8 @@ def _partition_text(period) -> str:
 
 
 def _partition_values(frame: DataFrame, column: str) -> list:
-    """The distinct days in ``frame``: one value per day, whatever its size."""
+    """The distinct days, periods or files in ``frame``, however many rows each has."""
     rows = frame.select(column).distinct().limit(MOST_PARTITIONS + 1).collect()
     if len(rows) > MOST_PARTITIONS:
-        raise ValueError(f"more than {MOST_PARTITIONS} values of {column}: not a partition column")
+        raise ValueError(f"more than {MOST_PARTITIONS} values of {column} in one load")
     return [row[0] for row in rows]

@@ -162,6 +162,21 @@ def test_hot_id_is_merged_before_the_shuffle(spark, setting):
     assert frame.count() == 40_000  # "1" itself is among the other ids
 
 
+def test_a_large_day_is_written_by_several_tasks(spark, setting):
+    import glob
+
+    setting("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+    rows = spark.range(0, 60_000, 1, 12).selectExpr(
+        "id AS transaction_id", "sha2(cast(id AS string), 256) AS state",
+        "CASE WHEN id % 10 < 8 THEN date '2025-10-01' ELSE date_add(date '2025-10-01', cast(id % 10 AS int)) END AS _snapshot_date",
+    )
+    path = fresh_path(spark, "large-day")
+    sink.replace_partitions(rows, path, ["transaction_id"])
+    files = {d: len(glob.glob(f"{path}/_snapshot_date=2025-10-{d}/*.parquet")) for d in ("01", "09", "10")}
+    assert files["01"] > 4, files
+    assert spark.read.parquet(path).count() == 60_000
+
+
 def test_payment_final_leaves_missing_references_out_before_the_shuffle(spark, sf_dir):
     stored = _stored(silver.payments(X.bronze_payments(spark, sf_dir), tiebreak=X.PAYMENT_TIEBREAK), "silver")
     text = plan(gold.payment_final(stored))
