@@ -26,6 +26,9 @@ RUNTIME_SETTINGS = {
 # Settings a session gets only when it is built.
 STARTUP_SETTINGS = {
     "spark.ui.enabled": "false",
+    # One plan here compiles some hundred classes: with the default of 100 entries
+    # they would be compiled, and warmed up, anew for every query.
+    "spark.sql.codegen.cache.maxEntries": "2000",
     # Do not look up the Python call site for every column expression.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
