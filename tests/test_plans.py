@@ -125,6 +125,32 @@ def test_hot_reference_is_split_and_missing_references_are_spread(spark, setting
     assert len(sizes) == 16 and max(sizes) < 2 * sum(sizes) / 16
 
 
+def test_hot_reference_is_split_before_it_is_grouped(spark, setting):
+    """The increment's restriction to affected references, with a third of all payments on one."""
+    for key, value in {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.shuffle.partitions": "16",
+    }.items():
+        setting(key, value)
+    rows = 200_000
+    payments = spark.range(0, rows, 1, 12).selectExpr(
+        "id AS transaction_id", "'settled' AS payment_state", "'1' AS card_type", "id % 50 AS merchant_id",
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('r', id) END AS reference",
+        "timestamp '2025-10-01' + make_dt_interval(0, 0, 0, id) AS created_at",
+        "cast(NULL AS timestamp) AS updated_at", "date '2025-10-01' AS _snapshot_date",
+    )
+    affected = spark.range(rows).selectExpr("CASE WHEN id % 2 = 0 THEN 'hot' ELSE concat('r', id) END AS reference")
+    final = gold.payment_final(payments.join(affected, "reference", "left_semi"))
+    assert "skew=true" in executed(final)
+    hot = final.where("pay_reference = 'hot'").first()
+    assert hot.final_merchant_id == (rows - 2) % 50  # 199,998 is the last multiple of three
+    assert final.count() == 1 + sum(1 for i in range(rows) if i % 2 and i % 3)
+
+
 def test_copies_cut_a_hot_merchant(spark, setting):
     setting("spark.sql.autoBroadcastJoinThreshold", "-1")
     setting("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
