@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paylake.llm import decontamination, mixing
+from paylake.llm import decontamination, mixing, ngram_join
 from paylake.llm.common import table
 from paylake.llm.oracle import SQL
 from paylake.session import configure
@@ -19,13 +19,17 @@ def op1_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return found.drop("spans", "item_ids")
 
 
+def op7_ngram_join(spark: SparkSession, d: str) -> DataFrame:
+    return ngram_join.similar_groups(table(spark, d, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op9_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(table(spark, d, "documents")).drop("source")
 
 
 def registered() -> dict[str, Query]:
     found = [
-        op1_decontamination, op9_mixing,
+        op1_decontamination, op7_ngram_join, op9_mixing,
     ]
 
     def configured(query: Query) -> Query:
