@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,49 +32,49 @@ def mixed(x: np.ndarray) -> np.ndarray:
 _OF_BYTE = mixed(np.arange(256, dtype=np.uint64) + _U(1 << 20))
 
 
-def _word_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and hash of each word of a buffer."""
+def _word_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, length and hash of each word of a buffer; A-Z count as a-z."""
     inside = ~_BLANK[raw]
     edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
-    starts, ends = edges[::2], edges[1::2]
+    starts, lengths = edges[::2], edges[1::2] - edges[::2]
     if not len(starts):
-        return starts, np.empty(0, np.uint64)
-    lengths = ends - starts
+        return starts, lengths, np.empty(0, np.uint64)
     powers = np.ones(int(lengths.max()), np.uint64)
     np.cumprod(np.full(len(powers) - 1, _MULTIPLIER), out=powers[1:])
     where = np.flatnonzero(inside)
     firsts = np.cumsum(lengths) - lengths
     offsets = np.arange(len(where)) - np.repeat(firsts, lengths)
     values = _OF_BYTE[_LOWER[raw[where]]] * powers[offsets]
-    return starts, mixed(np.add.reduceat(values, firsts) + lengths.astype(np.uint64))
+    return starts, lengths, mixed(np.add.reduceat(values, firsts) + lengths.astype(np.uint64))
 
 
-def _words(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """As above, piece by piece; pieces end at blanks."""
-    starts, hashes, at = [], [], 0
-    while at < len(raw):
-        end = min(at + PIECE, len(raw))
-        while end < len(raw):
-            more = np.flatnonzero(_BLANK[raw[end : end + PIECE]])
+def words_of(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Start, length, hash and text number of each word; text i is from bounds[i] to bounds[i + 1].
+
+    Long buffers are dealt with in pieces that end at blanks.
+    """
+    # A blank before each text, so that no word runs over.
+    spaced = np.insert(raw, bounds[:-1], 0x20)
+    found, at = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64))], 0
+    while at < len(spaced):
+        end = min(at + PIECE, len(spaced))
+        while end < len(spaced):
+            more = np.flatnonzero(_BLANK[spaced[end : end + PIECE]])
             if len(more):
                 end += int(more[0])
                 break
-            end = min(end + PIECE, len(raw))
-        s, h = _word_hashes(raw[at:end])
-        starts.append(s + at)
-        hashes.append(h)
+            end = min(end + PIECE, len(spaced))
+        starts, lengths, hashes = _word_hashes(spaced[at:end])
+        found.append((starts + at, lengths, hashes))
         at = end
-    if not starts:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    return np.concatenate(starts), np.concatenate(hashes)
+    starts, lengths, hashes = (np.concatenate(column) for column in zip(*found, strict=True))
+    text = np.searchsorted(bounds[:-1] + np.arange(len(bounds) - 1), starts, "right") - 1
+    return starts - text - 1, lengths, hashes, text
 
 
 def _sets(raw: np.ndarray, bounds: np.ndarray) -> Iterator[np.ndarray]:
-    # A blank between texts, so that no word runs over.
-    gaps = np.insert(raw, bounds[1:-1], 0x20) if len(bounds) > 2 else raw
-    starts, hashes = _words(gaps)
-    first = bounds[:-1] + np.arange(len(bounds) - 1)
-    at = np.searchsorted(starts, np.append(first, len(gaps) + 1))
+    _, _, hashes, text = words_of(raw, bounds)
+    at = np.searchsorted(text, np.arange(len(bounds)))
     n = max(len(hashes) - WIDTH + 1, 0)
     rolled = np.full(n, _U(WIDTH))
     for k in range(WIDTH):
@@ -83,21 +84,25 @@ def _sets(raw: np.ndarray, bounds: np.ndarray) -> Iterator[np.ndarray]:
         if b - a >= WIDTH:
             yield np.unique(rolled[a : b - WIDTH + 1])
         elif b > a:
-            whole = _U(b - a)
-            with np.errstate(over="ignore"):
-                for h in hashes[a:b]:
-                    whole = whole * _MULTIPLIER + h
-            yield mixed(np.array([whole]))
+            whole = np.array([b - a], np.uint64)
+            for h in hashes[a:b]:
+                whole = whole * _MULTIPLIER + h
+            yield mixed(whole)
         else:
             yield np.empty(0, np.uint64)
 
 
-def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
-    """The sorted shingle hashes of each text; none for NULL and for texts without words."""
+def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts in a row and where each begins; NULL is empty."""
     texts = texts.fill_null("").cast(pa.large_string())
     bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = texts.buffers()[2]
-    raw = np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)
+    return (np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)), bounds
+
+
+def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
+    """The sorted shingle hashes of each text; none for NULL and for texts without words."""
+    raw, bounds = text_buffer(texts)
     at = 0
     while at < len(texts):
         to = max(int(np.searchsorted(bounds, bounds[at] + PIECE, "right")) - 1, at + 1)
@@ -107,6 +112,4 @@ def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
 
 def digest(hashes: np.ndarray) -> bytes:
     """128 bits that stand for a set."""
-    import hashlib
-
     return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
