@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paylake.llm import decontamination, mixing, ngram_join, quality
+from paylake.llm import decontamination, mixing, ngram_join, pii, quality
 from paylake.llm.common import table
 from paylake.llm.oracle import SQL
 from paylake.session import configure
@@ -23,6 +23,10 @@ def op4_quality(spark: SparkSession, d: str) -> DataFrame:
     return quality.quality_scores(table(spark, d, "documents"), table(spark, d, "labels"))
 
 
+def op5_pii(spark: SparkSession, d: str) -> DataFrame:
+    return pii.personal_data(table(spark, d, "documents"))
+
+
 def op7_ngram_join(spark: SparkSession, d: str) -> DataFrame:
     return ngram_join.similar_groups(table(spark, d, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -33,7 +37,7 @@ def op9_mixing(spark: SparkSession, d: str) -> DataFrame:
 
 def registered() -> dict[str, Query]:
     found = [
-        op1_decontamination, op4_quality, op7_ngram_join, op9_mixing,
+        op1_decontamination, op4_quality, op5_pii, op7_ngram_join, op9_mixing,
     ]
 
     def configured(query: Query) -> Query:
