@@ -27,6 +27,42 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
     CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
     coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN pos ON d.doc_id = pos.doc_id LEFT JOIN its ON d.doc_id = its.doc_id
+""",
+    "op2_tool_calls": r"""
+WITH c AS (SELECT conv_id, turn, role, text, 'c' || conv_id || '-' AS p FROM conversations),
+calls0 AS (
+    SELECT conv_id, turn, p || turn AS call_id, p || (turn - 2) AS ref,
+        CASE role WHEN 'user' THEN 'answer' ELSE 'configure' END AS name,
+        CASE role WHEN 'user' THEN
+            '{' || CASE WHEN turn >= 2 THEN '"after":' || to_json(p || (turn - 2)) || ',' ELSE '' END
+            || coalesce('"question":' || to_json(text) || ',', '')
+            || '"words":' || len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) || '}'
+        ELSE '{' || coalesce('"prompt":' || to_json(text), '') || '}' END AS arguments,
+        CASE WHEN text IS NULL AND role = 'user' THEN ['missing:question']
+             WHEN text IS NULL THEN ['missing:prompt'] ELSE CAST([] AS VARCHAR[]) END AS errors
+    FROM c WHERE role IN ('user', 'system')),
+calls AS (
+    SELECT conv_id, call_id, min(turn) AS turn, min(name) AS name, min(arguments) AS arguments,
+        min(ref) AS ref, min(errors) AS errors, count(*) AS copies
+    FROM calls0 GROUP BY conv_id, call_id),
+results AS (
+    SELECT conv_id, p || (turn - 1) AS call_id, min(turn) AS turn, min(text) AS content, count(*) AS copies
+    FROM c WHERE role = 'assistant' GROUP BY ALL),
+rows AS (
+    SELECT coalesce(a.conv_id, r.conv_id) AS conv_id, coalesce(a.call_id, r.call_id) AS call_id,
+        coalesce(a.turn, r.turn) AS turn,
+        a.errors || CASE WHEN a.name = 'answer' AND a.turn >= 2 AND k.call_id IS NULL
+            THEN ['reference:' || a.ref] ELSE CAST([] AS VARCHAR[]) END AS errors,
+        a.name, a.arguments, r.content, coalesce(a.copies, 0) + coalesce(r.copies, 0) AS copies,
+        a.call_id IS NOT NULL AND r.call_id IS NOT NULL AS linked
+    FROM calls a LEFT JOIN calls k ON a.conv_id = k.conv_id AND a.ref = k.call_id
+    FULL JOIN results r ON a.conv_id = r.conv_id AND a.call_id = r.call_id)
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, call_id) - 1 AS position, call_id,
+    linked AND len(errors) = 0 AS valid, CAST(copies AS BIGINT) AS copies,
+    '{"arguments":' || coalesce(arguments, 'null') || ',"call_id":' || to_json(call_id)
+    || ',"errors":' || coalesce(CAST(to_json(errors) AS VARCHAR), '[]') || ',"name":' || coalesce(to_json(name), 'null')
+    || ',"result":' || coalesce(to_json(content), 'null') || '}' AS record
+FROM rows
 """,
     "op9_mixing": r"""
 WITH s AS (

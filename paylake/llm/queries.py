@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paylake.llm import decontamination, mixing, ngram_join, pii, quality, secrets
+from paylake.llm import decontamination, mixing, ngram_join, pii, quality, secrets, tool_calls
 from paylake.llm.common import table
 from paylake.llm.oracle import SQL
 from paylake.session import configure
@@ -19,6 +19,11 @@ def op1_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return found.drop("spans", "item_ids")
 
 
+def op2_tool_calls(spark: SparkSession, d: str) -> DataFrame:
+    calls, results = tool_calls.from_turns(table(spark, d, "conversations"))
+    return tool_calls.format_calls(calls, results, tool_calls.TURN_TOOLS)
+
+
 def op3_secrets(spark: SparkSession, d: str) -> DataFrame:
     return secrets.secrets(table(spark, d, "documents"))
 
@@ -41,7 +46,7 @@ def op9_mixing(spark: SparkSession, d: str) -> DataFrame:
 
 def registered() -> dict[str, Query]:
     found = [
-        op1_decontamination, op3_secrets, op4_quality, op5_pii, op7_ngram_join, op9_mixing,
+        op1_decontamination, op2_tool_calls, op3_secrets, op4_quality, op5_pii, op7_ngram_join, op9_mixing,
     ]
 
     def configured(query: Query) -> Query:
