@@ -63,6 +63,21 @@ SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, call_id)
     || ',"errors":' || coalesce(CAST(to_json(errors) AS VARCHAR), '[]') || ',"name":' || coalesce(to_json(name), 'null')
     || ',"result":' || coalesce(to_json(content), 'null') || '}' AS record
 FROM rows
+""",
+    "op6_topk": """
+WITH v AS (
+    SELECT row_number() OVER () AS uid, vec_id,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+    SELECT q.vec_id AS query_id, q.uid AS quid, c.vec_id, c.uid,
+        CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.uid <> c.uid AND len(q.e) = len(c.e))
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY quid ORDER BY score DESC, vec_id, uid) AS rank FROM s)
+WHERE rank <= 5
 """,
     "op9_mixing": r"""
 WITH s AS (

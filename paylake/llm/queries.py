@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paylake.llm import decontamination, mixing, ngram_join, pii, quality, secrets, tool_calls
+from paylake.llm import decontamination, mixing, ngram_join, pii, quality, secrets, tool_calls, topk
 from paylake.llm.common import table
 from paylake.llm.oracle import SQL
 from paylake.session import configure
@@ -36,6 +36,10 @@ def op5_pii(spark: SparkSession, d: str) -> DataFrame:
     return pii.personal_data(table(spark, d, "documents"))
 
 
+def op6_topk(spark: SparkSession, d: str) -> DataFrame:
+    return topk.top_k(table(spark, d, "embeddings"), "vec_id % 50 = 0")
+
+
 def op7_ngram_join(spark: SparkSession, d: str) -> DataFrame:
     return ngram_join.similar_groups(table(spark, d, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -46,7 +50,7 @@ def op9_mixing(spark: SparkSession, d: str) -> DataFrame:
 
 def registered() -> dict[str, Query]:
     found = [
-        op1_decontamination, op2_tool_calls, op3_secrets, op4_quality, op5_pii, op7_ngram_join, op9_mixing,
+        op1_decontamination, op2_tool_calls, op3_secrets, op4_quality, op5_pii, op6_topk, op7_ngram_join, op9_mixing,
     ]
 
     def configured(query: Query) -> Query:
