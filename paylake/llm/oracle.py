@@ -5,6 +5,30 @@ WORDS = (
     "regexp_extract_all(" + LOWER.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 )
 
+
+
+def _url_levels() -> str:
+    """The three levels of the template tree, each like the others."""
+    parts, parents = [], ["host"]
+    for i in (1, 2, 3):
+        given = ", ".join(parents)
+        on = lambda a, b, keys: " AND ".join(f"{a}.{k} = {b}.{k}" for k in keys)
+        parts.append(f"""
+br{i} AS (SELECT {given}, w{i}, sum(labels) AS n, sum(blocked) AS b, min(p) AS above FROM r{i - 1} GROUP BY ALL),
+po{i} AS (SELECT {given}, sum(n) AS all_n, sum(b) AS all_b FROM br{i} GROUP BY ALL),
+sh{i} AS (SELECT br{i}.*, (all_b + 4.0::DOUBLE * above) / (all_n + 4.0::DOUBLE) AS share
+    FROM br{i} JOIN po{i} ON {on(f"br{i}", f"po{i}", parents)}),
+ju{i} AS (SELECT *, CASE WHEN n = 0 OR abs(b - n * share) < 2.0::DOUBLE * sqrt(n * share * (1 - share))
+    THEN '~' ELSE w{i} END AS m{i} FROM sh{i}),
+gr{i} AS (SELECT {given}, m{i}, (sum(b) + 4.0::DOUBLE * min(above)) / (sum(n) + 4.0::DOUBLE) AS p
+    FROM ju{i} GROUP BY {given}, m{i}),
+r{i} AS (SELECT r{i - 1}.* EXCLUDE (p), ju{i}.m{i}, gr{i}.p FROM r{i - 1}
+    JOIN ju{i} ON {on(f"r{i - 1}", f"ju{i}", [*parents, f"w{i}"])}
+    JOIN gr{i} ON {on(f"ju{i}", f"gr{i}", [*parents, f"m{i}"])}),""")
+        parents = [*parents, f"m{i}"]
+    return "".join(parts)
+
+
 SQL = {
     "op1_decontamination": f"""
 WITH i AS (SELECT DISTINCT item_id, {WORDS} AS w FROM benchmark),
@@ -78,6 +102,41 @@ s AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
     SELECT *, row_number() OVER (PARTITION BY quid ORDER BY score DESC, vec_id, uid) AS rank FROM s)
 WHERE rank <= 5
+""",
+    "op8_urls": r"""
+WITH a AS (
+    SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+    FROM pages),
+j AS (
+    SELECT *, CASE
+        WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+        WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/'
+        WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/de/') THEN 'com/de/'
+        WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
+        WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'org/' END AS rule
+    FROM a),
+v AS (SELECT *, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS judged,
+    list_transform(list_filter(string_split(path, '/'), lambda x: x <> ''), lambda x: CASE
+        WHEN regexp_matches(x, '^[0-9]+$') THEN '{n}'
+        WHEN regexp_matches(x, '^[0-9]+\.[A-Za-z]+$') THEN regexp_replace(x, '^[0-9]+', '{n}')
+        WHEN regexp_matches(x, '^[0-9a-f-]{8,}$') THEN '{h}' ELSE x END) AS s FROM j),
+sh AS (SELECT *, coalesce(s[1], '') AS t1, coalesce(s[2], '') AS t2, array_to_string(s[3:], '/') AS t3 FROM v),
+c AS (SELECT host, t1, t2, t3, count(judged) AS labels, count(*) FILTER (judged = 'block') AS blocked FROM sh GROUP BY ALL),
+c1 AS (SELECT c.*, CASE WHEN k > 20 THEN '*' ELSE t1 END AS w1
+    FROM c JOIN (SELECT host, count(DISTINCT t1) AS k FROM c GROUP BY ALL) USING (host)),
+c2 AS (SELECT c1.*, CASE WHEN k > 20 THEN '*' ELSE t2 END AS w2
+    FROM c1 JOIN (SELECT host, w1, count(DISTINCT t2) AS k FROM c1 GROUP BY ALL) USING (host, w1)),
+c3 AS (SELECT c2.*, CASE WHEN k > 20 THEN '*' ELSE t3 END AS w3
+    FROM c2 JOIN (SELECT host, w1, w2, count(DISTINCT t3) AS k FROM c2 GROUP BY ALL) USING (host, w1, w2)),
+o AS (SELECT coalesce(sum(blocked) / nullif(sum(labels), 0), 0)::DOUBLE AS overall FROM c3),
+h AS (SELECT host, (sum(blocked) + 4.0::DOUBLE * min(overall)) / (sum(labels) + 4.0::DOUBLE) AS p FROM c3, o GROUP BY host),
+r0 AS (SELECT c3.*, h.p FROM c3 JOIN h USING (host)),""" + _url_levels() + r"""
+z AS (SELECT host, t1, t2, t3, concat_ws('/', m1, m2, m3) AS template,
+    CASE WHEN p >= 0.5 THEN 'block' ELSE 'allow' END AS by_template FROM r3)
+SELECT page_id, host, path, rule, coalesce(judged, by_template) AS verdict, template
+FROM sh JOIN z USING (host, t1, t2, t3)
 """,
     "op9_mixing": r"""
 WITH s AS (

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paylake.llm import decontamination, mixing, ngram_join, pii, quality, secrets, tool_calls, topk
+from paylake.llm import decontamination, mixing, ngram_join, pii, quality, secrets, tool_calls, topk, urls
 from paylake.llm.common import table
 from paylake.llm.oracle import SQL
 from paylake.session import configure
@@ -44,13 +44,17 @@ def op7_ngram_join(spark: SparkSession, d: str) -> DataFrame:
     return ngram_join.similar_groups(table(spark, d, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op8_urls(spark: SparkSession, d: str) -> DataFrame:
+    return urls.filtered(table(spark, d, "pages"))
+
+
 def op9_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(table(spark, d, "documents")).drop("source")
 
 
 def registered() -> dict[str, Query]:
     found = [
-        op1_decontamination, op2_tool_calls, op3_secrets, op4_quality, op5_pii, op6_topk, op7_ngram_join, op9_mixing,
+        op1_decontamination, op2_tool_calls, op3_secrets, op4_quality, op5_pii, op6_topk, op7_ngram_join, op8_urls, op9_mixing,
     ]
 
     def configured(query: Query) -> Query:
