@@ -35,7 +35,7 @@ from paylake.session import fresh_path
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # How the public vocabulary splits texts before merging; a fixed value.
-SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # The first id that the vocabulary leaves free ends a document.
 SEPARATOR = 50256
 ID_TYPE = "<u2"
