@@ -37,6 +37,8 @@ TOWARDS_POOLED = 0.1
 TOWARDS_DIAGONAL = 0.1
 # Added to variances, in units of the pooled ones.
 LEAST_VARIANCE = 0.01
+# Statistics that hardly differ are scaled as if they differed by so much.
+LEAST_SPREAD = 1e-3
 # Log odds are cut at this distance from 0.
 MOST_LOG_ODDS = 30.0
 
@@ -192,7 +194,7 @@ def fit(found: DataFrame, labels: DataFrame) -> Model:
     ]
     pooled = (counts[0] * within[0] + counts[1] * within[1]) / counts.sum()
     center = (counts @ means) / counts.sum()
-    scale = np.sqrt(np.maximum(np.diag(pooled), 1e-12))
+    scale = np.sqrt(np.maximum(np.diag(pooled), LEAST_SPREAD**2))
     pooled = pooled / np.outer(scale, scale)
     pooled = (1 - TOWARDS_DIAGONAL) * pooled + TOWARDS_DIAGONAL * np.diag(np.diag(pooled))
     factors, volumes = [], []

@@ -13,7 +13,7 @@ Defined cases: the first call, or result, of an identifier counts, by turn, plac
 content; repeated ones are counted in ``copies``.  NULL identifiers are never linked.
 Arguments that are no JSON object are an error and are written as a text.  A result
 without a call and a call without a result are records without the other.  References
-to missing calls and cycles are errors; calls in or behind a cycle keep their own place.
+to missing calls and cycles are errors; calls in a cycle, or moved behind one, keep their place.
 Empty tables give no rows.  Other columns are ignored.
 """
 
@@ -80,6 +80,18 @@ def references(calls: DataFrame, schemas: Schemas) -> DataFrame:
     )
 
 
+def _marked(moved: DataFrame, turning: DataFrame, edges: DataFrame) -> DataFrame:
+    """``moved`` with ``in_cycle`` for the calls that still move and the moved ones that need them."""
+    key = ["conv_id", "call_id"]
+    marked, n = turning.select(*key), 0
+    while (now := marked.count()) > n:
+        n = now
+        need = edges.join(marked.withColumnRenamed("call_id", "ref_id"), ["conv_id", "ref_id"]).select(*key)
+        marked = stored(marked.union(need.join(moved, key, "left_semi")).distinct(), "in-cycles")
+    flags = marked.withColumn("marked", F.lit(True))
+    return moved.join(flags, key, "left").withColumn("in_cycle", F.coalesce("marked", F.lit(False))).drop("marked")
+
+
 def ordered(calls: DataFrame, edges: DataFrame) -> DataFrame:
     """``conv_id, call_id, at, in_cycle`` for calls that move: ``at`` is (turn, place, level)."""
     own = F.struct("turn", "place", F.lit(0).alias("level"))
@@ -111,11 +123,8 @@ def ordered(calls: DataFrame, edges: DataFrame) -> DataFrame:
             "moved",
         )
         rounds, seen = rounds + 1, moved.count()
-        if rounds > seen:  # no path of moved calls is that long
-            back = step.select("conv_id", "call_id", F.lit(True).alias("still"))
-            return moved.join(back, ["conv_id", "call_id"], "left").withColumn(
-                "in_cycle", F.coalesce("still", F.lit(False))
-            ).drop("still")
+        if rounds > seen:  # no path of moved calls is that long: something goes round
+            return _marked(moved, step, both)
         now = moved.select("conv_id", "call_id", F.col("at").alias("now"))
         refs = step.select("conv_id", F.col("call_id").alias("ref_id"), F.col("at").alias("ref_now"))
         frontier = (
