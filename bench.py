@@ -2,8 +2,7 @@
 
 ``BENCH_SF_DIR``  folder of the test tables   (default /root/testdata/sf0.1)
 ``BENCH_CPUS``    local cores                 (default 8)
-``BENCH_RUNS``    runs per query, best counts (default 2; up to three more for quick ones)
-``BENCH_BUDGET``  seconds after which a query runs once only (default 240)
+``BENCH_RUNS``    runs of each query, best counts (default 2)
 ``BENCH_QUERIES`` comma-separated names, or ``all``
 
 A run builds the plan and executes it completely; results go to Spark's no-op
@@ -31,15 +30,10 @@ HEADLINE = [
 ]
 
 
-# Queries are repeated as long as all their runs together take less, in seconds.
-QUICK = 6.0
-
-
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "2"))
-    budget = float(os.environ.get("BENCH_BUDGET", "240"))
     entries = registered()
     chosen = os.environ.get("BENCH_QUERIES", "")
     names = list(entries) if chosen == "all" else [n for n in chosen.split(",") if n] or HEADLINE
@@ -55,14 +49,9 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     seconds: dict[str, float] = {}
-    began = time.perf_counter()
     for name in names:
         taken: list[float] = []
-        while (
-            not taken
-            or len(taken) < runs and time.perf_counter() - began < budget
-            or len(taken) < runs + 3 and sum(taken) < QUICK
-        ):
+        for _ in range(runs):
             start = time.perf_counter()
             entries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             taken.append(time.perf_counter() - start)

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from paylake import schemas as S
 from paylake.session import configure
-from paylake.sources.spread import spread
 
 FIRST_DAY = "2025-10-01"
 SECOND_DAY = "2025-10-02"
@@ -52,7 +51,8 @@ def _payments(items: DataFrame) -> DataFrame:
     """One raw payment per line item.  (order, line number) repeats, so ids do too."""
     return items.selectExpr(
         "l_orderkey * 10 + l_linenumber AS id",
-        "l_suppkey AS merchant_id",
+        # No supplier has such a key: payments of unknown merchants.
+        "CASE WHEN l_suppkey % 23 = 0 THEN l_suppkey + 10000000 ELSE l_suppkey END AS merchant_id",
         "l_suppkey % 5 AS acquirer_id",
         "CASE concat(l_returnflag, l_linestatus) WHEN 'AF' THEN 'settled' WHEN 'AO' THEN 'initial' "
         "WHEN 'RF' THEN 'refunded' WHEN 'RO' THEN 'failed' WHEN 'NF' THEN 'voided' "
@@ -75,8 +75,7 @@ def stage_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
-    return _payments(items).selectExpr(
+    return _payments(table(spark, sf_dir, "lineitem")).selectExpr(
         _text("id"), _text("merchant_id"), _text("acquirer_id"),
         "state", "card_type", "reference", "order_reference", "details",
         _text("created_at"), _text("updated_at"),
@@ -114,8 +113,7 @@ def stage_link_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_link_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spread(table(spark, sf_dir, "orders"), "o_orderkey")
-    return _link_transactions(orders).selectExpr(
+    return _link_transactions(table(spark, sf_dir, "orders")).selectExpr(
         _text("id"), _text("created_at"), _text("updated_at"),
         "state", "linkpay_reference", "payment_details",
         f"cast(created_at AS timestamp) AS {S.INGESTED}",
@@ -128,12 +126,8 @@ def bronze_link_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The merchants' first snapshot.
-
-    Keys divisible by 23 are never delivered, so that some payments point to an
-    unknown merchant.
-    """
-    return table(spark, sf_dir, "supplier").where("s_suppkey % 23 != 0").selectExpr(
+    """The merchants' first snapshot."""
+    return table(spark, sf_dir, "supplier").selectExpr(
         "s_suppkey AS id",
         "cast(s_nationkey AS bigint) AS acquirer_id",
         "CASE WHEN s_suppkey % 17 = 0 THEN '' ELSE s_name END AS name",

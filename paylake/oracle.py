@@ -27,7 +27,9 @@ def _pct(part: str, whole: str) -> str:
 
 RAW_PAYMENTS = f"""
 raw_payments AS (
-  SELECT l_orderkey * 10 + l_linenumber AS id, l_suppkey AS merchant_id, l_suppkey % 5 AS acquirer_id,
+  SELECT l_orderkey * 10 + l_linenumber AS id,
+    CASE WHEN l_suppkey % 23 = 0 THEN l_suppkey + 10000000 ELSE l_suppkey END AS merchant_id,
+    l_suppkey % 5 AS acquirer_id,
     CASE l_returnflag || l_linestatus WHEN 'AF' THEN 'settled' WHEN 'AO' THEN 'initial'
       WHEN 'RF' THEN 'refunded' WHEN 'RO' THEN 'failed' WHEN 'NF' THEN 'voided'
       WHEN 'NO' THEN 'WAITING_FOR_SCA' END AS state,
@@ -63,7 +65,7 @@ stage_merchants AS (
     CASE WHEN s_acctbal < 0 THEN 'blocked' ELSE 'active' END AS state,
     timestamp '2025-09-01 00:00:00' AS created_at,
     CASE WHEN s_suppkey % 5 <> 0 THEN timestamp '2025-10-01 00:00:00' END AS updated_at
-  FROM supplier WHERE s_suppkey % 23 <> 0)"""
+  FROM supplier)"""
 
 RAW_MERCHANTS = f"""{STAGE_MERCHANTS},
 raw_merchants AS (
@@ -343,6 +345,10 @@ def sql() -> dict[str, str]:
         "sink_partition_replace": _with(SILVER_LINK_TX, f"""
           SELECT transaction_id, CASE WHEN _snapshot_date >= {SPLIT_DAY} THEN state ELSE 'old' END AS state,
             reference, details, created_at, updated_at, _snapshot_date FROM silver_link_tx"""),
+        "sink_partition_emptied": _with(SILVER_LINK_TX, f"""
+          SELECT transaction_id, CASE WHEN _snapshot_date >= {SPLIT_DAY} THEN state ELSE 'old' END AS state,
+            reference, details, created_at, updated_at, _snapshot_date FROM silver_link_tx
+          WHERE _snapshot_date <> date '2025-10-05'"""),
         "sink_replace_by_file": _with(RAW_LINK_TX, f"""
           SELECT id::varchar AS id, CASE WHEN id % 3 = 0 THEN state ELSE 'old' END AS state, linkpay_reference,
             'part-' || (id % 3)::varchar || '-' || strftime(_snapshot_date, '%Y%m%d') AS _source_file,
@@ -367,9 +373,9 @@ def sql() -> dict[str, str]:
             'merchants-' || strftime(_snapshot_date, '%Y%m%d') || '.csv' AS _source_file, _snapshot_date
           FROM raw_merchants"""),
         # gold
-        "dim_date": _with(f"{CALENDAR}, {RAW_LINK_TX}", """
+        "dim_date": _with(f"{CALENDAR.replace('2000-01-01', '1990-01-01')}, {RAW_LINK_TX}", """
           SELECT d.*, coalesce(n.initiated, 0) AS initiated FROM dim_date d
-          LEFT JOIN (SELECT created_at::date AS started, count(*) AS initiated FROM raw_link_tx GROUP BY 1) n
+          FULL JOIN (SELECT created_at::date AS started, count(*) AS initiated FROM raw_link_tx GROUP BY 1) n
             ON n.started = d.full_date"""),
         "dim_payment_method": _with(f"{METHODS}, {SILVER_PAYMENTS}", """
           SELECT k.payment_method_sk, k.original_value, k.payment_method_name, count(p.transaction_id) AS payments
@@ -411,11 +417,12 @@ def sql() -> dict[str, str]:
           FROM (SELECT *, coalesce(updated_at, created_at) AS ts FROM silver_payments)
           WHERE reference IS NOT NULL AND card_type IS NOT NULL AND ts IS NOT NULL
           GROUP BY reference HAVING count(DISTINCT card_type) > 1"""),
-        "completion_by_weekday": _with(f"{FACT}, {CALENDAR}", f"""
-          SELECT d.day_of_week, d.is_weekend, count(*) AS initiated,
+        "completion_by_weekday": _with(FACT, f"""
+          SELECT isodow(f._gating_ts)::int AS day_of_week, (isodow(f._gating_ts) >= 6)::int AS is_weekend,
+            count(*) AS initiated,
             count(*) FILTER (WHERE f.payment_state = 1) AS completed,
             {_pct('count(*) FILTER (WHERE f.payment_state = 1)', 'count(*)')} AS completion_rate_pct
-          FROM fact f JOIN dim_date d ON d.full_date = f._gating_ts::date GROUP BY 1, 2"""),
+          FROM fact f GROUP BY 1, 2"""),
         "completion_by_hour": f"""
           SELECT hour(ts)::int AS hour_of_day, count(*) AS initiated,
             count(*) FILTER (WHERE event_type = 'purchase') AS completed,

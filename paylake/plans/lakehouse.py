@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from paylake import schemas as S
 from paylake.plans import bronze, gold, silver
 from paylake.sinks import tables as sink
-from paylake.sources.daily_files import DailyFiles
+from paylake.sources.daily_files import DailyFiles, day_range
 from paylake.sources.tables import read_drifted, read_table, table_exists
 
 Day = str | dt.date
@@ -44,19 +44,20 @@ class Lakehouse:
             ("landing/link_transactions", S.BRONZE_LINK_TX),
         ):
             sink.ensure_table(spark, self.path(name), contract)
+        days = day_range(first, last)
         sink.replace_partitions(
-            bronze.payments(spark, files("payments"), first, last), self.path("bronze/payments")
+            bronze.payments(spark, files("payments"), first, last), self.path("bronze/payments"), loaded=days
         )
         sink.replace_partitions(
-            bronze.merchants(spark, files("merchants"), first, last), self.path("bronze/merchants")
+            bronze.merchants(spark, files("merchants"), first, last), self.path("bronze/merchants"), loaded=days
         )
         landing = self.path("landing/link_transactions")
         sink.replace_partitions(
-            bronze.land_link_transactions(spark, files("link_transactions"), first, last), landing
+            bronze.land_link_transactions(spark, files("link_transactions"), first, last), landing, loaded=days
         )
         sink.replace_partitions(
             bronze.link_transactions_days(spark, landing, first, last),
-            self.path("bronze/link_transactions"),
+            self.path("bronze/link_transactions"), loaded=days,
         )
 
     # ---- silver ----
@@ -69,7 +70,9 @@ class Lakehouse:
             ("merchants", silver.merchants, S.BRONZE_MERCHANTS, silver.MERCHANT_KEY),
         ):
             rows = read_table(self.spark, self.path(f"bronze/{name}"), contract)
-            sink.replace_partitions(build(rows, first, last), self.path(f"silver/{name}"), key)
+            sink.replace_partitions(
+                build(rows, first, last), self.path(f"silver/{name}"), key, loaded=day_range(first, last)
+            )
 
     def silver(self, name: str) -> DataFrame:
         contract = {

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from paylake import schemas as S
 from paylake.functions import percentage
 from paylake.operators.privacy import masked_method, masked_provider, volume_class
-from paylake.plans.gold import dim_date, dim_payment_method, dim_payment_state
+from paylake.plans.gold import dim_payment_method, dim_payment_state
 
 # State keys the views refer to, and the name of payments without a card.
 SETTLED, FAILED, ABANDONED = 1, 3, 6
@@ -221,12 +221,12 @@ def _completion(rows: DataFrame, *keys: str) -> DataFrame:
 
 
 def completion_by_weekday(fact: DataFrame) -> DataFrame:
-    """Completed share by the weekday a payment was started on."""
-    daily = fact.groupBy(F.expr(f"to_date({S.GATING_TS}) AS _day")).agg(
+    """Completed share by the weekday a payment was started on, Monday = 1; NULL without a time."""
+    daily = fact.groupBy(F.expr(f"weekday({S.GATING_TS}) + 1 AS day_of_week")).agg(
         F.expr("count(*) AS _n"), F.expr(f"count_if(payment_state = {SETTLED}) AS _done")
     )
-    calendar = dim_date(fact.sparkSession).select("full_date", "day_of_week", "is_weekend")
-    return _completion(daily.join(calendar, F.expr("_day = full_date")), "day_of_week", "is_weekend")
+    weekend = daily.withColumn("is_weekend", F.expr("cast(day_of_week >= 6 AS int)"))
+    return _completion(weekend, "day_of_week", "is_weekend")
 
 
 def completion_by_hour(journeys: DataFrame, started_at: str, completed: str) -> DataFrame:

@@ -179,6 +179,15 @@ def sink_partition_replace(spark: SparkSession, d: str) -> DataFrame:
     return read_table(spark, path, S.SILVER_LINK_TX)
 
 
+def sink_partition_emptied(spark: SparkSession, d: str) -> DataFrame:
+    """A table whose later days are delivered again; one of them has no rows any more."""
+    rows, path = _silver_link_tx(spark, d), fresh_path(spark, "silver")
+    sink.replace_partitions(_outdated(rows), path, silver.LINK_TX_KEY)
+    again = rows.where(_from_day(SPLIT_DAY) & ~F.col(S.SNAPSHOT).isin(F.to_date(F.lit(NEXT_DAY))))
+    sink.replace_partitions(again, path, silver.LINK_TX_KEY, loaded=day_range(SPLIT_DAY, X.LAST_DAY))
+    return read_table(spark, path, S.SILVER_LINK_TX)
+
+
 def sink_replace_by_file(spark: SparkSession, d: str) -> DataFrame:
     """Three files per day, one of which is delivered again."""
     part = (F.col("id").cast("bigint") % 3).cast("string")
@@ -236,14 +245,17 @@ def backfill_range(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dim_date(spark: SparkSession, d: str) -> DataFrame:
-    """The calendar with the number of payments initiated per day."""
+    """The calendar with the number of payments initiated per day.
+
+    It begins before the test tables do; a day or NULL outside it would still be a row.
+    """
     started = (
         X.stage_link_transactions(spark, d)
         .groupBy(F.to_date("created_at").alias("_day")).agg(F.count("*").alias("initiated"))
     )
-    calendar = gold.dim_date(spark)
+    calendar = gold.dim_date(spark, start="1990-01-01")
     return (
-        calendar.join(started, F.col("full_date") == F.col("_day"), "left").drop("_day")
+        calendar.join(started, F.col("full_date") == F.col("_day"), "full").drop("_day")
         .withColumn("initiated", F.coalesce("initiated", F.lit(0).cast("bigint")))
     )
 
@@ -417,6 +429,7 @@ def registered() -> dict[str, Query]:
         "quarantine_bad_ids": quarantine_bad_ids,
         # sinks and increments
         "sink_partition_replace": sink_partition_replace,
+        "sink_partition_emptied": sink_partition_emptied,
         "sink_replace_by_file": sink_replace_by_file,
         "schema_drift_union": schema_drift_union,
         "silver_insert_missing": silver_insert_missing,

@@ -28,40 +28,56 @@ from paylake.sources.tables import read_drifted, read_table, table_exists
 # The one partition of a table that is always written as a whole.
 VERSION = "_version"
 
-# More partition values than a load of several years; a guard against a wrong column.
-MOST_PARTITIONS = 100_000
-
 
 def _arranged(frame: DataFrame, partition: str, sort_by: list[str]) -> DataFrame:
     return frame.hint("rebalance", F.col(partition)).sortWithinPartitions(partition, *sort_by)
 
 
 def replace_partitions(
-    frame: DataFrame, path: str, sort_by: list[str] | None = None, partition: str = S.SNAPSHOT
+    frame: DataFrame,
+    path: str,
+    sort_by: list[str] | None = None,
+    partition: str = S.SNAPSHOT,
+    loaded: Iterable | None = None,
 ) -> None:
     """Replace the partitions ``frame`` has rows for, keep all others.
 
-    Without ``sort_by`` the rows are written as they are partitioned: no shuffle.
+    ``loaded`` are the partition values that this load is about: those that ``frame`` has
+    no rows for are emptied.  Without ``sort_by`` the rows are written as they are
+    partitioned: no shuffle.
     """
     rows = _arranged(frame, partition, sort_by) if sort_by else frame
+    folders = [f"{path}/{partition}={_partition_text(value)}" for value in loaded or ()]
+    before = {folder: _file_names(frame.sparkSession, folder) for folder in folders}
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )
+    # A replaced partition has new files; one that still has its old ones got no rows.
+    contract = T.StructType([field for field in frame.schema.fields if field.name != partition])
+    for folder, names in before.items():
+        if names and _file_names(frame.sparkSession, folder) == names:
+            empty(frame.sparkSession, contract).write.mode("overwrite").parquet(folder)
+
+
+def _file_names(spark: SparkSession, folder: str) -> set[str]:
+    """The names of the files in a folder; none if it does not exist."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return {f.getPath().getName() for f in store.listStatus(path)} if store.exists(path) else set()
 
 
 def replace_source_files(frame: DataFrame, path: str, contract: T.StructType) -> None:
     """Replace the rows of the source files ``frame`` has rows of.
 
-    Rows of other files in the same days are written back with them.  A load has
-    far fewer files than rows, so their names become a filter and not a join.
+    Rows of other files in the same days are written back with them.
     """
     days = _partition_values(frame, S.SNAPSHOT)
-    names = _partition_values(frame, S.SOURCE_FILE)
+    names = frame.select(S.SOURCE_FILE).distinct()
     stored = read_drifted(frame.sparkSession, path, contract)
-    kept = stored.where(_is_one_of(S.SNAPSHOT, days) & ~_is_one_of(S.SOURCE_FILE, names))
+    kept = stored.where(_is_one_of(S.SNAPSHOT, days)).join(names, S.SOURCE_FILE, "left_anti").select(stored.columns)
     replace_partitions(kept.unionByName(frame, allowMissingColumns=True), path)
 
 
@@ -119,7 +135,8 @@ def rebuild(frame: DataFrame, path: str) -> None:
     The table is a single partition: like any partition it is built aside and
     swapped in when complete, so a failed build leaves the old table in place.
     """
-    replace_partitions(frame.selectExpr("*", f"'current' AS {VERSION}"), path, partition=VERSION)
+    rows = frame.selectExpr("*", f"'current' AS {VERSION}")
+    replace_partitions(rows, path, partition=VERSION, loaded=["current"])
 
 
 def create_or_replace(frame: DataFrame, target: str) -> None:
@@ -204,8 +221,5 @@ def _partition_text(period) -> str:
 
 
 def _partition_values(frame: DataFrame, column: str) -> list:
-    """The distinct days, periods or files in ``frame``, however many rows each has."""
-    rows = frame.select(column).distinct().limit(MOST_PARTITIONS + 1).collect()
-    if len(rows) > MOST_PARTITIONS:
-        raise ValueError(f"more than {MOST_PARTITIONS} values of {column} in one load")
-    return [row[0] for row in rows]
+    """The distinct days or periods in ``frame``, however many rows each has."""
+    return [row[0] for row in frame.select(column).distinct().collect()]
