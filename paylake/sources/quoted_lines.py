@@ -10,6 +10,8 @@ line and need no grouping.
 
 from __future__ import annotations
 
+from urllib.parse import unquote, urlparse
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,13 +34,21 @@ def with_open_quotes(spark: SparkSession, paths: list[str]) -> list[str]:
         .select(F.col("_metadata.file_path").alias("path"))
         .distinct().collect()  # one row per file
     )
-    open_files = [row.path for row in files]
-    return [path for path in paths if any(path in found for found in open_files)]
+    open_files = {unquote(urlparse(row.path).path) for row in files}
+    return [path for path in paths if _full_path(spark, path) in open_files]
+
+
+def _full_path(spark: SparkSession, path: str) -> str:
+    """The path without scheme and host, and with nothing encoded."""
+    named = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = named.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return store.makeQualified(named).toUri().getPath()
 
 
 def read_stitched(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
     """Columns of ``schema`` and ``_path``; the first record of a file is its header."""
-    lines = spark.read.text(paths).select(
+    # Only LF ends a line: a CR before it is text inside a quoted field.
+    lines = spark.read.option("lineSep", "\n").text(paths).select(
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_block_start").alias("_block"),
         # Grows with the position inside a split; splits are ordered by their start.
@@ -81,6 +91,10 @@ def read_stitched(spark: SparkSession, paths: list[str], schema: T.StructType) -
         .agg(F.array_sort(F.collect_list(F.struct("_block", "_line", "value"))).alias("_lines"))
         .select("_path", "_record", F.array_join("_lines.value", "\n").alias("_text"))
     )
-    records = whole.unionByName(pieces).where((F.col("_record") > 1) & (F.trim("_text") != ""))
+    ended = F.regexp_replace("_text", r"\r\z", "").alias("_text")
+    records = (
+        whole.unionByName(pieces).select("_path", "_record", ended)
+        .where((F.col("_record") > 1) & (F.trim("_text") != ""))
+    )
     parsed = F.from_csv("_text", schema.simpleString()[len("struct<"):-1].replace(":", " "), CSV_OPTIONS)
     return records.select(parsed.alias("_row"), "_path").select("_row.*", "_path")

@@ -7,6 +7,7 @@ from paylake import schemas as S
 from paylake.plans import silver
 from paylake.session import fresh_path
 from paylake.sinks import tables as sink
+from paylake.sources.daily_files import day_range
 from paylake.sources.tables import read_drifted, read_table, table_exists
 
 
@@ -125,3 +126,14 @@ def test_create_or_replace(spark):
     sink.create_or_replace(spark.range(3), path)
     sink.create_or_replace(spark.range(2), path)
     assert spark.read.parquet(path).count() == 2
+
+
+def test_a_day_without_rows_is_emptied(spark, tmp_path):
+    path = str(tmp_path / "days")
+    rows = spark.sql("SELECT id, date_add(date '2025-10-01', cast(id % 3 AS int)) AS _snapshot_date FROM range(9)")
+    sink.replace_partitions(rows, path, ["id"])
+    days = day_range("2025-10-01", "2025-10-02")
+    sink.replace_partitions(rows.where("id % 3 = 0"), path, ["id"], loaded=days)
+    assert sorted(r.id for r in spark.read.schema(rows.schema).parquet(path).collect()) == [0, 2, 3, 5, 6, 8]
+    sink.replace_partitions(rows.where("false"), path, ["id"], loaded=days)
+    assert sorted(r.id for r in spark.read.schema(rows.schema).parquet(path).collect()) == [2, 5, 8]

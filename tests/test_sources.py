@@ -108,3 +108,12 @@ def test_landed_documents(spark, folder):
     assert rows == {
         "1": ("2025-10-01T10:00:00", '{"r":"é"}', None), "2": (None, None, None), "3": (None, None, None),
     }
+
+
+def test_blank_in_path_and_windows_line_ends(spark, folder):
+    text = 'id,note\r\n1,"a\r\nb"\r\n2,plain\r\n3,"x\ny"\r\n'
+    path = folder("my files/payments-20251002.csv", "") + "/my files"
+    with open(f"{path}/payments-20251002.csv", "w", encoding="utf-8", newline="") as out:
+        out.write(text)
+    rows = {r.id: r.note for r in read(spark, path).collect()}
+    assert rows == {"1": "a\r\nb", "2": "plain", "3": "x\ny"}
