@@ -2,20 +2,24 @@
 
 The stream only watches the folder: it reads names, not contents.  Each batch
 reloads the days it saw completely and replaces their partitions, so a day that
-arrives in several parts, or again, ends up right, and a batch that is repeated
-after a failure changes nothing.
+arrives in several parts ends up right, and a batch that is repeated after a
+failure changes nothing.  A stream knows a file by its path alone; a file that was
+written again is noticed by its time, which is kept in a table beside the checkpoint.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paylake.session import fresh_path
 from paylake.sinks.tables import replace_partitions
-from paylake.sources.daily_files import DAY_FORMAT, DAY_IN_PATH, DailyFiles, read_days
+from paylake.sources.daily_files import DAY_FORMAT, DAY_IN_PATH, DailyFiles, day_range, read_days
+from paylake.sources.tables import table_exists
 
 LISTING = T.StructType([
     T.StructField("path", T.StringType()),
@@ -44,7 +48,17 @@ def ingest_available(
     def load(batch: DataFrame, batch_id: int) -> None:
         names = batch.distinct().collect()  # one row per day
         for first, last in _runs([dt.datetime.strptime(row.day, DAY_FORMAT).date() for row in names]):
-            replace_partitions(read_days(spark, files, first, last, contract), table)
+            rows = read_days(spark, files, first, last, contract)
+            replace_partitions(rows, table, loaded=day_range(first, last))
+
+    # Listed before anything is read: what changes from now on differs from the list.
+    listed = _listing(spark, files)
+    known = f"{checkpoint.rstrip('/')}-files"
+    if table_exists(spark, known):
+        seen = spark.read.schema(listed.schema).parquet(known)
+        latest = seen.groupBy("path").agg(F.max("modificationTime").alias("loaded"))
+        again = listed.join(latest, "path").where("modificationTime > loaded")
+        load(again.select(F.regexp_extract("path", DAY_IN_PATH, 1).alias("day")), -1)
 
     query = (
         arrivals.writeStream.foreachBatch(load)
@@ -53,6 +67,20 @@ def ingest_available(
         .start()
     )
     query.awaitTermination()
+    listed.write.mode("append").parquet(known)
+
+
+def _listing(spark: SparkSession, files: DailyFiles) -> DataFrame:
+    """Path and time of the files there are now, as a table of its own."""
+    path = fresh_path(spark, "listing")
+    try:
+        found = spark.read.format("binaryFile").schema(LISTING).load(f"{files.folder.rstrip('/')}/{files.prefix}-*.csv")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found = spark.createDataFrame([], LISTING)
+    found.select("path", "modificationTime").write.parquet(path)
+    return spark.read.schema("path string, modificationTime timestamp").parquet(path)
 
 
 def _runs(days: list[dt.date]) -> list[tuple[dt.date, dt.date]]:

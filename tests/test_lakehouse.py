@@ -86,3 +86,10 @@ def test_arrivals(spark, folder):
     rows = load()
     assert rows.count() == 15
     assert rows.where("id = '900'").first()[S.SOURCE_FILE] == "payments-20251005.csv"
+    # A file that is written again, with a correction and one more row.
+    write(folder, "payments", "2025-10-05", "id,state\n900,b\n901,c\n")
+    os.utime(f"{folder}/payments/payments-20251005.csv", (2e9, 2e9))
+    rows = load()
+    assert rows.count() == 16
+    assert {r.id: r.state for r in rows.where("id >= '900'").collect()} == {"900": "b", "901": "c"}
+    assert load().count() == 16
