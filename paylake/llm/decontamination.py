@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from paylake.llm.common import lower_ascii, row_key, stored
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# The same words before A-Z become lower case, to be counted.
+ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 13
 KGRAM = 8
 
@@ -42,6 +44,10 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(lower_ascii(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
 
 
+def word_count(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(ANY_CASE_WORD)), F.lit(0)).cast("long")
+
+
 def kgram(length: int) -> int:
     """The k-gram length that represents windows of ``length`` words."""
     return KGRAM if length >= WINDOW else length // 2 + 1
@@ -89,9 +95,9 @@ def windows(frame: DataFrame, length: int) -> DataFrame:
     """One row per window of ``length`` words: ``length, start, fp`` and 128 bits ``w1, w2``."""
     others = [c for c in frame.columns if c != "words"]
     of = lambda i: F.slice("words", i, length)
-    places = F.sequence(F.lit(1), F.size("fps"))
-    full = with_fingerprints(frame, length).where(F.size("fps") > 0)
-    return full.select(
+    # Not a filter: that would be moved below the join that finds the few texts of interest.
+    places = F.when(F.size("fps") > 0, F.sequence(F.lit(1), F.size("fps"))).otherwise(F.array().cast("array<int>"))
+    return with_fingerprints(frame, length).select(
         *others,
         F.posexplode(F.arrays_zip(
             F.col("fps").alias("fp"),
@@ -180,7 +186,7 @@ def spans_of_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per document: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans, item_ids``."""
-    counted = docs.select("doc_id", row_key().alias("key"), F.size(words(F.col("text"))).cast("long").alias("n_words"))
+    counted = docs.select("doc_id", row_key().alias("key"), word_count(F.col("text")).alias("n_words"))
     n_hit = F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["start"])
     none = F.array().cast("array<string>")
     return (
@@ -206,6 +212,5 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     key, hit = "_decontamination_key", "_decontamination_hit"
     keyed = docs.withColumn(key, row_key())
     bad = bad.select(F.col("key").alias(key), F.col("n_hit").alias(hit))
-    n_words = F.size(words(F.col("text")))
-    keep = F.col(hit).isNull() | (F.col(hit) * ONE_OF < n_words)
+    keep = F.col(hit).isNull() | (F.col(hit) * ONE_OF < word_count(F.col("text")))
     return keyed.join(bad, key, "left").where(keep).select(*docs.columns)
