@@ -32,6 +32,14 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def discard(frame: DataFrame) -> None:
+    """Deletes the files of a stored frame that nothing reads any more."""
+    jvm = frame.sparkSession._jvm
+    for folder in {file.rsplit("/", 1)[0] for file in frame.inputFiles()[:1]}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(frame.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def unused(name: str, *taken: Iterable[str]) -> str:
     """``name``, with underscores in front until no given column has it in any case."""
     names = {c.lower() for columns in taken for c in columns}

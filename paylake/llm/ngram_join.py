@@ -10,9 +10,9 @@ differ) bound the overlap from above; what passes is intersected exactly.
 The order has frequent shingles last, so common passages do not fill prefixes.  Which
 shingles count as frequent affects the speed only.
 
-Groups of copies: first each node is checked against one leader per tile.  Nodes that
-are linked by then form components, and only tiles in which several components meet are
-searched for further links, between those components.  Large tiles are cut into blocks
+Groups of copies: first, in a few rounds, each node is checked against leaders of
+other components.  Then only tiles in which several components are left are searched for
+further links, all of them between those components.  Large tiles are cut into blocks
 and each pair of blocks is a task of its own.
 
 Defined cases: NULL texts and texts without words have no shingles and are linked with
@@ -28,10 +28,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paylake.llm.common import stored, unused
+from paylake.llm.common import discard, stored, unused
 from paylake.llm.components import components
 from paylake.llm.shingles import digest, shingle_sets
 
@@ -43,14 +43,24 @@ LOCAL = 8
 # ... and so many are put last at most (the most frequent ones): 8 bytes each to every task.
 MOST_FREQUENT = 1 << 18
 
-# Nodes in a block of a tile.
+# Leaders of a tile, and rounds, as long as they link something.
+LEADERS = 3
+LEADER_ROUNDS = 2
+
+# Tiles of more nodes are compared by bitmaps in blocks of BLOCK nodes.
+SMALL_TILE = 64
 BLOCK = 1024
 
 # Node lists up to this length (16 bytes each) may be sent to all executors.
 SMALL_LIST = 1 << 18
 
+# Bits of a bitmap per element, and at least.  The more, the closer the bound.
+BITS_PER_ELEMENT = 4
 SMALLEST_BITMAP = 64
 
+# Rows that are dealt with at a time in Python.
+ROWS_AT_ONCE = 1000
+
 
 def least_overlap(nx, ny):
     """The smallest intersection at which sets of these sizes are similar enough."""
@@ -63,12 +73,18 @@ def prefix_length(n: int) -> int:
 
 
 def bitmap(hashes: np.ndarray) -> bytes:
-    """One parity bit per hash value; as many bits as the set has elements, to a power of two."""
-    bits = max(SMALLEST_BITMAP, 1 << max(len(hashes) - 1, 0).bit_length())
+    """One parity bit per hash value, in a power of two of bits."""
+    bits = max(SMALLEST_BITMAP, 1 << (len(hashes) * BITS_PER_ELEMENT - 1).bit_length())
     places = (hashes >> np.uint64(20)).astype(np.int64) & (bits - 1)
     return np.packbits((np.bincount(places, minlength=bits) & 1).astype(np.uint8)).tobytes()
 
 
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, len(batch), ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
+
+
 def _frequent_of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = list(shingle_sets(batch.column("text")))
@@ -80,13 +96,13 @@ def _frequent_of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 
 
 def frequent_shingles(docs: DataFrame) -> np.ndarray:
-    """Hashes of the shingles found most often, sorted; MOST_FREQUENT at most."""
+    """Hashes of the shingles found most often, MOST_FREQUENT at most, the most frequent one last."""
     counted = docs.select("text").mapInArrow(_frequent_of_batches, "token long, n long")
     top = (
         counted.groupBy("token").agg(F.sum("n").alias("n"))
         .orderBy(F.col("n").desc(), "token").limit(MOST_FREQUENT)
     )
-    return np.sort(top.toArrow().column("token").to_numpy().view(np.uint64))
+    return top.toArrow().column("token").to_numpy().view(np.uint64)[::-1].copy()
 
 
 PROFILE = "doc_id long, text_hash long, node binary, n long, prefix array<long>, bits binary"
@@ -94,11 +110,14 @@ PROFILE = "doc_id long, text_hash long, node binary, n long, prefix array<long>,
 
 def profiles(docs: DataFrame) -> DataFrame:
     """Per document: its node (a digest of its set), the set's size, prefix and bitmap."""
-    last = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs))
+    found = frequent_shingles(docs)
+    by_hash = np.argsort(found)
+    # The hashes in order, and how frequent each is.
+    last = docs.sparkSession.sparkContext.broadcast((found[by_hash], by_hash))
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = last.value
-        for batch in batches:
+        frequent, rank = last.value
+        for batch in _portions(batches):
             nodes, sizes, prefixes, bits = [], [], [], []
             for s in shingle_sets(batch.column("text")):
                 if not len(s):
@@ -106,8 +125,9 @@ def profiles(docs: DataFrame) -> DataFrame:
                     continue
                 take = prefix_length(len(s))
                 if len(frequent):
-                    late = frequent[np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)] == s
-                    first = np.concatenate([s[~late], s[late]])[:take]
+                    at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
+                    late = frequent[at] == s
+                    first = np.concatenate([s[~late], s[late][np.argsort(rank[at[late]])]])[:take]
                 else:
                     first = s[:take]
                 nodes.append(digest(s))
@@ -126,8 +146,14 @@ def profiles(docs: DataFrame) -> DataFrame:
     return stored(rows.mapInArrow(profile, PROFILE), "profiles")
 
 
+def _nodes(wide: DataFrame) -> DataFrame:
+    """One row per distinct set: ``node, uid, n, prefix, bits``; uid is a short name of the node."""
+    one = wide.where("n > 0").select("node", "n", "prefix", "bits").dropDuplicates(["node"])
+    return stored(one.withColumn("uid", F.monotonically_increasing_id()), "nodes")
+
+
 def _sets_of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _portions(batches):
         sets = [s.view(np.int64) for s in shingle_sets(batch.column("text"))]
         yield pa.record_batch(
             [batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "hashes"]
@@ -143,12 +169,13 @@ def _sets(docs: DataFrame, known: DataFrame, nodes: DataFrame) -> DataFrame:
         one = F.broadcast(one)
     texts = docs.select(F.struct("doc_id", F.xxhash64("text").alias("text_hash")).alias("of"), "text")
     return (
-        texts.join(one, "of").select("node", "text").mapInArrow(_sets_of_batches, "node binary, hashes array<long>")
+        texts.join(one, "of").dropDuplicates(["node"]).select("node", "text")
+        .mapInArrow(_sets_of_batches, "node binary, hashes array<long>")
     )
 
 
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _portions(batches):
         x, y = batch.column("hx"), batch.column("hy")
         keep = []
         for i in range(len(batch)):
@@ -162,24 +189,26 @@ def verified(docs: DataFrame, known: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those of the distinct ``pairs`` (a, b) that are similar enough."""
     pairs = stored(pairs, "pairs")
     nodes = stored(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "pair-nodes")
-    sets = stored(_sets(docs, known, nodes).dropDuplicates(["node"]), "sets")
+    sets = stored(_sets(docs, known, nodes), "sets")
     left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("hx"))
     right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("hy"))
-    return stored(
+    links = stored(
         pairs.join(left, "a").join(right, "b").select("a", "b", "hx", "hy")
         .mapInArrow(_overlaps, "a binary, b binary"),
         "links",
     )
+    discard(sets)
+    return links
 
 
 def _differing(xs: list[bytes], ys: list[bytes]) -> np.ndarray:
     """Bits that differ between the bitmaps of each x and each y; widths differ by halves."""
-    width = min(min(map(len, xs)), min(map(len, ys)))
+    width = min(min(map(len, xs)), min(map(len, ys))) // 8
 
     def folded(all_bits: list[bytes]) -> np.ndarray:
-        out = np.empty((len(all_bits), width), np.uint8)
+        out = np.empty((len(all_bits), width), np.uint64)
         for i, bits in enumerate(all_bits):
-            row = np.frombuffer(bits, np.uint8)
+            row = np.frombuffer(bits, np.uint64)
             out[i] = np.bitwise_xor.reduce(row.reshape(-1, width), axis=0) if len(row) > width else row
         return out
 
@@ -232,54 +261,138 @@ def _tile(table: pa.Table) -> pa.Table:
     return out.filter(pc.not_equal(out["a"], out["b"])).group_by(["a", "b"]).aggregate([])
 
 
-def _between_components(shared: DataFrame, roots: DataFrame, bits: DataFrame) -> DataFrame:
+def _between_components(labelled: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs of nodes of different components that meet in a tile and may be similar."""
-    labelled = (
-        shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    )
     labelled = stored(labelled, "labelled")
-    mixed = (
+    mixed = stored(
         labelled.groupBy("token")
         .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("rows"))
-        .where("low != high").select("token", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
+        .where("low != high").select("token", "rows"),
+        "mixed",
     )
+    # Small tiles, by far the most, by a join of bounded output: each row meets SMALL_TILE at most.
+    small = labelled.join(mixed.where(F.col("rows") <= SMALL_TILE), "token").drop("rows")
+    other = small.toDF("token", *[f"{c}2" for c in small.columns[1:]])
+    rest = F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2"))
+    need = F.ceil((F.col("n") + F.col("n2")) * NUMERATOR / (NUMERATOR + DENOMINATOR))
+    met = (
+        small.join(other, "token").where((F.col("node") < F.col("node2")) & (F.col("root") != F.col("root2")) & (rest >= need))
+        .select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
+    )
+    blocks = F.ceil(F.col("rows") / BLOCK).cast("int")
+    large = mixed.where(F.col("rows") > SMALL_TILE).select("token", blocks.alias("blocks"))
     own = F.pmod(F.hash("node"), F.col("blocks"))
     tiles = (
-        labelled.join(mixed, "token").withColumn("own", own)
+        labelled.join(large, "token").withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
             "token", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
             F.col("own").alias("block"), "node", "n", "place", "root",
         )
-        .join(bits, "node")
+        .join(nodes.select("node", "bits"), "node")
     )
-    return tiles.groupBy("token", "low", "high").applyInArrow(_tile, "a binary, b binary").distinct()
+    tiled = tiles.groupBy("token", "low", "high").applyInArrow(_tile, "a binary, b binary")
+    return _likely(met, nodes).union(tiled).distinct()
 
 
-def similar_groups(docs: DataFrame) -> DataFrame:
-    """Per document: ``doc_id, text_hash, n_shingles, component_id`` and ``node``, its set's digest."""
-    known = profiles(docs)
-    nodes = known.where("n > 0").dropDuplicates(["node"])
-    nodes = stored(nodes.select("node", "n", "prefix", "bits"), "nodes")
-    tokens = nodes.select("node", "n", F.posexplode("prefix").alias("place", "token"))
+def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Those of the pairs whose sizes and bitmaps allow enough overlap."""
+    left = nodes.select(F.col("node").alias("a"), F.col("n").alias("nx"), F.col("bits").alias("bx"))
+    right = nodes.select(F.col("node").alias("b"), F.col("n").alias("ny"), F.col("bits").alias("by"))
+    return (
+        pairs.join(left, "a").join(right, "b").select("a", "b", "nx", "ny", "bx", "by")
+        .mapInArrow(_possible, "a binary, b binary")
+    )
+
+
+def _shared(nodes: DataFrame) -> DataFrame:
+    """Prefix tokens that several nodes have: ``token, node, n, place``."""
+    # Narrow rows: most tokens occur once, and go no further than this join.
+    tokens = nodes.select("uid", "n", F.posexplode("prefix").alias("place", "token")).select(
+        "token", "uid", (F.shiftleft("n", 32) + F.col("place")).alias("spot")
+    )
     twice = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("token")
-    shared = stored(tokens.join(twice, "token"), "shared")
+    short = stored(tokens.join(twice, "token"), "shared")
+    return short.join(nodes.select("uid", "node"), "uid").select(
+        "token", "node", F.shiftright("spot", 32).alias("n"), (F.col("spot") % (1 << 32)).alias("place")
+    )
 
-    # One leader per tile; of the leaders of a node the one that it meets most often.
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(DENOMINATOR / NUMERATOR)))
-    banded = shared.select("token", "node", band.alias("band"))
-    leaders = stored(banded.groupBy("token", "band").agg(F.min("node").alias("leader")), "leaders")
-    led = banded.join(leaders, ["token", "band"]).where("node != leader")
-    best = led.groupBy("node", "leader").agg(F.count(F.lit(1)).alias("times")).groupBy("node").agg(
-        F.max(F.struct("times", "leader")).alias("best")
+
+def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose sizes and bitmaps allow enough overlap."""
+    for batch in batches:
+        nx, ny = batch.column("nx").to_numpy(), batch.column("ny").to_numpy()
+        differ = np.fromiter(
+            (
+                _differing([x], [y])[0, 0]
+                for x, y in zip(batch.column("bx").to_pylist(), batch.column("by").to_pylist(), strict=True)
+            ),
+            np.int64, len(batch),
+        )
+        need = least_overlap(nx, ny)
+        keep = (np.minimum(nx, ny) >= need) & ((nx + ny - differ) // 2 >= need)
+        yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+
+def _leading(labelled: DataFrame, nodes: DataFrame, number: int, tried: DataFrame | None) -> DataFrame:
+    """Pairs of a node and a leader that may be similar, each once: ``a`` is the smaller one.
+
+    The leaders of a tile are the LEADERS nodes of the smallest hashes of this round.  A node
+    takes the LEADERS leaders of other components that it meets most often.
+    """
+    smallest = [
+        F.min(F.struct(F.xxhash64("node", F.lit(number * LEADERS + i)).alias("h"), "node", "root", "n"))
+        for i in range(LEADERS)
+    ]
+    leaders = stored(
+        labelled.groupBy("token", "band").agg(F.array_distinct(F.array(*smallest)).alias("leaders")), "leaders"
     )
-    first = verified(docs, known, best.select(F.col("best.leader").alias("a"), F.col("node").alias("b")))
-    roots = components(first)
+    led = labelled.join(leaders, ["token", "band"]).select(
+        "node", "root", "n", F.explode("leaders").alias("l")
+    ).where((F.col("root") != F.col("l.root")) & (
+        F.least("n", "l.n") * DENOMINATOR >= F.greatest("n", "l.n") * NUMERATOR
+    ))
+    times = led.groupBy("node", F.col("l.node").alias("leader")).agg(F.count(F.lit(1)).alias("times"))
+    often = Window.partitionBy("node").orderBy(F.col("times").desc(), "leader")
+    best = times.withColumn("nth", F.row_number().over(often)).where(F.col("nth") <= LEADERS).select(
+        F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")
+    ).distinct()
+    if tried is not None:
+        best = best.join(tried, ["a", "b"], "left_anti")
+    return stored(_likely(best, nodes), "leading")
+
+
+def _labelled(shared: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """The rows of tiles with the ``root`` of each node's component, and its size band."""
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(DENOMINATOR / NUMERATOR)))
+    rows = shared.withColumn("band", band)
+    if roots is None:
+        return rows.withColumn("root", F.col("node"))
+    return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
-    more = _between_components(shared, roots, nodes.select("node", "bits"))
-    done = best.select(F.least("node", "best.leader").alias("a"), F.greatest("node", "best.leader").alias("b"))
-    second = verified(docs, known, more.join(done, ["a", "b"], "left_anti"))
-    roots = stored(components(first.union(second)), "roots")
+
+def similar_groups(docs: DataFrame) -> DataFrame:
+    """Per document: ``doc_id, text_hash, n_shingles, component_id`` and ``node``, its set's digest."""
+    wide = profiles(docs)
+    nodes = _nodes(wide)
+    known = stored(wide.select("doc_id", "text_hash", "node", "n"), "known")
+    discard(wide)
+    shared = stored(_shared(nodes), "tiles")
+    # Rounds of leaders: few pairs join most of what belongs together.
+    roots, links, tried = None, None, None
+    for number in range(LEADER_ROUNDS):
+        asked = _leading(stored(_labelled(shared, roots), "labelled"), nodes, number, tried)
+        tried = asked if tried is None else stored(tried.union(asked), "tried")
+        new = verified(docs, known, asked)
+        links = new if links is None else stored(links.union(new), "links")
+        roots = stored(components(links), "roots")
+        if not new.take(1):
+            break
+    # All that is left, between components.
+    more = _between_components(_labelled(shared, roots).drop("band"), nodes)
+    further = verified(docs, known, more.join(tried, ["a", "b"], "left_anti"))
+    if further.take(1):
+        roots = stored(components(links.union(further)), "roots")
 
     labelled = known.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = labelled.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
