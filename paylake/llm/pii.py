@@ -118,11 +118,12 @@ def revealing(docs: DataFrame, found_rows: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("both")).where(F.col("both") >= LEAST_SUPPORT)
     )
     together = stored(together, "together")
-    # Counts of all terms of the corpus, of which those that matter are kept.
+    # Counts of all terms of the corpus, added up before those that matter are looked up: an
+    # inner join, as a semi join would be moved below and carry every word.
     text = F.lower(F.coalesce(F.col("text"), F.lit("")))
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)))).alias("term"))
-    of_terms = words.join(together.select("term").distinct(), "term", "left_semi").groupBy("term").agg(
-        F.count(F.lit(1)).alias("with_term")
+    of_terms = words.groupBy("term").agg(F.count(F.lit(1)).alias("with_term")).join(
+        together.select("term").distinct(), "term"
     )
     of_entities = (
         found_rows.select("key", F.explode(F.array_distinct(F.transform("found", lambda m: F.concat_ws(
