@@ -39,8 +39,6 @@ TERM = r"\p{L}{3,}+"
 CONTEXT = 80
 NEAR = 8
 
-# A term is weighed if it stands near an entity in at least so many documents.
-LEAST_SUPPORT = 2
 DISCLOSED = 0.9
 GIVEN_AWAY = 0.97
 
@@ -101,6 +99,12 @@ def _terms(context: Column, at: Column, last: bool) -> Column:
     ))
 
 
+def _documents(docs: DataFrame) -> tuple[int, DataFrame]:
+    """The number of different documents, and the ``key`` and ``times`` of those given more than once."""
+    times = stored(docs.groupBy(row_key().alias("key")).agg(F.count(F.lit(1)).alias("times")), "document-times")
+    return times.count(), stored(times.where("times > 1"), "repeated-documents")
+
+
 def revealing(docs: DataFrame, found_rows: DataFrame) -> DataFrame:
     """Spans of terms that give an entity away: ``key, start, end, share``."""
     one = found_rows.dropDuplicates(["key"]).select("key", F.explode("found").alias("m"))
@@ -113,27 +117,32 @@ def revealing(docs: DataFrame, found_rows: DataFrame) -> DataFrame:
         one.select("key", entity.alias("entity"), F.explode(near).alias("t")).select("key", "entity", "t.*"),
         "entity-terms",
     )
-    together = (
-        pairs.select("key", "entity", "term").distinct().groupBy("entity", "term")
-        .agg(F.count(F.lit(1)).alias("both")).where(F.col("both") >= LEAST_SUPPORT)
+    together = stored(
+        pairs.select("key", "entity", "term").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")),
+        "together",
     )
-    together = stored(together, "together")
+    total, repeated = _documents(docs)
     # Counts of all terms of the corpus, added up before those that matter are looked up: an
     # inner join, as a semi join would be moved below and carry every word.
     text = F.lower(F.coalesce(F.col("text"), F.lit("")))
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)))).alias("term"))
-    of_terms = words.groupBy("term").agg(F.count(F.lit(1)).alias("with_term")).join(
-        together.select("term").distinct(), "term"
+    words = docs.select(row_key().alias("key"), text.alias("text")).join(repeated, "key", "left").select(
+        F.coalesce("times", F.lit(1)).alias("times"),
+        F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)))).alias("term"),
+    )
+    # A document given k times has each of its terms in k rows.
+    of_terms = (
+        words.groupBy("term", "times").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("term").agg(F.sum(F.expr("n div times")).alias("with_term"))
+        .join(together.select("term").distinct(), "term")
     )
     of_entities = (
-        found_rows.select("key", F.explode(F.array_distinct(F.transform("found", lambda m: F.concat_ws(
+        found_rows.dropDuplicates(["key"]).select("key", F.explode(F.array_distinct(F.transform("found", lambda m: F.concat_ws(
             ":", m["kind"], F.lower(m["value"])
         )))).alias("entity"))
         .groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity"))
     )
-    total = docs.count()
     information = F.log2(F.lit(float(max(total, 1))) / F.col("with_entity"))
-    given = F.log2(F.least(F.col("both") / F.col("with_term"), F.lit(1.0)))
+    given = F.log2(F.col("both") / F.col("with_term"))
     strong = (
         together.join(of_terms, "term").join(of_entities, "entity")
         .withColumn("share", F.when(information > 0, 1 + given / information))

@@ -77,6 +77,22 @@ def test_terms_that_give_an_entity_away(make_docs, prose):
     assert clean[12] == dict(rows)[12]
 
 
+def shown(rows, got):
+    """Per document the texts of its term spans."""
+    texts = dict(rows)
+    return {r["doc_id"]: [texts[r["doc_id"]][int(a) : int(b)] for kind, a, b in (
+        s.split(":") for s in r["spans"].split(",") if s) if kind == "term"] for r in got}
+
+
+def test_a_single_document_is_enough_and_copies_count_once(make_docs):
+    rows = [(i, "call about it please") for i in range(100)]
+    rows += [(200, "call Zebulon about +1 (555) 555-0100 please")]
+    assert shown(rows, pii.personal_data(make_docs(rows)).collect())[200] == ["Zebulon"]
+    # The same row five times over is one document, on all sides.
+    again = shown(rows, pii.personal_data(make_docs(rows + rows[-1:] * 4)).collect())
+    assert again[200] == ["Zebulon"]
+
+
 def test_empty(make_docs, odd):
     assert pii.personal_data(make_docs([])).count() == 0
     docs = make_docs(odd)
