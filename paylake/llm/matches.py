@@ -11,8 +11,11 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def prefix_sums(numbers: Column) -> Column:
-    """The running sums of an array of whole numbers, in log(size) passes."""
+def running(numbers: Column, combine) -> Column:
+    """What ``combine`` makes of the numbers up to each place, in log(size) passes.
+
+    ``combine`` is associative, the numbers are whole and 0 leaves the other as it is.
+    """
 
     def add(sums: Column, k: Column) -> Column:
         by = F.pow(F.lit(2), k).cast("int")
@@ -20,13 +23,18 @@ def prefix_sums(numbers: Column) -> Column:
             F.array_repeat(F.lit(0), F.least(by, F.size(sums))),
             F.slice(sums, F.lit(1), F.greatest(F.size(sums) - by, F.lit(0))),
         )
-        return F.zip_with(sums, shifted, lambda a, b: a + b)
+        return F.zip_with(sums, shifted, combine)
 
     steps = F.ceil(F.log2(F.greatest(F.size(numbers), F.lit(1)).cast("double"))).cast("int")
     passes = F.when(steps > 0, F.sequence(F.lit(0), steps - 1)).otherwise(F.array().cast("array<int>"))
     return F.aggregate(passes, numbers, add)
 
 
+def prefix_sums(numbers: Column) -> Column:
+    """The running sums of an array of whole numbers."""
+    return running(numbers, lambda a, b: a + b)
+
+
 def found(text: Column, pattern: str) -> Column:
     """The matches: an array of ``value, start, end, before, after``.
 

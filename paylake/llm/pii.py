@@ -2,14 +2,15 @@
 
 The base finds e-mail addresses, IP numbers, payment cards and phone numbers.  Each value
 found is a protected entity.  How strongly a term reveals an entity is estimated from the
-corpus: with P(e | t) the share of the documents with term t in which t stands near e, the
+corpus: with P(e | t) the share of the documents with term t that have e, too, the
 pointwise mutual information is log2 P(e | t) + IC(e), where IC(e) = -log2 P(e) is the
-information of the entity itself.  A term near an entity that gives away at least
-``DISCLOSED`` of IC(e) is a span, too; one that gives away ``GIVEN_AWAY`` is removed when
-a text is sanitised, others are replaced by a general word.
+information of the entity itself.  A term that gives away at least ``DISCLOSED`` of IC(e) of
+any entity is a span wherever it occurs, in all documents; one that gives away ``GIVEN_AWAY``
+is removed when a text is sanitised, others are replaced by a general word.
 
-Counts are numbers of documents, of the whole corpus; all are aggregated before they are
-shuffled, so an entity or term in a third of all documents is no single task.
+Terms are those of whole documents, outside the matches of the base.  Counts are numbers of
+documents, of the whole corpus, aggregated before they are shuffled.  As a term of too many
+documents cannot give an entity away (see ``_most_with_term``), only the others are paired.
 
 Defined cases: a NULL text is empty.  Rows alike in id and text get the same spans and
 count as one document each.  Empty tables give no rows.  Other columns are ignored.
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paylake.llm.common import row_key, stored
-from paylake.llm.matches import found, let
+from paylake.llm.matches import found, let, running
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -35,9 +36,9 @@ PATTERNS = {
 }
 TERM = r"\p{L}{3,}+"
 
-# Characters and words on either side of an entity in which terms are looked for.
-CONTEXT = 80
-NEAR = 8
+# Terms with at least this part of all (document, term) pairs are looked up in a small table
+# instead of a shuffle; for speed only.
+FREQUENT = 1 / 50000
 
 DISCLOSED = 0.9
 GIVEN_AWAY = 0.97
@@ -63,40 +64,62 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def entities(docs: DataFrame) -> DataFrame:
-    """Documents that have some: ``key`` and ``found``, a sorted array of all valid matches.
-
-    Its elements are ``start, kind`` (the place in KINDS), ``end, value, before, after``,
-    the last two cut to CONTEXT characters.
-    """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(row_key().alias("key"), text.alias("text"))
+def _matches(text: Column) -> Column:
+    """All valid matches, a sorted array of ``start, kind`` (the place in KINDS), ``end, value``."""
     possible = {
-        "email": F.contains("text", F.lit("@")), "ip": F.col("text").rlike(r"[0-9]\.[0-9]"),
-        "card": F.col("text").rlike(r"[0-9][\x20-]?[0-9]"), "phone": F.contains("text", F.lit("+")),
+        "email": F.contains(text, F.lit("@")), "ip": text.rlike(r"[0-9]\.[0-9]"),
+        "card": text.rlike(r"[0-9][\x20-]?[0-9]"), "phone": F.contains(text, F.lit("+")),
     }
 
     def of(i: int, kind: str) -> Column:
-        valid = F.filter(found(F.col("text"), PATTERNS[kind]), lambda m: _valid(kind, m["value"]))
+        valid = F.filter(found(text, PATTERNS[kind]), lambda m: _valid(kind, m["value"]))
         rows = F.transform(valid, lambda m: F.struct(
-            m["start"].alias("start"), F.lit(i).alias("kind"), m["end"].alias("end"), m["value"].alias("value"),
-            F.substring(m["before"], F.greatest(F.length(m["before"]) - CONTEXT + 1, F.lit(1)), F.lit(CONTEXT))
-            .alias("before"),
-            F.substring(m["after"], 1, CONTEXT).alias("after"),
+            m["start"].alias("start"), F.lit(i).alias("kind"), m["end"].alias("end"), m["value"].alias("value")
         ))
         return F.coalesce(F.when(possible[kind], rows), F.array())
 
-    each = [of(i, kind) for i, kind in enumerate(KINDS)]
-    return rows.select("key", F.array_sort(F.concat(*each)).alias("found")).where(F.size("found") > 0)
+    return F.array_sort(F.concat(*[of(i, kind) for i, kind in enumerate(KINDS)]))
 
 
-def _terms(context: Column, at: Column, last: bool) -> Column:
-    """The NEAR terms of a context that starts at ``at``: its last ones or its first."""
-    terms = found(context, TERM)
-    near = let(terms, lambda t: F.slice(t, F.greatest(F.size(t) - NEAR + 1, F.lit(1)), F.lit(NEAR))) if last else F.slice(terms, 1, NEAR)
-    return F.transform(near, lambda t: F.struct(
-        F.lower(t["value"]).alias("term"), (at + t["start"]).alias("start"), (at + t["end"]).alias("end")
-    ))
+def _outside(text: Column, matches: Column) -> Column:
+    """``text`` with blanks in place of the matches; all other places stay."""
+
+    def with_ends(ends: Column) -> Column:
+        def piece(m: Column, i: Column) -> Column:
+            before = F.coalesce(F.get(ends, i - 1), F.lit(0))
+            gap = F.greatest(m["start"] - before, F.lit(0))
+            return F.concat(F.substring(text, before + 1, gap), F.repeat(F.lit(" "), F.get(ends, i) - before - gap))
+
+        rest = F.substring(text, F.get(ends, F.size(ends) - 1) + 1, F.length(text))
+        return F.concat(F.array_join(F.transform(matches, piece), ""), rest)
+
+    ends = running(F.transform(matches, lambda m: m["end"]), lambda a, b: F.greatest(a, b))
+    return F.when(F.size(matches) == 0, text).otherwise(let(ends, with_ends))
+
+
+def _read(docs: DataFrame) -> DataFrame:
+    """``key``, ``found``: the matches, and ``words``: the text outside of them."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select(row_key().alias("key"), text.alias("text")).withColumn("found", _matches(F.col("text")))
+    return rows.select("key", "found", _outside(F.col("text"), F.col("found")).alias("words"))
+
+
+def _distinct_terms() -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower("words"), F.lit(TERM), F.lit(0)))
+
+
+def entities(docs: DataFrame) -> DataFrame:
+    """Documents that have some: ``key``, ``found`` and ``terms``, the different terms."""
+    return _read(docs).where(F.size("found") > 0).select("key", "found", _distinct_terms().alias("terms"))
+
+
+def _most_with_term(with_entity: Column, total: int) -> Column:
+    """No term of more documents than this gives an entity of ``with_entity`` documents away.
+
+    A share of DISCLOSED needs both / with_term >= (with_entity / total) ** (1 - DISCLOSED), and
+    both is with_entity at most.  The last digits are on the safe side.
+    """
+    return F.pow(with_entity, F.lit(DISCLOSED)) * float(max(total, 1)) ** (1 - DISCLOSED) * 1.000001
 
 
 def _documents(docs: DataFrame) -> tuple[int, DataFrame]:
@@ -105,51 +128,65 @@ def _documents(docs: DataFrame) -> tuple[int, DataFrame]:
     return times.count(), stored(times.where("times > 1"), "repeated-documents")
 
 
-def revealing(docs: DataFrame, found_rows: DataFrame) -> DataFrame:
-    """Spans of terms that give an entity away: ``key, start, end, share``."""
-    one = found_rows.dropDuplicates(["key"]).select("key", F.explode("found").alias("m"))
-    entity = F.concat_ws(":", F.col("m.kind"), F.lower("m.value"))
-    near = F.concat(
-        _terms(F.col("m.before"), F.col("m.start") - F.length("m.before"), True),
-        _terms(F.col("m.after"), F.col("m.end"), False),
-    )
-    pairs = stored(
-        one.select("key", entity.alias("entity"), F.explode(near).alias("t")).select("key", "entity", "t.*"),
-        "entity-terms",
-    )
-    together = stored(
-        pairs.select("key", "entity", "term").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")),
-        "together",
-    )
-    total, repeated = _documents(docs)
-    # Counts of all terms of the corpus, added up before those that matter are looked up: an
-    # inner join, as a semi join would be moved below and carry every word.
-    text = F.lower(F.coalesce(F.col("text"), F.lit("")))
-    words = docs.select(row_key().alias("key"), text.alias("text")).join(repeated, "key", "left").select(
-        F.coalesce("times", F.lit(1)).alias("times"),
-        F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)))).alias("term"),
+def _document_terms(docs: DataFrame, repeated: DataFrame) -> DataFrame:
+    """All terms: ``term`` and ``with_term``, the number of documents that have it."""
+    terms = _read(docs).join(repeated, "key", "left").select(
+        F.coalesce("times", F.lit(1)).alias("times"), F.explode(_distinct_terms()).alias("term")
     )
     # A document given k times has each of its terms in k rows.
-    of_terms = (
-        words.groupBy("term", "times").agg(F.count(F.lit(1)).alias("n"))
+    return (
+        terms.groupBy("term", "times").agg(F.count(F.lit(1)).alias("n"))
         .groupBy("term").agg(F.sum(F.expr("n div times")).alias("with_term"))
-        .join(together.select("term").distinct(), "term")
     )
-    of_entities = (
-        found_rows.dropDuplicates(["key"]).select("key", F.explode(F.array_distinct(F.transform("found", lambda m: F.concat_ws(
-            ":", m["kind"], F.lower(m["value"])
-        )))).alias("entity"))
-        .groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity"))
+
+
+def _frequent(of_terms: DataFrame) -> DataFrame:
+    least = (of_terms.agg(F.sum("with_term")).first()[0] or 0) * FREQUENT
+    return stored(of_terms.where(F.col("with_term") >= least), "frequent-terms")
+
+
+def _strong(found_rows: DataFrame, of_terms: DataFrame, total: int) -> DataFrame:
+    """``term`` and ``share``, the largest one, of the terms that give some entity away."""
+    one = found_rows.dropDuplicates(["key"])
+    of_keys = one.select("key", F.explode(F.array_distinct(F.transform(
+        "found", lambda m: F.concat_ws(":", m["kind"], F.lower(m["value"]))
+    ))).alias("entity"))
+    of_entities = of_keys.groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity")).where(
+        F.col("with_entity") < total
+    )
+    shown = stored(
+        of_keys.join(of_entities, "entity").withColumn("most", _most_with_term(F.col("with_entity"), total)),
+        "shown-entities",
     )
-    information = F.log2(F.lit(float(max(total, 1))) / F.col("with_entity"))
-    given = F.log2(F.col("both") / F.col("with_term"))
-    strong = (
-        together.join(of_terms, "term").join(of_entities, "entity")
-        .withColumn("share", F.when(information > 0, 1 + given / information))
-        .where(F.col("share") >= DISCLOSED).select("entity", "term", "share")
+    bounds = shown.groupBy("key").agg(F.max("most").alias("most"))
+    words = one.select("key", "terms").join(bounds, "key").select("key", "most", F.explode("terms").alias("term"))
+    frequent = _frequent(of_terms)
+    rest = words.join(frequent, "term", "left_anti").join(of_terms, "term")
+    rare = words.join(frequent, "term").unionByName(rest).where(F.col("with_term") <= F.col("most"))
+    together = (
+        shown.join(rare.drop("most"), "key").where(F.col("with_term") <= F.col("most"))
+        .groupBy("entity", "term", "with_entity", "with_term").agg(F.count(F.lit(1)).alias("both"))
     )
+    information = F.log2(F.lit(float(total)) / F.col("with_entity"))
+    share = 1 + F.log2(F.col("both") / F.col("with_term")) / information
+    return together.withColumn("share", share).where(F.col("share") >= DISCLOSED).groupBy("term").agg(
+        F.max("share").alias("share")
+    )
+
+
+def revealing(docs: DataFrame, found_rows: DataFrame) -> DataFrame:
+    """Spans of terms that give an entity away, in all documents: ``key, start, end, share``."""
+    total, repeated = _documents(docs)
+    of_terms = stored(_document_terms(docs, repeated), "document-terms")
+    strong = stored(_strong(found_rows, of_terms, total), "strong-terms")
+    weak = stored(_frequent(of_terms).select("term").join(strong, "term", "left_anti"), "weak-terms")
+    places = F.transform(found(F.col("words"), TERM), lambda t: F.struct(
+        F.lower(t["value"]).alias("term"), t["start"].alias("start"), t["end"].alias("end")
+    ))
+    occurring = _read(docs).select("key", F.explode(places).alias("t")).select("key", "t.*")
     return (
-        pairs.join(strong, ["entity", "term"]).groupBy("key", "start", "end").agg(F.max("share").alias("share"))
+        occurring.join(weak, "term", "left_anti").join(strong, "term")
+        .groupBy("key", "start", "end").agg(F.max("share").alias("share"))
     )
 
 
@@ -169,7 +206,7 @@ def _spans_of(docs: DataFrame) -> DataFrame:
     base = rows.dropDuplicates(["key"]).select("key", F.transform("found", lambda m: F.struct(
         m["start"].alias("start"), m["kind"].alias("kind"), m["end"].alias("end")
     )).alias("base"))
-    return base.join(extra, "key", "left")
+    return base.join(extra, "key", "full")
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
@@ -202,7 +239,7 @@ def sanitised(docs: DataFrame) -> DataFrame:
     ))
     changes = spans.select(
         F.col("key").alias("_pii_key"),
-        F.array_sort(F.concat(base, F.coalesce(terms, F.array()))).alias("_pii_spans"),
+        F.array_sort(F.concat(F.coalesce(base, F.array()), F.coalesce(terms, F.array()))).alias("_pii_spans"),
     )
 
     def replace(state: Column, s: Column) -> Column:

@@ -93,6 +93,24 @@ def test_a_single_document_is_enough_and_copies_count_once(make_docs):
     assert again[200] == ["Zebulon"]
 
 
+def test_terms_of_whole_documents_in_all_documents(make_docs):
+    rows = [(i, "call about it please") for i in range(200)]
+    far = "about please call " * 30
+    rows += [(300 + i, f"Zebulon {far} +1 (555) 555-0100 {far} 1.2.3.4 {far} Zebulon") for i in range(8)]
+    rows += [(400, f"call Zebulon please {far}")]
+    got = shown(rows, pii.personal_data(make_docs(rows)).collect())
+    assert all(got[300 + i] == ["Zebulon", "Zebulon"] for i in range(8))
+    # The term gives the number away where that is not shown, too.
+    assert got[400] == ["Zebulon"] and got[0] == []
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitised(make_docs(rows)).collect()}
+    assert not any("Zebulon" in text for text in clean.values()) and clean[0] == rows[0][1]
+
+
+def test_words_of_an_entity_are_no_terms_of_it(make_docs):
+    rows = [(i, "call about it please") for i in range(50)] + [(60, "call zeb.ulon@mail.example 1.2.3.4 please")]
+    assert shown(rows, pii.personal_data(make_docs(rows)).collect())[60] == []
+
+
 def test_empty(make_docs, odd):
     assert pii.personal_data(make_docs([])).count() == 0
     docs = make_docs(odd)
