@@ -212,26 +212,19 @@ def fact_changes(
 ) -> DataFrame:
     """Fact rows to insert or replace after the snapshot days ``first`` to ``last`` came in.
 
-    Affected are the transactions of those days and the transactions already in
-    ``target`` whose reference got a payment on those days.  The latter are taken
-    from ``target``, which holds all that is needed of them.
+    These are the transactions of those days and all rows of ``target`` that would be
+    different now: a payment came or was withdrawn by a day loaded again, or a merchant
+    was delivered or withdrawn.  What a withdrawn row has changed shows in no input, so
+    the rows of ``target``, which holds all that is needed of them, are matched anew.
     """
     changed_ids = of_days(silver_link_tx, first, last).select("transaction_id")
     changed = payment_references(silver_link_tx.join(changed_ids, "transaction_id", "left_semi"))
-    paid = of_days(silver_payments, first, last).where("reference IS NOT NULL").selectExpr(
-        "reference AS payment_reference"
-    )
-    late = (
-        target.join(paid, "payment_reference", "left_semi")
-        .join(changed_ids, "transaction_id", "left_anti")
-        .selectExpr("transaction_id", "payment_reference", f"{S.GATING_TS} AS tx_started_at")
-    )
-    affected = changed.unionByName(late)
-    references = affected.where("payment_reference IS NOT NULL").selectExpr(
-        "payment_reference AS reference"
-    )
-    final = payment_final(silver_payments.join(references, "reference", "left_semi"))
-    return _shape(affected, final, merchants)
+    others = target.join(changed_ids, "transaction_id", "left_anti")
+    again = others.selectExpr("transaction_id", "payment_reference", f"{S.GATING_TS} AS tx_started_at")
+    shaped = _shape(changed.unionByName(again), payment_final(silver_payments), merchants)
+    before = others.select(F.col("transaction_id").alias("_id"), F.struct(*shaped.columns).alias("_before"))
+    same = F.coalesce(F.col("_before").eqNullSafe(F.struct(*shaped.columns)) & F.col("_id").isNotNull(), F.lit(False))
+    return shaped.join(before, F.col("transaction_id") == F.col("_id"), "left").where(~same).select(*shaped.columns)
 
 
 def fact_updated(target: DataFrame, changes: DataFrame) -> DataFrame:

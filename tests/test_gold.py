@@ -134,6 +134,25 @@ def test_incremental_equals_full_with_late_payments(spark):
     assert sorted(map(str, updated.collect())) == sorted(map(str, full.collect()))
 
 
+def test_increment_sees_new_merchants_and_withdrawn_payments(spark):
+    tx = transactions(spark, *[{"id": str(i), "linkpay_reference": ref, "created_at": "2025-10-01"}
+                               for i, ref in enumerate("abcd")])
+    pays = [{"id": "1", "reference": "a", "state": "settled", "merchant_id": "9", "created_at": "2025-10-01"},
+            {"id": "3", "reference": "c", "state": "initial", "merchant_id": "8", "created_at": "2025-10-01"},
+            {"id": "5", "reference": "d", "state": "settled", "merchant_id": "8", "created_at": "2025-10-01"}]
+    withdrawn = [{"id": "2", "reference": "b", "state": "settled", "merchant_id": "8", "created_at": "2025-10-01",
+                  S.SNAPSHOT: R.DAY_2},
+                 {"id": "3", "reference": "c", "state": "settled", "merchant_id": "8", "created_at": "2025-10-01",
+                  "updated_at": "2025-10-02", S.SNAPSHOT: R.DAY_2}]
+    shops = [{"id": "8", "name": "old"}, {"id": "9", "name": "new", S.SNAPSHOT: R.DAY_2}]
+    before = gold.fact_transactions(tx, payments(spark, *pays, *withdrawn), merchants(spark, shops[0]))
+    pay, known = payments(spark, *pays), merchants(spark, *shops)
+    changes = gold.fact_changes(before, tx, pay, known, R.DAY_2)
+    assert sorted(r.transaction_id for r in changes.collect()) == [0, 1, 2]
+    full = gold.fact_transactions(tx, pay, known)
+    assert sorted(map(str, gold.fact_updated(before, changes).collect())) == sorted(map(str, full.collect()))
+
+
 def test_high_water_mark_starts_at_the_epoch(spark):
     frame = gold.fact_transactions(
         transactions(spark, {"id": "1", "created_at": "2025-10-01"}, {"id": "2"}),
