@@ -1,6 +1,8 @@
 """Secret scan: candidates by a broad pattern, false positives removed by a random forest.
 
-A candidate is a long run of characters that keys and tokens are made of.  The forest
+A candidate is a long run of characters that keys and tokens are made of, or what a name
+like "token" is given: after ``=`` or ``:``, in quotes or to the next blank, of any length and
+characters.  In runs, ``=`` only stands at the end.  The forest
 judges it by its length, character transitions, how much of it dictionary words cover,
 paths and the words next to it.  It learns from labelled findings: those given by the
 caller, or those on which two strict rules agree (an assignment to a name like "token" of
@@ -30,12 +32,16 @@ from paylake.llm.common import row_key, stored, unused
 from paylake.llm.matches import found
 
 LEAST_LENGTH = 16
-CANDIDATE = f"[A-Za-z0-9+/_=-]{{{LEAST_LENGTH},}}+"
+RUN = f"[A-Za-z0-9+/_-]{{{LEAST_LENGTH},}}+(?:={{1,2}}+(?![A-Za-z0-9+/_=-]))?"
 # Characters of context on either side.
 CONTEXT = 40
 
 NAMED = r"(?i)(?:token|secret|passw(?:or)?d|pwd|credentials?|api[_-]?key|access[_-]?key|private[_-]?key)"
 ASSIGNED = NAMED + r"""["']?\s*[:=]+\s*["']?$"""
+# A name that ends in one of NAMED, tried only where a name begins, and what it is given.
+TO = rf"""[A-Za-z0-9_-]*(?:{NAMED})["']?\s*+[:=]++\s*+"""
+GIVEN = rf"""(?<![A-Za-z0-9_-]){TO}(?:"[^"\n]++(?=")|'[^'\n]++(?=')|["']?[^\s"']\S*+)"""
+CANDIDATE = f"(?:{GIVEN}|{RUN})"
 
 SAMPLE = 4000
 DICTIONARY = 100
@@ -49,16 +55,26 @@ LOOKS = (
 NEIGHBOURS = ("named", "assigned", "quoted", "words_near")
 
 
+def _name(match: Column) -> Column:
+    """What of a match of CANDIDATE comes before the candidate itself."""
+    return F.regexp_extract(match, rf"""^{TO}["']?(?=[^"'])""", 0)
+
+
 def candidates(docs: DataFrame) -> DataFrame:
     """One row per candidate: ``key, place, start, end, value, before, after``."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(row_key().alias("key"), text.alias("text")).where(F.col("text").rlike(CANDIDATE))
-    cut = F.transform(found(F.col("text"), CANDIDATE), lambda m: F.struct(
-        m["start"].alias("start"), m["end"].alias("end"), m["value"].alias("value"),
-        F.substring(m["before"], F.greatest(F.length(m["before"]) - CONTEXT + 1, F.lit(1)), F.lit(CONTEXT))
-        .alias("before"),
-        F.substring(m["after"], 1, CONTEXT).alias("after"),
-    ))
+    def piece(m: Column) -> Column:
+        name = _name(m["value"])
+        before = F.concat(m["before"], name)
+        return F.struct(
+            (m["start"] + F.length(name)).alias("start"), m["end"].alias("end"),
+            F.substring(m["value"], F.length(name) + 1, F.length(m["value"])).alias("value"),
+            F.substring(before, F.greatest(F.length(before) - CONTEXT + 1, F.lit(1)), F.lit(CONTEXT)).alias("before"),
+            F.substring(m["after"], 1, CONTEXT).alias("after"),
+        )
+
+    cut = F.transform(found(F.col("text"), CANDIDATE), piece)
     return rows.select("key", F.posexplode(cut).alias("place", "m")).select("key", "place", "m.*")
 
 
@@ -183,7 +199,7 @@ def masked(docs: DataFrame, findings: DataFrame | None = None) -> DataFrame:
     ).withColumnRenamed("key", key)
     text, at = F.col("text"), F.col(places)
     values = F.transform(found(text, CANDIDATE), lambda m, i: F.concat(
-        m["before"], F.when(F.array_contains(at, i), F.lit(MASK)).otherwise(m["value"])
+        m["before"], F.when(F.array_contains(at, i), F.concat(_name(m["value"]), F.lit(MASK))).otherwise(m["value"])
     ))
     rest = F.element_at(F.split(text, CANDIDATE, -1), -1)
     joined = docs.withColumn(key, row_key()).join(changed, key, "left")

@@ -52,6 +52,24 @@ def test_given_findings_and_missing_labels(spark, make_docs):
     assert sum(r["n_secrets"] for r in S.secrets(docs).collect()) == 0
 
 
+def test_what_a_name_is_given_is_a_candidate(make_docs):
+    text = {
+        1: 'password = "a.$1!@#:b c"', 2: "MY_API_KEY=abc123def456ghi789 x", 3: "pwd: s3cr3t", 4: "the token is a word",
+        5: "MY_VERY_LONG_PRODUCTION_API_KEY=k1 x", 6: "x QUJDREVGR0hJSktMTU5PUA== y", 7: "token = 'q9' secret: \"un",
+    }
+    got = {}
+    for r in S.candidates(make_docs(list(text.items()))).collect():
+        i = r["key"]["id"]
+        assert text[i][r["start"] : r["end"]] == r["value"]
+        got.setdefault(i, []).append(r["value"])
+    assert got == {1: ["a.$1!@#:b c"], 2: ["abc123def456ghi789"], 3: ["s3cr3t"], 5: ["k1"],
+                   6: ["QUJDREVGR0hJSktMTU5PUA=="], 7: ["q9", "un"]}
+    # Without labelled findings of both kinds the strict rule decides.
+    clean = {r["doc_id"]: r["text"] for r in S.masked(make_docs([(i, text[i]) for i in (1, 2, 3, 5)])).collect()}
+    assert clean == {1: 'password = "[secret]"', 2: "MY_API_KEY=[secret] x", 3: "pwd: [secret]",
+                     5: "MY_VERY_LONG_PRODUCTION_API_KEY=[secret] x"}
+
+
 def test_empty_and_long(make_docs):
     assert S.secrets(make_docs([])).count() == 0 and S.masked(make_docs([])).count() == 0
     long = make_docs([(1, "A" * 200000), (2, " ".join(["q" * 20] * 5000))])
