@@ -11,7 +11,8 @@ is none).  Each labelled finding is learnt from twice, the second time without i
 neighbours, so that a secret is known by its looks, too.
 
 The sample learnt from is bounded: ``SAMPLE`` findings of either label, chosen by hash.
-The dictionary is the ``DICTIONARY`` most frequent words next to candidates.  Everything
+The dictionary is a table of the words that make up at least ``FREQUENT`` of all words of
+all texts outside candidates, and that a candidate's letter pieces are joined to.  Everything
 else covers all rows.
 
 Defined cases: a NULL text has no candidates.  Rows alike in id and text get the same
@@ -44,7 +45,11 @@ GIVEN = rf"""(?<![A-Za-z0-9_-]){TO}(?:"[^"\n]++(?=")|'[^'\n]++(?=')|["']?[^\s"']
 CANDIDATE = f"(?:{GIVEN}|{RUN})"
 
 SAMPLE = 4000
-DICTIONARY = 100
+# Words of at least this part of all words, and at least twice, make the dictionary.
+FREQUENT = 1e-6
+WORD = r"\p{L}{3,}+"
+# Pieces of an identifier: configurationManager, HTTPServer.
+PIECE = "[A-Z]?[a-z]{2,}+|[A-Z]{3,}+(?![a-z])|[A-Z]{2,}(?=[A-Z][a-z])"
 TREES, DEPTH, SEED = 20, 6, 7
 THRESHOLD = 0.5
 MASK = "[secret]"
@@ -78,27 +83,37 @@ def candidates(docs: DataFrame) -> DataFrame:
     return rows.select("key", F.posexplode(cut).alias("place", "m")).select("key", "place", "m.*")
 
 
-def dictionary(rows: DataFrame) -> list[str]:
-    """The most frequent words around candidates, in lower case."""
-    near = F.regexp_extract_all(F.lower(F.concat_ws(" ", "before", "after")), F.lit(r"\p{L}{3,}"), F.lit(0))
-    top = (
-        rows.select(F.explode(near).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.col("n").desc(), "word").limit(DICTIONARY)
+def dictionary(docs: DataFrame) -> DataFrame:
+    """The frequent words of all texts outside candidates, in lower case: ``word``."""
+    text = F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), CANDIDATE, " ")
+    counted = stored(
+        docs.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))).alias("word"))
+        .groupBy("word").agg(F.count(F.lit(1)).alias("n")), "words",
     )
-    return [r["word"] for r in top.collect()]
+    least = max((counted.agg(F.sum("n")).first()[0] or 0) * FREQUENT, 2)
+    return stored(counted.where(F.col("n") >= least).select("word"), "dictionary")
+
+
+def with_coverage(rows: DataFrame, words: DataFrame) -> DataFrame:
+    """Adds ``known_letters``: how many letters of a candidate are in pieces that are words."""
+    pieces = rows.dropDuplicates(["key", "place"]).select(
+        "key", "place", F.explode(F.regexp_extract_all("value", F.lit(PIECE), F.lit(0))).alias("piece")
+    ).select("key", "place", F.lower("piece").alias("word"))
+    covered = (
+        pieces.groupBy("key", "place", "word").agg(F.count(F.lit(1)).alias("n")).join(words, "word")
+        .groupBy("key", "place").agg(F.sum(F.col("n") * F.length("word")).alias("known_letters"))
+    )
+    return rows.join(covered, ["key", "place"], "left").withColumn("known_letters", F.coalesce("known_letters", F.lit(0)))
 
 
-def with_features(rows: DataFrame, words: list[str]) -> DataFrame:
-    """Adds the columns LOOKS and NEIGHBOURS."""
+def with_features(rows: DataFrame) -> DataFrame:
+    """Adds the columns LOOKS and NEIGHBOURS to rows of :func:`with_coverage`."""
     value, low = F.col("value"), F.lower("value")
     length = F.length(value).cast("double")
 
     def share(pattern: str, of: Column = value) -> Column:
         return F.regexp_count(of, F.lit(pattern)) / length
 
-    # Letters only, by \p{L}: nothing that a pattern could mistake.
-    known = "|".join(sorted(words, key=lambda w: (-len(w), w)))
-    covered = 1 - F.length(F.regexp_replace(low, known, "")) / length if words else F.lit(0.0)
     features = {
         "length": F.least(F.log(length), F.lit(7.0)),
         "digits": share("[0-9]"),
@@ -111,7 +126,7 @@ def with_features(rows: DataFrame, words: list[str]) -> DataFrame:
         "vowel_steps": share("(?<=[aeiou])[bcdfghjklmnpqrstvwxyz]", low),
         "variety": F.size(F.array_distinct(F.split(value, ""))) / F.least(length, F.lit(64.0)),
         "hex": value.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$").cast("double"),
-        "covered": covered,
+        "covered": F.col("known_letters") / length,
         "path": (value.rlike("[A-Za-z]/[A-Za-z]") | F.col("before").rlike(r"[/.\\]$")).cast("double"),
         "named": F.col("before").rlike(NAMED).cast("double"),
         "assigned": F.col("before").rlike(r"""[:=]\s*["']?$""").cast("double"),
@@ -153,7 +168,7 @@ def scan(docs: DataFrame, findings: DataFrame | None = None) -> DataFrame:
     ``findings`` has ``doc_id, start, label`` (1: a secret) and replaces the strict rules.
     """
     rows = stored(candidates(docs), "candidates")
-    described = stored(with_features(rows, dictionary(rows)), "features")
+    described = stored(with_features(with_coverage(rows, dictionary(docs))), "features")
     strict = strict_label(F.col("value"), F.col("before"))
     if findings is None:
         labelled = described.withColumn("label", strict)

@@ -70,6 +70,15 @@ def test_what_a_name_is_given_is_a_candidate(make_docs):
                      5: "MY_VERY_LONG_PRODUCTION_API_KEY=[secret] x"}
 
 
+def test_dictionary_covers_rare_words_far_from_candidates(make_docs):
+    common = " ".join(f"common{chr(97 + i // 26)}{chr(97 + i % 26)} " * 3 for i in range(200))
+    rows = [(1, f"x configurationManagerFactory y {common}"), (2, "configuration of the manager"),
+            (3, "a factory, a configuration, a manager, a factory"), (4, "y 0123456789abcdefabcdef z")]
+    docs = make_docs(rows)
+    got = S.with_features(S.with_coverage(S.candidates(docs), S.dictionary(docs))).collect()
+    assert {r["key"]["id"]: r["covered"] for r in got} == {1: 1.0, 4: 0.0}
+
+
 def test_empty_and_long(make_docs):
     assert S.secrets(make_docs([])).count() == 0 and S.masked(make_docs([])).count() == 0
     long = make_docs([(1, "A" * 200000), (2, " ".join(["q" * 20] * 5000))])
