@@ -1,8 +1,8 @@
 """Similarity join of documents on word shingles, exact: Jaccard similarity of 0.8 or more.
 
 Documents with the same set of shingles are one node from the start.  Nodes meet in
-tiles: nodes of similar size (a band) that share one of the shingles in their prefix,
-the first fifth of a set in a common order.  Two sets that are similar enough always
+tiles: nodes that share one of the shingles in their prefix, the first fifth of a set in a
+common order; tiles of leaders (see below) are of nodes of similar size (a band), too.  Two sets that are similar enough always
 share one of those.  In a tile, sizes, places in the prefix and hashed bitmaps (one
 parity bit per hash; the bits that differ are a lower bound of the elements that
 differ) bound the overlap from above; what passes is intersected exactly.
