@@ -9,6 +9,7 @@ simply contribute no rows.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -21,7 +22,6 @@ from pyspark.sql import types as T
 from paylake import schemas as S
 from paylake.functions import blank_to_null
 from paylake.operators.merge import empty, union_drifting
-from paylake.sources.quoted_lines import read_stitched, with_open_quotes
 from paylake.sources.tables import is_missing_path
 
 # A header is one small read of the start of a file; several are read at a time.
@@ -90,27 +90,40 @@ def _lineage(rows: DataFrame) -> DataFrame:
     )
 
 
+def days_with_open_quotes(spark: SparkSession, paths: list[str]) -> set[str]:
+    """Days (YYYYMMDD) that have a file with a quoted line break: a line with an odd number of quotes."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    found = (
+        spark.read.text(paths).where(quotes % 2 == 1)
+        .select(F.regexp_extract("_metadata.file_path", DAY_IN_PATH, 1).alias("day"))
+        .distinct().collect()  # one row per day
+    )
+    return {row.day for row in found}
+
+
 def read_text_columns(spark: SparkSession, paths: list[str], columns: list[str]) -> DataFrame:
     """All ``columns`` as text, plus the file path; empty fields are NULL, ``NA`` stays text.
 
-    A quoted line break makes a file unsplittable for the CSV reader.  Files
-    without one are split as usual; the others are put together by
-    :func:`paylake.sources.quoted_lines.read_stitched`, also in parallel.
+    Files are read in splits.  A quoted line break makes a file unsplittable: the files of
+    such a day are read whole, one task each, so large days have to come as part files.
     """
     schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
-    broken = with_open_quotes(spark, paths)
+    broken = days_with_open_quotes(spark, paths)
     parts = []
-    plain = [path for path in paths if path not in broken]
-    if plain:
-        parts.append(
-            spark.read.schema(schema)
-            .option("header", True).option("enforceSchema", False).option("escape", '"')
-            .csv(plain).select("*", F.col("_metadata.file_path").alias("_path"))
-        )
-    if broken:
-        parts.append(read_stitched(spark, broken, schema))
+    for multiline in (False, True):
+        chosen = [path for path in paths if (re.search(DAY_IN_PATH, path).group(1) in broken) == multiline]
+        if chosen:
+            reader = spark.read.schema(schema).option("header", True).option("escape", '"')
+            if multiline:
+                # Only LF ends a line: a CR inside quotes is text.
+                reader = reader.option("multiLine", True).option("lineSep", "\n")
+            else:
+                reader = reader.option("enforceSchema", False)
+            parts.append(reader.csv(chosen).select("*", F.col("_metadata.file_path").alias("_path")))
     rows = union_drifting(parts)
-    return rows.selectExpr(*[f"{blank_to_null(f'`{c}`')} AS `{c}`" for c in columns], "_path")
+    # A CR before the end of a line belongs to the line end.
+    texts = [f"`{c}`" for c in columns[:-1]] + [f"rtrim('\r', `{columns[-1]}`)"]
+    return rows.selectExpr(*[f"{blank_to_null(t)} AS `{c}`" for c, t in zip(columns, texts)], "_path")
 
 
 def read_days(

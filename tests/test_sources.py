@@ -87,6 +87,23 @@ def test_quoted_line_breaks_across_splits(spark, folder, setting):
         assert got == expected, split
 
 
+def test_quoted_line_breaks_in_a_day_of_parts(spark, folder):
+    """Only one of the part files has a line break, and another day has none."""
+    folder("payments-20251001.csv/part-0.csv", 'id,note\n1,"a\nb"\n2,c\n')
+    folder("payments-20251001.csv/part-1.csv", "id,note\n3,d\n")
+    path = folder("payments-20251002.csv/part-0.csv", "id,note\n4,e\n")
+    assert {(r.id, r.note) for r in read(spark, path).collect()} == {
+        ("1", "a\nb"), ("2", "c"), ("3", "d"), ("4", "e"),
+    }
+
+
+def test_unbalanced_quote_stays_in_its_file(spark, folder):
+    folder("payments-20251001.csv/part-0.csv", 'id,note\n1,a\n2,"b\n3,c\n')
+    path = folder("payments-20251001.csv/part-1.csv", "id,note\n4,d\n")
+    rows = {r.id: r.note for r in read(spark, path).collect()}
+    assert rows["1"] == "a" and rows["4"] == "d"
+
+
 def test_run_day(spark, folder):
     assert snapshot_day("2025-10-30") == dt.date(2025, 10, 30)
     assert snapshot_day("2025-10-30", lag_days=29) == dt.date(2025, 10, 1)
