@@ -5,6 +5,59 @@ WORDS = (
     "regexp_extract_all(" + LOWER.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 )
 
+# CRC-32 from its generator polynomial: a table of 256 remainders, and one step per byte.
+CRC_TABLE = """
+crc AS (
+    SELECT list(c ORDER BY i) AS t FROM (
+        SELECT i, list_reduce(list_prepend(i, range(8)),
+            lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+        FROM range(256) AS r(i)))"""
+
+
+def _crc32(bytes_: str) -> str:
+    return (
+        f"xor(list_reduce(list_prepend(4294967295, {bytes_}), "
+        "lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+    )
+
+
+def _utf8(text: str) -> str:
+    return (
+        f"list_transform(range(strlen({text})), "
+        f"lambda i: CAST('0x' || substr(hex(encode({text})), 2 * i + 1, 2) AS BIGINT))"
+    )
+
+
+def _climb(name: str, source: str) -> str:
+    """Levels of a tree: every 16 consecutive nodes become one while there is more than one."""
+    return f"""
+{name} AS (
+    SELECT tree, 0 AS level, pos, digest, count(*) OVER (PARTITION BY tree) AS n FROM {source}
+    UNION ALL
+    SELECT tree, level + 1, pos // 16, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(n) + 15) // 16
+    FROM {name} WHERE n > 1 GROUP BY tree, level, pos // 16),
+{name}_runs AS (
+    SELECT tree, level, pos // 16 AS run, list(digest ORDER BY pos) AS digests FROM {name} WHERE n > 1 GROUP BY ALL)"""
+
+
+def _walk(name: str, start: str, levels: str) -> str:
+    """From a node along its siblings to the top: what is folded on the way, and all siblings."""
+    return f"""
+{name} AS (
+    SELECT rid, tree, 0 AS level, pos, node, proof FROM {start}
+    UNION ALL
+    SELECT rid, w.tree, w.level + 1, pos // 16,
+        sha256(array_to_string(digests[:pos % 16], '') || node || array_to_string(digests[pos % 16 + 2:], '')),
+        proof || array_to_string(digests[:pos % 16], '') || array_to_string(digests[pos % 16 + 2:], '')
+    FROM {name} w JOIN {levels}_runs r ON w.tree = r.tree AND w.level = r.level AND r.run = pos // 16),
+{name}_end AS (SELECT rid, arg_max(node, level) AS node, arg_max(proof, level) AS proof FROM {name} GROUP BY rid)"""
+
+
+def _part(column: str) -> str:
+    return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || {column}, '-')"
+
+
+_FRONT = " || ".join(_part(c) for c in ("doc_id", "source", "lang", "n_chars"))
 
 
 def _url_levels() -> str:
@@ -182,5 +235,26 @@ taken AS (
 SELECT p.doc_id, p.size, CAST(p.ss AS BIGINT) AS source_size, p.target, CAST(coalesce(k.taken, 0) AS BIGINT) AS taken
 FROM placed p LEFT JOIN taken k ON p.number = k.number AND p.start = k.start AND p.size > 0
     AND p.doc_id IS NOT DISTINCT FROM k.doc_id
+""",
+    "op12_merkle_manifest": f"""
+WITH RECURSIVE {CRC_TABLE.strip()},
+rows AS (
+    SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || source, '') AS tree,
+        sha256({_FRONT} || {_part("text")}) AS leaf, sha256({_FRONT} || {_part(LOWER.format("text"))}) AS low,
+        doc_id IS NOT NULL AND {_crc32(_utf8("CAST(doc_id AS VARCHAR)"))} % 5 = 0 AS bent
+    FROM documents, crc),
+placed AS (
+    SELECT *, leaf AS digest, CASE WHEN bent THEN low ELSE leaf END AS node, '' AS proof,
+        row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+    FROM rows),{_climb("lv", "placed")},
+tops AS (
+    SELECT tree AS name, 'all' AS tree, row_number() OVER (ORDER BY tree) - 1 AS pos, digest FROM lv WHERE n = 1),
+{_climb("up", "tops").strip()},{_walk("w", "placed", "lv")},
+v0 AS (
+    SELECT rid, 'all' AS tree, tops.pos, w_end.node, w_end.proof
+    FROM w_end JOIN placed USING (rid) JOIN tops ON tops.name = placed.tree),{_walk("v", "v0", "up")}
+SELECT doc_id, leaf, tops.digest AS subroot, root, sha256(v_end.proof) AS proof_sha256,
+    v_end.node AS folded_root, v_end.node = root AS verified
+FROM placed JOIN v_end USING (rid) JOIN tops ON tops.name = placed.tree, (SELECT digest AS root FROM up WHERE n = 1)
 """,
 }

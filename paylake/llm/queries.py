@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paylake.llm import decontamination, mixing, ngram_join, pii, quality, secrets, token_counts, tool_calls, topk, urls
+from paylake.llm import decontamination, manifest, mixing, ngram_join, pii, quality, secrets, token_counts, tool_calls, topk, urls
 from paylake.llm.common import table
 from paylake.llm.oracle import SQL
 from paylake.session import configure
@@ -56,10 +56,14 @@ def op10_token_counts(spark: SparkSession, d: str) -> DataFrame:
     return token_counts.document_tokens(table(spark, d, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
+    return manifest.manifest(table(spark, d, "documents"))
+
+
 def registered() -> dict[str, Query]:
     found = [
         op1_decontamination, op2_tool_calls, op3_secrets, op4_quality, op5_pii, op6_topk, op7_ngram_join, op8_urls, op9_mixing,
-        op10_token_counts,
+        op10_token_counts, op12_merkle_manifest,
     ]
 
     def configured(query: Query) -> Query:
