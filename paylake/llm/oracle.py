@@ -256,5 +256,39 @@ v0 AS (
 SELECT doc_id, leaf, tops.digest AS subroot, root, sha256(v_end.proof) AS proof_sha256,
     v_end.node AS folded_root, v_end.node = root AS verified
 FROM placed JOIN v_end USING (rid) JOIN tops ON tops.name = placed.tree, (SELECT digest AS root FROM up WHERE n = 1)
+""",
+    "op11_spelling_variants": rf"""
+WITH RECURSIVE {CRC_TABLE.strip()},
+runs AS (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' AS front,
+        unnest(regexp_extract_all({LOWER.format("text")}, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run
+    FROM documents),
+long_runs AS (SELECT front, run, count(*) AS k FROM runs WHERE length(run) >= 7 GROUP BY ALL),
+hashed AS (SELECT run, k, {_crc32(_utf8("(front || run)"))} AS h FROM long_runs, crc),
+read AS (
+    SELECT k, CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+        ELSE run END AS word
+    FROM hashed),
+w AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM read WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+cut AS (
+    SELECT word, i, substr(word, 1, i - 1) AS head, substr(word, i + 1) AS tail
+    FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM w)),
+near AS (
+    SELECT a.word, b.word AS other FROM cut a JOIN cut b ON a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+    UNION SELECT c.word, w.word FROM cut c JOIN w ON c.head || c.tail = w.word
+    UNION SELECT w.word, c.word FROM cut c JOIN w ON c.head || c.tail = w.word),
+best AS (
+    SELECT near.word, count(*) AS n_near, max(w.n) AS best_n,
+        arg_min(other, row(-w.n, other)) AS best
+    FROM near JOIN w ON w.word = near.other GROUP BY near.word),
+formed AS (
+    SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 10 * w.n THEN best END AS form,
+        CASE WHEN best_n >= 10 * w.n THEN best_n END AS form_n
+    FROM w LEFT JOIN best USING (word)),
+walk AS (
+    SELECT word, word AS at, 0 AS steps FROM formed
+    UNION ALL SELECT walk.word, form, steps + 1 FROM walk JOIN formed ON formed.word = walk.at WHERE form IS NOT NULL)
+SELECT word, form, root, n, CAST(n_near AS BIGINT) AS n_near, form_n
+FROM formed JOIN (SELECT word, arg_max(at, steps) AS root FROM walk GROUP BY word) USING (word)
 """,
 }

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from paylake.llm import decontamination, manifest, mixing, ngram_join, pii, quality, secrets, token_counts, tool_calls, topk, urls
+from paylake.llm import decontamination, extraction, manifest, mixing, ngram_join, pii, quality, secrets, spelling, token_counts, tool_calls, topk, urls
 from paylake.llm.common import table
 from paylake.llm.oracle import SQL
 from paylake.session import configure
@@ -56,14 +57,25 @@ def op10_token_counts(spark: SparkSession, d: str) -> DataFrame:
     return token_counts.document_tokens(table(spark, d, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, d: str) -> DataFrame:
+    return spelling.spelling_variants(spelling.words(table(spark, d, "documents")))
+
+
 def op12_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
     return manifest.manifest(table(spark, d, "documents"))
 
 
+def op13_html_extraction(spark: SparkSession, d: str) -> DataFrame:
+    pages = table(spark, d, "pages")
+    found = extraction.main_text(pages, extraction.fit(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def registered() -> dict[str, Query]:
     found = [
         op1_decontamination, op2_tool_calls, op3_secrets, op4_quality, op5_pii, op6_topk, op7_ngram_join, op8_urls, op9_mixing,
-        op10_token_counts, op12_merkle_manifest,
+        op10_token_counts, op11_spelling_variants, op12_merkle_manifest,
+        op13_html_extraction,
     ]
 
     def configured(query: Query) -> Query:

@@ -19,6 +19,6 @@ def test_query(spark, sf_dir, oracle, name):
 
 def test_all_are_registered():
     names = contract.queries()
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14))
     assert "pipeline" in names
     assert set(sql()) <= set(contract.oracle_sql())
