@@ -34,12 +34,13 @@ from paylake.llm import page_blocks as B
 # Pages whose texts are used for training, and the longest of them.
 SAMPLE, LONGEST = 240, 60_000
 LAYOUTS = 900
-EPOCHS, BATCH, RATE = 7, 24, 0.01
+EPOCHS, BATCH, RATE = 12, 24, 0.01
 K, H = 32, 24
 THRESHOLD = 0.5
 
 # Blocks times pages of one batch of sequences.
 CELLS = 1 << 15
+BLOCKS_AT_ONCE = 2048
 
 # Private characters that mark the texts of a layout while it is parsed.
 MAIN, OTHER = "\ue000", "\ue001"
@@ -293,8 +294,9 @@ def _fresh(rng: np.random.Generator) -> dict[str, np.ndarray]:
 
 
 def _word_share(words: B.WordBuckets, text: str) -> np.ndarray:
+    """The hashed words of a text, of length one however often a word is repeated."""
     rows = words.of(text)
-    return np.bincount(rows, minlength=B.WORD_BUCKETS).astype(np.float32) / np.sqrt(len(rows) + 1.0)
+    return np.sqrt(np.bincount(rows, minlength=B.WORD_BUCKETS).astype(np.float32) / max(1, len(rows)))
 
 
 def _encoded(page: list[B.Block], words: B.WordBuckets) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -326,7 +328,7 @@ def train(examples: list[tuple[list[B.Block], np.ndarray]], seed: int = 1) -> Mo
                 padded.append(block)
             path, word, stat, labels = padded
             # Words say less than places: now and then they are not shown.
-            word = word * (rng.random((1, len(chosen), 1)) < 0.6)
+            word = word * (rng.random((1, len(chosen), 1)) < 0.5)
             step += 1
             rate = RATE * (1 - 0.95 * step / total)
             grads = _gradients(w, path, word.astype(np.float32), stat, labels, lengths)
@@ -424,10 +426,9 @@ def _inputs(page: list[B.Block], w: dict[str, np.ndarray], words: B.WordBuckets)
     """The summed vectors of a page's blocks."""
     out = np.array([block.path for block in page], np.float32)
     out += w["path"][list(B.leaf_tokens(page))] + B.statistics(page) @ w["stat"] + w["b"]
-    for i, block in enumerate(page):
-        rows = words.of(block.text)
-        if rows:
-            out[i] += w["word"][rows].sum(axis=0) / np.sqrt(len(rows) + 1.0)
+    for at in range(0, len(page), BLOCKS_AT_ONCE):
+        part = page[at : at + BLOCKS_AT_ONCE]
+        out[at : at + len(part)] += np.array([_word_share(words, block.text) for block in part]) @ w["word"]
     return out
 
 

@@ -45,7 +45,7 @@ PIECES = re.compile(
 )
 NAMES = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-WORDS = re.compile(r"\w+|[^\w\s]")
+WORDS = re.compile(r"\w+")
 
 PATH_BUCKETS = WORD_BUCKETS = 512
 # How much of what the elements around say reaches the elements within.
@@ -170,22 +170,19 @@ def statistics(page: list[Block]) -> np.ndarray:
     return rows
 
 
-class WordBuckets:
+class WordBuckets(dict):
+    """Words and their buckets, kept for those seen last."""
+
     KEPT = 200_000
 
-    def __init__(self) -> None:
-        self.known: dict[str, int] = {}
+    def __missing__(self, word: str) -> int:
+        if len(self) >= self.KEPT:
+            self.clear()
+        found = self[word] = bucket(word, WORD_BUCKETS)
+        return found
 
     def of(self, text: str) -> list[int]:
-        known, rows = self.known, []
-        if len(known) > self.KEPT:
-            known.clear()
-        for word in WORDS.findall(text.lower()):
-            row = known.get(word)
-            if row is None:
-                row = known[word] = bucket(word, WORD_BUCKETS)
-            rows.append(row)
-        return rows
+        return [self[word] for word in WORDS.findall(text.lower())]
 
 
 def leaf_tokens(page: list[Block]) -> Iterator[int]:
