@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paylake.session import fresh_path
@@ -15,6 +15,10 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLANK_WORD = r"[^\x20\x09-\x0D]+"
 
 
+# Copies of one row that are put out by one task at a time.
+COPIES_AT_ONCE = 4096
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -32,6 +36,48 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def with_running_sums(frame: DataFrame, order: list[Column], sums: dict[str, str]) -> DataFrame:
+    """``frame`` with, per entry of ``sums`` (new name: column), the sum over all rows before in ``order``.
+
+    Rows are dealt by range and summed up per partition; only one row per partition meets in one
+    task.  ``order`` has to tell all rows apart.
+    """
+    line, part = unused("line", frame.columns, sums), unused("part", frame.columns, sums)
+    dealt = stored(
+        frame.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(line, F.monotonically_increasing_id()),
+        "ordered",
+    ).withColumn(part, F.shiftright(line, 33))
+    before = Window.partitionBy(part).orderBy(line).rowsBetween(Window.unboundedPreceding, -1)
+    parts = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    totals = dealt.groupBy(part).agg(*[F.sum(column).alias(name) for name, column in sums.items()])
+    offsets = totals.select(F.col(part).alias("_" + part), *[F.sum(name).over(parts).alias("_" + name) for name in sums])
+    inside = dealt.select("*", *[F.sum(column).over(before).alias(name) for name, column in sums.items()])
+    zero = F.lit(0)
+    return inside.join(offsets, F.col(part) == F.col("_" + part)).select(
+        *frame.columns,
+        *[(F.coalesce(F.col(name), zero) + F.coalesce(F.col("_" + name), zero)).alias(name) for name in sums],
+    )
+
+
+def each_copy(rows: DataFrame, copies: str, number: str) -> DataFrame:
+    """Every row as often as its column ``copies`` says, with the ``number`` of the copy from 0.
+
+    A row of very many copies is put out by many tasks.
+    """
+    some = rows.where(F.col(copies) <= COPIES_AT_ONCE).withColumn(
+        number, F.explode(F.sequence(F.lit(0).cast("long"), F.col(copies) - 1))
+    )
+    step = F.lit(COPIES_AT_ONCE).cast("long")
+    many = (
+        rows.where(F.col(copies) > COPIES_AT_ONCE)
+        .withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col(copies) - 1, step)))
+        .repartition("_from")
+        .withColumn(number, F.explode(F.sequence("_from", F.least(F.col("_from") + step, F.col(copies)) - 1)))
+        .drop("_from")
+    )
+    return some.unionByName(many)
+
+
 def discard(frame: DataFrame) -> None:
     """Deletes the files of a stored frame that nothing reads any more."""
     jvm = frame.sparkSession._jvm

@@ -413,9 +413,10 @@ def training_pages(sample: list[str], seed: int = 1) -> list[tuple[list[B.Block]
 
 def fit(pages: DataFrame, seed: int = 1) -> Model:
     """A model trained on the texts of a bounded sample of the pages."""
-    chosen = (
-        pages.where(f"length(html) BETWEEN 1 AND {LONGEST}").orderBy(F.xxhash64("page_id", "url")).limit(SAMPLE).select("html")
-    )
+    usable = pages.where(f"length(html) BETWEEN 1 AND {LONGEST}").select(F.xxhash64("page_id", "url").alias("place"), "html")
+    last = usable.select("place").distinct().orderBy("place").limit(SAMPLE).agg(F.max("place")).first()[0]
+    # Pages sent to the driver are at most SAMPLE: repeated ones count once.
+    chosen = usable.where(F.col("place") <= F.lit(last)).groupBy("place").agg(F.min("html").alias("html")).orderBy("place")
     return train(training_pages([row.html for row in chosen.collect()], seed), seed)
 
 

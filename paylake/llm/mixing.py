@@ -1,13 +1,17 @@
 """Mixing sources to target weights by a low-discrepancy schedule of equal blocks.
 
-Each source's documents are shuffled by a hash and laid end to end; the stream is
-cut into blocks of equally many words.  Slot n of the schedule belongs to the source
+Each source's documents are shuffled by a hash and laid end to end; the stream is cut
+evenly into blocks of about equally many words.  Slot n of the schedule belongs to the source
 in whose interval of cumulative weights the n-th point of a golden-ratio sequence
 lies, so every stretch of the schedule holds the sources in their proportions.  The
-j-th slot of a source takes its j-th block and starts over after the last one.
+j-th slot of a source takes its j-th block and starts over after the last one, until its
+target is reached: the last slot takes the part of its block that is still due.  A source whose
+interval got fewer slots than that, most of all a very small one, gets the rest at the end.
+So each source comes within a word of its target.
 
 All running sums have two levels (within a bucket, then over the buckets), so a
-source with most of the rows is spread over many tasks.
+source with most of the rows is spread over many tasks; rows that are alike are summed up as
+one, and rows without an id are told apart by their texts.
 
 Defined cases: NULL or empty texts have size 0 and are never taken; repeated rows
 are separate documents; NULL is a source of its own, the last one; an empty table
@@ -21,7 +25,7 @@ from math import isqrt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paylake.llm.common import BLANK_WORD, stored
+from paylake.llm.common import BLANK_WORD, each_copy, stored, with_running_sums
 
 BLOCK_WORDS = 64
 MOST_REPEATS = 3
@@ -51,35 +55,40 @@ def source_targets(sized: DataFrame) -> DataFrame:
     these levels is the one at which nothing is left over.
     """
     weights = F.array(*[F.lit(w).cast("long") for w in CYCLE_OF_WEIGHTS])
-    number = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    by_cap = Window.orderBy(F.col("cap") / F.col("weight"), "number")
-    before = F.sum("cap").over(by_cap.rowsBetween(Window.unboundedPreceding, -1))
-    still_open = F.sum("weight").over(by_cap.rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    return (
-        sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-        .withColumn("number", number)
+    sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.lit(1).cast("long").alias("_one"))
+    weighed = (
+        with_running_sums(sources, [F.col("source").asc_nulls_last()], {"number": "_one"})
         .withColumn("weight", F.get(weights, F.col("number") % len(CYCLE_OF_WEIGHTS)))
         .withColumn("cap", F.col("source_size") * MOST_REPEATS)
-        .withColumn("total", F.sum("source_size").over(Window.partitionBy()))
-        .withColumn("level", (F.col("total") - F.coalesce(before, F.lit(0))) / still_open)
-        .withColumn("level", F.max("level").over(Window.partitionBy()))
-        .withColumn("target", F.least(F.col("level") * F.col("weight"), F.col("cap").cast("double")))
-        .select("source", "number", "weight", "source_size", "target", "total")
+        .drop("_one")
+    )
+    summed = stored(
+        with_running_sums(
+            weighed, [F.col("cap") / F.col("weight"), F.col("number")], {"caps_before": "cap", "weights_before": "weight"}
+        ),
+        "levels",
+    )
+    whole = summed.agg(F.sum("source_size").alias("total"), F.sum("weight").alias("weights"))
+    total, all_weights = whole.first()  # two numbers
+    still_open = F.lit(all_weights or 0) - F.col("weights_before")
+    level = summed.agg(F.max((F.lit(total or 0) - F.col("caps_before")) / still_open)).first()[0]
+    target = F.least(F.lit(level or 0.0) * F.col("weight"), F.col("cap").cast("double"))
+    return summed.select(
+        "source", "number", "weight", "source_size", target.alias("target"), F.lit(total or 0).cast("long").alias("total")
     )
 
 
 def schedule(targets: DataFrame, block: int) -> DataFrame:
     """The slots: ``slot``, the number of its source, and its ``rank`` among that source's."""
-    in_order = Window.orderBy("number")
+    summed = stored(with_running_sums(targets, [F.col("number")], {"before": "target"}), "bounds")
+    total, of_targets = summed.agg(F.max("total"), F.sum("target")).first()  # two numbers
+    point = lambda column: F.round(column / F.lit(of_targets or 1.0) * POINTS).cast("long")
     bounds = (
-        targets.withColumn("share", F.sum("target").over(in_order) / F.sum("target").over(Window.partitionBy()))
-        .withColumn("high", F.round(F.col("share") * POINTS).cast("long"))
-        .withColumn("low", F.coalesce(F.lag("high").over(in_order), F.lit(0)))
+        summed.select("number", point(F.col("before")).alias("low"), point(F.col("before") + F.col("target")).alias("high"))
         .where("high > low")
         .selectExpr("number", "low", "high", f"explode(sequence(low div {CELL}, (high - 1) div {CELL})) AS cell")
     )
-    total = targets.agg(F.max("total")).first()[0] or 0
-    length = -(-total // block)
+    length = -(-(total or 0) // block)
     run = max(SHORTEST_RUN, isqrt(length))
     slots = (
         targets.sparkSession.range(length)
@@ -99,28 +108,82 @@ def schedule(targets: DataFrame, block: int) -> DataFrame:
     )
 
 
+def block_start(k: str) -> str:
+    """The first word of block ``k`` of a source: the first blocks are one word longer than the others."""
+    return f"(({k}) * (source_size div blocks) + least({k}, source_size % blocks))"
+
+
+def block_of(word: str) -> str:
+    """The block that holds a word of a source's stream."""
+    base, longer = "(source_size div blocks)", "(source_size % blocks)"
+    return (
+        f"(CASE WHEN ({word}) < {longer} * ({base} + 1) THEN ({word}) div ({base} + 1) "
+        f"ELSE {longer} + (({word}) - {longer} * ({base} + 1)) div {base} END)"
+    )
+
+
+def block_times(slots: DataFrame, targets: DataFrame, block: int) -> DataFrame:
+    """How often each block of a source is taken as a whole, ``times``, and its last part, ``words``.
+
+    Blocks end at whole words, as evenly as can be.  A source is due ``full`` whole blocks, one
+    after the other, and then ``words`` words of the next.
+    """
+    due = stored(
+        targets.where("source_size > 0").selectExpr(
+            "number", "source_size", f"(source_size + {block - 1}) div {block} AS blocks",
+            "cast(floor(target) AS bigint) AS due",
+        ).selectExpr("*", "due div source_size AS rounds", "due % source_size AS rest")
+        .selectExpr("*", f"{block_of('rest')} AS inner")
+        .selectExpr("*", "rounds * blocks + inner AS full", f"rest - {block_start('inner')} AS words"),
+        "due",
+    )
+    given = slots.groupBy("number").agg(F.count(F.lit(1)).alias("slots"))
+    missing = (
+        due.join(given, "number", "left")
+        .selectExpr("number", "coalesce(slots, 0) AS slots", "full").where("slots < full")
+        .selectExpr("number", "full - slots AS copies", "slots")
+    )
+    late = each_copy(missing, "copies", "copy").selectExpr("number", "slots + copy AS rank")
+    taken = (
+        slots.select("number", "rank").unionByName(late).join(due.select("number", "blocks", "full"), "number")
+        .where("rank < full").groupBy("number", F.expr("rank % blocks AS block")).agg(F.count(F.lit(1)).alias("times"))
+    )
+    last = due.where("words > 0").selectExpr("number", "full % blocks AS block", "words")
+    return taken.join(last, ["number", "block"], "full").selectExpr(
+        "number", "block", "coalesce(times, 0) AS times", "coalesce(words, 0) AS words"
+    )
+
+
 def streams(sized: DataFrame, targets: DataFrame) -> DataFrame:
-    """Documents of some size, with the word at which they start in their source's stream."""
+    """Documents of some size, with the word at which they start in their source's stream.
+
+    Rows that are alike are one row with a number of ``copies``, laid one after the other.
+    """
     named = targets.select(F.col("source").alias("name"), "number", "source_size", "target")
     placed = (
-        sized.where("size > 0").join(named, F.col("source").eqNullSafe(F.col("name"))).drop("name")
+        sized.where("size > 0").groupBy("doc_id", "source", "size", "place").agg(F.count(F.lit(1)).alias("copies"))
+        .join(named, F.col("source").eqNullSafe(F.col("name"))).drop("name")
         .withColumn("bucket", F.expr(f"place div {BUCKET}"))
     )
+    words = F.col("size") * F.col("copies")
     earlier = Window.partitionBy("number").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = (
-        placed.groupBy("number", "bucket").agg(F.sum("size").alias("words"))
+        placed.groupBy("number", "bucket").agg(F.sum(words).alias("words"))
         .select("number", "bucket", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("before"))
     )
     within = (
         Window.partitionBy("number", "bucket").orderBy("place", "doc_id", "size")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    return (
-        placed.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0)))
+    laid = (
+        placed.withColumn("inside", F.coalesce(F.sum(words).over(within), F.lit(0)))
         .join(before, ["number", "bucket"])
-        .withColumn("start", F.col("before") + F.col("inside"))
+        .withColumn("first", F.col("before") + F.col("inside"))
         .drop("bucket", "before", "inside", "place")
     )
+    return each_copy(laid, "copies", "copy").withColumn("start", F.col("first") + F.col("copy") * F.col("size")).drop(
+        "copies", "copy", "first"
+    )
 
 
 def mix(docs: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
@@ -129,30 +192,26 @@ def mix(docs: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
     ``size`` is in words, ``target`` that of its source, ``taken`` the words the schedule
     takes of the document, repeats counted.
     """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    seed = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(text))
     sized = stored(
         docs.select(
             "doc_id", "source", word_count(F.col("text")).alias("size"),
-            F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 12), 16, 10)
-            .cast("long").alias("place"),
+            F.conv(F.substring(F.md5(seed), 1, 12), 16, 10).cast("long").alias("place"),
         ),
         "sized",
     )
     targets = stored(source_targets(sized), "targets")
-    blocks = F.expr(f"(source_size + {block - 1}) div {block}")
-    # A source's slots beyond MOST_REPEATS rounds, a few at most, stay empty.
-    times = (
-        schedule(targets, block).join(targets.select("number", blocks.alias("blocks")), "number")
-        .where(F.col("rank") < F.col("blocks") * MOST_REPEATS)
-        .groupBy("number", F.expr("rank % blocks").alias("block")).agg(F.count(F.lit(1)).alias("times"))
-    )
-    pieces = streams(sized, targets).withColumn(
-        "block", F.explode(F.expr(f"sequence(start div {block}, (start + size - 1) div {block})"))
-    )
-    words = F.expr(f"least(start + size, (block + 1) * {block}) - greatest(start, block * {block})")
+    times = block_times(stored(schedule(targets, block).select("number", "rank"), "slots"), targets, block)
+    cut = streams(sized, targets).withColumn("blocks", F.expr(f"(source_size + {block - 1}) div {block}"))
+    pieces = cut.withColumn("block", F.explode(F.expr(f"sequence({block_of('start')}, {block_of('start + size - 1')})")))
+    begin, end = block_start("block"), block_start("block + 1")
+    whole = f"least(start + size, {end}) - greatest(start, {begin})"
+    part = f"greatest(0L, least(start + size, {begin} + words) - greatest(start, {begin}))"
     taken = (
         pieces.join(times, ["number", "block"], "left")
         .groupBy("number", "start", "doc_id", "source", "size", "source_size", "target")
-        .agg(F.coalesce(F.sum(words * F.col("times")), F.lit(0)).alias("taken"))
+        .agg(F.coalesce(F.sum(F.expr(f"({whole}) * times + {part}")), F.lit(0)).alias("taken"))
         .drop("number", "start")
     )
     named = targets.select(F.col("source").alias("name"), "source_size", "target")

@@ -60,28 +60,6 @@ def _part(column: str) -> str:
 _FRONT = " || ".join(_part(c) for c in ("doc_id", "source", "lang", "n_chars"))
 
 
-def _url_levels() -> str:
-    """The three levels of the template tree, each like the others."""
-    parts, parents = [], ["host"]
-    for i in (1, 2, 3):
-        given = ", ".join(parents)
-        on = lambda a, b, keys: " AND ".join(f"{a}.{k} = {b}.{k}" for k in keys)
-        parts.append(f"""
-br{i} AS (SELECT {given}, w{i}, sum(labels) AS n, sum(blocked) AS b, min(p) AS above FROM r{i - 1} GROUP BY ALL),
-po{i} AS (SELECT {given}, sum(n) AS all_n, sum(b) AS all_b FROM br{i} GROUP BY ALL),
-sh{i} AS (SELECT br{i}.*, (all_b + 4.0::DOUBLE * above) / (all_n + 4.0::DOUBLE) AS share
-    FROM br{i} JOIN po{i} ON {on(f"br{i}", f"po{i}", parents)}),
-ju{i} AS (SELECT *, CASE WHEN n = 0 OR abs(b - n * share) < 2.0::DOUBLE * sqrt(n * share * (1 - share))
-    THEN '~' ELSE w{i} END AS m{i} FROM sh{i}),
-gr{i} AS (SELECT {given}, m{i}, (sum(b) + 4.0::DOUBLE * min(above)) / (sum(n) + 4.0::DOUBLE) AS p
-    FROM ju{i} GROUP BY {given}, m{i}),
-r{i} AS (SELECT r{i - 1}.* EXCLUDE (p), ju{i}.m{i}, gr{i}.p FROM r{i - 1}
-    JOIN ju{i} ON {on(f"r{i - 1}", f"ju{i}", [*parents, f"w{i}"])}
-    JOIN gr{i} ON {on(f"ju{i}", f"gr{i}", [*parents, f"m{i}"])}),""")
-        parents = [*parents, f"m{i}"]
-    return "".join(parts)
-
-
 SQL = {
     "op1_decontamination": f"""
 WITH i AS (SELECT DISTINCT item_id, {WORDS} AS w FROM benchmark),
@@ -157,7 +135,7 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
 WHERE rank <= 5
 """,
     "op8_urls": r"""
-WITH a AS (
+WITH RECURSIVE a AS (
     SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
         regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
@@ -172,29 +150,43 @@ j AS (
     FROM a),
 v AS (SELECT *, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS judged,
     list_transform(list_filter(string_split(path, '/'), lambda x: x <> ''), lambda x: CASE
+        WHEN regexp_matches(x, '^[~*]$') THEN '=' || x
         WHEN regexp_matches(x, '^[0-9]+$') THEN '{n}'
         WHEN regexp_matches(x, '^[0-9]+\.[A-Za-z]+$') THEN regexp_replace(x, '^[0-9]+', '{n}')
-        WHEN regexp_matches(x, '^[0-9a-f-]{8,}$') THEN '{h}' ELSE x END) AS s FROM j),
-sh AS (SELECT *, coalesce(s[1], '') AS t1, coalesce(s[2], '') AS t2, array_to_string(s[3:], '/') AS t3 FROM v),
-c AS (SELECT host, t1, t2, t3, count(judged) AS labels, count(*) FILTER (judged = 'block') AS blocked FROM sh GROUP BY ALL),
-c1 AS (SELECT c.*, CASE WHEN k > 20 THEN '*' ELSE t1 END AS w1
-    FROM c JOIN (SELECT host, count(DISTINCT t1) AS k FROM c GROUP BY ALL) USING (host)),
-c2 AS (SELECT c1.*, CASE WHEN k > 20 THEN '*' ELSE t2 END AS w2
-    FROM c1 JOIN (SELECT host, w1, count(DISTINCT t2) AS k FROM c1 GROUP BY ALL) USING (host, w1)),
-c3 AS (SELECT c2.*, CASE WHEN k > 20 THEN '*' ELSE t3 END AS w3
-    FROM c2 JOIN (SELECT host, w1, w2, count(DISTINCT t3) AS k FROM c2 GROUP BY ALL) USING (host, w1, w2)),
-o AS (SELECT coalesce(sum(blocked) / nullif(sum(labels), 0), 0)::DOUBLE AS overall FROM c3),
-h AS (SELECT host, (sum(blocked) + 4.0::DOUBLE * min(overall)) / (sum(labels) + 4.0::DOUBLE) AS p FROM c3, o GROUP BY host),
-r0 AS (SELECT c3.*, h.p FROM c3 JOIN h USING (host)),""" + _url_levels() + r"""
-z AS (SELECT host, t1, t2, t3, concat_ws('/', m1, m2, m3) AS template,
-    CASE WHEN p >= 0.5 THEN 'block' ELSE 'allow' END AS by_template FROM r3)
-SELECT page_id, host, path, rule, coalesce(judged, by_template) AS verdict, template
-FROM sh JOIN z USING (host, t1, t2, t3)
+        WHEN regexp_matches(x, '^[0-9a-f-]{8,}$') THEN '{h}' ELSE x END) AS segs FROM j),
+c AS (SELECT host, segs, count(judged) AS labels, count(*) FILTER (judged = 'block') AS blocked FROM v GROUP BY ALL),
+o AS (SELECT coalesce(sum(blocked) / nullif(sum(labels), 0), 0)::DOUBLE AS overall FROM c),
+r AS (
+    SELECT host, segs, labels::DOUBLE AS labels, blocked::DOUBLE AS blocked, 0 AS i, '' AS template,
+        (sum(blocked) OVER (PARTITION BY host) + 4.0::DOUBLE * overall)
+            / (sum(labels) OVER (PARTITION BY host) + 4.0::DOUBLE) AS p
+    FROM c, o
+    UNION ALL
+    SELECT host, segs, labels, blocked, i + 1, CASE WHEN template = '' THEN seg ELSE template || '/' || seg END,
+        CASE WHEN lone THEN p ELSE (sum(blocked) OVER g + 4.0::DOUBLE * p) / (sum(labels) OVER g + 4.0::DOUBLE) END
+    FROM (
+        SELECT *, CASE WHEN lone OR NOT (nb = 0 OR abs(bb - nb * share) < 2.0::DOUBLE * sqrt(nb * share * (1 - share)))
+            THEN next ELSE '~' END AS seg
+        FROM (
+            SELECT *, (b + 4.0::DOUBLE * p) / (n + 4.0::DOUBLE) AS share FROM (
+                SELECT *, sum(labels) OVER t AS n, sum(blocked) OVER t AS b, min(next) OVER t = max(next) OVER t AS lone,
+                    min(rest) OVER t <> max(rest) OVER t AS apart,
+                    sum(labels) OVER k AS nb, sum(blocked) OVER k AS bb
+                FROM (SELECT *, coalesce(segs[i + 1], '') AS next, array_to_string(segs[i + 1:], '/') AS rest FROM r)
+                WINDOW t AS (PARTITION BY host, template), k AS (PARTITION BY host, template, next)))
+        WHERE b > 0 AND b < n AND apart)
+    WINDOW g AS (PARTITION BY host, template, seg)),
+z AS (
+    SELECT host, segs, arg_max(p, i) AS p, max(i) AS i, arg_max(template, i) AS template FROM r GROUP BY host, segs)
+SELECT page_id, v.host, path, rule,
+    coalesce(judged, CASE WHEN p >= 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
+    CASE WHEN i >= len(segs) THEN template WHEN template = '' THEN '*' ELSE template || '/*' END AS template
+FROM v JOIN z USING (host, segs)
 """,
     "op9_mixing": r"""
 WITH s AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-        md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+        md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS h
     FROM documents),
 t0 AS (
     SELECT source, sum(size) AS ss, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS number
@@ -208,33 +200,14 @@ t2 AS (
                 ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS level
         FROM t1)),
 t AS (SELECT source, number, ss, total, least(lambda_ * weight, CAST(cap AS DOUBLE)) AS target FROM t2),
-b AS (
-    SELECT number, target, (CAST(ss AS BIGINT) + 63) // 64 AS blocks,
-        CAST(round(sum(target) OVER (ORDER BY number) / sum(target) OVER () * 2147483648) AS BIGINT) AS high
-    FROM t),
-bounds AS (SELECT *, coalesce(lag(high) OVER (ORDER BY number), 0) AS low FROM b),
-points AS (
-    SELECT slot, ((slot + 1) % 2147483648) * 1327217885 % 2147483648 AS point
-    FROM (SELECT unnest(range(CAST((SELECT (max(total) + 63) // 64 FROM t) AS BIGINT))) AS slot)),
-slots AS (
-    SELECT number, blocks, row_number() OVER (PARTITION BY number ORDER BY slot) - 1 AS rank
-    FROM points JOIN bounds ON point >= low AND point < high),
-times AS (
-    SELECT number, rank % blocks AS block, count(*) AS times FROM slots WHERE rank < 3 * blocks GROUP BY ALL),
 placed AS (
-    SELECT s.*, number, ss, target,
+    SELECT s.*, CAST(ss AS BIGINT) AS ss, target, CAST(floor(target) AS BIGINT) AS due,
         CAST(coalesce(sum(size) OVER (PARTITION BY number ORDER BY h[1:12], doc_id, size
             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
-    FROM s JOIN t ON s.source IS NOT DISTINCT FROM t.source),
-pieces AS (
-    SELECT *, unnest(range(start // 64, (start + size - 1) // 64 + 1)) AS block FROM placed WHERE size > 0),
-taken AS (
-    SELECT number, start, doc_id,
-        sum((least(start + size, (block + 1) * 64) - greatest(start, block * 64)) * coalesce(times, 0)) AS taken
-    FROM pieces LEFT JOIN times USING (number, block) GROUP BY ALL)
-SELECT p.doc_id, p.size, CAST(p.ss AS BIGINT) AS source_size, p.target, CAST(coalesce(k.taken, 0) AS BIGINT) AS taken
-FROM placed p LEFT JOIN taken k ON p.number = k.number AND p.start = k.start AND p.size > 0
-    AND p.doc_id IS NOT DISTINCT FROM k.doc_id
+    FROM s JOIN t ON s.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, ss AS source_size, target, CASE WHEN size = 0 THEN 0 ELSE CAST(
+    due // ss * size + greatest(0, least(start + size, due % ss) - start) AS BIGINT) END AS taken
+FROM placed
 """,
     "op12_merkle_manifest": f"""
 WITH RECURSIVE {CRC_TABLE.strip()},
@@ -286,9 +259,9 @@ formed AS (
         CASE WHEN best_n >= 10 * w.n THEN best_n END AS form_n
     FROM w LEFT JOIN best USING (word)),
 walk AS (
-    SELECT word, word AS at, 0 AS steps FROM formed
-    UNION ALL SELECT walk.word, form, steps + 1 FROM walk JOIN formed ON formed.word = walk.at WHERE form IS NOT NULL)
+    SELECT word, word AS last, 0 AS steps FROM formed
+    UNION ALL SELECT walk.word, form, steps + 1 FROM walk JOIN formed ON formed.word = walk.last WHERE form IS NOT NULL)
 SELECT word, form, root, n, CAST(n_near AS BIGINT) AS n_near, form_n
-FROM formed JOIN (SELECT word, arg_max(at, steps) AS root FROM walk GROUP BY word) USING (word)
+FROM formed JOIN (SELECT word, arg_max(last, steps) AS root FROM walk GROUP BY word) USING (word)
 """,
 }

@@ -1,12 +1,14 @@
 """URL filter: rules first, then a tree of path templates judged by labelled purity.
 
 Pages that a rule decides are the labelled ones.  For the others, each host has a tree of
-templates: the path's first two segments and its rest, with numbers and hashes written as
-wildcards, and with ``*`` where a branch has more than MOST_BRANCHES different segments.
-Going down the tree, branches whose share of blocked labels is no different from that of
-all their siblings, by a binomial test, are merged into one.  A template's purity is its
-share of blocked labels, smoothed towards that of the branch above it, up to the host and
-to all labels; one of LEAST_BLOCKED or more is rejected.
+templates: the segments of the path, with numbers and hashes written as wildcards.  Going
+down the tree, segment by segment, branches whose share of blocked labels is no different from
+that of all their siblings, by a binomial test, are merged into one, ``~``; the others stay
+what they are, however many there are.  A template's purity is its share of blocked labels,
+smoothed towards that of the template above it, up to the host and to all labels; one of
+LEAST_BLOCKED or more is rejected.  A template whose labels are all alike, or that has none,
+needs no further segments and ends in ``*``; a segment that all paths of a template share is
+passed without a test.  So there are as many rounds as labels differ along one path.
 
 Pages are counted by template before anything is joined, so a host with a third of all
 pages is a few rows; pages meet their template's verdict in one join.
@@ -29,15 +31,12 @@ RULES = (
     ("allow", "com", "/fr/"), ("block", "com", "/de/"),
 )
 
-MOST_BRANCHES = 20
 # A branch is merged if it is less than this many standard deviations off.
 DEVIATIONS = 2.0
 # Labels that the level above counts for.
 STRENGTH = 4.0
 LEAST_BLOCKED = 0.5
 
-LEVELS = ("t1", "t2", "t3")
-
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
     parts = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -55,67 +54,93 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def generalised(segment: Column) -> Column:
-    """A path segment with numbers and hashes as wildcards."""
+    """A path segment with numbers and hashes as wildcards, and never mistaken for one of the tree's own."""
     return (
-        F.when(segment.rlike("^[0-9]+$"), F.lit("{n}"))
+        F.when(segment.rlike("^[~*]$"), F.concat(F.lit("="), segment))
+        .when(segment.rlike("^[0-9]+$"), F.lit("{n}"))
         .when(segment.rlike(r"^[0-9]+\.[A-Za-z]+$"), F.regexp_replace(segment, "^[0-9]+", "{n}"))
         .when(segment.rlike("^[0-9a-f-]{8,}$"), F.lit("{h}"))
         .otherwise(segment)
     )
 
 
-def _widened(rows: DataFrame, parents: list[str], level: str) -> DataFrame:
-    """``level`` as ``*`` where a parent has more than MOST_BRANCHES of them."""
-    wide = (
-        rows.groupBy(*parents, level).agg(F.count(F.lit(1)).alias("_")).groupBy(*parents)
-        .agg(F.count(F.lit(1)).alias("branches")).where(F.col("branches") > MOST_BRANCHES).drop("branches")
-        .withColumn("wide", F.lit(True))
-    )
-    return rows.join(wide, parents, "left").withColumn(
-        f"w{level[1]}", F.when(F.col("wide"), F.lit("*")).otherwise(F.col(level))
-    ).drop("wide")
+def _purity(blocked: Column, labels: Column, above: Column) -> Column:
+    return (blocked + STRENGTH * above) / (labels + STRENGTH)
+
 
+def _shared(low: Column, high: Column) -> Column:
+    """How many first segments two paths share; all paths between them in order share these, too."""
+    pairs = F.zip_with(low, high, lambda a, b: F.coalesce(a == b, F.lit(False)))
+    first = F.array_position(pairs, F.lit(False))
+    return F.when(first > 0, first - 1).otherwise(F.size(pairs)).cast("int")
 
-def _merged(rows: DataFrame, parents: list[str], level: str, out: str) -> DataFrame:
-    """Adds ``out``: the branch ``level``, or ``~`` where it is like its siblings, and its ``p``.
 
-    ``rows`` has ``labels`` and ``blocked``, and in ``p`` the purity of the parent.
-    """
-    branches = rows.groupBy(*parents, level).agg(
-        F.sum("labels").alias("n"), F.sum("blocked").alias("b"), F.first("p").alias("above")
+def _open(rows: DataFrame) -> DataFrame:
+    """Rows of templates whose labels differ, and whose paths go on."""
+    per = rows.groupBy("host", "template").agg(
+        F.sum("labels").alias("n"), F.sum("blocked").alias("b"), F.min("rest").alias("low"), F.max("rest").alias("high")
+    ).where((F.col("b") > 0) & (F.col("b") < F.col("n")) & (F.col("low") != F.col("high")))
+    passed = _shared(F.col("low"), F.col("high"))
+    return per.select(
+        "host", "template", F.col("n").alias("all_n"), F.col("b").alias("all_b"), passed.alias("passed"),
+        F.slice("low", F.lit(1), passed).alias("common"),
     )
-    pooled = branches.groupBy(*parents).agg(F.sum("n").alias("all_n"), F.sum("b").alias("all_b"))
-    share = (F.col("all_b") + STRENGTH * F.col("above")) / (F.col("all_n") + STRENGTH)
+
+
+def _split(rows: DataFrame, open_templates: DataFrame) -> DataFrame:
+    """The rows of open templates one segment further: branches that differ stay, the others are merged."""
+    at = rows.join(open_templates, ["host", "template"])
+    # Paths that end here are a branch of their own.
+    branch = F.coalesce(F.get("rest", F.col("passed")), F.lit(""))
+    at = at.withColumn("branch", branch).withColumn(
+        "rest", F.slice("rest", F.col("passed") + 2, F.greatest(F.lit(1), F.size("rest")))
+    )
+    branches = at.groupBy("host", "template", "branch").agg(
+        F.sum("labels").alias("n"), F.sum("blocked").alias("b"), F.first("p").alias("above"),
+        F.first("all_n").alias("all_n"), F.first("all_b").alias("all_b"), F.first("common").alias("common"),
+    )
+    share = _purity(F.col("all_b"), F.col("all_n"), F.col("above"))
     off = F.abs(F.col("b") - F.col("n") * F.col("share"))
     spread = F.sqrt(F.col("n") * F.col("share") * (1 - F.col("share")))
-    judged = branches.join(pooled, parents).withColumn("share", share).withColumn(
-        out, F.when((F.col("n") == 0) | (off < DEVIATIONS * spread), F.lit("~")).otherwise(F.col(level))
+    alike = (F.col("n") == 0) | (off < DEVIATIONS * spread)
+    kept = F.when(alike, "~").otherwise(F.col("branch"))
+    judged = branches.withColumn("share", share).select(
+        "host", "template", "branch", "n", "b", "above",
+        F.concat_ws("/", F.when(F.col("template") != "", F.col("template")), "common", kept).alias("next"),
     )
-    groups = judged.groupBy(*parents, out).agg(F.sum("n").alias("n"), F.sum("b").alias("b"), F.first("above").alias("above"))
-    purity = groups.select(
-        *parents, out, ((F.col("b") + STRENGTH * F.col("above")) / (F.col("n") + STRENGTH)).alias("p")
+    groups = judged.groupBy("host", "next").agg(F.sum("n").alias("n"), F.sum("b").alias("b"), F.first("above").alias("above"))
+    purity = groups.select("host", "next", _purity(F.col("b"), F.col("n"), F.col("above")).alias("p"))
+    named = judged.select("host", "template", "branch", "next").join(purity, ["host", "next"])
+    return at.drop("p").join(named, ["host", "template", "branch"]).select(
+        "host", "segments", "rest", "labels", "blocked", F.col("next").alias("template"), "p"
     )
-    named = judged.select(*parents, level, out).join(purity, [*parents, out])
-    return rows.drop("p").join(named, [*parents, level])
 
 
-def verdicts(counted: DataFrame) -> DataFrame:
-    """Templates (``host, t1, t2, t3``) with ``labels`` and ``blocked``: adds ``p``, the purity."""
-    rows = stored(counted, "templates")
-    rows = _widened(rows, ["host"], "t1")
-    rows = _widened(rows, ["host", "w1"], "t2")
-    rows = stored(_widened(rows, ["host", "w1", "w2"], "t3"), "wildcards")
+def templates(counted: DataFrame) -> DataFrame:
+    """Paths (``host, segments``) with ``labels`` and ``blocked``: their ``template`` and its purity ``p``."""
+    rows = stored(counted, "paths")
     total = rows.agg(F.sum("labels").alias("n"), F.sum("blocked").alias("b")).first()
     overall = (total["b"] or 0) / total["n"] if total["n"] else 0.0
     of_hosts = rows.groupBy("host").agg(F.sum("labels").alias("n"), F.sum("blocked").alias("b")).select(
-        "host", ((F.col("b") + STRENGTH * overall) / (F.col("n") + STRENGTH)).alias("p")
+        "host", _purity(F.col("b"), F.col("n"), F.lit(overall)).alias("p")
     )
-    rows = rows.join(of_hosts, "host")
-    parents = ["host"]
-    for level, out in (("w1", "m1"), ("w2", "m2"), ("w3", "m3")):
-        rows = stored(_merged(rows, parents, level, out), "branches")
-        parents = [*parents, out]
-    return rows
+    rows = rows.join(of_hosts, "host").select(
+        "host", "segments", F.col("segments").alias("rest"), "labels", "blocked", F.lit("").alias("template"), "p"
+    )
+    done = []
+    while True:
+        rows = stored(rows, "templates")
+        going_on = stored(_open(rows), "open")
+        done.append(rows.join(going_on.select("host", "template"), ["host", "template"], "left_anti"))
+        if going_on.isEmpty():
+            break
+        rows = _split(rows, going_on)
+    whole = done[0]
+    for part in done[1:]:
+        whole = whole.unionByName(part)
+    ending = F.when(F.size("rest") > 0, F.lit("*"))
+    name = F.concat_ws("/", F.when(F.col("template") != "", F.col("template")), ending)
+    return whole.select("host", "segments", name.alias("template"), "p")
 
 
 def filtered(pages: DataFrame, rules=RULES) -> DataFrame:
@@ -125,20 +150,15 @@ def filtered(pages: DataFrame, rules=RULES) -> DataFrame:
         "judged", rule_of(F.col("host"), F.col("path"), rules)
     )
     segments = F.transform(F.filter(F.split("path", "/"), lambda s: s != ""), generalised)
-    shaped = judged.withColumn("s", segments).select(
-        "page_id", "host", "path", "judged",
-        F.coalesce(F.get("s", F.lit(0)), F.lit("")).alias("t1"), F.coalesce(F.get("s", F.lit(1)), F.lit("")).alias("t2"),
-        F.array_join(F.slice("s", 3, F.greatest(F.size("s"), F.lit(1))), "/").alias("t3"),
-    )
-    counted = shaped.groupBy("host", *LEVELS).agg(
+    shaped = judged.select("page_id", "host", "path", "judged", segments.alias("segments"))
+    counted = shaped.groupBy("host", "segments").agg(
         F.count("judged.verdict").alias("labels"),
         F.count(F.when(F.col("judged.verdict") == "block", 1)).alias("blocked"),
     )
-    known = verdicts(counted).select(
-        "host", *LEVELS, F.concat_ws("/", "m1", "m2", "m3").alias("template"),
-        F.when(F.col("p") >= LEAST_BLOCKED, "block").otherwise("allow").alias("by_template"),
+    known = templates(counted).select(
+        "host", "segments", "template", F.when(F.col("p") >= LEAST_BLOCKED, "block").otherwise("allow").alias("by_template")
     )
-    return shaped.join(known, ["host", *LEVELS], "left").select(
+    return shaped.join(known, ["host", "segments"], "left").select(
         "page_id", "host", "path", F.col("judged.rule").alias("rule"),
         F.coalesce("judged.verdict", "by_template").alias("verdict"), "template",
     )

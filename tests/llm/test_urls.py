@@ -32,8 +32,39 @@ def test_templates_learn_from_labels(spark):
     got = judged(spark, rows, rules=rules)
     assert {got[i]["verdict"] for i in range(200, 300)} == {"block"}
     assert {got[i]["verdict"] for i in range(300, 500)} == {"allow"}
-    # More than twenty different names become one wildcard.
-    assert {got[i]["template"].split("/")[2] for i in range(100, 300)} <= {"*", "~"}
+    # A template whose labels are all alike has no need of further segments.
+    assert {got[i]["template"] for i in range(100, 300)} == {"bad/*"}
+
+
+def test_a_blocked_branch_among_very_many(spark):
+    """However many branches a host has, one that differs keeps its verdict."""
+    rules = [("block", "h.net", "/spam/1"), ("allow", "h.net", "/name")]
+    rows = [(i, f"http://h.net/name{i % 200}x/{i}") for i in range(600)]
+    rows += [(1000 + i, f"http://h.net/spam/{i}x") for i in range(100, 140)] + [(2000 + i, f"http://h.net/spam/z{i}") for i in range(20)]
+    got = judged(spark, rows, rules=rules)
+    assert {got[2000 + i]["verdict"] for i in range(20)} == {"block"}
+    assert {got[2000 + i]["template"] for i in range(20)} == {"spam/*"}
+
+
+def test_deep_paths(spark):
+    """Labels that differ in the sixth segment only, and segments that all paths share."""
+    rules = [("block", "h.net", "/a/b/c/d/e/bad/1"), ("allow", "h.net", "/a/b/c/d/e/good/1")]
+    rows = [(i, f"http://h.net/a/b/c/d/e/{'bad' if i % 2 else 'good'}/{i}x/y") for i in range(100, 300)]
+    rows += [(300, "http://h.net/a/b/c/d/e"), (301, "http://h.net/a/b/c/d/e/other/1"), (302, "http://h.net/~/*"), (303, "http://h.net" + "/x" * 5000)]
+    got = judged(spark, rows, rules=rules)
+    assert {got[i]["verdict"] for i in range(200, 300) if i % 2} == {"block"}
+    assert {got[i]["verdict"] for i in range(200, 300, 2)} == {"allow"}
+    # Branches without labels are like their siblings, so the way there is a wildcard.
+    assert {got[i]["template"] for i in range(201, 300, 2)} == {"~/~/~/~/~/bad/*"}
+    # Paths without labels go where most of their siblings go; their own "~" and "*" are no wildcards.
+    assert {got[i]["template"] for i in (302, 303)} == {"~/~/~/~/~/~", "~/~/~/~/~/~/*"}
+
+
+def test_repeated_rows(spark):
+    rules = [("block", "h.net", "/b"), ("allow", "h.net", "/a")]
+    rows = [(1, "http://h.net/b/x"), (1, "http://h.net/b/x"), (2, "http://h.net/a"), (3, "http://h.net/c"), (None, None), (None, None)]
+    frame = spark.createDataFrame(rows, "page_id long, url string")
+    assert U.filtered(frame, rules=rules).count() == 6
 
 
 def test_similar_branches_are_merged(spark):
