@@ -6,7 +6,7 @@ together with few calls from Python to the JVM, however long its expressions are
 """
 
 from paylake.functions.documents import document_text, json_string
-from paylake.functions.keys import merchant_fingerprint, surrogate_key
+from paylake.functions.keys import merchant_fingerprint, row_digest, surrogate_key
 from paylake.functions.measures import percentage, seconds_between
 from paylake.functions.parsing import blank_to_null, iso_seconds, parse_timestamp, parse_uint
 
@@ -19,6 +19,7 @@ __all__ = [
     "parse_timestamp",
     "parse_uint",
     "percentage",
+    "row_digest",
     "seconds_between",
     "surrogate_key",
 ]

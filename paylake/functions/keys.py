@@ -1,8 +1,8 @@
-"""Surrogate keys: deterministic 60-bit numbers taken from an MD5 digest.
+"""Surrogate keys: MD5 digests, or deterministic 60-bit numbers taken from them.
 
 Any engine with MD5 can recompute them.  Sixty bits make clashes among a few
-hundred million merchants unlikely but not among 10^11 transactions, so tables
-are merged on their natural keys and never on a surrogate key alone.
+hundred million merchants unlikely but not among 10^11 transactions; these have
+the whole digest.  Tables are merged on their natural keys in any case.
 """
 
 from __future__ import annotations
@@ -11,11 +11,15 @@ SEPARATOR = "|"
 DIGEST_DIGITS = 15
 
 
-def surrogate_key(*parts: str) -> str:
-    """NULL parts count as empty text, parts are kept apart by a separator."""
+def row_digest(*parts: str) -> str:
+    """128 bits as hex; NULL parts count as empty text, parts are kept apart by a separator."""
     texts = ", ".join(f"coalesce(cast({part} AS string), '')" for part in parts)
-    digits = f"substring(md5(concat_ws('{SEPARATOR}', {texts})), 1, {DIGEST_DIGITS})"
-    return f"cast(conv({digits}, 16, 10) AS bigint)"
+    return f"md5(concat_ws('{SEPARATOR}', {texts}))"
+
+
+def surrogate_key(*parts: str) -> str:
+    """The first 60 bits of the digest as a number."""
+    return f"cast(conv(substring({row_digest(*parts)}, 1, {DIGEST_DIGITS}), 16, 10) AS bigint)"
 
 
 def merchant_fingerprint() -> str:

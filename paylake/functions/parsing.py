@@ -6,19 +6,34 @@ from __future__ import annotations
 # first.  "-" in fifth place tells the ISO form from all others.
 ISO_SHAPE = "substring({text}, 5, 1) = '-' AND length({text}) >= 8"
 ISO_READING = "try_cast({text} AS timestamp)"
-TIME_SHAPES = [
+EPOCH_SHAPES = [
     (r"^\d{9,10}$", "timestamp_seconds(try_cast({text} AS bigint))"),
     (r"^\d{13}$", "timestamp_millis(try_cast({text} AS bigint))"),
-    (r"^\d{8}$", "try_to_timestamp({text}, 'yyyyMMdd')"),
-    (r"^\d{14}$", "try_to_timestamp({text}, 'yyyyMMddHHmmss')"),
-    (r"^\d{2}/\d{2}/\d{4}$", "try_to_timestamp({text}, 'dd/MM/yyyy')"),
-    (r"^\d{2}/\d{2}/\d{4} \d{2}:\d{2}$", "try_to_timestamp({text}, 'dd/MM/yyyy HH:mm')"),
-    (r"^\d{2}/\d{2}/\d{4} \d{2}:\d{2}:\d{2}$", "try_to_timestamp({text}, 'dd/MM/yyyy HH:mm:ss')"),
-    (r"^\d{2}\.\d{2}\.\d{4}$", "try_to_timestamp({text}, 'dd.MM.yyyy')"),
-    (r"^\d{2}\.\d{2}\.\d{4} \d{2}:\d{2}:\d{2}$", "try_to_timestamp({text}, 'dd.MM.yyyy HH:mm:ss')"),
-    (r"^\d{4}/\d{2}/\d{2}$", "try_to_timestamp({text}, 'yyyy/MM/dd')"),
-    (r"^\d{4}/\d{2}/\d{2} \d{2}:\d{2}:\d{2}$", "try_to_timestamp({text}, 'yyyy/MM/dd HH:mm:ss')"),
 ]
+# What other texts are read by, after a weekday, commas and the blank before AM or PM are taken out.
+TIME_SHAPES = [
+    (r"^\d{8}$", "yyyyMMdd"),
+    (r"^\d{14}$", "yyyyMMddHHmmss"),
+    (r"^\d{2}/\d{2}/\d{4}$", "dd/MM/yyyy"),
+    (r"^\d{2}/\d{2}/\d{4} \d{2}:\d{2}$", "dd/MM/yyyy HH:mm"),
+    (r"^\d{2}/\d{2}/\d{4} \d{2}:\d{2}:\d{2}$", "dd/MM/yyyy HH:mm:ss"),
+    (r"^\d{2}/\d{2}/\d{4} \d{1,2}:\d{2}:\d{2}[AaPp][Mm]$", "dd/MM/yyyy h:mm:ssa"),
+    (r"^\d{2}\.\d{2}\.\d{4}$", "dd.MM.yyyy"),
+    (r"^\d{2}\.\d{2}\.\d{4} \d{2}:\d{2}:\d{2}$", "dd.MM.yyyy HH:mm:ss"),
+    (r"^\d{2}-\d{2}-\d{4}$", "dd-MM-yyyy"),
+    (r"^\d{2}-\d{2}-\d{4} \d{2}:\d{2}:\d{2}$", "dd-MM-yyyy HH:mm:ss"),
+    (r"^\d{4}/\d{2}/\d{2}$", "yyyy/MM/dd"),
+    (r"^\d{4}/\d{2}/\d{2} \d{2}:\d{2}:\d{2}$", "yyyy/MM/dd HH:mm:ss"),
+    (r"^\d{4}/\d{2}/\d{2} \d{1,2}:\d{2}:\d{2}[AaPp][Mm]$", "yyyy/MM/dd h:mm:ssa"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4} \d{2}:\d{2}:\d{2}$", "d MMM yyyy HH:mm:ss"),
+    (r"^\d{1,2} [A-Za-z]{4,9} \d{4}$", "d MMMM yyyy"),
+    (r"^\d{1,2} [A-Za-z]{4,9} \d{4} \d{2}:\d{2}:\d{2}$", "d MMMM yyyy HH:mm:ss"),
+    (r"^[A-Za-z]{3} \d{1,2} \d{4}$", "MMM d yyyy"),
+    (r"^[A-Za-z]{3} \d{1,2} \d{4} \d{2}:\d{2}:\d{2}$", "MMM d yyyy HH:mm:ss"),
+    (r"^[A-Za-z]{4,9} \d{1,2} \d{4}$", "MMMM d yyyy"),
+]
+TAKEN_OUT = r"^[A-Za-z]{3,9}, ?|,| (?=[AaPp][Mm]$)"
 ZERO, NINE = 48, 57  # ASCII
 
 
@@ -41,15 +56,19 @@ def parse_uint(text: str) -> str:
 def parse_timestamp(text: str) -> str:
     """Lenient time parser with second resolution; unreadable text gives NULL.
 
-    The shape is tested before a pattern is tried: the ISO form, by far the most
-    common, costs one test and one cast, and the default cast never sees forms
-    such as ``12:00`` that it would complete with the current date.
+    The ISO form, by far the most common, costs one test and one cast.  Of the other forms only
+    the pattern is chosen by cases, and read in one place: the code that Spark generates stays
+    small enough to be compiled.  The default cast never sees forms such as ``12:00`` that it
+    would complete with the current date.
     """
-    cases = f"WHEN {ISO_SHAPE} THEN {ISO_READING} ".format(text=text) + " ".join(
-        f"WHEN {text} RLIKE r'{shape}' THEN {reading.format(text=text)}"
-        for shape, reading in TIME_SHAPES
+    plain = f"regexp_replace({text}, r'{TAKEN_OUT}', '')"
+    patterns = " ".join(f"WHEN {plain} RLIKE r'{shape}' THEN '{pattern}'" for shape, pattern in TIME_SHAPES)
+    epochs = " ".join(f"WHEN {text} RLIKE r'{shape}' THEN {reading.format(text=text)}" for shape, reading in EPOCH_SHAPES)
+    iso = f"WHEN {ISO_SHAPE} THEN {ISO_READING}".format(text=text)
+    return (
+        f"date_trunc('second', CASE {iso} {epochs} "
+        f"ELSE try_to_timestamp({plain}, CASE {patterns} END) END)"
     )
-    return f"date_trunc('second', CASE {cases} END)"
 
 
 def iso_seconds(text: str) -> str:

@@ -162,7 +162,7 @@ final AS (
 
 FACT = f"""{REFERENCES}, {FINAL}, {DIM_MERCHANTS}, {METHODS}, {STATES},
 fact AS (
-  SELECT {_key("t.transaction_id::varchar || '|' || coalesce(t.payment_reference, '')")} AS sk,
+  SELECT md5(t.transaction_id::varchar || '|' || coalesce(t.payment_reference, '')) AS sk,
     t.transaction_id, t.payment_reference, (p.pay_reference IS NOT NULL)::int AS "hasPayment",
     s.payment_state_sk AS payment_state, m.merchant_sk, k.payment_method_sk,
     date_diff('second', t.tx_started_at, p.final_state_ts) AS "TimeFromStartToEndSeconds",
@@ -173,6 +173,18 @@ fact AS (
   LEFT JOIN dim_payment_method k ON k.original_value = p.final_method
   LEFT JOIN dim_merchants m ON m.merchant_id = p.final_merchant_id)"""
 
+# What is left after days were delivered again: of one day without some transactions, of the
+# next without some payments, and states of two early days that nothing has corrected.
+_AFTER_RELOAD = FACT.replace(
+    "FROM silver_link_tx)",
+    "FROM silver_link_tx WHERE NOT (_snapshot_date = date '2025-10-02' AND transaction_id % 3 = 0))",
+).replace(
+    "FROM (SELECT *, coalesce(updated_at, created_at) AS ts FROM silver_payments)",
+    "FROM (SELECT * REPLACE (CASE WHEN _snapshot_date IN (date '2025-10-01', date '2025-10-04') THEN 'initial' "
+    "ELSE payment_state END AS payment_state), coalesce(updated_at, created_at) AS ts FROM silver_payments "
+    "WHERE NOT (_snapshot_date = date '2025-10-03' AND transaction_id % 4 = 0))",
+)
+
 FACT_COLUMNS = (
     'sk, transaction_id, payment_reference, "hasPayment", payment_state, merchant_sk, '
     'payment_method_sk, "TimeFromStartToEndSeconds"'
@@ -353,6 +365,10 @@ def sql() -> dict[str, str]:
           SELECT id::varchar AS id, CASE WHEN id % 3 = 0 THEN state ELSE 'old' END AS state, linkpay_reference,
             'part-' || (id % 3)::varchar || '-' || strftime(_snapshot_date, '%Y%m%d') AS _source_file,
             _snapshot_date FROM raw_link_tx"""),
+        "sink_file_on_other_days": _with(RAW_LINK_TX, f"""
+          SELECT id::varchar AS id, CASE WHEN id % 5 < 2 THEN state ELSE 'old' END AS state, linkpay_reference,
+            'part-' || (id % 5)::varchar AS _source_file, _snapshot_date FROM raw_link_tx
+          WHERE id % 5 > 2 OR id % 5 < 2 AND _snapshot_date < {SPLIT_DAY}"""),
         "schema_drift_union": _with(RAW_LINK_TX, f"""
           SELECT id::varchar AS id, {_text('created_at')} AS created_at, {_text('updated_at')} AS updated_at, state,
             CASE WHEN _snapshot_date >= {SPLIT_DAY} THEN linkpay_reference END AS linkpay_reference,
@@ -390,12 +406,22 @@ def sql() -> dict[str, str]:
         "payment_reference": _with(REFERENCES, "SELECT * FROM tx"),
         "payment_final": _with(FINAL, "SELECT * FROM final"),
         "fact_transactions": _with(FACT, f"SELECT {FACT_COLUMNS} FROM fact"),
-        "fact_increment": _with(FACT, f"SELECT {FACT_COLUMNS} FROM fact"),
-        "fact_high_water_mark": _with(FACT, f"""
-          SELECT {FACT_COLUMNS} FROM fact JOIN silver_link_tx USING (transaction_id)
-          WHERE silver_link_tx._snapshot_date <= {SPLIT_DAY} OR _gating_ts > (
-            SELECT coalesce(max(created_at), timestamp '1970-01-01') FROM silver_link_tx
-            WHERE _snapshot_date <= {SPLIT_DAY})"""),
+        "fact_increment": _with(_AFTER_RELOAD, f"SELECT {FACT_COLUMNS} FROM fact"),
+        "fact_high_water_mark": _with(FACT, f"SELECT {FACT_COLUMNS} FROM fact"),
+        "bucketed_match": _with(FACT, """
+          SELECT t.transaction_id, t.payment_reference, p.transaction_id AS payment_id, p.payment_state, p._snapshot_date
+          FROM tx t JOIN silver_payments p ON p.reference = t.payment_reference"""),
+        # the stored lake
+        "lake_quarantine": _with(RAW_PAYMENTS, """
+          SELECT _snapshot_date, count(*) AS bronze_rows, count(*) FILTER (WHERE id % 11 > 4) AS accepted_rows,
+            count(*) FILTER (WHERE id % 11 <= 4) AS rejected_rows,
+            count(DISTINCT id) FILTER (WHERE id % 11 > 4) AS silver_rows,
+            count(*) FILTER (WHERE id % 11 = 4) AS missing_ids, count(*) FILTER (WHERE id % 11 = 3) AS ids_out_of_range
+          FROM raw_payments GROUP BY 1"""),
+        "lake_full_load": _with(FACT, """
+          SELECT transaction_id, payment_reference, "hasPayment", date '2025-10-05' AS latest_day
+          FROM fact JOIN silver_link_tx USING (transaction_id)
+          WHERE _snapshot_date IN (date '2025-10-02', date '2025-10-05')"""),
         # questions beyond the views
         "match_rate_kpi": _with(FACT, f"""
           SELECT count(*) AS initiated, {_REACHED} AS matched, {_pct(_REACHED, 'count(*)')} AS match_rate_pct
@@ -446,6 +472,24 @@ def sql() -> dict[str, str]:
             _repeats("fact_transactions", "fact", ["sk"]),
             _repeats("fact_transactions", "fact", ["payment_method_sk"]),
         ])),
+        "dq_tables": _with(FACT, _union(
+            _nulls("link_transactions", "silver_link_tx", ["transaction_id", "reference"])
+            + _nulls("payments", "silver_payments", ["transaction_id", "card_type"])
+            + _nulls("merchants", "silver_merchants", ["merchant_id", "merchant_name"])
+            + _nulls("dim_merchants", "dim_merchants", ["merchant_sk"])
+            + _nulls("fact_transactions", "fact", ["sk", "payment_reference"])
+            + [
+                _repeats("link_transactions", "silver_link_tx", ["transaction_id", "_snapshot_date"]),
+                _repeats("link_transactions", "silver_link_tx", ["reference"]),
+                _repeats("payments", "silver_payments", ["transaction_id", "_snapshot_date"]),
+                _repeats("payments", "silver_payments", ["reference"]),
+                _repeats("merchants", "silver_merchants", ["merchant_id", "_snapshot_date"]),
+                _repeats("dim_merchants", "dim_merchants", ["merchant_sk"]),
+                _repeats("dim_merchants", "dim_merchants", ["merchant_name"]),
+                _repeats("fact_transactions", "fact", ["sk"]),
+                _repeats("fact_transactions", "fact", ["payment_reference", "payment_state"]),
+            ]
+        )),
         "dq_timestamp_order": _with(f"{SILVER_LINK_TX}, {SILVER_PAYMENTS}, {SILVER_MERCHANTS}", _union([
             _unordered("link_transactions", "silver_link_tx"),
             _unordered("payments", "silver_payments"),

@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylake import schemas as S
-from paylake.operators.joins import lookup_join
+from paylake.operators.joins import heavy_keys, lookup_join
 
 SINCE = "2025-09-01 00:00:00"
-MERCHANT_COPIES = 16
 
 
 def _since(frame: DataFrame, since: str) -> DataFrame:
@@ -32,7 +31,7 @@ def payments(stage_payments: DataFrame, stage_merchants: DataFrame, since: str =
     chosen = _since(stage_payments, since).drop("acquirer_id")
     joined = lookup_join(
         chosen, acquirers, "merchant_id", "_merchant",
-        spread_by="id", copies=MERCHANT_COPIES, how="inner",
+        spread_by="id", heavy=heavy_keys(stage_payments, "merchant_id"), how="inner",
     )
     return joined.select(
         "id", "created_at", "updated_at", "merchant_id", "acquirer_id",

@@ -7,17 +7,15 @@ reference column.
 
 from __future__ import annotations
 
-import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylake import schemas as S
-from paylake.functions import blank_to_null, json_string, seconds_between, surrogate_key
+from paylake.functions import blank_to_null, json_string, row_digest, seconds_between, surrogate_key
 from paylake.operators.joins import lookup_join
 from paylake.operators.latest import latest
-from paylake.operators.merge import upserted
-from paylake.sources.tables import of_days
 
 # Calendar range, dimension rows, spellings of the JSON reference.
 CALENDAR_START = "2000-01-01"
@@ -30,10 +28,6 @@ PAYMENT_STATES = (
 )
 REFERENCE_KEYS = ["payment_reference", "paymentReference", "reference"]
 
-# The merchant lookup cuts each merchant's payments into this many parts if the
-# dimension is too large to broadcast.
-MERCHANT_COPIES = 16
-
 
 # ---- dimensions -------------------------------------------------------------
 
@@ -104,10 +98,10 @@ def dim_merchants(silver_merchants: DataFrame) -> DataFrame:
 # ---- fact -------------------------------------------------------------------
 
 
-def payment_references(silver_link_tx: DataFrame) -> DataFrame:
-    """(transaction_id, payment_reference, tx_started_at), latest snapshot per transaction.
+def referenced(silver_link_tx: DataFrame) -> DataFrame:
+    """Each snapshot of a transaction with its reference and start in one column, ``_row``.
 
-    The reference is read before the rows are shuffled, so the JSON text stays
+    The reference is read before any rows are shuffled, so the JSON text stays
     on the map side.
     """
     candidates = [blank_to_null(json_string("_document", key)) for key in REFERENCE_KEYS]
@@ -116,12 +110,16 @@ def payment_references(silver_link_tx: DataFrame) -> DataFrame:
         "transaction_id", "reference", "created_at", S.SNAPSHOT,
         "try_parse_json(details) AS _document",
     )
-    shaped = parsed.selectExpr(
+    return parsed.selectExpr(
         "transaction_id",
         f"struct(coalesce({', '.join(candidates)}) AS payment_reference, created_at AS tx_started_at) AS _row",
         S.SNAPSHOT,
     )
-    newest = shaped.groupBy("transaction_id").agg(F.expr(f"max_by(_row, {S.SNAPSHOT}) AS _row"))
+
+
+def payment_references(silver_link_tx: DataFrame) -> DataFrame:
+    """(transaction_id, payment_reference, tx_started_at), latest snapshot per transaction."""
+    newest = referenced(silver_link_tx).groupBy("transaction_id").agg(F.expr(f"max_by(_row, {S.SNAPSHOT}) AS _row"))
     return newest.select("transaction_id", "_row.*")
 
 
@@ -143,7 +141,7 @@ def payment_final(silver_payments: DataFrame) -> DataFrame:
     )
 
 
-def _with_keys(final: DataFrame, merchants: DataFrame) -> DataFrame:
+def _with_keys(final: DataFrame, merchants: DataFrame, heavy_merchants: Sequence[int]) -> DataFrame:
     """Final payments with the dimension keys in place of the raw values.
 
     A NULL method keeps a NULL key: the method join is a plain equality, and the
@@ -160,20 +158,23 @@ def _with_keys(final: DataFrame, merchants: DataFrame) -> DataFrame:
         .join(methods, F.expr("final_method = original_value"), "left")
     )
     known = lookup_join(
-        known, keys, "final_merchant_id", "_merchant_id", spread_by="pay_reference", copies=MERCHANT_COPIES
+        known, keys, "final_merchant_id", "_merchant_id", spread_by="pay_reference", heavy=heavy_merchants
     )
     return known.select(
         "pay_reference", "payment_state", "payment_method_sk", "merchant_sk", "final_state_ts"
     )
 
 
-def _shape(transactions: DataFrame, final: DataFrame, merchants: DataFrame) -> DataFrame:
+def shaped(
+    transactions: DataFrame, final: DataFrame, merchants: DataFrame, heavy_merchants: Sequence[int] = ()
+) -> DataFrame:
+    """Fact rows of transactions and the final payments of their references."""
     matched = lookup_join(
-        transactions, _with_keys(final, merchants), "payment_reference", "pay_reference",
+        transactions, _with_keys(final, merchants, heavy_merchants), "payment_reference", "pay_reference",
         spread_by="transaction_id",
     )
     return matched.selectExpr(
-        f"{surrogate_key('transaction_id', 'payment_reference')} AS sk",
+        f"{row_digest('transaction_id', 'payment_reference')} AS sk",
         "transaction_id",
         "payment_reference",
         "cast(pay_reference IS NOT NULL AS int) AS hasPayment",
@@ -186,51 +187,16 @@ def _shape(transactions: DataFrame, final: DataFrame, merchants: DataFrame) -> D
 
 
 def fact_transactions(
-    silver_link_tx: DataFrame, silver_payments: DataFrame, merchants: DataFrame
-) -> DataFrame:
-    """The whole fact: one row per initiated payment, plus its start time (technical)."""
-    return _shape(payment_references(silver_link_tx), payment_final(silver_payments), merchants)
-
-
-def fact_newer_than_target(fact: DataFrame, target: DataFrame) -> DataFrame:
-    """Rows of ``fact`` that start after the newest row of ``target``.
-
-    The plain high-water mark: late rows and rows without a start time are not
-    seen, see :func:`fact_changes` for the load that misses nothing.
-    """
-    mark = target.agg(F.expr(f"coalesce(max({S.GATING_TS}), timestamp '1970-01-01') AS mark"))
-    return fact.where(F.col(S.GATING_TS) > mark.scalar())
-
-
-def fact_changes(
-    target: DataFrame,
     silver_link_tx: DataFrame,
     silver_payments: DataFrame,
     merchants: DataFrame,
-    first: str | dt.date,
-    last: str | dt.date | None = None,
+    heavy_merchants: Sequence[int] = (),
 ) -> DataFrame:
-    """Fact rows to insert or replace after the snapshot days ``first`` to ``last`` came in.
+    """The whole fact: one row per initiated payment, plus its start time (technical).
 
-    These are the transactions of those days and all rows of ``target`` that would be
-    different now: a payment came or was withdrawn by a day loaded again, or a merchant
-    was delivered or withdrawn.  What a withdrawn row has changed shows in no input, so
-    the rows of ``target``, which holds all that is needed of them, are matched anew.
+    ``heavy_merchants`` (see ``operators.joins.heavy_keys``) do not change the result; where
+    payments are stored, finding them reads one column.
     """
-    changed_ids = of_days(silver_link_tx, first, last).select("transaction_id")
-    changed = payment_references(silver_link_tx.join(changed_ids, "transaction_id", "left_semi"))
-    others = target.join(changed_ids, "transaction_id", "left_anti")
-    again = others.selectExpr("transaction_id", "payment_reference", f"{S.GATING_TS} AS tx_started_at")
-    shaped = _shape(changed.unionByName(again), payment_final(silver_payments), merchants)
-    before = others.select(F.col("transaction_id").alias("_id"), F.struct(*shaped.columns).alias("_before"))
-    same = F.coalesce(F.col("_before").eqNullSafe(F.struct(*shaped.columns)) & F.col("_id").isNotNull(), F.lit(False))
-    return shaped.join(before, F.col("transaction_id") == F.col("_id"), "left").where(~same).select(*shaped.columns)
-
-
-def fact_updated(target: DataFrame, changes: DataFrame) -> DataFrame:
-    """``target`` with ``changes`` put in.
-
-    Keyed by the transaction: its surrogate key contains the reference, so it
-    changes when the reference does.
-    """
-    return upserted(target, changes, ["transaction_id"])
+    return shaped(
+        payment_references(silver_link_tx), payment_final(silver_payments), merchants, heavy_merchants
+    )

@@ -7,6 +7,7 @@ table as read back.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -18,6 +19,8 @@ from paylake import schemas as S
 from paylake.operators import quality
 from paylake.operators.merge import align
 from paylake.plans import bronze, extracts, gold, silver, views
+from paylake.plans.increments import FactIncrements
+from paylake.plans.lakehouse import Lakehouse
 from paylake.session import configure, fresh_path
 from paylake.sinks import tables as sink
 from paylake.sources.daily_files import DailyFiles, day_range, read_days
@@ -71,12 +74,17 @@ def _from_day(day: str):
 def _daily_files(frame: DataFrame, prefix: str, columns: list[str]) -> DailyFiles:
     """``frame`` as daily CSV files: one folder of part files per day, in one write."""
     folder = fresh_path(frame.sparkSession, "files")
+    _write_daily(frame, folder, prefix, columns)
+    return DailyFiles(folder, f"file={prefix}")
+
+
+def _write_daily(frame: DataFrame, folder: str, prefix: str, columns: list[str]) -> None:
     name = F.concat(F.lit(f"{prefix}-"), F.date_format(S.SNAPSHOT, "yyyyMMdd"), F.lit(".csv"))
     (
         frame.select(*columns, name.alias("file"))
-        .write.partitionBy("file").option("header", True).option("escape", '"').csv(folder)
+        .write.partitionBy("file").option("header", True).option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False).csv(folder)
     )
-    return DailyFiles(folder, f"file={prefix}")
 
 
 # ---- sources ----------------------------------------------------------------
@@ -188,6 +196,19 @@ def sink_partition_emptied(spark: SparkSession, d: str) -> DataFrame:
     return read_table(spark, path, S.SILVER_LINK_TX)
 
 
+def sink_file_on_other_days(spark: SparkSession, d: str) -> DataFrame:
+    """Files whose rows are spread over days; some come again with fewer days, one with none."""
+    part = (F.col("id").cast("bigint") % 5).cast("string")
+    rows = X.bronze_link_transactions(spark, d).withColumn(S.SOURCE_FILE, F.concat(F.lit("part-"), part))
+    path = fresh_path(spark, "bronze")
+    sink.replace_partitions(_outdated(rows), path)
+    again = rows.where(F.col(S.SOURCE_FILE).isin("part-0", "part-1") & ~_from_day(SPLIT_DAY))
+    sink.replace_source_files(again, path, S.BRONZE_LINK_TX, ["part-0", "part-1", "part-2"])
+    return read_table(spark, path, S.BRONZE_LINK_TX).select(
+        "id", "state", "linkpay_reference", S.SOURCE_FILE, S.SNAPSHOT
+    )
+
+
 def sink_replace_by_file(spark: SparkSession, d: str) -> DataFrame:
     """Three files per day, one of which is delivered again."""
     part = (F.col("id").cast("bigint") % 3).cast("string")
@@ -297,37 +318,105 @@ def _parts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame
 
 
 def fact_increment(spark: SparkSession, d: str) -> DataFrame:
-    """A fact of the first days, brought up to date with the following days.
+    """A fact of the first days, brought up to date with a load of the following days.
 
-    Half of the merchants are delivered on the following days only.  The test orders spread over seven years, hence the coarser partitions.
+    That load also repeats two early days: transactions of one and payments of the other are
+    withdrawn, and states change.  Half of the merchants are delivered with it only.  The test
+    orders spread over seven years, hence the coarser partitions.
     """
     transactions, payments, merchants = _parts(spark, d)
-    path = fresh_path(spark, "fact")
-    sink.write_fact(
-        gold.fact_transactions(
-            of_days(transactions, X.FIRST_DAY, SPLIT_DAY),
-            of_days(payments, X.FIRST_DAY, SPLIT_DAY),
-            merchants.where("merchant_id % 2 = 0"),
-        ),
-        path, "month",
-    )
-    changes = gold.fact_changes(
-        sink.read_fact(spark, path), transactions, payments, merchants, NEXT_DAY, X.LAST_DAY
+    root = fresh_path(spark, "increments")
+    increments = FactIncrements(spark, root, f"{root}/fact", "month", buckets=8)
+    none = [frame.where("false") for frame in (transactions, payments, merchants)]
+    early = merchants.where("merchant_id % 2 = 0")
+    first = [of_days(frame, X.FIRST_DAY, SPLIT_DAY) for frame in (transactions, payments)]
+    increments.record((none[0], first[0]), (none[1], first[1].withColumn("payment_state", F.lit("initial"))), (none[2], early))
+    increments.apply(early)
+
+    day = F.to_date(F.lit(X.SECOND_DAY))
+    reloaded = F.col(S.SNAPSHOT).isin(day, F.date_add(day, 1)) | _from_day(NEXT_DAY)
+    second = [
+        transactions.where(~((F.col(S.SNAPSHOT) == day) & (F.col("transaction_id") % 3 == 0))),
+        payments.where(~((F.col(S.SNAPSHOT) == F.date_add(day, 1)) & (F.col("transaction_id") % 4 == 0))),
+    ]
+    known = [first[0], first[1].withColumn("payment_state", F.lit("initial"))]
+    # Days that the load is not about keep the state they have.
+    increments.record(
+        (known[0].where(reloaded), second[0].where(reloaded)), (known[1].where(reloaded), second[1].where(reloaded)),
+        (early, merchants),
     )
-    sink.upsert_fact(changes, path, "month")
-    return sink.read_fact(spark, path).select(S.FACT_COLUMNS)
+    increments.apply(merchants)
+    return sink.read_fact(spark, f"{root}/fact").select(S.FACT_COLUMNS)
 
 
 def fact_high_water_mark(spark: SparkSession, d: str) -> DataFrame:
-    """The first days' fact and, appended, what starts later than all of it."""
+    """The first days' fact and, appended, the following days' transactions that it does not hold.
+
+    Some start before its newest transaction, and some of the first days' are offered again.
+    """
     transactions, payments, merchants = _parts(spark, d)
+    path = fresh_path(spark, "fact")
     first = of_days(transactions, X.FIRST_DAY, SPLIT_DAY)
-    target = gold.fact_transactions(first, payments, merchants)
-    following = of_days(transactions, NEXT_DAY, X.LAST_DAY)
-    newer = gold.fact_newer_than_target(
-        gold.fact_transactions(following, payments, merchants), target
+    sink.write_fact(gold.fact_transactions(first, payments, merchants), path, "month")
+    following = of_days(transactions, SPLIT_DAY, X.LAST_DAY)
+    sink.append_newer_fact(gold.fact_transactions(following, payments, merchants), path, "month")
+    return sink.read_fact(spark, path).select(S.FACT_COLUMNS)
+
+
+def bucketed_match(spark: SparkSession, d: str) -> DataFrame:
+    """Every payment of every transaction's reference, from tables bucketed by the reference."""
+    transactions, payments, _ = _parts(spark, d)
+    initiated = gold.payment_references(transactions).where("payment_reference IS NOT NULL")
+    paid = payments.where("reference IS NOT NULL").select(
+        "reference", F.col("transaction_id").alias("payment_id"), "payment_state", S.SNAPSHOT
+    )
+    left, right = (
+        sink.write_bucketed(frame, f"{name}_{uuid.uuid4().hex}", fresh_path(spark, name), key, 16)
+        for frame, name, key in (
+            (initiated, "transactions_by_reference", "payment_reference"), (paid, "payments_by_reference", "reference"),
+        )
+    )
+    joined = left.hint("merge").join(right, F.col("payment_reference") == F.col("reference"))
+    return joined.select("transaction_id", "payment_reference", "payment_id", "payment_state", S.SNAPSHOT)
+
+
+# ---- the stored lake --------------------------------------------------------
+
+
+def _incoming(spark: SparkSession, d: str, spoiled: bool = False) -> str:
+    """A folder with all daily files of the three entities."""
+    folder = fresh_path(spark, "incoming")
+    payments = X.bronze_payments(spark, d)
+    for name, rows, columns in (
+        ("payments", X.with_unusable_ids(payments) if spoiled else payments, S.PAYMENT_COLUMNS),
+        ("link_transactions", X.bronze_link_transactions(spark, d), S.LINK_TX_COLUMNS),
+        ("merchants", X.bronze_merchants(spark, d), S.MERCHANT_COLUMNS),
+    ):
+        _write_daily(rows, f"{folder}/{name}", name, columns)
+    return folder
+
+
+def lake_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    """Rows read, accepted and rejected per day by a run of the lake, as stored, and the reasons' counts."""
+    folder = _incoming(spark, d, spoiled=True)
+    lake = Lakehouse(spark, fresh_path(spark, "lake"), "file=", buckets=8)
+    lake.load_bronze(folder, X.FIRST_DAY, X.LAST_DAY)
+    lake.build_silver(X.FIRST_DAY, X.LAST_DAY)
+    reasons = lake.rejected("payments").groupBy(S.SNAPSHOT).agg(
+        F.count_if(F.col("_reason") == "missing id").alias("missing_ids"),
+        F.count_if(F.col("_reason") == "id out of range").alias("ids_out_of_range"),
     )
-    return target.unionByName(newer).select(S.FACT_COLUMNS)
+    return lake.load_counts("payments").join(reasons, S.SNAPSHOT, "left")
+
+
+def lake_full_load(spark: SparkSession, d: str) -> DataFrame:
+    """Two runs with options: a lagged one, and one of another day that takes all that ever landed."""
+    folder = _incoming(spark, d)
+    lake = Lakehouse(spark, fresh_path(spark, "lake"), "file=", buckets=8)
+    lake.run_day(folder, "2025-10-12", lag_days=10)
+    lake.run_day(folder, "2025-10-12", override="20251005", full_load=True)
+    days = lake.silver("link_transactions").groupBy("transaction_id").agg(F.max(S.SNAPSHOT).alias("latest_day"))
+    return lake.fact().join(days, "transaction_id").select("transaction_id", "payment_reference", "hasPayment", "latest_day")
 
 
 # ---- views ------------------------------------------------------------------
@@ -364,36 +453,47 @@ def completion_by_hour(spark: SparkSession, d: str) -> DataFrame:
 # ---- checks -----------------------------------------------------------------
 
 
+def _stored_gold(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Stored silver payments, transactions and merchants, the dimension, and the fact built on them."""
+    transactions, payments, dimension = _parts(spark, d)
+    shops = _stored(_silver_merchants(spark, d), "silver-merchants")
+    fact = _stored(gold.fact_transactions(transactions, payments, dimension), "fact")
+    return payments, transactions, shops, dimension, fact
+
+
 def dq_not_null(spark: SparkSession, d: str) -> DataFrame:
-    merchants = _silver_merchants(spark, d)
+    payments, transactions, shops, dimension, fact = _stored_gold(spark, d)
     return reduce(DataFrame.unionByName, [
-        quality.not_null(_silver_link_tx(spark, d), "link_transactions", ["transaction_id", "reference"]),
-        quality.not_null(
-            _silver_payments(spark, d), "payments",
-            ["transaction_id", "reference", "merchant_id", "card_type"],
-        ),
-        quality.not_null(merchants, "merchants", ["merchant_id", "merchant_name"]),
-        quality.not_null(gold.dim_merchants(merchants), "dim_merchants", ["merchant_sk"]),
-        quality.not_null(
-            _fact(spark, d), "fact_transactions",
-            ["sk", "transaction_id", "payment_reference", "merchant_sk"],
-        ),
+        quality.not_null(transactions, "link_transactions", ["transaction_id", "reference"]),
+        quality.not_null(payments, "payments", ["transaction_id", "reference", "merchant_id", "card_type"]),
+        quality.not_null(shops, "merchants", ["merchant_id", "merchant_name"]),
+        quality.not_null(dimension, "dim_merchants", ["merchant_sk"]),
+        quality.not_null(fact, "fact_transactions", ["sk", "transaction_id", "payment_reference", "merchant_sk"]),
     ])
 
 
 def dq_unique(spark: SparkSession, d: str) -> DataFrame:
-    """Declared keys, and some columns known to repeat."""
-    merchants = _merchants(spark, d)
-    fact = _fact(spark, d, merchants)
+    """Declared keys, and some columns known to repeat: one scan and one shuffle per table."""
+    payments, _, shops, dimension, fact = _stored_gold(spark, d)
+    return reduce(DataFrame.unionByName, [
+        quality.checks(X.bronze_link_transactions(spark, d), "raw_link_transactions", unique_keys=[["id"]]),
+        quality.checks(X.bronze_payments(spark, d), "raw_payments", unique_keys=[["id"]]),
+        quality.checks(payments, "payments", unique_keys=[silver.PAYMENT_KEY]),
+        quality.checks(shops, "merchants", unique_keys=[silver.MERCHANT_KEY]),
+        quality.checks(dimension, "dim_merchants", unique_keys=[["merchant_sk"], ["merchant_name"]]),
+        quality.checks(fact, "fact_transactions", unique_keys=[["sk"], ["payment_method_sk"]]),
+    ])
+
+
+def dq_tables(spark: SparkSession, d: str) -> DataFrame:
+    """All declared tests of a table together."""
+    payments, transactions, shops, dimension, fact = _stored_gold(spark, d)
     return reduce(DataFrame.unionByName, [
-        quality.unique(X.bronze_link_transactions(spark, d), "raw_link_transactions", ["id"]),
-        quality.unique(X.bronze_payments(spark, d), "raw_payments", ["id"]),
-        quality.unique(_silver_payments(spark, d), "payments", silver.PAYMENT_KEY),
-        quality.unique(_silver_merchants(spark, d), "merchants", silver.MERCHANT_KEY),
-        quality.unique(merchants, "dim_merchants", ["merchant_sk"]),
-        quality.unique(merchants, "dim_merchants", ["merchant_name"]),
-        quality.unique(fact, "fact_transactions", ["sk"]),
-        quality.unique(fact, "fact_transactions", ["payment_method_sk"]),
+        quality.checks(transactions, "link_transactions", ["transaction_id", "reference"], [silver.LINK_TX_KEY, ["reference"]]),
+        quality.checks(payments, "payments", ["transaction_id", "card_type"], [silver.PAYMENT_KEY, ["reference"]]),
+        quality.checks(shops, "merchants", ["merchant_id", "merchant_name"], [silver.MERCHANT_KEY]),
+        quality.checks(dimension, "dim_merchants", ["merchant_sk"], [["merchant_sk"], ["merchant_name"]]),
+        quality.checks(fact, "fact_transactions", ["sk", "payment_reference"], [["sk"], ["payment_reference", "payment_state"]]),
     ])
 
 
@@ -431,12 +531,16 @@ def registered() -> dict[str, Query]:
         "sink_partition_replace": sink_partition_replace,
         "sink_partition_emptied": sink_partition_emptied,
         "sink_replace_by_file": sink_replace_by_file,
+        "sink_file_on_other_days": sink_file_on_other_days,
         "schema_drift_union": schema_drift_union,
         "silver_insert_missing": silver_insert_missing,
         "silver_upsert": silver_upsert,
         "backfill_range": backfill_range,
         "fact_increment": fact_increment,
         "fact_high_water_mark": fact_high_water_mark,
+        "bucketed_match": bucketed_match,
+        "lake_quarantine": lake_quarantine,
+        "lake_full_load": lake_full_load,
         # gold
         "dim_date": dim_date,
         "dim_payment_method": dim_payment_method,
@@ -457,6 +561,7 @@ def registered() -> dict[str, Query]:
         # checks
         "dq_not_null": dq_not_null,
         "dq_unique": dq_unique,
+        "dq_tables": dq_tables,
         "dq_timestamp_order": dq_timestamp_order,
     }
     entries |= {name: _view(name) for name in views.VIEWS}

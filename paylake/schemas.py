@@ -88,7 +88,7 @@ FACT_COLUMNS = [
     "merchant_sk", "payment_method_sk", "TimeFromStartToEndSeconds",
 ]
 FACT_TRANSACTIONS = T.StructType([
-    T.StructField("sk", T.LongType()),
+    T.StructField("sk", T.StringType()),
     T.StructField("transaction_id", T.LongType()),
     T.StructField("payment_reference", T.StringType()),
     T.StructField("hasPayment", T.IntegerType()),

@@ -19,6 +19,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # ... even where the grouping that follows then needs a shuffle of its own.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM compiles no method of more than 8000 bytes: larger ones are better cut up.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Shuffle files go when the query that wrote them ends; tables read again are written.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     # A JSON document that repeats a key keeps the last value.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }

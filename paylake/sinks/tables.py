@@ -64,21 +64,45 @@ def replace_partitions(
 
 def _file_names(spark: SparkSession, folder: str) -> set[str]:
     """The names of the files in a folder; none if it does not exist."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path = _hadoop_path(spark, folder)
     store = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     return {f.getPath().getName() for f in store.listStatus(path)} if store.exists(path) else set()
 
 
-def replace_source_files(frame: DataFrame, path: str, contract: T.StructType) -> None:
-    """Replace the rows of the source files ``frame`` has rows of.
+# Which source file has rows on which days of a table; beside the table.
+FILE_INDEX = "-files"
+FILE_DAYS = T.StructType([T.StructField(S.SOURCE_FILE, T.StringType()), T.StructField(S.SNAPSHOT, T.DateType())])
 
-    Rows of other files in the same days are written back with them.
+
+def replace_source_files(
+    frame: DataFrame, path: str, contract: T.StructType, files: Iterable[str] | None = None
+) -> None:
+    """Replace the rows of the source files ``frame`` has rows of, on whatever days they are.
+
+    Name the ``files`` if one of them may have no rows any more.  The days a file ever wrote are
+    kept in a small table, which is made from the table's files the first time; only those days
+    are read and rewritten, the rows of other files with them.
     """
-    days = _partition_values(frame, S.SNAPSHOT)
-    names = frame.select(S.SOURCE_FILE).distinct()
-    stored = read_drifted(frame.sparkSession, path, contract)
+    spark = frame.sparkSession
+    known = _days_of_files(spark, path, contract)
+    brought = frame.select(FILE_DAYS.fieldNames()).distinct()
+    names = brought.select(S.SOURCE_FILE).distinct()
+    if files is not None:
+        names = names.unionByName(spark.createDataFrame([(f,) for f in files], T.StructType(FILE_DAYS.fields[:1]))).distinct()
+    before = known.join(names, S.SOURCE_FILE, "left_semi").select(S.SNAPSHOT)
+    days = set(_partition_values(before.unionByName(brought.select(S.SNAPSHOT)), S.SNAPSHOT))
+    stored = read_drifted(spark, path, contract)
     kept = stored.where(_is_one_of(S.SNAPSHOT, days)).join(names, S.SOURCE_FILE, "left_anti").select(stored.columns)
-    replace_partitions(kept.unionByName(frame, allowMissingColumns=True), path)
+    # First what is new to the index: a file listed with too many days does no harm.
+    only_missing(brought, known, FILE_DAYS.fieldNames()).write.mode("append").parquet(path + FILE_INDEX)
+    replace_partitions(kept.unionByName(frame, allowMissingColumns=True), path, loaded=days)
+
+
+def _days_of_files(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
+    if not table_exists(spark, path + FILE_INDEX):
+        found = read_table(spark, path, contract).select(FILE_DAYS.fieldNames()).distinct()
+        swapped(found, path + FILE_INDEX)
+    return spark.read.schema(FILE_DAYS).parquet(path + FILE_INDEX)
 
 
 def ensure_table(spark: SparkSession, path: str, contract: T.StructType, partition: str = S.SNAPSHOT) -> None:
@@ -146,7 +170,7 @@ def create_or_replace(frame: DataFrame, target: str) -> None:
     catalog, which then swaps the table in one step.
     """
     if "/" in target:
-        frame.write.mode("overwrite").parquet(target)
+        swapped(frame, target)
     else:
         (
             frame.writeTo(target).using("iceberg")
@@ -154,6 +178,51 @@ def create_or_replace(frame: DataFrame, target: str) -> None:
         )
 
 
+def swapped(frame: DataFrame, path: str, partition: str | None = None) -> None:
+    """Write a folder anew, aside, and put it in place when it is complete.
+
+    A write that fails leaves the former version readable.  Where a store cannot replace a
+    folder in one step, the former version is moved away first; if that is as far as it got,
+    the next write moves it back.
+    """
+    spark = frame.sparkSession
+    target, aside, former = (_hadoop_path(spark, path.rstrip("/") + end) for end in ("", "-new", "-former"))
+    store = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if store.exists(former):
+        if store.exists(target):
+            store.delete(former, True)
+        else:
+            _renamed(store, former, target)
+    writer = frame.write.mode("overwrite")
+    (writer.partitionBy(partition) if partition else writer).parquet(aside.toString())
+    if store.exists(target):
+        _renamed(store, target, former)
+    _renamed(store, aside, target)
+    store.delete(former, True)
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _renamed(store, source, target) -> None:
+    if not store.rename(source, target):
+        raise OSError(f"{source.toString()} could not be renamed to {target.toString()}")
+
+
+def write_bucketed(frame: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
+    """A table of the session catalog whose rows are dealt into buckets by ``key``, sorted within.
+
+    Two tables with as many buckets join on their keys without a shuffle.  Rows without a key
+    match nothing and would all be in one bucket: leave them out.
+    """
+    (
+        frame.repartition(buckets, key).write.format("parquet").mode("overwrite")
+        .bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    )
+    return frame.sparkSession.table(name)
+
+
 # ---- fact -------------------------------------------------------------------
 
 FACT_STORED = T.StructType([*S.FACT_TRANSACTIONS.fields, T.StructField(S.START_PERIOD, T.DateType())])
@@ -169,7 +238,7 @@ def _with_period(fact: DataFrame, grain: str) -> DataFrame:
 def write_fact(fact: DataFrame, path: str, grain: str = "day") -> None:
     """The whole fact, partitioned by the period a payment was started in."""
     rows = _arranged(_with_period(fact, grain), S.START_PERIOD, ["sk"])
-    rows.write.mode("overwrite").partitionBy(S.START_PERIOD).parquet(path)
+    swapped(rows, path, S.START_PERIOD)
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
@@ -210,6 +279,75 @@ def upsert_fact(changes: DataFrame, path: str, grain: str = "day") -> None:
         empty(spark, S.FACT_TRANSACTIONS).write.mode("overwrite").parquet(folder)
 
 
+def change_fact(
+    rows: DataFrame, gone: DataFrame, starts: DataFrame, path: str, grain: str = "day"
+) -> None:
+    """Insert or replace ``rows`` by transaction, delete the transactions ``gone``.
+
+    ``starts`` are the start times that changed transactions had until now, so only the periods
+    that lose or gain a row are read and rewritten.
+    """
+    spark = rows.sparkSession
+    staged_path = fresh_path(spark, "fact-changes")
+    _with_period(rows, grain).write.parquet(staged_path)
+    staged = spark.read.schema(FACT_STORED).parquet(staged_path)
+    left = _with_period(starts.withColumnRenamed(starts.columns[0], S.GATING_TS), grain)
+    # One value per period.
+    touched = set(_partition_values(staged, S.START_PERIOD)) | set(_partition_values(left, S.START_PERIOD))
+    if not touched:
+        return
+    out = staged.select("transaction_id").unionByName(gone.select("transaction_id"))
+    stored = read_table(spark, path, FACT_STORED).where(_is_one_of(S.START_PERIOD, touched))
+    result = only_missing(stored, out, ["transaction_id"]).unionByName(staged)
+    replace_partitions(result, path, ["sk"], S.START_PERIOD, touched)
+
+
+def append_newer_fact(rows: DataFrame, path: str, grain: str = "day") -> None:
+    """The high-water load: appends the rows of transactions the fact does not hold yet.
+
+    Rows that start after the newest period of the fact are new.  Late ones, and those without
+    a start, are looked up in the periods they would belong to: which these are is known only
+    when the load runs, and prunes the fact's partitions then.
+    """
+    spark = rows.sparkSession
+    staged_path = fresh_path(spark, "fact-load")
+    _with_period(rows, grain).write.parquet(staged_path)
+    staged = spark.read.schema(FACT_STORED).parquet(staged_path)
+    fact = read_table(spark, path, FACT_STORED)
+    mark = fact.agg(F.max(S.START_PERIOD).alias("mark")).selectExpr("coalesce(mark, date '1970-01-01')")
+    newer = staged.where(F.col(S.START_PERIOD) > mark.scalar())
+    late = staged.where(F.col(S.START_PERIOD).isNull() | (F.col(S.START_PERIOD) <= mark.scalar()))
+    known = same_periods(fact, late).select("transaction_id")
+    missing = newer.unionByName(only_missing(late, known, ["transaction_id"])).select(FACT_STORED.fieldNames())
+    _arranged(missing, S.START_PERIOD, ["sk"]).write.mode("append").partitionBy(S.START_PERIOD).parquet(path)
+
+
+def same_periods(fact: DataFrame, late: DataFrame) -> DataFrame:
+    """The fact's rows in periods that ``late`` has rows in; other partitions are not read.
+
+    The periods are a small stored table, at most one row each, so Spark can broadcast it and
+    use it as a filter on the partitions.
+    """
+    spark = late.sparkSession
+    path = fresh_path(spark, "periods")
+    counts = late.groupBy(S.START_PERIOD).agg(F.count("*").alias("_rows"))
+    counts.coalesce(1).write.parquet(path)
+    # Spark prunes by a side that is filtered by a comparison.
+    periods = spark.read.schema(counts.schema).parquet(path).where(F.col("_rows") > 0).select(S.START_PERIOD)
+    dated = fact.join(periods.where(F.col(S.START_PERIOD).isNotNull()), S.START_PERIOD, "left_semi")
+    undated = fact.where(F.col(S.START_PERIOD).isNull()).join(
+        periods.where(F.col(S.START_PERIOD).isNull()).select(F.lit(1).alias("_any")), how="left_semi"
+    )
+    return dated.select(fact.columns).unionByName(undated.select(fact.columns))
+
+
+def drop_partitions(spark: SparkSession, path: str, names: Iterable[str]) -> None:
+    """Removes whole partitions (``column=value``) of a table."""
+    for name in names:
+        folder = _hadoop_path(spark, f"{path}/{name}")
+        folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def _is_one_of(column: str, values) -> Column:
     """Also true for a NULL in the column if NULL is among ``values``."""
     known = F.coalesce(F.col(column).isin([v for v in values if v is not None]), F.lit(False))

@@ -60,6 +60,18 @@ def read_drifted(spark: SparkSession, path: str, contract: T.StructType) -> Data
     return align(stored, T.StructType(contract.fields + extra))
 
 
+def read_delivered(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table with just the columns its files have; None while it has no file."""
+    if not table_exists(spark, path):
+        return None
+    try:
+        return spark.read.option("mergeSchema", True).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return None
+
+
 def read_landing(
     spark: SparkSession,
     path: str,

@@ -4,7 +4,7 @@ The stream only watches the folder: it reads names, not contents.  Each batch
 reloads the days it saw completely and replaces their partitions, so a day that
 arrives in several parts ends up right, and a batch that is repeated after a
 failure changes nothing.  A stream knows a file by its path alone; a file that was
-written again is noticed by its time, which is kept in a table beside the checkpoint.
+written again is noticed by its time or length, kept in a table beside the checkpoint.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paylake.session import fresh_path
-from paylake.sinks.tables import replace_partitions
+from paylake.sinks.tables import replace_partitions, swapped
 from paylake.sources.daily_files import DAY_FORMAT, DAY_IN_PATH, DailyFiles, day_range, read_days
 from paylake.sources.tables import table_exists
 
@@ -55,9 +55,11 @@ def ingest_available(
     listed = _listing(spark, files)
     known = f"{checkpoint.rstrip('/')}-files"
     if table_exists(spark, known):
-        seen = spark.read.schema(listed.schema).parquet(known)
-        latest = seen.groupBy("path").agg(F.max("modificationTime").alias("loaded"))
-        again = listed.join(latest, "path").where("modificationTime > loaded")
+        # Older times count, too: a file may be replaced by an earlier version of itself.
+        seen = spark.read.schema(listed.schema).parquet(known).selectExpr(
+            "path", "modificationTime AS _time", "length AS _length"
+        )
+        again = listed.join(seen, "path").where("modificationTime <> _time OR length <> _length")
         load(again.select(F.regexp_extract("path", DAY_IN_PATH, 1).alias("day")), -1)
 
     query = (
@@ -67,11 +69,12 @@ def ingest_available(
         .start()
     )
     query.awaitTermination()
-    listed.write.mode("append").parquet(known)
+    # One row per file, however many runs there were.
+    swapped(listed, known)
 
 
 def _listing(spark: SparkSession, files: DailyFiles) -> DataFrame:
-    """Path and time of the files there are now, as a table of its own."""
+    """Path, time and length of the files there are now, as a table of its own."""
     path = fresh_path(spark, "listing")
     try:
         found = spark.read.format("binaryFile").schema(LISTING).load(f"{files.folder.rstrip('/')}/{files.prefix}-*.csv")
@@ -79,8 +82,8 @@ def _listing(spark: SparkSession, files: DailyFiles) -> DataFrame:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         found = spark.createDataFrame([], LISTING)
-    found.select("path", "modificationTime").write.parquet(path)
-    return spark.read.schema("path string, modificationTime timestamp").parquet(path)
+    found.select("path", "modificationTime", "length").write.parquet(path)
+    return spark.read.schema("path string, modificationTime timestamp, length long").parquet(path)
 
 
 def _runs(days: list[dt.date]) -> list[tuple[dt.date, dt.date]]:

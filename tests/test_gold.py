@@ -4,6 +4,9 @@ import rows as R
 
 from paylake import schemas as S
 from paylake.plans import gold, silver, views
+from paylake.plans.increments import FactIncrements
+from paylake.session import fresh_path
+from paylake.sinks import tables as sink
 from paylake.sources.tables import of_days
 
 
@@ -124,14 +127,93 @@ def test_incremental_equals_full_with_late_payments(spark):
         {"id": "11", "reference": "c", "state": "failed", "created_at": "2025-10-01", S.SNAPSHOT: R.DAY_1},
     ]
     tx, pay, shops = transactions(spark, *links), payments(spark, *pays), merchants(spark)
-    first = gold.fact_transactions(
-        of_days(tx, R.DAY_1), of_days(pay, R.DAY_1), shops
-    )
-    changes = gold.fact_changes(first, tx, pay, shops, R.DAY_2)
-    assert sorted(r.transaction_id for r in changes.collect()) == [1, 2, 4]
-    updated = gold.fact_updated(first, changes)
+    late = [{"id": "10", "reference": "a", "state": "initial", "created_at": "2025-10-01 08:00:00"}, pays[2]]
+    increments(spark, (of_days(tx, R.DAY_1), payments(spark, *late), shops), (tx, pay, shops))
+
+
+def increments(spark, *states):
+    """Loads that lead from each state (transactions, payments, merchants) to the next: the fact is that of the state."""
+    root = fresh_path(spark, "increments")
+    loads = FactIncrements(spark, root, f"{root}/fact", buckets=4)
+    before = [frame.where("false") for frame in states[0]]
+    for state in states:
+        loads.record(*zip(before, state))
+        loads.apply(state[2])
+        assert loads.pending() == []
+        full = gold.fact_transactions(*state)
+        assert sorted(map(str, sink.read_fact(spark, f"{root}/fact").collect())) == sorted(map(str, full.collect()))
+        before = state
+
+
+def test_withdrawn_transactions_and_snapshots(spark):
+    """A transaction that is gone, one whose latest snapshot is gone, one that lost its reference."""
+    links = [
+        {"id": "1", "linkpay_reference": "a", "created_at": "2025-10-01"},
+        {"id": "2", "linkpay_reference": "b", "created_at": "2025-10-01"},
+        {"id": "3", "linkpay_reference": "c", "created_at": "2025-10-01"},
+        {"id": "2", "linkpay_reference": "a", "created_at": "2025-10-03", S.SNAPSHOT: R.DAY_2},
+        {"id": "4", "linkpay_reference": "b", "created_at": None, S.SNAPSHOT: R.DAY_2},
+    ]
+    pays = [{"id": "1", "reference": ref, "state": "settled", "created_at": "2025-10-01"} for ref in "ab"]
+    pays[1]["id"] = "2"
+    after = [links[0], {"id": "3", "linkpay_reference": None, "created_at": "2025-10-01"}, links[1]]
+    states = [
+        (transactions(spark, *rows), payments(spark, *paid), merchants(spark))
+        for rows, paid in ((links, pays), (after, pays[:1]), ([], []), (links, pays[1:]))
+    ]
+    increments(spark, *states)
+
+
+def test_a_failed_run_is_applied_by_the_next(spark):
+    root = fresh_path(spark, "increments")
+    loads = FactIncrements(spark, root, f"{root}/fact", buckets=4)
+    tx = transactions(spark, *[{"id": str(i), "linkpay_reference": f"r{i}", "created_at": "2025-10-01"} for i in range(9)])
+    pay, shops = payments(
+        spark, {"id": "1", "reference": "r1", "state": "settled", "merchant_id": "9", "created_at": "2025-10-01"}
+    ), merchants(spark)
+    none = [frame.where("false") for frame in (tx, pay, shops)]
+    loads.record((none[0], tx.where("transaction_id < 5")))
+    loads.record((tx.where("transaction_id < 5"), tx), (none[1], pay))
+    assert loads.pending() == [1, 2]
+    loads.apply(shops)
     full = gold.fact_transactions(tx, pay, shops)
-    assert sorted(map(str, updated.collect())) == sorted(map(str, full.collect()))
+    fact = sink.read_fact(spark, f"{root}/fact")
+    assert sorted(map(str, fact.collect())) == sorted(map(str, full.collect()))
+    # The mark was lost: the loads are applied once more.
+    sink.drop_partitions(spark, root, ["done"])
+    loads.apply(shops)
+    assert sorted(map(str, sink.read_fact(spark, f"{root}/fact").collect())) == sorted(map(str, full.collect()))
+    # Folded logs say the same.
+    for name in ("versions", "references", "payments"):
+        asked = {"versions": "transaction_id", "references": "payment_reference", "payments": "reference"}[name]
+        keys = spark.createDataFrame([(v,) for v in ([1, 2] if name == "versions" else ["r1", "r2"])], [asked])
+        before = sorted(map(str, loads.lookup(name, keys, 2).collect()))
+        loads.compact(name)
+        assert sorted(map(str, loads.lookup(name, keys, 2).collect())) == before and before
+    late = merchants(spark, {"id": "9", "name": "late"})
+    loads.record(merchants=(shops, late))
+    loads.apply(late)
+    full = gold.fact_transactions(tx, pay, late)
+    assert full.where("merchant_sk IS NOT NULL").count() == 1
+    assert sorted(map(str, sink.read_fact(spark, f"{root}/fact").collect())) == sorted(map(str, full.collect()))
+    loads.record(merchants=(late, shops))
+    loads.apply(shops)
+    assert sink.read_fact(spark, f"{root}/fact").where("merchant_sk IS NOT NULL").count() == 0
+
+
+def test_a_lookup_reads_only_the_buckets_of_its_keys(spark):
+    root = fresh_path(spark, "increments")
+    loads = FactIncrements(spark, root, f"{root}/fact", buckets=64)
+    tx = transactions(spark, *[{"id": str(i), "linkpay_reference": f"r{i}", "created_at": "2025-10-01"} for i in range(300)])
+    pay, shops = payments(spark, *[{"id": str(i), "reference": f"r{i}"} for i in range(300)]), merchants(spark)
+    loads.record((tx.where("false"), tx), (pay.where("false"), pay))
+    loads.apply(shops)
+    found = loads.lookup("payments", spark.createDataFrame([("r7",)], "reference string"), 1)
+    assert found.count() == 1
+    text = found._sc._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "formatted")
+    assert "PartitionFilters" in text and "_bucket" in text.split("PartitionFilters")[1][:200]
+    files = {f.split("_bucket=")[1].split("/")[0] for f in spark.read.parquet(f"{root}/logs/payments").where("_bucket = 3").inputFiles()}
+    assert len(files) > 1  # the table has many buckets, the lookup's plan filters on one
 
 
 def test_increment_sees_new_merchants_and_withdrawn_payments(spark):
@@ -145,18 +227,6 @@ def test_increment_sees_new_merchants_and_withdrawn_payments(spark):
                  {"id": "3", "reference": "c", "state": "settled", "merchant_id": "8", "created_at": "2025-10-01",
                   "updated_at": "2025-10-02", S.SNAPSHOT: R.DAY_2}]
     shops = [{"id": "8", "name": "old"}, {"id": "9", "name": "new", S.SNAPSHOT: R.DAY_2}]
-    before = gold.fact_transactions(tx, payments(spark, *pays, *withdrawn), merchants(spark, shops[0]))
-    pay, known = payments(spark, *pays), merchants(spark, *shops)
-    changes = gold.fact_changes(before, tx, pay, known, R.DAY_2)
-    assert sorted(r.transaction_id for r in changes.collect()) == [0, 1, 2]
-    full = gold.fact_transactions(tx, pay, known)
-    assert sorted(map(str, gold.fact_updated(before, changes).collect())) == sorted(map(str, full.collect()))
-
-
-def test_high_water_mark_starts_at_the_epoch(spark):
-    frame = gold.fact_transactions(
-        transactions(spark, {"id": "1", "created_at": "2025-10-01"}, {"id": "2"}),
-        payments(spark), merchants(spark),
-    )
-    assert [r.transaction_id for r in gold.fact_newer_than_target(frame, frame.where("false")).collect()] == [1]
-    assert gold.fact_newer_than_target(frame, frame).count() == 0
+    known = merchants(spark, *shops)
+    states = [(tx, payments(spark, *pays, *withdrawn), merchants(spark, shops[0])), (tx, payments(spark, *pays), known)]
+    increments(spark, *states)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from paylake import fixtures as X
 from paylake import schemas as S
-from paylake.operators.joins import lookup_join
+from paylake.operators import quality
+from paylake.operators.joins import heavy_keys, lookup_join
 from paylake.plans import extracts, gold, silver, views
 from paylake.queries import _fact, _merchants, _stored, registered
 from paylake.session import fresh_path
@@ -24,7 +25,8 @@ def plan(frame, mode="formatted"):
 WRITING = {
     "backfill_range", "bronze_link_tx_day", "bronze_link_tx_full", "extract_payments", "fact_high_water_mark",
     "fact_increment", "ingest_available_now", "scan_missing_day", "schema_drift_union", "silver_insert_missing",
-    "silver_upsert", "sink_partition_replace", "sink_replace_by_file", "views_for_role",
+    "silver_upsert", "sink_partition_replace", "sink_replace_by_file", "sink_file_on_other_days", "views_for_role",
+    "bucketed_match", "lake_quarantine", "lake_full_load",
 }
 LAZY = sorted(set(registered()) - WRITING)
 
@@ -151,23 +153,75 @@ def test_hot_reference_is_split_before_it_is_grouped(spark, setting):
     assert final.count() == 1 + sum(1 for i in range(rows) if i % 2 and i % 3)
 
 
-def test_copies_cut_a_hot_merchant(spark, setting):
+def test_heavy_merchants_leave_the_shuffle(spark, setting):
+    """Only heavy keys are looked up aside; no row is repeated for ordinary ones."""
     setting("spark.sql.autoBroadcastJoinThreshold", "-1")
     setting("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    left = spark.range(20_000).selectExpr("id AS tx", "CASE WHEN id % 3 = 0 THEN 1 ELSE id END AS m")
-    right = spark.range(1000).selectExpr("id AS merchant", "id * 10 AS sk")
-    joined = lookup_join(left, right, "m", "merchant", "tx", copies=16)
-    expected = left.join(right, F.expr("m = merchant"), "left")
-    columns = ["tx", "m", "merchant", "sk"]
-    assert sorted(map(str, joined.select(columns).collect())) == sorted(map(str, expected.select(columns).collect()))
+    left = spark.range(20_000).selectExpr(
+        "id AS tx", "CASE WHEN id % 3 = 0 THEN 1 WHEN id % 7 = 0 THEN 5000 WHEN id % 11 > 0 THEN id END AS m"
+    )
+    right = spark.range(1000).selectExpr("id AS merchant", "nullif(id, 1) * 10 AS sk")
+    heavy = heavy_keys(left, "m")
+    assert sorted(heavy) == [1, 5000]
+    for how in ("left", "inner"):
+        joined = lookup_join(left, right, "m", "merchant", "tx", heavy, how)
+        expected = left.join(right, F.expr("m = merchant"), how)
+        columns = ["tx", "m", "merchant", "sk"]
+        assert joined.columns == columns
+        assert sorted(map(str, joined.collect())) == sorted(map(str, expected.select(columns).collect()))
+    text = plan(lookup_join(left, right, "m", "merchant", "tx", heavy), "simple")
+    assert "Generate" not in text
+    # Heavy rows are spread like those without a key: no partition gets more than its share.
+    keyed = left.selectExpr("*", "CASE WHEN m NOT IN (1, 5000) THEN m END AS _key").selectExpr(
+        "_key", "CASE WHEN _key IS NULL THEN pmod(xxhash64(tx), 4096) ELSE 0 END AS _salt"
+    ).repartition(16, "_key", "_salt")
+    sizes = [r["count"] for r in keyed.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * sum(sizes) / 16
+
+
+def test_no_heavy_keys(spark):
+    assert heavy_keys(spark.range(0).selectExpr("id AS m"), "m") == []
+    assert heavy_keys(spark.range(9).selectExpr("cast(NULL AS int) AS m"), "m") == []
 
 
 def test_lookup_join_keeps_repeated_right_rows(spark):
     left = spark.createDataFrame([(1, 10), (2, 11), (3, None)], "tx int, k int")
     right = spark.createDataFrame([(10, "a"), (10, "b")], "rk int, v string")
-    inner = lookup_join(left, right, "k", "rk", "tx", copies=4, how="inner")
-    assert sorted((r.tx, r.v) for r in inner.collect()) == [(1, "a"), (1, "b")]
-    assert lookup_join(left, right, "k", "rk", "tx").count() == 4
+    for heavy in ([], [10], [10, 11]):
+        inner = lookup_join(left, right, "k", "rk", "tx", heavy, how="inner")
+        assert sorted((r.tx, r.v) for r in inner.collect()) == [(1, "a"), (1, "b")]
+        assert lookup_join(left, right, "k", "rk", "tx", heavy).count() == 4
+
+
+def test_buckets_join_without_a_shuffle(spark, sf_dir):
+    text = plan(registered()["bucketed_match"](spark, sf_dir), "simple")
+    assert "SortMergeJoin" in text and "Exchange" not in text
+
+
+def test_late_rows_prune_the_periods_of_the_fact(spark):
+    import datetime as dt
+
+    path = fresh_path(spark, "fact")
+    day = lambda n: dt.datetime(2025, 10, n, 9, 0, 0)
+    row = lambda t, start: (f"k{t}", t, f"r{t}", 1, 1, None, None, 5, start)
+    sink.write_fact(spark.createDataFrame([row(n, day(n)) for n in range(1, 20)] + [row(99, None)], S.FACT_TRANSACTIONS), path)
+    load = [row(5, day(5)), row(50, day(5)), row(30, day(30)), row(98, None), row(99, None)]
+    frame = spark.createDataFrame(load, S.FACT_TRANSACTIONS)
+    fact = read_table(spark, path, sink.FACT_STORED)
+    text = plan(sink.same_periods(fact, sink._with_period(frame, "day")), "simple")
+    assert "dynamicpruning" in text
+    sink.append_newer_fact(frame, path)
+    ids = sorted(r.transaction_id for r in sink.read_fact(spark, path).collect())
+    assert ids == sorted([*range(1, 20), 30, 50, 98, 99])
+    sink.append_newer_fact(frame, path)
+    assert sink.read_fact(spark, path).count() == len(ids)
+
+
+def test_checks_scan_once(spark, sf_dir):
+    frame = X.table(spark, sf_dir, "lineitem")
+    text = plan(quality.checks(frame, "t", ["l_shipdate"], [["l_orderkey"], ["l_partkey", "l_suppkey"]]), "simple")
+    # One shuffle by key, one of the single result row.
+    assert text.count("FileScan") == 1 and text.count("Exchange") == 2
 
 
 def test_hot_id_is_merged_before_the_shuffle(spark, setting):

@@ -53,7 +53,13 @@ def test_replace_source_files(spark):
     for _ in range(2):
         sink.replace_source_files(again, path, S.BRONZE_PAYMENTS)
         rows = read_table(spark, path, S.BRONZE_PAYMENTS).collect()
-        assert sorted((r.id, r[S.SOURCE_FILE]) for r in rows) == [("2", "b"), ("3", "a"), ("4", "a")]
+        # Also the row that the file had on a day it has none on any more.
+        assert sorted((r.id, r[S.SOURCE_FILE]) for r in rows) == [("2", "b"), ("4", "a")]
+    sink.replace_source_files(
+        R.payments(spark, {"id": "5", S.SOURCE_FILE: "c", S.SNAPSHOT: R.DAY_3}), path, S.BRONZE_PAYMENTS
+    )
+    sink.replace_source_files(again.where("false"), path, S.BRONZE_PAYMENTS, ["a", "c", "unknown"])
+    assert [r.id for r in read_table(spark, path, S.BRONZE_PAYMENTS).collect()] == ["2"]
 
 
 def test_drift(spark):
@@ -89,7 +95,7 @@ def test_upsert_days(spark):
 
 
 def fact_row(transaction, start, state=1):
-    return (transaction * 7, transaction, f"r{transaction}", 1, state, None, None, 5, start)
+    return (f"k{transaction}", transaction, f"r{transaction}", 1, state, None, None, 5, start)
 
 
 def test_fact_rows_may_change_their_period(spark):
@@ -128,6 +134,38 @@ def test_create_or_replace(spark):
     assert spark.read.parquet(path).count() == 2
 
 
+def test_a_failed_write_leaves_the_old_extract(spark):
+    """Nor does a swap that stopped half way lose it."""
+    import os
+
+    import pytest
+
+    path = fresh_path(spark, "lake")
+    sink.create_or_replace(spark.range(3), path)
+    broken = spark.range(5).selectExpr("assert_true(id < 4) AS ok", "id")
+    with pytest.raises(Exception, match="(?i)assert|false"):
+        sink.create_or_replace(broken, path)
+    assert spark.read.parquet(path).count() == 3
+    os.rename(path, path + "-former")
+    sink.create_or_replace(spark.range(4), path)
+    assert spark.read.parquet(path).count() == 4
+    assert not os.path.exists(path + "-former") and not os.path.exists(path + "-new")
+
+
+def test_changed_and_withdrawn_fact_rows(spark):
+    day = lambda n: dt.datetime(2025, 10, n, 9, 0, 0)
+    path = fresh_path(spark, "fact")
+    rows = [fact_row(1, day(1)), fact_row(2, day(2)), fact_row(3, day(2)), fact_row(4, None), fact_row(5, day(9))]
+    sink.write_fact(spark.createDataFrame(rows, S.FACT_TRANSACTIONS), path)
+    changes = spark.createDataFrame([fact_row(1, day(2), 2), fact_row(6, None, 2)], S.FACT_TRANSACTIONS)
+    gone = spark.createDataFrame([(4,), (5,)], "transaction_id long")
+    starts = spark.createDataFrame([(day(1),), (None,), (day(9),)], "start timestamp")
+    for _ in range(2):
+        sink.change_fact(changes, gone, starts, path)
+        got = {r.transaction_id: r[S.GATING_TS] for r in sink.read_fact(spark, path).collect()}
+        assert got == {1: day(2), 2: day(2), 3: day(2), 6: None}
+
+
 def test_a_day_without_rows_is_emptied(spark, tmp_path):
     path = str(tmp_path / "days")
     rows = spark.sql("SELECT id, date_add(date '2025-10-01', cast(id % 3 AS int)) AS _snapshot_date FROM range(9)")
