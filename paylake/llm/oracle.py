@@ -84,37 +84,63 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
 FROM d LEFT JOIN pos ON d.doc_id = pos.doc_id LEFT JOIN its ON d.doc_id = its.doc_id
 """,
     "op2_tool_calls": r"""
-WITH c AS (SELECT conv_id, turn, role, text, 'c' || conv_id || '-' AS p FROM conversations),
+WITH RECURSIVE c AS (
+    SELECT conv_id, turn, role, text, 'c' || conv_id || '-' AS p, coalesce((conv_id * 31 + turn) % 7, 6) AS rule
+    FROM conversations),
 calls0 AS (
-    SELECT conv_id, turn, p || turn AS call_id, p || (turn - 2) AS ref,
+    SELECT conv_id, turn, p || turn AS call_id,
+        CASE WHEN role = 'system' THEN NULL WHEN rule IN (0, 1, 2) THEN p || (turn + 2)
+            WHEN rule <> 4 AND turn >= 2 THEN p || (turn - 2) END AS ref,
         CASE role WHEN 'user' THEN 'answer' ELSE 'configure' END AS name,
         CASE role WHEN 'user' THEN
-            '{' || CASE WHEN turn >= 2 THEN '"after":' || to_json(p || (turn - 2)) || ',' ELSE '' END
+            '{' || coalesce('"after":' || to_json(CASE WHEN rule IN (0, 1, 2) THEN p || (turn + 2)
+                WHEN rule <> 4 AND turn >= 2 THEN p || (turn - 2) END) || ',', '')
             || coalesce('"question":' || to_json(text) || ',', '')
-            || '"words":' || len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) || '}'
+            || '"words":' || CASE WHEN rule = 5 THEN '"' ELSE '' END
+            || len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))
+            || CASE WHEN rule = 5 THEN '"' ELSE '' END || '}'
         ELSE '{' || coalesce('"prompt":' || to_json(text), '') || '}' END AS arguments,
-        CASE WHEN text IS NULL AND role = 'user' THEN ['missing:question']
-             WHEN text IS NULL THEN ['missing:prompt'] ELSE CAST([] AS VARCHAR[]) END AS errors
+        CASE WHEN role = 'system' THEN CASE WHEN text IS NULL THEN ['missing:prompt'] ELSE CAST([] AS VARCHAR[]) END
+            ELSE CASE WHEN text IS NULL THEN ['missing:question'] ELSE CAST([] AS VARCHAR[]) END
+                || CASE WHEN rule = 5 THEN ['type:words'] ELSE CAST([] AS VARCHAR[]) END END AS errors
     FROM c WHERE role IN ('user', 'system')),
 calls AS (
     SELECT conv_id, call_id, min(turn) AS turn, min(name) AS name, min(arguments) AS arguments,
         min(ref) AS ref, min(errors) AS errors, count(*) AS copies
-    FROM calls0 GROUP BY conv_id, call_id),
+    FROM calls0 WHERE conv_id IS NOT NULL GROUP BY conv_id, call_id
+    UNION ALL SELECT conv_id, call_id, turn, name, arguments, ref, errors, 1 FROM calls0 WHERE conv_id IS NULL),
+reach AS (
+    SELECT conv_id, call_id, call_id AS last, turn, 0 AS level, [call_id] AS way, false AS round
+    FROM calls WHERE conv_id IS NOT NULL
+    UNION ALL
+    SELECT r.conv_id, r.call_id, k.call_id, k.turn, r.level + 1, r.way || [k.call_id], list_contains(r.way, k.call_id)
+    FROM reach r JOIN calls a ON a.conv_id = r.conv_id AND a.call_id = r.last
+        JOIN calls k ON k.conv_id = a.conv_id AND k.call_id = a.ref
+    WHERE NOT r.round),
+spots AS (
+    SELECT conv_id, call_id, bool_or(round) AS looped, max(row(turn, level)) AS top FROM reach GROUP BY ALL),
 results AS (
     SELECT conv_id, p || (turn - 1) AS call_id, min(turn) AS turn, min(text) AS content, count(*) AS copies
     FROM c WHERE role = 'assistant' GROUP BY ALL),
+moving AS (
+    SELECT DISTINCT a.conv_id FROM calls a JOIN calls k ON a.conv_id = k.conv_id AND a.ref = k.call_id
+    WHERE k.turn >= a.turn),
 rows AS (
     SELECT coalesce(a.conv_id, r.conv_id) AS conv_id, coalesce(a.call_id, r.call_id) AS call_id,
         coalesce(a.turn, r.turn) AS turn,
-        a.errors || CASE WHEN a.name = 'answer' AND a.turn >= 2 AND k.call_id IS NULL
-            THEN ['reference:' || a.ref] ELSE CAST([] AS VARCHAR[]) END AS errors,
+        CASE WHEN looped OR top IS NULL THEN row(coalesce(a.turn, r.turn), 0) ELSE top END AS at_,
+        a.errors || CASE WHEN a.ref IS NOT NULL AND a.conv_id IS NOT NULL AND k.call_id IS NULL
+            THEN ['reference:' || a.ref] ELSE CAST([] AS VARCHAR[]) END
+            || CASE WHEN looped AND m.conv_id IS NOT NULL THEN ['cycle'] ELSE CAST([] AS VARCHAR[]) END AS errors,
         a.name, a.arguments, r.content, coalesce(a.copies, 0) + coalesce(r.copies, 0) AS copies,
         a.call_id IS NOT NULL AND r.call_id IS NOT NULL AS linked
     FROM calls a LEFT JOIN calls k ON a.conv_id = k.conv_id AND a.ref = k.call_id
+    LEFT JOIN spots s ON s.conv_id = a.conv_id AND s.call_id = a.call_id
+    LEFT JOIN moving m ON m.conv_id = a.conv_id
     FULL JOIN results r ON a.conv_id = r.conv_id AND a.call_id = r.call_id)
-SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, call_id) - 1 AS position, call_id,
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY at_, turn, call_id) - 1 AS position, call_id,
     linked AND len(errors) = 0 AS valid, CAST(copies AS BIGINT) AS copies,
-    '{"arguments":' || coalesce(arguments, 'null') || ',"call_id":' || to_json(call_id)
+    '{"arguments":' || coalesce(arguments, 'null') || ',"call_id":' || coalesce(to_json(call_id), 'null')
     || ',"errors":' || coalesce(CAST(to_json(errors) AS VARCHAR), '[]') || ',"name":' || coalesce(to_json(name), 'null')
     || ',"result":' || coalesce(to_json(content), 'null') || '}' AS record
 FROM rows

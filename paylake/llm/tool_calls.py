@@ -4,8 +4,11 @@ Calls and results are joined by conversation and identifier.  Arguments are chec
 against the schemas of the tools; an argument of type ``call`` names another call that
 this one depends on.  Within a conversation calls are put in an order in which each comes
 after those it depends on: their own order wherever that is possible, and calls that
-refer to later ones move behind them, round by round.  One record per call or lone
-result is given, never a whole conversation, so a conversation may be of any length.
+refer to later ones move behind them.  Only conversations with such a call are looked at.
+In each round, a reference to a call that refers to one other is replaced by a reference to
+that one, so a chain of n calls takes about log2(n) rounds.  Calls whose references are all
+settled drop out; when a round settles none, those left lead into a cycle.  One record per
+call or lone result is given, never a whole conversation, so a conversation may be of any length.
 
 Canonical JSON has its keys sorted and no blanks.
 
@@ -13,7 +16,7 @@ Defined cases: the first call, or result, of an identifier counts, by turn, plac
 content; repeated ones are counted in ``copies``.  NULL identifiers are never linked.
 Arguments that are no JSON object are an error and are written as a text.  A result
 without a call and a call without a result are records without the other.  References
-to missing calls and cycles are errors; calls in a cycle, or moved behind one, keep their place.
+to missing calls and cycles are errors; calls in a cycle, or that need one, keep their place.
 Empty tables give no rows.  Other columns are ignored.
 """
 
@@ -80,58 +83,55 @@ def references(calls: DataFrame, schemas: Schemas) -> DataFrame:
     )
 
 
-def _marked(moved: DataFrame, turning: DataFrame, edges: DataFrame) -> DataFrame:
-    """``moved`` with ``in_cycle`` for the calls that still move and the moved ones that need them."""
-    key = ["conv_id", "call_id"]
-    marked, n = turning.select(*key), 0
-    while (now := marked.count()) > n:
-        n = now
-        need = edges.join(marked.withColumnRenamed("call_id", "ref_id"), ["conv_id", "ref_id"]).select(*key)
-        marked = stored(marked.union(need.join(moved, key, "left_semi")).distinct(), "in-cycles")
-    flags = marked.withColumn("marked", F.lit(True))
-    return moved.join(flags, key, "left").withColumn("in_cycle", F.coalesce("marked", F.lit(False))).drop("marked")
+# More steps than any reference is counted as: in a cycle they double without an end.
+MOST_STEPS = 1 << 40
 
 
 def ordered(calls: DataFrame, edges: DataFrame) -> DataFrame:
-    """``conv_id, call_id, at, in_cycle`` for calls that move: ``at`` is (turn, place, level)."""
-    own = F.struct("turn", "place", F.lit(0).alias("level"))
-    spot = calls.select("conv_id", "call_id", own.alias("at"))
-    both = stored(
-        edges.join(spot, ["conv_id", "call_id"])
-        .join(spot.select("conv_id", F.col("call_id").alias("ref_id"), F.col("at").alias("ref_at")), ["conv_id", "ref_id"]),
-        "references",
+    """``conv_id, call_id, at, in_cycle`` for calls that may move: ``at`` is (turn, place, level)."""
+    key = ["conv_id", "call_id"]
+    own = F.struct("turn", "place", F.lit(0).cast("long").alias("level"))
+    spot = calls.where("conv_id IS NOT NULL AND call_id IS NOT NULL").select(*key, own.alias("at"))
+    ref_spot = spot.select("conv_id", F.col("call_id").alias("ref_id"), F.col("at").alias("ref_at"))
+    both = stored(edges.join(spot, key).join(ref_spot, ["conv_id", "ref_id"]), "references")
+    moving = stored(both.where("ref_at >= at").select("conv_id").distinct(), "moving")
+    links = stored(
+        both.join(moving, "conv_id").select(*key, "ref_id", F.lit(1).cast("long").alias("steps")), "links"
     )
-    moved = both.select("conv_id", "call_id", "at", F.lit(False).alias("in_cycle")).limit(0)
-    frontier = both.where("ref_at >= at")
-    seen, rounds = 0, 0
-    while True:
-        after = F.max("ref_at")
-        step = stored(
-            frontier.groupBy("conv_id", "call_id").agg(after.alias("m")).select(
-                "conv_id", "call_id",
-                F.struct("m.turn", "m.place", (F.col("m.level") + 1).alias("level")).alias("at"),
-                F.lit(False).alias("in_cycle"),
-            ),
-            "moves",
+    places = stored(spot.join(links.select(*key).union(links.select("conv_id", "ref_id")).distinct(), key), "places")
+    still = links.select(*key).distinct().count()
+    while still:
+        # What each call referred to is: its place so far, and its reference if it has just one.
+        of_ref = links.groupBy(*key).agg(
+            F.count(F.lit(1)).alias("refs"), F.min(F.struct("ref_id", "steps")).alias("next")
+        )
+        known = places.join(of_ref, key, "left").select(
+            "conv_id", F.col("call_id").alias("ref_id"), F.col("at").alias("ref_at"),
+            F.coalesce("refs", F.lit(0)).alias("refs"), "next",
         )
-        changed = step.count()
-        if not changed:
-            return moved
-        moved = stored(
-            moved.unionByName(step).groupBy("conv_id", "call_id")
-            .agg(F.max("at").alias("at"), F.max("in_cycle").alias("in_cycle")),
-            "moved",
+        met = stored(links.join(known, ["conv_id", "ref_id"]), "met")
+        behind = F.struct(
+            F.col("ref_at.turn").alias("turn"), F.col("ref_at.place").alias("place"),
+            F.least(F.col("ref_at.level") + F.col("steps"), F.lit(MOST_STEPS)).alias("level"),
         )
-        rounds, seen = rounds + 1, moved.count()
-        if rounds > seen:  # no path of moved calls is that long: something goes round
-            return _marked(moved, step, both)
-        now = moved.select("conv_id", "call_id", F.col("at").alias("now"))
-        refs = step.select("conv_id", F.col("call_id").alias("ref_id"), F.col("at").alias("ref_now"))
-        frontier = (
-            both.join(refs, ["conv_id", "ref_id"]).join(now, ["conv_id", "call_id"], "left")
-            .where("ref_now >= coalesce(now, at)")
-            .select("conv_id", "call_id", F.col("ref_now").alias("ref_at"))
+        after = met.groupBy(*key).agg(F.max(behind).alias("after"))
+        places = stored(
+            places.join(after, key, "left").select(*key, F.greatest("at", F.coalesce("after", "at")).alias("at")), "places"
         )
+        lone = F.col("refs") == 1
+        links = stored(
+            met.where("refs > 0").select(
+                *key, F.when(lone, F.col("next.ref_id")).otherwise(F.col("ref_id")).alias("ref_id"),
+                F.when(lone, F.least(F.col("steps") + F.col("next.steps"), F.lit(MOST_STEPS))).otherwise(F.col("steps")).alias("steps"),
+            ).groupBy(*key, "ref_id").agg(F.max("steps").alias("steps")),
+            "links",
+        )
+        left = links.select(*key).distinct().count()
+        if left == still:
+            break
+        still = left
+    stuck = links.select(*key).distinct().withColumn("stuck", F.lit(True))
+    return places.join(stuck, key, "left").select(*key, "at", F.coalesce("stuck", F.lit(False)).alias("in_cycle"))
 
 
 def format_calls(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
@@ -156,7 +156,7 @@ def format_calls(calls: DataFrame, results: DataFrame, schemas: Schemas) -> Data
         .withColumn("errors", F.concat(
             "errors", F.coalesce("lost", none), F.when(F.col("in_cycle"), F.array(F.lit("cycle"))).otherwise(none)
         ))
-        .withColumn("own", F.struct("turn", "place", F.lit(0).alias("level")))
+        .withColumn("own", F.struct("turn", "place", F.lit(0).cast("long").alias("level")))
         .withColumn("at", F.when(F.col("at").isNull() | F.col("in_cycle"), F.col("own")).otherwise(F.col("at")))
     )
     of_results = results.select(
@@ -178,9 +178,9 @@ def format_calls(calls: DataFrame, results: DataFrame, schemas: Schemas) -> Data
     rows = linked.select(
         F.coalesce("conv_id", "r_conv").alias("conv_id"), F.coalesce("call_id", "r_call").alias("call_id"),
         F.when(is_call, F.col("at")).otherwise(
-            F.struct(F.col("r_turn").alias("turn"), F.lit(0).alias("place"), F.lit(0).alias("level"))
+            F.struct(F.col("r_turn").alias("turn"), F.lit(0).alias("place"), F.lit(0).cast("long").alias("level"))
         ).alias("at"),
-        F.coalesce("own", F.struct(F.col("r_turn").alias("turn"), F.lit(0).alias("place"), F.lit(0).alias("level"))).alias("own"),
+        F.coalesce("own", F.struct(F.col("r_turn").alias("turn"), F.lit(0).alias("place"), F.lit(0).cast("long").alias("level"))).alias("own"),
         (is_call & F.col("r_copies").isNotNull() & (F.size("errors") == 0)).alias("valid"),
         (F.coalesce("copies", F.lit(0)) + F.coalesce("r_copies", F.lit(0))).alias("copies"),
         record.alias("record"),
@@ -210,17 +210,24 @@ TURN_TOOLS: Schemas = {
 def from_turns(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """A plain conversation as calls and results.
 
-    A user's turn calls ``answer`` and depends on the call two turns before, a system's
-    turn calls ``configure``; an assistant's turn is the result of the turn before.
+    A user's turn calls ``answer`` and mostly depends on the call two turns before; by a rule of
+    the conversation and the turn, some depend on the call two turns after, some on none, and some
+    give their number of words as a text.  A system's turn calls ``configure``; an assistant's
+    turn is the result of the turn before.
     """
     c = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")
     call_id = lambda turn: F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), turn.cast("string"))
     words = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0))
-    after = F.when(F.col("turn") >= 2, call_id(F.col("turn") - 2))
+    rule = F.coalesce(F.pmod(F.col("conv_id") * 31 + F.col("turn"), F.lit(7)), F.lit(6))
+    after = F.when(rule.isin(0, 1, 2), call_id(F.col("turn") + 2)).when(
+        (rule != 4) & (F.col("turn") >= 2), call_id(F.col("turn") - 2)
+    )
+    asked = lambda count: F.to_json(F.struct(F.col("text").alias("question"), count.alias("words"), after.alias("after")))
     calls = c.where("role IN ('user', 'system')").select(
         "conv_id", "turn", F.lit(0).alias("place"), call_id(F.col("turn")).alias("call_id"),
         F.when(F.col("role") == "user", "answer").otherwise("configure").alias("name"),
-        F.when(F.col("role") == "user", F.to_json(F.struct(F.col("text").alias("question"), words.alias("words"), after.alias("after"))))
+        F.when((F.col("role") == "user") & (rule == 5), asked(words.cast("string")))
+        .when(F.col("role") == "user", asked(words))
         .otherwise(F.to_json(F.struct(F.col("text").alias("prompt")))).alias("arguments"),
     )
     results = c.where("role = 'assistant'").select(

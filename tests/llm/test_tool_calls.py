@@ -59,6 +59,23 @@ def test_order_puts_calls_after_what_they_need(spark):
     assert [r[4]["errors"] for r in got if r[0] == 2] == [["cycle"], ["cycle"], ["cycle"], []]
 
 
+def test_long_chains_beside_a_cycle_take_few_rounds(spark, monkeypatch):
+    """A chain of forward references, many short ones, and a cycle with calls that need it."""
+    rounds = []
+    keep = T.stored
+    monkeypatch.setattr(T, "stored", lambda frame, name: (rounds.append(name), keep(frame, name))[1])
+    call = lambda conv, turn, name, after: (conv, turn, 0, name, "get", json.dumps({"x": 1} | ({"after": after} if after else {})))
+    n = 1000
+    calls = [call(1, t, f"c{t}", f"c{t + 1}" if t < n - 1 else None) for t in range(n)]
+    calls += [call(10 + k, t, f"d{t}", "d1" if t == 0 else None) for k in range(200) for t in range(2)]
+    calls += [call(5, 0, "p", "q"), call(5, 1, "q", "p"), call(5, 2, "r", "p"), call(5, 3, "s", None)]
+    got = formatted(spark, calls, [])
+    assert [r[2] for r in got if r[0] == 1] == [f"c{t}" for t in range(n - 1, -1, -1)]
+    assert all([r[2] for r in got if r[0] == 10 + k] == ["d1", "d0"] for k in range(200))
+    assert [(r[2], r[4]["errors"]) for r in got if r[0] == 5] == [("p", ["cycle"]), ("q", ["cycle"]), ("r", ["cycle"]), ("s", [])]
+    assert rounds.count("met") <= 12
+
+
 def test_long_conversation_and_empty(spark):
     calls = [(5, t, 0, f"c{t}", "get", json.dumps({"x": t} | ({"after": f"c{t - 1}"} if t else {}))) for t in range(700)]
     got = formatted(spark, calls, [(5, 1, "c0", "r")])
