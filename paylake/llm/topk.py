@@ -1,11 +1,11 @@
 """Exact top-k search by refined histograms of scores.
 
-Queries and rows meet in tiles of bounded size.  All scores are computed, and each tile
-gives, per query, a histogram of them: how many lie in each bin, for the highest bins
-until k scores are covered (what lies below cannot be among the k best of all).  The
-histograms are added up, which locates the bin of the k-th score; the next round splits
-that bin, until bins are single values.  Then rows above the k-th score and, by smallest
-id, as many as are needed at it are kept.
+Queries and rows meet in tiles of bounded size, about square, so that neither side is copied
+more often than it has to be.  All scores are computed, once; a tile keeps, per query, its
+k best rows (what lies below cannot be among the k best of all, nor can ties of larger ids).
+Histograms of the kept scores are added up over all tiles, which locates the bin of the k-th
+score; the next round splits that bin, until bins are single values.  Then rows above the k-th
+score and, by smallest id, as many as are needed at it are taken.
 
 Vectors are compared as whole numbers, floor(256 * x); sums are exact, and cut to 64 bits.
 
@@ -33,7 +33,9 @@ K = 5
 SHIFTS = (12, 6, 0)
 
 # Queries and rows of a tile, at most about.
-TILE_QUERIES, TILE_ROWS = 1024, 4096
+TILE_QUERIES, TILE_ROWS = 8192, 8192
+# Queries of a tile that are scored at a time.
+QUERIES_AT_ONCE = 512
 # Small tables are cut into this many slots of rows, if each has LEAST_ROWS.
 SLOTS, LEAST_ROWS = 32, 256
 
@@ -82,51 +84,38 @@ def _matrix(column: pa.ChunkedArray, n: int) -> np.ndarray:
     return flat.reshape(n, -1) if len(flat) else np.zeros((n, 0))
 
 
-def _histogram(k: int, shift: int, before: int | None):
-    """Counts of one tile: ``quid, bin, n`` for the highest bins of the range looked at."""
+KEPT = pa.schema([(name, pa.int64()) for name in ("quid", "query_id", "uid", "vec_id", "score")])
+
+
+def _kept(k: int):
+    """The k best rows of one tile for each of its queries, ties by smallest id."""
 
     def tile(queries: pa.Table, rows: pa.Table) -> pa.Table:
-        out = {"quid": [], "bin": [], "n": []}
+        parts = [KEPT.empty_table()]
         if len(queries) and len(rows):
-            scores = _scores(_matrix(queries["v"], len(queries)), _matrix(rows["v"], len(rows)))
-            uid, quid = rows["uid"].to_numpy(), queries["uid"].to_numpy()
-            low = queries["bin"].to_pylist() if before is not None else [None] * len(quid)
-            for i in range(len(quid)):
-                own = scores[i][uid != quid[i]]
-                if before is not None:
-                    own = own[own >> before == low[i]]
-                if len(own) > k:
-                    own = own[own >> shift >= np.partition(own, len(own) - k)[len(own) - k] >> shift]
-                bins, counts = np.unique(own >> shift, return_counts=True)
-                out["quid"] += [int(quid[i])] * len(bins)
-                out["bin"] += bins.tolist()
-                out["n"] += counts.tolist()
-        return pa.table(out, pa.schema([("quid", pa.int64()), ("bin", pa.int64()), ("n", pa.int64())]))
+            matrix = _matrix(rows["v"], len(rows))
+            uid, vec_id = rows["uid"].to_numpy(), rows["vec_id"].to_numpy()
+            for at in range(0, len(queries), QUERIES_AT_ONCE):
+                asked = queries.slice(at, QUERIES_AT_ONCE)
+                quid, names = asked["uid"].to_numpy(), asked["vec_id"].to_numpy()
+                scores = _scores(_matrix(asked["v"], len(asked)), matrix)
+                columns: list[list[np.ndarray]] = [[] for _ in KEPT]
+                for i in range(len(asked)):
+                    own, other = scores[i], np.flatnonzero(uid != quid[i])
+                    if len(other) > k:
+                        kth = np.partition(own[other], len(other) - k)[len(other) - k]
+                        other = other[own[other] >= kth]
+                    # From the highest score down; -1 - x is in reverse order and never overflows.
+                    best = other[np.lexsort((uid[other], vec_id[other], -1 - own[other]))[:k]]
+                    found = (np.full(len(best), quid[i]), np.full(len(best), names[i]), uid[best], vec_id[best], own[best])
+                    for column, value in zip(columns, found, strict=True):
+                        column.append(value)
+                parts.append(pa.table([np.concatenate(column) for column in columns], schema=KEPT))
+        return pa.concat_tables(parts)
 
     return tile
 
 
-def _best(queries: pa.Table, rows: pa.Table) -> pa.Table:
-    """Rows above each query's k-th score, and those of the smallest ids at it."""
-    out = {"quid": [], "query_id": [], "uid": [], "vec_id": [], "score": []}
-    if len(queries) and len(rows):
-        scores = _scores(_matrix(queries["v"], len(queries)), _matrix(rows["v"], len(rows)))
-        uid, vec_id, quid = rows["uid"].to_numpy(), rows["vec_id"].to_numpy(), queries["uid"].to_numpy()
-        names, kth, need = (queries[c].to_pylist() for c in ("vec_id", "bin", "need"))
-        for i in range(len(quid)):
-            other = uid != quid[i]
-            above = np.flatnonzero((scores[i] > kth[i]) & other)
-            ties = np.flatnonzero((scores[i] == kth[i]) & other)
-            ties = ties[np.lexsort((uid[ties], vec_id[ties]))[: need[i]]]
-            take = np.concatenate([above, ties])
-            out["quid"] += [int(quid[i])] * len(take)
-            out["query_id"] += [names[i]] * len(take)
-            out["uid"] += uid[take].tolist()
-            out["vec_id"] += vec_id[take].tolist()
-            out["score"] += scores[i][take].tolist()
-    return pa.table(out, pa.schema([(name, pa.int64()) for name in out]))
-
-
 def top_k(rows: DataFrame, is_query: str, k: int = K) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the k best rows for each row with ``is_query``.
 
@@ -144,37 +133,41 @@ def top_k(rows: DataFrame, is_query: str, k: int = K) -> DataFrame:
         "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     )
     tile = ["dim", "block", "slot"]
-
     candidates = candidates.toDF(*candidates.columns)
+    kept = stored(
+        queries.groupBy(*tile).cogroup(candidates.groupBy(*tile)).applyInArrow(
+            _kept(k), "quid long, query_id long, uid long, vec_id long, score long"
+        ),
+        "tile-best",
+    )
+    state = kth_scores(kept, k).withColumnRenamed("quid", "_quid")
+    reached = kept.join(state, F.col("quid") == F.col("_quid")).where(F.col("score") >= F.col("kth"))
+    order = Window.partitionBy("quid").orderBy(F.col("score").desc(), "vec_id", "uid")
+    return (
+        reached.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        .select("query_id", "rank", "vec_id", "score")
+    )
 
-    def met(asked: DataFrame, work, schema: str) -> DataFrame:
-        return asked.groupBy(*tile).cogroup(candidates.groupBy(*tile)).applyInArrow(work, schema)
 
+def kth_scores(kept: DataFrame, k: int) -> DataFrame:
+    """``quid, kth``: each query's k-th highest score, or its lowest, by histograms of ever narrower bins."""
     # Of each query: the bin of its k-th score, and how many are needed of that bin.
     state, before = None, None
     for shift in SHIFTS:
-        asked = queries if state is None else queries.join(state, F.col("uid") == F.col("quid")).drop("quid")
-        bins = met(asked, _histogram(k, shift, before), "quid long, bin long, n long")
-        added = bins.groupBy("quid", "bin").agg(F.sum("n").alias("n"))
+        bin_of = F.shiftright("score", shift).alias("bin")
         if state is None:
-            added = added.withColumn("need", F.lit(k))
+            added = kept.groupBy("quid", bin_of).agg(F.count(F.lit(1)).alias("n")).withColumn("need", F.lit(k))
         else:
-            added = added.join(state.select("quid", "need"), "quid")
+            within = kept.join(state.withColumnRenamed("bin", "_bin"), "quid").where(
+                F.shiftright("score", before) == F.col("_bin")
+            )
+            added = within.groupBy("quid", "need", bin_of).agg(F.count(F.lit(1)).alias("n"))
         down = Window.partitionBy("quid").orderBy(F.col("bin").desc())
         above = F.coalesce(F.sum("n").over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         last = F.min("bin").over(Window.partitionBy("quid"))
         reached = added.withColumn("above", above).withColumn("last", last).where(
             (F.col("above") < F.col("need")) & ((F.col("above") + F.col("n") >= F.col("need")) | (F.col("bin") == F.col("last")))
         )
-        state = stored(
-            reached.select("quid", "bin", F.least(F.col("need") - F.col("above"), F.col("n")).cast("int").alias("need")),
-            "kth-bins",
-        )
+        state = stored(reached.select("quid", "bin", (F.col("need") - F.col("above")).cast("int").alias("need")), "kth-bins")
         before = shift
-    asked = queries.join(state, F.col("uid") == F.col("quid")).drop("quid")
-    best = met(asked, _best, "quid long, query_id long, uid long, vec_id long, score long")
-    order = Window.partitionBy("quid").orderBy(F.col("score").desc(), "vec_id", "uid")
-    return (
-        best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
-    )
+    return state.select("quid", F.col("bin").alias("kth"))
