@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from paylake.llm import decontamination, mixing, ngram_join, quality, secrets
-from paylake.llm.common import stored, table
+from paylake.llm.common import discard, kept, scratch, table
 from paylake.session import configure
 
 
@@ -59,8 +59,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage."""
-    docs = table(configure(spark), sf_dir, "documents")
+    """The rows of the last stage; what stages leave behind on the way is deleted."""
+    docs, last = table(configure(spark), sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        with scratch(spark):
+            docs = kept(stage(spark, docs, sf_dir), name)
+        if last is not None:
+            discard(last)
+        last = docs
     return docs

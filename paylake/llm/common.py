@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,13 +30,48 @@ def lower_ascii(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+# Paths that the innermost ``scratch`` block deletes when it ends.
+_scratch: list[list[str]] = []
+
+
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """``frame`` written to the shared folder and read back: its lineage ends here."""
     path = fresh_path(frame.sparkSession, name)
+    if _scratch:
+        _scratch[-1].append(path)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, what was stored within.
+
+    Results have to be stored by :func:`kept`, so that nothing needs the deleted files any more.
+    """
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            _delete(spark, path)
+
+
+def kept(frame: DataFrame, name: str) -> DataFrame:
+    """Like ``stored``, but outliving the innermost ``scratch`` block: it belongs to the one around, if any."""
+    inner = _scratch.pop() if _scratch else None
+    try:
+        return stored(frame, name)
+    finally:
+        if inner is not None:
+            _scratch.append(inner)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def with_running_sums(frame: DataFrame, order: list[Column], sums: dict[str, str]) -> DataFrame:
     """``frame`` with, per entry of ``sums`` (new name: column), the sum over all rows before in ``order``.
 
@@ -80,10 +116,8 @@ def each_copy(rows: DataFrame, copies: str, number: str) -> DataFrame:
 
 def discard(frame: DataFrame) -> None:
     """Deletes the files of a stored frame that nothing reads any more."""
-    jvm = frame.sparkSession._jvm
     for folder in {file.rsplit("/", 1)[0] for file in frame.inputFiles()[:1]}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(frame.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        _delete(frame.sparkSession, folder)
 
 
 def unused(name: str, *taken: Iterable[str]) -> str:

@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paylake.llm.common import lower_ascii, row_key, stored
+from paylake.llm.common import kept, lower_ascii, row_key, scratch, stored, unused
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # The same words before A-Z become lower case, to be counted.
@@ -205,11 +205,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with their columns."""
-    bad = (
-        spans_of_hits(docs, benchmark)
-        .select("key", F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["start"]).alias("n_hit"))
-    )
-    key, hit = "_decontamination_key", "_decontamination_hit"
+    with scratch(docs.sparkSession):
+        bad = kept(
+            spans_of_hits(docs, benchmark)
+            .select("key", F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["start"]).alias("n_hit")),
+            "hit-documents",
+        )
+    key, hit = unused("decontamination_key", docs.columns), unused("decontamination_hit", docs.columns)
     keyed = docs.withColumn(key, row_key())
     bad = bad.select(F.col("key").alias(key), F.col("n_hit").alias(hit))
     keep = F.col(hit).isNull() | (F.col(hit) * ONE_OF < word_count(F.col("text")))

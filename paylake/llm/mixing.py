@@ -25,7 +25,7 @@ from math import isqrt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paylake.llm.common import BLANK_WORD, each_copy, stored, with_running_sums
+from paylake.llm.common import BLANK_WORD, each_copy, kept, scratch, stored, with_running_sums
 
 BLOCK_WORDS = 64
 MOST_REPEATS = 3
@@ -192,6 +192,11 @@ def mix(docs: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
     ``size`` is in words, ``target`` that of its source, ``taken`` the words the schedule
     takes of the document, repeats counted.
     """
+    with scratch(docs.sparkSession):
+        return kept(_mixed(docs, block), "mix")
+
+
+def _mixed(docs: DataFrame, block: int) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     seed = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(text))
     sized = stored(

@@ -29,7 +29,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paylake.llm.common import row_key, stored, unused
+from paylake.llm.common import kept, row_key, scratch, stored, unused
 from paylake.llm.matches import found
 
 LEAST_LENGTH = 16
@@ -209,9 +209,11 @@ def secrets(docs: DataFrame, findings: DataFrame | None = None) -> DataFrame:
 def masked(docs: DataFrame, findings: DataFrame | None = None) -> DataFrame:
     """The documents with each secret replaced by MASK; ``n_chars``, if there, is brought up to date."""
     key, places = unused("secret_key", docs.columns), unused("secret_places", docs.columns)
-    changed = scan(docs, findings).where("is_secret").groupBy("key").agg(
-        F.array_sort(F.collect_set("place")).alias(places)
-    ).withColumnRenamed("key", key)
+    with scratch(docs.sparkSession):
+        changed = kept(
+            scan(docs, findings).where("is_secret").groupBy("key").agg(F.array_sort(F.collect_set("place")).alias(places)),
+            "secret-places",
+        ).withColumnRenamed("key", key)
     text, at = F.col("text"), F.col(places)
     values = F.transform(found(text, CANDIDATE), lambda m, i: F.concat(
         m["before"], F.when(F.array_contains(at, i), F.concat(_name(m["value"]), F.lit(MASK))).otherwise(m["value"])

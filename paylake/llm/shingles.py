@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -72,7 +72,9 @@ def words_of(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts - text - 1, lengths, hashes, text
 
 
-def _sets(raw: np.ndarray, bounds: np.ndarray) -> Iterator[np.ndarray]:
+def _sets(
+    raw: np.ndarray, bounds: np.ndarray, score: Callable[[np.ndarray], np.ndarray] | None
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     _, _, hashes, text = words_of(raw, bounds)
     at = np.searchsorted(text, np.arange(len(bounds)))
     n = max(len(hashes) - WIDTH + 1, 0)
@@ -80,16 +82,19 @@ def _sets(raw: np.ndarray, bounds: np.ndarray) -> Iterator[np.ndarray]:
     for k in range(WIDTH):
         rolled = rolled * _MULTIPLIER + hashes[k : k + n]
     rolled = mixed(rolled)
+    sums = np.concatenate([[0], np.cumsum(score(hashes))]) if score else None
+    none = np.empty(0, np.int64)
     for a, b in zip(at[:-1], at[1:], strict=True):
         if b - a >= WIDTH:
-            yield np.unique(rolled[a : b - WIDTH + 1])
+            found, first = np.unique(rolled[a : b - WIDTH + 1], return_index=True)
+            yield found, sums[a + first + WIDTH] - sums[a + first] if score else none, hashes[a:b]
         elif b > a:
             whole = np.array([b - a], np.uint64)
             for h in hashes[a:b]:
                 whole = whole * _MULTIPLIER + h
-            yield mixed(whole)
+            yield mixed(whole), np.array([sums[b] - sums[a]]) if score else none, hashes[a:b]
         else:
-            yield np.empty(0, np.uint64)
+            yield np.empty(0, np.uint64), none, hashes[a:b]
 
 
 def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -102,11 +107,18 @@ def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
     """The sorted shingle hashes of each text; none for NULL and for texts without words."""
+    return (found for found, _, _ in scored_sets(texts))
+
+
+def scored_sets(
+    texts: pa.Array, score: Callable[[np.ndarray], np.ndarray] | None = None
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Per text its sorted shingle hashes, the sum of each shingle's word scores, and its words' hashes."""
     raw, bounds = text_buffer(texts)
     at = 0
     while at < len(texts):
         to = max(int(np.searchsorted(bounds, bounds[at] + PIECE, "right")) - 1, at + 1)
-        yield from _sets(raw[bounds[at] : bounds[to]], bounds[at : to + 1] - bounds[at])
+        yield from _sets(raw[bounds[at] : bounds[to]], bounds[at : to + 1] - bounds[at], score)
         at = to
 
 
