@@ -119,6 +119,21 @@ def payment_parts(silver_payments: DataFrame) -> DataFrame:
     return silver_payments.where("reference IS NOT NULL").select(LOGS["payments"].schema.fieldNames()[:-1])
 
 
+def _latest(rows: DataFrame, log: Log) -> DataFrame:
+    """The last form of each row of a log, of those that are alive."""
+    values = [field.name for field in log.values]
+    latest = rows.groupBy(*log.names).agg(F.max_by(F.struct(ALIVE, *values), LOAD).alias("_row"))
+    return latest.where(F.col(f"_row.{ALIVE}")).select(*log.names, *[f"_row.{name}" for name in values])
+
+
+def _newest(versions: DataFrame) -> DataFrame:
+    """Reference and start of the latest snapshot of each transaction."""
+    newest = versions.groupBy("transaction_id").agg(
+        F.max_by(F.struct("payment_reference", "tx_started_at"), S.SNAPSHOT).alias("_row")
+    )
+    return newest.select("transaction_id", "_row.*")
+
+
 @dataclass(frozen=True)
 class FactIncrements:
     """The logs and pending loads below ``root``, and the fact at ``fact``."""
@@ -205,14 +220,12 @@ class FactIncrements:
         wanted = keys.select(log.key.name).where(F.col(log.key.name).isNotNull()).distinct()
         bucket = F.pmod(F.xxhash64(log.key.name), F.lit(self.buckets)).cast("int")
         asked = [row[0] for row in wanted.select(bucket).distinct().collect()]  # at most all numbers of buckets
-        values = [field.name for field in log.values]
         rows = (
             read_table(self.spark, self._path(f"logs/{name}"), log.stored)
             .where(F.col(BUCKET).isin(asked) & (F.col(LOAD) <= upto))
             .join(wanted, log.key.name, "left_semi")
         )
-        latest = rows.groupBy(*log.names).agg(F.max_by(F.struct(ALIVE, *values), LOAD).alias("_row"))
-        return latest.where(F.col(f"_row.{ALIVE}")).select(*log.names, *[f"_row.{name}" for name in values])
+        return _latest(rows, log)
 
     def compact(self, name: str) -> None:
         """Folds all loads of a log into the last one that is done, without rows that are not alive."""
@@ -220,9 +233,7 @@ class FactIncrements:
         if self.pending() or not done:
             raise ValueError("apply all pending loads first")
         rows = read_table(self.spark, self._path(f"logs/{name}"), log.stored)
-        values = [ALIVE, *[field.name for field in log.values]]
-        latest = rows.groupBy(*log.names).agg(F.max_by(F.struct(*values), LOAD).alias("_row"))
-        kept = latest.where(F.col(f"_row.{ALIVE}")).select(*log.names, "_row.*").withColumn(LOAD, F.lit(done))
+        kept = _latest(rows, log).withColumn(ALIVE, F.lit(True)).withColumn(LOAD, F.lit(done))
         staged = self._stored(kept.select([f.name for f in log.stored.fields[:-1]]), "compacted")
         older = [row[0] for row in rows.select(LOAD).distinct().collect()]  # one row per load
         # First the complete last load, then the others go: a lookup never misses a row.
@@ -231,54 +242,58 @@ class FactIncrements:
 
     # ---- applying ----
 
-    def _current(self, ids: DataFrame, upto: int) -> DataFrame:
-        """Reference and start of the latest snapshot of each transaction that has one."""
-        versions = self.lookup("versions", ids, upto)
-        newest = versions.groupBy("transaction_id").agg(
-            F.max_by(F.struct("payment_reference", "tx_started_at"), S.SNAPSHOT).alias("_row")
-        )
-        return newest.select("transaction_id", "_row.*")
-
     def apply(self, merchants: DataFrame) -> None:
         """Brings the fact up to date with all loads that are recorded and not done."""
         loads = self.pending()
         if not loads:
             return
-        last, before = max(loads), min(loads) - 1
+        last = max(loads)
         versions, payments = self._changes("versions", loads), self._changes("payments", loads)
-        arrivals = self._changes("merchants", loads)
         self._append("versions", versions)
         self._append("payments", payments)
-
-        touched = self._stored(versions.select("transaction_id").distinct(), "touched")
-        was = self._stored(self._current(touched, before), "was")
-        now = self._stored(self._current(touched, last), "now")
+        exists = table_exists(self.spark, self.fact)
+        if exists:
+            was, now, affected, final = self._touched(versions, payments, self._changes("merchants", loads), loads)
+        else:
+            # The first load is all there is.
+            now = self._stored(_newest(_latest(versions, LOGS["versions"])), "now")
+            was, affected = now.where("false"), now
+            final = self._stored(gold.payment_final(_latest(payments, LOGS["payments"])), "final")
         self._append("references", self._moved(was, now).withColumn(LOAD, F.lit(last)))
+        unknown = final.selectExpr("final_merchant_id AS merchant_id", "pay_reference AS reference").where(
+            "merchant_id IS NOT NULL"
+        ).join(merchants, "merchant_id", "left_anti")
+        self._append("orphans", unknown.withColumn(ALIVE, F.lit(True)).withColumn(LOAD, F.lit(last)))
+
+        rows = gold.shaped(affected, final, merchants)
+        if exists:
+            gone = was.join(now, "transaction_id", "left_anti")
+            sink.change_fact(rows, gone.select("transaction_id"), was.select("tx_started_at"), self.fact, self.grain)
+        else:
+            sink.write_fact(rows, self.fact, self.grain)
+        self._mark("done", loads)
 
+    def _touched(
+        self, versions: DataFrame, payments: DataFrame, arrivals: DataFrame, loads: list[int]
+    ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+        """Changed transactions as they were and are, all transactions concerned, and their final payments."""
+        last, before = max(loads), min(loads) - 1
+        touched = self._stored(versions.select("transaction_id").distinct(), "touched")
+        was = self._stored(_newest(self.lookup("versions", touched, before)), "was")
+        now = self._stored(_newest(self.lookup("versions", touched, last)), "now")
         # Other transactions of references whose payments or merchant changed.
         arrived = arrivals.where(ALIVE).select("merchant_id")
         concerned = (
             payments.select(F.col("reference").alias("payment_reference"))
             .unionByName(self.lookup("orphans", arrived, last).selectExpr("reference AS payment_reference"))
         )
-        others = self.lookup("references", concerned, last).unionByName(self._without_merchant(arrivals))
+        others = self.lookup("references", concerned, before).unionByName(self._without_merchant(arrivals))
         affected = self._stored(
             now.unionByName(others.join(touched, "transaction_id", "left_anti").distinct()), "affected"
         )
         wanted = affected.selectExpr("payment_reference AS reference")
         final = self._stored(gold.payment_final(self.lookup("payments", wanted, last)), "final")
-        unknown = final.selectExpr("final_merchant_id AS merchant_id", "pay_reference AS reference").where(
-            "merchant_id IS NOT NULL"
-        ).join(merchants, "merchant_id", "left_anti")
-        self._append("orphans", unknown.withColumn(ALIVE, F.lit(True)).withColumn(LOAD, F.lit(last)))
-
-        rows = gold.shaped(affected, final, merchants)
-        if table_exists(self.spark, self.fact):
-            gone = was.join(now, "transaction_id", "left_anti")
-            sink.change_fact(rows, gone.select("transaction_id"), was.select("tx_started_at"), self.fact, self.grain)
-        else:
-            sink.write_fact(rows, self.fact, self.grain)
-        self._mark("done", loads)
+        return was, now, affected, final
 
     def _moved(self, was: DataFrame, now: DataFrame) -> DataFrame:
         """What becomes of the ``references`` log: transactions that left a reference or came to one."""

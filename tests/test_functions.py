@@ -45,6 +45,13 @@ def test_parse_timestamp(spark):
         "01/10/2025": dt.datetime(2025, 10, 1),
         "01.10.2025 12:00:00": noon,
         "2025/10/01 12:00:00": noon,
+        "01-10-2025": dt.datetime(2025, 10, 1), "01-10-2025 12:00:00": noon,
+        "01/10/2025 12:00:00 PM": noon, "01/10/2025 1:02:03am": dt.datetime(2025, 10, 1, 1, 2, 3),
+        "2025/10/01 12:00:00 AM": dt.datetime(2025, 10, 1),
+        "1 Oct 2025": dt.datetime(2025, 10, 1), "01 Oct 2025 12:00:00": noon, "1 October 2025": dt.datetime(2025, 10, 1),
+        "Wed, 01 Oct 2025 12:00:00": noon, "Oct 1, 2025": dt.datetime(2025, 10, 1), "Oct 1 2025 12:00:00": noon,
+        "October 1, 2025": dt.datetime(2025, 10, 1), "Wednesday, October 1 2025": dt.datetime(2025, 10, 1),
+        "1 Xyz 2025": None, "40 Oct 2025": None, "Wednesday": None,
         "x": None, "": None, "12:00": None, "2025": None, "2025-13-45": None,
         "2025-10-01 25:00:00": None, "32/10/2025": None,
     }
