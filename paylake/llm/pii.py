@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paylake.llm.common import row_key, stored
+from paylake.llm.common import row_key, stored, unused
 from paylake.llm.matches import found, let, running
 
 KINDS = ("email", "ip", "card", "phone")
@@ -237,9 +237,10 @@ def sanitised(docs: DataFrame) -> DataFrame:
         s["start"].alias("start"), s["end"].alias("end"),
         F.when(s["share"] >= GIVEN_AWAY, F.lit("")).otherwise(F.lit("[term]")).alias("by"),
     ))
+    key, places = unused("pii_key", docs.columns), unused("pii_spans", docs.columns)
     changes = spans.select(
-        F.col("key").alias("_pii_key"),
-        F.array_sort(F.concat(F.coalesce(base, F.array()), F.coalesce(terms, F.array()))).alias("_pii_spans"),
+        F.col("key").alias(key),
+        F.array_sort(F.concat(F.coalesce(base, F.array()), F.coalesce(terms, F.array()))).alias(places),
     )
 
     def replace(state: Column, s: Column) -> Column:
@@ -253,11 +254,11 @@ def sanitised(docs: DataFrame) -> DataFrame:
         )
 
     start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).alias("at"))
-    text = F.aggregate("_pii_spans", start, replace, lambda st: F.concat(
+    text = F.aggregate(places, start, replace, lambda st: F.concat(
         F.array_join(st["out"], ""), F.substring(F.col("text"), st["at"] + 1, F.length("text"))
     ))
     return (
-        docs.withColumn("_pii_key", row_key()).join(changes, "_pii_key", "left")
-        .withColumn("text", F.when(F.col("_pii_spans").isNull(), F.col("text")).otherwise(text))
+        docs.withColumn(key, row_key()).join(changes, key, "left")
+        .withColumn("text", F.when(F.col(places).isNull(), F.col("text")).otherwise(text))
         .select(*docs.columns)
     )
