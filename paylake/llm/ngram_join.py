@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from paylake.llm.common import discard, kept, scratch, stored, unused
@@ -505,21 +505,11 @@ def _similar_groups(docs: DataFrame) -> DataFrame:
     known = stored(wide.select("doc_id", "text_hash", "node", "n"), "known")
     one = wide.where("n > 0").groupBy("node")
     nodes = stored(one.agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "nodes")
-    meeting = stored(
-        one.agg(F.first("n").alias("n"), F.first("keys").alias("keys"))
-        .select("node", "n", F.explode("keys").alias("key")).where("key IS NOT NULL"),
-        "meeting",
-    )
-    # Rounds of leaders: few pairs join most of what belongs together.
-    roots, links, tried = None, None, None
-    for number in range(LEADER_ROUNDS):
-        asked = _leading(stored(_labelled(meeting, roots), "labelled"), nodes, number, tried)
-        tried = asked if tried is None else stored(tried.union(asked), "tried")
-        new = verified(docs, known, asked)
-        links = new if links is None else stored(links.union(new), "links")
-        roots = stored(components(links), "roots")
-        if not new.take(1):
-            break
+    # What the leader rounds need goes before the tiles are made.
+    with scratch(docs.sparkSession):
+        links, tried, roots = (
+            kept(found, name) for found, name in zip(_led(docs, one, nodes, known), ("links", "tried", "roots"))
+        )
     # All that is left, between components.
     shared = _shared(wide)
     discard(wide)
@@ -537,6 +527,25 @@ def _similar_groups(docs: DataFrame) -> DataFrame:
     )
 
 
+def _led(docs: DataFrame, one: GroupedData, nodes: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rounds of leaders, few pairs that join most of what belongs together: links, pairs tried, and roots."""
+    meeting = stored(
+        one.agg(F.first("n").alias("n"), F.first("keys").alias("keys"))
+        .select("node", "n", F.explode("keys").alias("key")).where("key IS NOT NULL"),
+        "meeting",
+    )
+    roots, links, tried = None, None, None
+    for number in range(LEADER_ROUNDS):
+        asked = _leading(stored(_labelled(meeting, roots), "labelled"), nodes, number, tried)
+        tried = asked if tried is None else stored(tried.union(asked), "tried")
+        new = verified(docs, known, asked)
+        links = new if links is None else stored(links.union(new), "links")
+        roots = stored(components(links), "roots")
+        if not new.take(1):
+            break
+    return links, tried, roots
+
+
 def one_of_each_group(docs: DataFrame) -> DataFrame:
     """The documents without those similar to another: the one of the smallest id stays.
 
