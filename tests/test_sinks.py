@@ -143,7 +143,7 @@ def test_a_failed_write_leaves_the_old_extract(spark):
     path = fresh_path(spark, "lake")
     sink.create_or_replace(spark.range(3), path)
     broken = spark.range(5).selectExpr("assert_true(id < 4) AS ok", "id")
-    with pytest.raises(Exception, match="(?i)assert|false"):
+    with pytest.raises(Exception, match="is not true"):
         sink.create_or_replace(broken, path)
     assert spark.read.parquet(path).count() == 3
     os.rename(path, path + "-former")
