@@ -124,3 +124,15 @@ def test_masks(spark):
 
 def test_concat_gives_null(spark):
     assert spark.range(1).select(F.expr("concat('a', NULL)")).first()[0] is None
+
+
+def test_what_tasks_sort_is_bounded(spark, setting):
+    """Splits and merged shuffle partitions stay small; smaller ones that a session has are kept."""
+    from paylake import session
+
+    for given, kept in (("128MB", 16 << 20), ("4m", 4 << 20)):
+        for key in session.AT_MOST:
+            setting(key, given)
+        session._configured.discard(spark)
+        session.configure(spark)
+        assert {session._bytes(spark, spark.conf.get(key)) for key in session.AT_MOST} == {kept}

@@ -1,9 +1,10 @@
 import random
 
 import rows as R
+from pyspark.sql import functions as F
 
 from paylake import schemas as S
-from paylake.operators.latest import dominant_values
+from paylake.operators.latest import dominant_values, latest, latest_columns
 from paylake.operators.quality import rejected_ids
 from paylake.plans import silver
 
@@ -162,3 +163,22 @@ def test_schemas(spark):
     ):
         assert frame.schema.simpleString() == contract.simpleString()
         assert frame.count() == 0
+
+
+def test_columns_merged_together_are_as_if_merged_alone(spark):
+    generator = random.Random(5)
+    data = [(generator.randrange(40), n, generator.choice([None, n % 9]), *[generator.choice([None, n, n + 1]) for _ in "abc"])
+            for n in range(1500)]
+    frame = spark.createDataFrame(data, "k int, id int, t int, a int, b int, c int").repartition(5)
+    expected = frame.groupBy("k").agg(*[F.expr(f"{latest(c, 't', 'struct(t, id)')} AS {c}") for c in "abc"])
+    for together in ([], ["a"], ["a", "c"], ["a", "b", "c"]):
+        aggregates, found = latest_columns({c: c for c in "abc"}, "t", "struct(t, id)", together)
+        merged = frame.groupBy("k").agg(*aggregates).select("k", *found)
+        assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_values_are_counted_in_one_row_before_the_shuffle(spark):
+    """The columns of a row come apart only where its key is: above both shuffles of the plan."""
+    rows = spark.range(100).selectExpr("id % 7 AS k", "id % 3 AS a", "id % 2 AS b")
+    text = dominant_values(rows, ["k"], ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    assert 0 < text.index("Generate") < text.index("Exchange") and text.count("Exchange hashpartitioning") == 2
