@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,7 +34,7 @@ class Lakehouse:
     file_prefix: str = ""
     # Buckets of the logs behind the fact, see plans.increments.
     buckets: int = BUCKETS
-    _aside_counts: dict[str, DataFrame] = field(default_factory=dict, repr=False, compare=False)
+    _flagged: dict[str, DataFrame] = field(default_factory=dict, repr=False, compare=False)
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -105,32 +105,32 @@ class Lakehouse:
             self._count(name, days)
 
     def _built(self, name: str, build, first: Day, last: Day) -> DataFrame:
-        """Silver rows of the days, stored aside; rejected rows of the same stored input, in place."""
+        """Silver rows of the days, stored aside; rejected rows of the same bronze days, in place.
+
+        Bronze days are stored and stay as they are during the run: they are read again, not copied.
+        """
         days = day_range(first, last)
         rows = of_days(self._delivered(name), first, last)
-        seen = Observation()
         flagged = quality.flagged_ids(rows) if "id" in rows.columns else rows.selectExpr("*", f"'missing id' AS {quality.REASON}")
-        staged = self._aside(
-            flagged.observe(seen, F.expr("count(*) AS bronze"), F.expr(f"count({quality.REASON}) AS rejected")), name
-        )
         sink.replace_partitions(
-            align(staged.where(f"{quality.REASON} IS NOT NULL"), _REJECTED[name]), self.path(f"rejected/{name}"), loaded=days
+            align(flagged.where(f"{quality.REASON} IS NOT NULL"), _REJECTED[name]), self.path(f"rejected/{name}"), loaded=days
         )
         stored = self.rejected(name).where(F.col(S.SNAPSHOT).isin(days)).count()
-        accepted = staged.where(f"{quality.REASON} IS NULL")
-        if stored != seen.get["rejected"] or accepted.count() + stored != seen.get["bronze"]:
-            raise RuntimeError(f"{name}: {seen.get} rows read, {stored} rejected rows stored")
-        self._aside_counts[name] = staged
+        accepted = flagged.where(f"{quality.REASON} IS NULL")
+        read = rows.count()
+        if accepted.count() + stored != read:
+            raise RuntimeError(f"{name}: {read} rows read, {stored} rejected rows stored")
+        self._flagged[name] = flagged
         return self._aside(build(accepted.drop(quality.REASON)), f"silver-{name}")
 
     def _aside(self, frame: DataFrame, name: str) -> DataFrame:
         path = fresh_path(self.spark, name)
-        frame.write.parquet(path)
+        frame.write.options(**sink.PACKED).parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)
 
     def _count(self, name: str, days: list[dt.date]) -> None:
         """Rows read, accepted and rejected per day, and what became of them."""
-        read = self._aside_counts.pop(name).groupBy(S.SNAPSHOT).agg(
+        read = self._flagged.pop(name).groupBy(S.SNAPSHOT).agg(
             F.expr("count(*) AS bronze_rows"), F.expr(f"count_if({quality.REASON} IS NULL) AS accepted_rows"),
             F.expr(f"count({quality.REASON}) AS rejected_rows"),
         )

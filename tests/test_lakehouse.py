@@ -146,3 +146,25 @@ def test_run_options(spark, folder):
     days = {(r.transaction_id, str(r[S.SNAPSHOT])) for r in lake.silver("link_transactions").collect()}
     assert len(days) == 15 and len({t for t, _ in days}) == 10
     assert lake.fact().count() == 10
+
+
+def test_bronze_rows_are_not_copied_for_silver(spark, folder, tmp_path):
+    from paylake.session import shared_folder
+
+    scratch = shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(scratch))
+    lake = Lakehouse(spark, str(tmp_path / "lake"), buckets=4)
+    lake.run(folder, DAYS[0], DAYS[-1])
+    stored = {name.rsplit("-", 1)[0] for name in set(os.listdir(scratch)) - before}
+    assert "silver-payments" in stored and not stored & {"payments", "link_transactions", "merchants"}
+    counts = lake.load_counts("payments").agg({"bronze_rows": "sum", "accepted_rows": "sum"}).first()
+    assert counts[0] == counts[1] > 0
+
+
+def test_incoming_files_are_packed(spark, sf_dir):
+    from paylake import fixtures as X
+    from paylake.queries import _daily_files
+
+    files = _daily_files(X.bronze_merchants(spark, sf_dir), "merchants", S.MERCHANT_COLUMNS)
+    names = [n for day in os.listdir(files.folder) if "merchants" in day for n in os.listdir(f"{files.folder}/{day}")]
+    assert names and all(n.endswith((".csv.gz", ".crc")) for n in names)
