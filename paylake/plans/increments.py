@@ -126,6 +126,11 @@ def _latest(rows: DataFrame, log: Log) -> DataFrame:
     return latest.where(F.col(f"_row.{ALIVE}")).select(*log.names, *[f"_row.{name}" for name in values])
 
 
+def _alive(rows: DataFrame, log: Log) -> DataFrame:
+    """:func:`_latest` of rows of one load, which has each row of a log at most once."""
+    return rows.where(ALIVE).select(*log.names, *[field.name for field in log.values])
+
+
 def _newest(versions: DataFrame) -> DataFrame:
     """Reference and start of the latest snapshot of each transaction."""
     newest = versions.groupBy("transaction_id").agg(
@@ -151,7 +156,7 @@ class FactIncrements:
 
     def _stored(self, frame: DataFrame, name: str) -> DataFrame:
         path = fresh_path(self.spark, name)
-        frame.write.parquet(path)
+        frame.write.options(**sink.PACKED).parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)
 
     def _loads(self, state: str) -> set[int]:
@@ -193,7 +198,7 @@ class FactIncrements:
         return number
 
     def _write_changes(self, name: str, rows: DataFrame, number: int) -> None:
-        rows.write.mode("overwrite").parquet(self._path(f"changes/{name}/{LOAD}={number}"))
+        rows.write.mode("overwrite").options(**sink.PACKED).parquet(self._path(f"changes/{name}/{LOAD}={number}"))
 
     def _changes(self, name: str, loads: list[int]) -> DataFrame:
         contract = MERCHANT_CHANGES if name == "merchants" else LOGS[name].schema
@@ -210,7 +215,7 @@ class FactIncrements:
         placed = rows.withColumn(BUCKET, bucket).hint("rebalance", F.col(LOAD), F.col(BUCKET))
         (
             placed.sortWithinPartitions(LOAD, BUCKET, log.key.name)
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**sink.PACKED)
             .partitionBy(LOAD, BUCKET).parquet(self._path(f"logs/{name}"))
         )
 
@@ -256,9 +261,10 @@ class FactIncrements:
             was, now, affected, final = self._touched(versions, payments, self._changes("merchants", loads), loads)
         else:
             # The first load is all there is.
-            now = self._stored(_newest(_latest(versions, LOGS["versions"])), "now")
+            merged = _alive if len(loads) == 1 else _latest
+            now = self._stored(_newest(merged(versions, LOGS["versions"])), "now")
             was, affected = now.where("false"), now
-            final = self._stored(gold.payment_final(_latest(payments, LOGS["payments"])), "final")
+            final = self._stored(gold.payment_final(merged(payments, LOGS["payments"])), "final")
         self._append("references", self._moved(was, now).withColumn(LOAD, F.lit(last)))
         unknown = final.selectExpr("final_merchant_id AS merchant_id", "pay_reference AS reference").where(
             "merchant_id IS NOT NULL"
