@@ -27,9 +27,20 @@ from pyspark.sql import functions as F
 
 from paylake.llm.common import kept, lower_ascii, row_key, scratch, stored, unused
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+def _runs_without(*ranges: tuple[int, int]) -> str:
+    """Runs of characters outside all ``ranges``, as a pattern.
+
+    The class names its characters one by one: Java finds those in a table, but tries ranges one
+    after the other for each character of a text, which took ten times as long.
+    """
+    return "[^" + "".join(rf"\x{c:02X}" for first, last in ranges for c in range(first, last + 1)) + "]+"
+
+
+# [^\x00-\x2F\x3A-\x60\x7B-\x7F]+
+WORD = _runs_without((0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F))
 # The same words before A-Z become lower case, to be counted.
-ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+ANY_CASE_WORD = _runs_without((0x00, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7F))
 WINDOW = 13
 KGRAM = 8
 

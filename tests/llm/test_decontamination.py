@@ -1,6 +1,8 @@
 import hashlib
 import re
 
+from pyspark.sql import functions as F
+
 from paylake.llm import decontamination as D
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -56,6 +58,15 @@ def test_like_brute_force(spark, make_docs, prose, odd):
     assert sorted(str(r[0]) for r in kept.collect()) == expected
 
 
+def test_words_are_found_without_trying_ranges(spark, make_docs):
+    """Java tries the ranges of a class one by one for each character of a text."""
+    assert "-" not in D.WORD + D.ANY_CASE_WORD
+    text = "".join(f"{chr(c)}aZ9{chr(c)}" for c in [*range(0x0, 0x250), 0x2028, 0xD7FF, 0xE000, 0x1F600])
+    docs = make_docs([(1, text), (2, None), (3, "...")])
+    found = docs.select("doc_id", D.words(F.col("text")), D.word_count(F.col("text"))).collect()
+    assert sorted(map(tuple, found)) == [(1, words(text), len(words(text))), (2, [], 0), (3, [], 0)]
+
+
 def test_empty_tables(spark, make_docs):
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert D.contamination(make_docs([]), none).count() == 0
