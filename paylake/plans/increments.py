@@ -100,11 +100,15 @@ def differences(before: DataFrame, after: DataFrame, log: Log) -> DataFrame:
     values = [field.name for field in log.values]
 
     def side(frame: DataFrame, name: str) -> DataFrame:
-        return frame.select(*log.names, F.struct(F.lit(True).alias("given"), *values).alias(name))
+        row = F.struct(F.lit(True).alias("given"), *values)
+        return frame.select(*log.names, row.alias(name), F.lit(True).alias(f"{name}_given"))
 
     both = side(before, "_was").join(side(after, "_is"), log.names, "full")
     kept = F.coalesce("_is", "_was")
-    return both.where(~F.col("_was").eqNullSafe(F.col("_is"))).select(
+    # First what costs nothing: if one side has no rows, as with a first load, values that are
+    # computed are not computed again for a comparison.
+    on_one_side = F.col("_was_given").isNull() | F.col("_is_given").isNull()
+    return both.where(on_one_side | ~F.col("_was").eqNullSafe(F.col("_is"))).select(
         *log.names, *[kept[name].alias(name) for name in values], F.col("_is").isNotNull().alias(ALIVE)
     )
 

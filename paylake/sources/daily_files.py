@@ -27,8 +27,9 @@ from paylake.sources.tables import is_missing_path
 # A header is one small read of the start of a file; several are read at a time.
 HEADERS_AT_ONCE = 8
 DAY_FORMAT = "%Y%m%d"
-FILE_IN_PATH = r"([^/=]+-\d{8}\.csv)(?:/[^/]*)?$"
 DAY_IN_PATH = r"-(\d{8})\.csv(?:/[^/]*)?$"
+# How the name of a day's file or folder ends, and how long that is.
+DAY_END, DAY_END_LENGTH = r"^-\d{8}\.csv$", 13
 
 
 @dataclass(frozen=True)
@@ -81,18 +82,30 @@ def days_present(spark: SparkSession, files: DailyFiles, days: list[dt.date]) ->
 
 
 def _lineage(rows: DataFrame) -> DataFrame:
+    """The rows with lineage in place of the path.
+
+    Searching a whole path by a pattern costs several times what reading the row does: here only
+    the end of the folder's name is looked at.  The day's name is the folder's, or else the file's.
+    """
     columns = [f"`{name}`" for name in rows.columns if name != "_path"]
-    return rows.selectExpr(
+    folder = "substring_index(substring_index(_path, '/', -2), '/', 1)"
+    named = rows.selectExpr(
+        *columns,
+        f"CASE WHEN right({folder}, {DAY_END_LENGTH}) RLIKE r'{DAY_END}' THEN {folder} "
+        f"ELSE substring_index(_path, '/', -1) END AS _day_file",
+    )
+    year, month, day = (f"cast(substr(_day_file, {at}, {size}) AS int)" for at, size in ((-12, 4), (-8, 2), (-6, 2)))
+    return named.selectExpr(
         *columns,
         f"current_timestamp() AS {S.INGESTED}",
-        f"regexp_extract(_path, r'{FILE_IN_PATH}', 1) AS {S.SOURCE_FILE}",
-        f"to_date(regexp_extract(_path, r'{DAY_IN_PATH}', 1), 'yyyyMMdd') AS {S.SNAPSHOT}",
+        f"substring_index(_day_file, '=', -1) AS {S.SOURCE_FILE}",
+        f"make_date({year}, {month}, {day}) AS {S.SNAPSHOT}",
     )
 
 
 def days_with_open_quotes(spark: SparkSession, paths: list[str]) -> set[str]:
     """Days (YYYYMMDD) that have a file with a quoted line break: a line with an odd number of quotes."""
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
     found = (
         spark.read.text(paths).where(quotes % 2 == 1)
         .select(F.regexp_extract("_metadata.file_path", DAY_IN_PATH, 1).alias("day"))

@@ -28,6 +28,15 @@ def test_parse_uint(spark):
     assert evaluate(spark, parse_uint("x"), texts) == [12, 7, 0, 9223372036854775807] + [None] * 14
 
 
+def test_parse_uint_tries_no_cast_that_fails(spark):
+    """A failing cast raises inside, and here outside, too."""
+    texts = ["00009223372036854775807", "9223372036854775808", "0009999999999999999999", "0" * 30, "999999999999999999",
+             "18446744073709551615", "1 2", "12.5", "1e3", "1٢3", "1\n"]
+    cast = parse_uint("x").replace("try_cast", "cast")
+    expected = [2**63 - 1, None, None, 0, 10**18 - 1] + [None] * 6
+    assert evaluate(spark, cast, texts) == evaluate(spark, parse_uint("x"), texts) == expected
+
+
 def test_parse_timestamp(spark):
     noon = dt.datetime(2025, 10, 1, 12, 0, 0)
     cases = {

@@ -1,10 +1,12 @@
 import datetime as dt
+import re
 
 import rows as R
 
 from paylake import schemas as S
+from paylake.operators.merge import empty
 from paylake.plans import gold, silver, views
-from paylake.plans.increments import FactIncrements
+from paylake.plans.increments import LOGS, FactIncrements, differences, transaction_versions
 from paylake.session import fresh_path
 from paylake.sinks import tables as sink
 from paylake.sources.tables import of_days
@@ -230,3 +232,18 @@ def test_increment_sees_new_merchants_and_withdrawn_payments(spark):
     known = merchants(spark, *shops)
     states = [(tx, payments(spark, *pays, *withdrawn), merchants(spark, shops[0])), (tx, payments(spark, *pays), known)]
     increments(spark, *states)
+
+
+def test_a_first_load_reads_each_document_once(spark):
+    """Nothing was stored before: no row is compared, and no document is parsed again for that."""
+    path = fresh_path(spark, "silver")
+    links = [{"id": str(i), "payment_details": f'{{"reference": "P{i}"}}' if i else None} for i in range(3)]
+    sink.replace_partitions(transactions(spark, *links), path, silver.LINK_TX_KEY)
+    stored = spark.read.schema(S.SILVER_LINK_TX).parquet(path)
+    sides = [transaction_versions(frame) for frame in (empty(spark, S.SILVER_LINK_TX), stored)]
+    for before, after, alive in ((*sides, True), (*reversed(sides), False)):
+        found = differences(before, after, LOGS["versions"])
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert not re.search(r"Filter (?!\(true OR )", plan) and len(re.findall("Project.*parseJson", plan)) == 1
+        rows = {(r.transaction_id, r.payment_reference, r._alive) for r in found.collect()}
+        assert rows == {(0, None, alive), (1, "P1", alive), (2, "P2", alive)}

@@ -1,5 +1,7 @@
 import datetime as dt
+import glob
 
+import pyarrow.parquet as pq
 import rows as R
 from pyspark.sql import functions as F
 
@@ -175,3 +177,13 @@ def test_a_day_without_rows_is_emptied(spark, tmp_path):
     assert sorted(r.id for r in spark.read.schema(rows.schema).parquet(path).collect()) == [0, 2, 3, 5, 6, 8]
     sink.replace_partitions(rows.where("false"), path, ["id"], loaded=days)
     assert sorted(r.id for r in spark.read.schema(rows.schema).parquet(path).collect()) == [2, 5, 8]
+
+
+def test_raw_rows_are_written_without_dictionaries(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    sink.replace_partitions(R.payments(spark, *[{"id": str(i), "state": "a"} for i in range(50)]), path)
+    assert read_table(spark, path, S.BRONZE_PAYMENTS).where("state = 'a'").count() == 50
+    for file in glob.glob(f"{path}/*/*.parquet"):
+        columns = pq.ParquetFile(file).metadata.row_group(0)
+        for n in range(columns.num_columns):
+            assert not columns.column(n).has_dictionary_page and columns.column(n).compression == "ZSTD"

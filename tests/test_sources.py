@@ -134,3 +134,16 @@ def test_blank_in_path_and_windows_line_ends(spark, folder):
         out.write(text)
     rows = {r.id: r.note for r in read(spark, path).collect()}
     assert rows == {"1": "a\r\nb", "2": "plain", "3": "x\ny"}
+
+
+def test_lineage_by_the_end_of_the_path(spark, folder):
+    """The day's name is the folder's or the file's, whatever stands before it; no path is searched."""
+    folder("payments-20250909.csv/in=1/payments-20251001.csv", "id\n1\n")
+    path = folder("payments-20250909.csv/in=1/payments-20251002.csv/payments-7.csv", "id\n2\n") + "/payments-20250909.csv/in=1"
+    folder("payments-20250909.csv/in=1/file=payments-20251003.csv/part-0.csv", "id\n3\n")
+    frame = read(spark, path)
+    assert "regexp_extract" not in frame._jdf.queryExecution().optimizedPlan().toString()
+    rows = frame.unionByName(read(spark, path, prefix="file=payments")).collect()
+    assert {(r.id, r[S.SOURCE_FILE], r[S.SNAPSHOT].day) for r in rows} == {
+        (str(day), f"payments-2025100{day}.csv", day) for day in (1, 2, 3)
+    }
